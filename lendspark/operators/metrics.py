@@ -139,54 +139,60 @@ def validation_metrics(df: DataFrame, score: str = "pd_hat", label: str = "defau
 
 # --- A9 / A10 / PL10 ----------------------------------------------------------
 
-def psi_grouped(
-    expected: DataFrame,
-    actual: DataFrame,
+def psi_by_side(
+    df: DataFrame,
     value: str,
+    side_col: str,
+    expected_side="train",
+    actual_side="validation",
     group_cols: Sequence[str] = (),
     actual_group_cols: Sequence[str] = (),
     buckets: int = 10,
     epsilon: float = 1e-8,
 ) -> DataFrame:
-    """A9 generalised: PSI of ``actual`` against ``expected`` per group.
+    """A9 generalised: PSI of the ``actual_side`` rows against the
+    ``expected_side`` rows of one frame, per group.
 
-    Edges are the distinct quantiles of ``expected`` on a 0..100 percent
-    grid; counting is left-closed with the last bin closed, values outside
-    the edges and missing values are ignored; shares are
+    Edges are the distinct quantiles of the expected values on a 0..100
+    percent grid; counting is left-closed with the last bin closed, values
+    outside the edges and missing values are ignored; shares are
     ``count / (in-range total + epsilon)`` floored at ``epsilon``;
     ``psi = sum((a - e) * ln(a / e))``; fewer than two edges -> NULL.
 
     ``group_cols`` key the edges (e.g. feature); ``actual_group_cols`` add
-    extra keys on the actual side only (e.g. period), each compared with the
-    same expected distribution. Everything stays lazy: edges are a small
-    per-group table joined in, counts are grouped aggregates.
+    keys on the actual side only (e.g. period), each compared with the same
+    expected distribution. Two passes over the input: the edge aggregate
+    over the expected rows, and one grouped count over both sides.
     """
     g = list(group_cols)
     ag = list(actual_group_cols)
     probs = lit_array(percent_grid_probs(buckets))
-    v = F.col(value).cast("double")
-    exp_v = expected.select(*g, v.alias("_v")).where(F.col("_v").isNotNull())
-    act_v = actual.select(*g, *ag, v.alias("_v")).where(F.col("_v").isNotNull())
-
-    edges = exp_v.groupBy(*g).agg(
-        F.array_sort(F.array_distinct(F.percentile("_v", probs))).alias("_edges")
-    ) if g else exp_v.agg(F.array_sort(F.array_distinct(F.percentile("_v", probs))).alias("_edges"))
-
-    def binned(frame: DataFrame) -> DataFrame:
-        joined = frame.join(edges, on=g, how="inner") if g else frame.crossJoin(F.broadcast(edges))
-        return joined.withColumn("_bin", histogram_bin(F.col("_v"), F.col("_edges")))
-
-    e_cnt = binned(exp_v).where(F.col("_bin").isNotNull()).groupBy(*g, "_bin").agg(
-        F.count(F.lit(1)).alias("_e"))
-    a_cnt = binned(act_v).where(F.col("_bin").isNotNull()).groupBy(*g, *ag, "_bin").agg(
-        F.count(F.lit(1)).alias("_a"))
+    is_exp = F.col(side_col) == F.lit(expected_side)
+    is_act = F.col(side_col) == F.lit(actual_side)
+    base = df.where(is_exp | is_act).select(
+        *g,
+        *[F.when(is_act, F.col(c)).alias(c) for c in ag],
+        is_act.alias("_act"),
+        F.col(value).cast("double").alias("_v"),
+    ).where(F.col("_v").isNotNull())
+
+    pct = F.array_sort(F.array_distinct(F.percentile("_v", probs))).alias("_edges")
+    exp_rows = base.where(~F.col("_act"))
+    edges = exp_rows.groupBy(*g).agg(pct) if g else exp_rows.agg(pct)
+    # Edge rows: one per group of n + 1 doubles (bounded by the group count).
+    joined = base.join(F.broadcast(edges) if not g else edges, on=g, how="inner") if g else base.crossJoin(
+        F.broadcast(edges))
+    counts = joined.groupBy(*g, *ag, "_act", histogram_bin(F.col("_v"), F.col("_edges")).alias("_bin")).agg(
+        F.count(F.lit(1)).alias("_c"))
+
+    in_range = counts.where(F.col("_bin").isNotNull())
+    e_cnt = in_range.where(~F.col("_act")).select(*g, "_bin", F.col("_c").alias("_e"))
+    a_cnt = in_range.where(F.col("_act")).select(*g, *ag, "_bin", F.col("_c").alias("_a"))
+    keys = counts.where(F.col("_act")).select(*g, *ag).distinct()
 
-    # All bins per group (and per actual key): from the edges themselves.
     bins = edges.where(F.size("_edges") >= 2).select(
         *g, F.explode(F.sequence(F.lit(0), F.size("_edges") - 2)).alias("_bin"))
-    if ag:
-        keys = act_v.select(*g, *ag).distinct()
-        bins = bins.join(keys, on=g, how="inner") if g else bins.crossJoin(keys)
+    bins = bins.join(keys, on=g, how="inner") if g else bins.crossJoin(keys)
     grid = bins.join(e_cnt, on=[*g, "_bin"], how="left").join(a_cnt, on=[*g, *ag, "_bin"], how="left")
     grid = grid.fillna(0, subset=["_e", "_a"])
 
@@ -194,22 +200,31 @@ def psi_grouped(
     e_share = F.greatest(F.col("_e") / (F.sum("_e").over(w) + F.lit(epsilon)), F.lit(epsilon))
     a_share = F.greatest(F.col("_a") / (F.sum("_a").over(w) + F.lit(epsilon)), F.lit(epsilon))
     terms = grid.select(*g, *ag, ((a_share - e_share) * F.log(a_share / e_share)).alias("_t"))
-    psi = terms.groupBy(*g, *ag).agg(F.sum("_t").alias("psi"))
-
-    # Groups with fewer than two edges (or no actual rows) still get a row.
-    keys_all = edges.select(*g)
-    if ag:
-        keys_all = act_v.select(*g, *ag).distinct()
+    res = terms.groupBy(*g, *ag).agg(F.sum("_t").alias("psi"))
     if not g and not ag:
-        return _single_psi(edges, psi)
-    return keys_all.join(psi, on=[*g, *ag], how="left")
+        # Exactly one output row, PSI NULL when fewer than two edges exist.
+        return edges.select(F.lit(1).alias("_k")).join(
+            res.select(F.lit(1).alias("_k"), "psi"), on="_k", how="left"
+        ).select("psi")
+    return keys.join(res, on=[*g, *ag], how="left")
 
 
-def _single_psi(edges: DataFrame, psi: DataFrame) -> DataFrame:
-    # One output row even when fewer than two edges exist (PSI NULL then).
-    return edges.select(F.lit(1).alias("_k")).join(
-        psi.select(F.lit(1).alias("_k"), "psi"), on="_k", how="left"
-    ).select("psi")
+def psi_grouped(
+    expected: DataFrame,
+    actual: DataFrame,
+    value: str,
+    group_cols: Sequence[str] = (),
+    actual_group_cols: Sequence[str] = (),
+    buckets: int = 10,
+    epsilon: float = 1e-8,
+) -> DataFrame:
+    """A9 over two frames (tagged and unioned, then :func:`psi_by_side`)."""
+    g = list(group_cols)
+    ag = list(actual_group_cols)
+    e = expected.select(*g, *[F.lit(None).cast(actual.schema[c].dataType).alias(c) for c in ag],
+                        F.col(value), F.lit("e").alias("_side"))
+    a = actual.select(*g, *ag, F.col(value), F.lit("a").alias("_side"))
+    return psi_by_side(e.unionByName(a), value, "_side", "e", "a", g, ag, buckets, epsilon)
 
 
 def psi(
@@ -246,6 +261,21 @@ def psi_features(
     return res.select("feature", "psi", psi_severity(F.col("psi")).alias("severity"))
 
 
+def psi_features_by_side(
+    df: DataFrame,
+    side_col: str = "split",
+    expected_side="train",
+    actual_side="validation",
+    features: Sequence[str] = DEFAULT_PSI_FEATURES,
+    buckets: int = 10,
+) -> DataFrame:
+    """A10 over one frame holding both sides (one scan for the counts)."""
+    feats = [f for f in features if f in df.columns]
+    long = unpivot_features(df, feats, extra=[side_col])
+    res = psi_by_side(long, "value", side_col, expected_side, actual_side, ["feature"], (), buckets)
+    return res.select("feature", "psi", psi_severity(F.col("psi")).alias("severity"))
+
+
 # --- A11 / A12 / A13 ------------------------------------------------------------
 
 def period_of(ts: Column, freq: str = "Q") -> Column:

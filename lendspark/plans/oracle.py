@@ -522,3 +522,149 @@ def _():
 @sql("drop_leakage", ("loans_raw",))
 def _():
     return f"SELECT {cols(exclude=('total_pymnt',))} FROM loans_raw"
+
+
+# ---------------------------------------------------------------- features
+
+F4 = """CAST(CASE WHEN emp_length IS NULL OR trim(emp_length) IN ('n/a', 'nan', 'None', '') THEN NULL
+     WHEN contains(trim(emp_length), '+') THEN CAST(trim(replace(replace(trim(emp_length), '+ years', ''), '+ year', '')) AS INTEGER)
+     WHEN contains(trim(emp_length), '<') THEN 0
+     WHEN regexp_matches(split_part(trim(emp_length), ' ', 1), '^[+-]?[0-9]+$') THEN CAST(split_part(trim(emp_length), ' ', 1) AS BIGINT)
+     END AS DOUBLE)"""
+
+
+def label_bin_sql(x: str, edges, labels) -> str:
+    parts = [f"WHEN {x} >= {edges[0]} AND {x} <= {edges[1]} THEN '{labels[0]}'"]
+    for lo, hi, lab in zip(edges[1:-1], edges[2:], labels[1:]):
+        parts.append(f"WHEN {x} > {lo} AND {x} <= {hi} THEN '{lab}'")
+    return "CASE " + " ".join(parts) + " ELSE 'missing' END"
+
+
+EMP_BIN = label_bin_sql(f"coalesce({F4}, -1.0)", [-0.1, 2, 5, 9, 100], ["0-2", "3-5", "6-9", "10+"])
+RATE_BIN = label_bin_sql("coalesce(int_rate, -1.0)", [0, 8, 12, 16, 20, 100], ["<8", "8-12", "12-16", "16-20", ">=20"])
+HISTORY = "floor((epoch_us(issue_d) - epoch_us(earliest_cr_line)) / 86400000000.0) / 365.25"
+TERM_LONG = "CAST(coalesce(term_months > 36, false) AS DOUBLE)"
+LOGS = ["annual_inc", "loan_amnt", "revol_bal", "installment"]
+
+
+@sql("feat_ratio", ("loans",))
+def _():
+    return "SELECT row_id, int_rate, dti AS dti_ratio, loan_amnt / nullif(annual_inc, 0) AS lti FROM loans"
+
+
+@sql("feat_emp_bin", ("loans",))
+def _():
+    return f"SELECT row_id, emp_length, {F4} AS emp_length_num, {EMP_BIN} AS emp_length_bin FROM loans"
+
+
+@sql("feat_rate_bin", ("loans",))
+def _():
+    return f"SELECT row_id, int_rate, {RATE_BIN} AS int_rate_bin FROM loans"
+
+
+@sql("feat_history", ("loans",))
+def _():
+    return f"SELECT row_id, {HISTORY} AS credit_history_years FROM loans"
+
+
+@sql("feat_term", ("loans",))
+def _():
+    return f"SELECT row_id, term_months, {TERM_LONG} AS term_long FROM loans"
+
+
+@sql("feat_interaction", ("loans",))
+def _():
+    return (f"SELECT row_id, round(loan_amnt * coalesce(int_rate, m.md), {D}) AS loan_x_int "
+            "FROM loans, (SELECT median(int_rate) AS md FROM loans) m")
+
+
+@sql("feat_log", ("loans",))
+def _():
+    return "SELECT row_id, " + ", ".join(
+        f"round(CASE WHEN {c} IS NOT NULL THEN ln(1 + greatest({c}, 0.0)) END, {D}) AS {c}_log1p" for c in LOGS
+    ) + " FROM loans"
+
+
+FREQ = ["emp_title", "emp_length", "addr_state"]
+
+
+@sql("enc_frequency", ("loans",))
+def _():
+    return "SELECT row_id, " + ", ".join(
+        f"CAST(count(*) OVER (PARTITION BY coalesce({c}, 'missing')) AS DOUBLE) AS {c}_freq_enc" for c in FREQ
+    ) + " FROM loans"
+
+
+ONEHOT = {
+    "home_ownership": ["MORTGAGE", "OWN", "RENT"],
+    "purpose": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "int_rate_bin": ["<8", "8-12", "12-16", "16-20", ">=20", "missing"],
+    "emp_length_bin": ["0-2", "3-5", "6-9", "10+", "missing"],
+}
+
+
+def onehot_sql() -> str:
+    parts = []
+    for c, lv in ONEHOT.items():
+        for x in lv[1:]:
+            parts.append(f"CAST(coalesce({c} = '{x}', false) AS INTEGER) AS \"{c}_{x}\"")
+        parts.append(f"CAST({c} IS NULL AS INTEGER) AS \"{c}_nan\"")
+    return ", ".join(parts)
+
+
+@sql("enc_onehot", ("loans",))
+def _():
+    return (f"SELECT row_id, {onehot_sql()} FROM (SELECT row_id, home_ownership, purpose, "
+            f"{RATE_BIN} AS int_rate_bin, {EMP_BIN} AS emp_length_bin FROM loans) x")
+
+
+TE_SQL = f"""te AS (
+  WITH b AS (SELECT row_id, coalesce(emp_title, 'missing') AS v, CAST({T1} AS DOUBLE) AS y, row_id % 5 AS f FROM loans),
+  vf AS (SELECT v, f, sum(y) AS s, count(*) AS n FROM b GROUP BY v, f),
+  vt AS (SELECT v, sum(y) AS s_all, count(*) AS n_all FROM b GROUP BY v),
+  g AS (SELECT avg(y) AS gm FROM b)
+  SELECT b.row_id, coalesce(CASE WHEN vt.n_all - vf.n > 0 THEN (vt.s_all - vf.s) / (vt.n_all - vf.n) END, g.gm) AS te
+  FROM b JOIN vt USING (v) JOIN vf USING (v, f), g
+)"""
+
+
+@sql("enc_target_kfold", ("loans",))
+def _():
+    return f"WITH {TE_SQL} SELECT row_id, round(te, {D}) AS emp_title_target_te FROM te"
+
+
+NUM_LOANS = ["loan_amnt", "annual_inc", "int_rate", "revol_util", "fico_range_low", "fico_range_high", "dti",
+             "revol_bal", "installment", "mths_since_last_record", "total_pymnt", "term_months", "emp_length_int",
+             "fico_mean"]
+FLAGGED = ["emp_length", "home_ownership", "emp_title", "mths_since_last_record", "emp_length_int"]
+
+
+@sql("impute_clip", ("loans",))
+def _():
+    med = ", ".join(f"median({c}) AS m_{c}" for c in NUM_LOANS)
+    filled = ", ".join(f"coalesce(CAST({c} AS DOUBLE), m.m_{c}) AS {c}" for c in NUM_LOANS)
+    qs = ", ".join(f"quantile_cont({c}, 0.01) AS lo_{c}, quantile_cont({c}, 0.99) AS hi_{c}" for c in NUM_LOANS)
+    clipped = ", ".join(f"least(greatest({c}, q.lo_{c}), q.hi_{c}) AS {c}" for c in NUM_LOANS)
+    flags = ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {c}_missing" for c in FLAGGED)
+    return f"""WITH m AS (SELECT {med} FROM loans),
+filled AS (SELECT row_id, {filled}, {flags} FROM loans, m),
+q AS (SELECT {qs} FROM filled),
+clipped AS (SELECT row_id, {clipped}, {", ".join(f"{c}_missing" for c in FLAGGED)} FROM filled, q)
+SELECT row_id, {", ".join(f"round({c}, {D}) AS {c}" for c in NUM_LOANS)},
+       {", ".join(f"{c}_missing" for c in FLAGGED)},
+       {", ".join(f"round(ln(1 + greatest({c}, 0.0)), {D}) AS {c}_log1p" for c in LOGS)}
+FROM clipped"""
+
+
+SCALE = ["loan_amnt", "annual_inc", "dti", "fico_mean", "revol_bal", "installment"]
+
+
+@sql("scale", ("loans",))
+def _():
+    st = ", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in SCALE)
+    sc = ", ".join(
+        f"round((CAST({c} AS DOUBLE) - st.a_{c}) / CASE WHEN st.s_{c} IS NULL OR st.s_{c} = 0 THEN 1.0 ELSE st.s_{c} END, {D}) AS {c}"
+        for c in SCALE)
+    return f"""WITH {LOANS_SPLIT},
+st AS (SELECT {st} FROM loans_split WHERE split = 'train')
+SELECT row_id, {sc} FROM loans_split, st"""

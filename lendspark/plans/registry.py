@@ -125,7 +125,7 @@ def q_calibration_quantile(spark, sf):
 @register("psi_score")
 def q_psi_score(spark, sf):
     s = _scored_with_split(spark, sf)
-    p = metrics.psi(s.where("split = 'train'"), s.where("split = 'validation'"), "pd_hat")
+    p = metrics.psi_by_side(s, "pd_hat", "split", "train", "validation")
     return p.select(r("psi"))
 
 
@@ -135,15 +135,13 @@ def _loans_split(spark, sf):
 
 @register("psi_features")
 def q_psi_features(spark, sf):
-    lo = _loans_split(spark, sf)
-    p = metrics.psi_features(lo.where("split = 'train'"), lo.where("split = 'validation'"))
+    p = metrics.psi_features_by_side(_loans_split(spark, sf), "split")
     return p.select("feature", r("psi"))
 
 
 @register("psi_severity")
 def q_psi_severity(spark, sf):
-    lo = _loans_split(spark, sf)
-    p = metrics.psi_features(lo.where("split = 'train'"), lo.where("split = 'validation'"))
+    p = metrics.psi_features_by_side(_loans_split(spark, sf), "split")
     return p.select("feature", r("psi"), "severity")
 
 
@@ -173,7 +171,7 @@ def q_approval(spark, sf):
     s = _scored_with_split(spark, sf)
     val = s.where("split = 'validation'")
     m = metrics.compute_metrics(val).select("auc", "brier")
-    p = metrics.psi(s.where("split = 'train'"), val, "pd_hat")
+    p = metrics.psi_by_side(s, "pd_hat", "split", "train", "validation")
     a = banding.approval(m.crossJoin(p))
     return a.select(r("auc"), r("psi"), r("brier"), "issues", "n_issues", "decision")
 
@@ -354,3 +352,94 @@ def q_target_ensure_derived(spark, sf):
 def q_drop_leakage(spark, sf):
     t, _ = target.remove_leakage_columns(fx.loans_raw(spark, sf))
     return t
+
+
+# --- features ----------------------------------------------------------------------
+
+from ..operators import encode, features  # noqa: E402
+
+SCALE_COLUMNS = ["loan_amnt", "annual_inc", "dti", "fico_mean", "revol_bal", "installment"]
+
+
+def _loans_with_target(spark, sf):
+    return target.map_target(fx.loans(spark, sf))
+
+
+@register("feat_ratio")
+def q_feat_ratio(spark, sf):
+    return features.ratio_features(fx.loans(spark, sf)).select("row_id", "int_rate", "dti_ratio", "lti")
+
+
+@register("feat_emp_bin")
+def q_feat_emp_bin(spark, sf):
+    f = features.emp_length_features(fx.loans(spark, sf))
+    return f.select("row_id", "emp_length", "emp_length_num", "emp_length_bin")
+
+
+@register("feat_rate_bin")
+def q_feat_rate_bin(spark, sf):
+    return features.rate_bin(fx.loans(spark, sf)).select("row_id", "int_rate", "int_rate_bin")
+
+
+@register("feat_history")
+def q_feat_history(spark, sf):
+    return features.credit_history_years(fx.loans(spark, sf)).select("row_id", "credit_history_years")
+
+
+@register("feat_term")
+def q_feat_term(spark, sf):
+    return features.term_features(fx.loans(spark, sf)).select("row_id", "term_months", "term_long")
+
+
+@register("feat_interaction")
+def q_feat_interaction(spark, sf):
+    lo = fx.loans(spark, sf)
+    f = features.interaction(lo, features.fit_interaction(lo))
+    return f.select("row_id", r("loan_x_int"))
+
+
+@register("feat_log")
+def q_feat_log(spark, sf):
+    f = features.log_features(fx.loans(spark, sf))
+    return f.select("row_id", *[r(f"{c}_log1p") for c in encode.LOG_COLUMNS])
+
+
+@register("enc_frequency")
+def q_enc_frequency(spark, sf):
+    f = encode.frequency_encode(fx.loans(spark, sf), features.FREQ_COLUMNS)
+    return f.select("row_id", *[f"{c}{encode.FREQ_SUFFIX}" for c in features.FREQ_COLUMNS])
+
+
+@register("enc_onehot")
+def q_enc_onehot(spark, sf):
+    lo = features.scalar_features(fx.loans(spark, sf))
+    levels = encode.fit_onehot_levels(lo, features.ONEHOT_COLUMNS, features.CATEGORY_ORDER)
+    out = encode.apply_onehot(lo, levels)
+    dummies = [c for c in out.columns if c not in lo.columns]
+    return out.select("row_id", *[F.col(f"`{d}`") for d in dummies])
+
+
+@register("enc_target_kfold")
+def q_enc_target_kfold(spark, sf):
+    lo = _loans_with_target(spark, sf)
+    fold = F.pmod(F.col("row_id"), F.lit(5)).cast("int")
+    te = encode.kfold_target_encode(lo, "emp_title", "default", fold=fold, n_splits=5)
+    return te.select("row_id", r("emp_title_target_te"))
+
+
+@register("impute_clip")
+def q_impute_clip(spark, sf):
+    lo = fx.loans(spark, sf)
+    p = encode.fit_missing_and_outliers(lo, exclude=("row_id",))
+    out = encode.apply_missing_and_outliers(lo, p)
+    num = list(p.medians)
+    flags = [f"{c}_missing" for c in p.flag_columns]
+    logs = [f"{c}_log1p" for c in p.log_columns]
+    return out.select("row_id", *[r(c) for c in num], *flags, *[r(c) for c in logs])
+
+
+@register("scale")
+def q_scale(spark, sf):
+    lo = _loans_split(spark, sf)
+    p = encode.fit_scaler(lo.where("split = 'train'"), SCALE_COLUMNS)
+    return encode.apply_scaler(lo, p).select("row_id", *[r(c) for c in SCALE_COLUMNS])
