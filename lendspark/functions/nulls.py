@@ -36,9 +36,8 @@ def col_of(c: str | Column) -> Column:
 
 
 def nan_to_null(c: str | Column) -> Column:
-    """NaN -> NULL for a floating column (no-op on other values)."""
-    c = col_of(c)
-    return F.when(~F.isnan(c), c)
+    """NaN -> NULL for a floating column; the input is evaluated once."""
+    return F.nanvl(col_of(c).cast("double"), F.lit(None).cast("double"))
 
 
 def to_double(c: str | Column, dtype: T.DataType | None = None) -> Column:

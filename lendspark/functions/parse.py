@@ -41,15 +41,14 @@ def parse_percent_strict(c: str | Column) -> Column:
 
     Any other non-number raises (ANSI cast), like the strict cleaning step.
     """
-    c = col_of(c)
-    s = F.regexp_replace(F.regexp_replace(c.cast("string"), "%", ""), ",", "")
-    s = F.when(~s.isin("nan", "None"), s)
+    s = F.replace(F.replace(col_of(c).cast("string"), F.lit("%"), F.lit("")), F.lit(","), F.lit(""))
+    s = F.nullif(F.nullif(s, F.lit("nan")), F.lit("None"))
     return nan_to_null(s.cast("double"))
 
 
 def parse_percent_lenient(c: str | Column) -> Column:
     """Remove ``%`` and coerce; anything non-numeric -> NULL (feature step)."""
-    s = F.regexp_replace(col_of(c).cast("string"), "%", "")
+    s = F.replace(col_of(c).cast("string"), F.lit("%"), F.lit(""))
     return nan_to_null(F.when(s.rlike(NUMERIC_TEXT), F.trim(s).try_cast("double")))
 
 
@@ -73,9 +72,7 @@ def emp_length_clean(c: str | Column) -> Column:
         .when(s.isin("n/a", ""), F.lit(None).cast("string"))
         .otherwise(s)
     )
-    s = F.regexp_replace(s, " years", "")
-    s = F.regexp_replace(s, " year", "")
-    s = F.regexp_replace(s, r"\+", "")
+    s = F.replace(F.replace(F.replace(s, F.lit(" years"), F.lit("")), F.lit(" year"), F.lit("")), F.lit("+"), F.lit(""))
     return nan_to_null(F.when(s.rlike(NUMERIC_TEXT), F.trim(s).try_cast("double")))
 
 
@@ -88,9 +85,7 @@ def emp_length_feature(c: str | Column) -> Column:
     whitespace token as an integer, else NULL. Result is double.
     """
     s = F.trim(col_of(c).cast("string"))
-    plus_part = F.trim(
-        F.regexp_replace(F.regexp_replace(s, r"\+ years", ""), r"\+ year", "")
-    )
+    plus_part = F.trim(F.replace(F.replace(s, F.lit("+ years"), F.lit("")), F.lit("+ year"), F.lit("")))
     first_token = F.split(s, r"\s+").getItem(0)
     return (
         F.when(s.isNull() | s.isin("n/a", "nan", "None", ""), F.lit(None).cast("double"))

@@ -198,10 +198,21 @@ def target_first(df: DataFrame, target: str = TARGET_SOURCE) -> DataFrame:
     return df.select(_q(target), *[_q(c) for c in df.columns if c != target])
 
 
-def clean(df: DataFrame, drop_threshold: float = DEFAULT_DROP_THRESHOLD, date_fallback="auto") -> DataFrame:
-    """C1 -> C5 -> C16 -> C17 -> C15 on an already loaded raw table."""
+def clean(
+    df: DataFrame, drop_threshold: float = DEFAULT_DROP_THRESHOLD, date_fallback="auto", materialize: bool = True
+) -> DataFrame:
+    """C1 -> C5 -> C16 -> C17 -> C15 on an already loaded raw table.
+
+    Three fit aggregates and the output read the typed table, so it is
+    materialised once (reliable checkpoint in ``spark.checkpoint.dir``)
+    unless ``materialize`` is off."""
     df = snake_case_columns(df)
     df = drop_irrelevant_columns(df)
     df = coerce_types(df, date_fallback=date_fallback)
+    if materialize:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     df = handle_missing(df, drop_threshold)
     return target_first(df)

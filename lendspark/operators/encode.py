@@ -62,23 +62,31 @@ def fit_onehot_levels(
     df: DataFrame, columns: Sequence[str], categories: dict | None = None, max_levels: int = 1000
 ) -> dict[str, list[str]]:
     """E2 fit: level list per column. Columns with a fixed category order
-    (``categories``) keep it, unused categories included; others use their
-    sorted distinct values. A column with more than ``max_levels`` values
+    (``categories``) keep it, unused categories included; the others get
+    their sorted distinct values, found for all columns in one action
+    (tagged distinct, partial-aggregated; at most ``max_levels + 1`` values
+    per column come back). A column with more than ``max_levels`` values
     raises (use a vector encoder for unbounded cardinality)."""
     categories = categories or {}
-    out = {}
-    for c in columns:
-        if c in categories:
-            out[c] = list(categories[c])
-            continue
-        rows = (
-            df.where(_q(c).isNotNull()).select(_q(c).cast("string").alias("v")).distinct()
-            .limit(max_levels + 1).collect()
-        )
-        if len(rows) > max_levels:
-            raise TooManyLevels(f"{c} has more than {max_levels} levels")
-        out[c] = sorted(r["v"] for r in rows)
-    return out
+    out = {c: list(categories[c]) for c in columns if c in categories}
+    todo = [c for c in columns if c not in categories]
+    if todo:
+        from pyspark.sql import Window
+
+        pairs = F.explode(F.array(*[
+            F.struct(F.lit(c).alias("col"), _q(c).cast("string").alias("v")) for c in todo
+        ])).alias("p")
+        distinct = df.select(pairs).select("p.col", "p.v").where(F.col("v").isNotNull()).distinct()
+        w = Window.partitionBy("col").orderBy("v")
+        rows = distinct.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_levels + 1).collect()
+        found = {c: [] for c in todo}
+        for r in rows:
+            found[r["col"]].append(r["v"])
+        for c in todo:
+            if len(found[c]) > max_levels:
+                raise TooManyLevels(f"{c} has more than {max_levels} levels")
+            out[c] = sorted(found[c])
+    return {c: out[c] for c in columns}
 
 
 def apply_onehot(df: DataFrame, levels: dict[str, list[str]], drop_first: bool = True) -> DataFrame:

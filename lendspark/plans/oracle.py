@@ -668,3 +668,17 @@ def _():
     return f"""WITH {LOANS_SPLIT},
 st AS (SELECT {st} FROM loans_split WHERE split = 'train')
 SELECT row_id, {sc} FROM loans_split, st"""
+
+
+# ---------------------------------------------------------------- joins
+
+@sql("join_labels", ("loans_raw", "scored"))
+def _():
+    return f"""SELECT s.row_id, s.loan_amnt, l.t AS is_default FROM scored s
+LEFT JOIN (SELECT row_id, CAST({T2} AS INTEGER) AS t FROM loans_raw WHERE ({T2}) IS NOT NULL) l USING (row_id)"""
+
+
+@sql("recover_time", ("loans", "scored"))
+def _():
+    return """SELECT s.row_id, s.pd_hat, strftime(l.issue_d, '%Y-%m-%d') AS issue_d
+FROM scored s LEFT JOIN loans l USING (row_id)"""

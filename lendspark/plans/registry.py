@@ -443,3 +443,59 @@ def q_scale(spark, sf):
     lo = _loans_split(spark, sf)
     p = encode.fit_scaler(lo.where("split = 'train'"), SCALE_COLUMNS)
     return encode.apply_scaler(lo, p).select("row_id", *[r(c) for c in SCALE_COLUMNS])
+
+
+# --- joins -------------------------------------------------------------------------
+
+from ..operators import joins, model  # noqa: E402
+from . import pipelines  # noqa: E402
+
+
+@register("join_labels")
+def q_join_labels(spark, sf):
+    feats = fx.scored(spark, sf).select("row_id", "loan_amnt")
+    labels = target.define_default_target(fx.loans_raw(spark, sf)).select(
+        "row_id", F.col("default").alias("target"))
+    j = joins.attach_labels(feats, labels, "row_id")
+    return j.select("row_id", "loan_amnt", F.col("default").alias("is_default"))
+
+
+@register("recover_time")
+def q_recover_time(spark, sf):
+    feats = fx.scored(spark, sf).select("row_id", "pd_hat")
+    cleaned = fx.loans(spark, sf).select("row_id", "issue_d")
+    j = joins.recover_time_column(feats, cleaned, "issue_d")
+    return _dates_as_text(j, ("issue_d",)).select("row_id", "pd_hat", "issue_d")
+
+
+# --- models and pipelines (rows-only at the driver) ------------------------------------
+
+def _model_ready(spark, sf):
+    return pipelines.features_conservative(clean.clean(fx.loans_raw(spark, sf))).table
+
+
+@register("feat_model_ready")
+def q_feat_model_ready(spark, sf):
+    return _model_ready(spark, sf).withColumn("issue_d", F.date_format("issue_d", "yyyy-MM-dd")) \
+        .withColumnRenamed("default", "is_default")
+
+
+@register("train_score")
+def q_train_score(spark, sf):
+    feats = _model_ready(spark, sf)
+    res = pipelines.train(feats, tune=False)
+    scored = pipelines.score(feats, res.selected)
+    return scored.select("row_id", r("pd_hat"), F.col("default").alias("is_default"))
+
+
+@register("tune_select")
+def q_tune_select(spark, sf):
+    feats = _model_ready(spark, sf)
+    res = pipelines.train(feats, tune=True)
+    return res.decision.withColumn("best_c", F.lit(res.best_c).cast("double"))
+
+
+@register("recalibrate")
+def q_recalibrate(spark, sf):
+    s = fx.scored(spark, sf)
+    return model.recalibrate(s, "pd_hat", "default").select("row_id", "pd_hat", r("pd_hat_recal"))
