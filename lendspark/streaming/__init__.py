@@ -1,0 +1,10 @@
+"""Structured Streaming form of the scoring monitor (by-period summary and
+band counts over arriving scored files)."""
+
+from .monitor import (  # noqa: F401
+    band_counts_stream,
+    band_edges,
+    period_summary_stream,
+    read_scored_stream,
+    start,
+)
