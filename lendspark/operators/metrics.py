@@ -139,6 +139,30 @@ def validation_metrics(df: DataFrame, score: str = "pd_hat", label: str = "defau
 
 # --- A9 / A10 / PL10 ----------------------------------------------------------
 
+def _psi_edges(exp_rows: DataFrame, g: list, buckets: int, method: str) -> DataFrame:
+    """Distinct sorted expected-side quantiles per group (``_edges``).
+    ``auto`` uses the percentile aggregate unless some group has too many
+    distinct values, then rank selection (one group column at most)."""
+    probs = percent_grid_probs(buckets)
+    if method == "auto":
+        from .quantiles import EXACT_DISTINCT_LIMIT
+
+        probe = (exp_rows.groupBy(*g) if g else exp_rows).agg(F.approx_count_distinct("_v").alias("d"))
+        top = probe.agg(F.max("d")).first()[0] or 0
+        method = "percentile" if (top <= EXACT_DISTINCT_LIMIT or len(g) > 1) else "rank"
+    if method != "rank":
+        pct = F.array_sort(F.array_distinct(F.percentile("_v", lit_array(probs)))).alias("_edges")
+        return exp_rows.groupBy(*g).agg(pct) if g else exp_rows.agg(pct)
+    from .quantiles import rank_quantiles
+
+    key = F.col(g[0]) if g else F.lit(0)
+    res = rank_quantiles(exp_rows.select(key.alias("_k"), "_v"), probs)
+    spark = exp_rows.sparkSession
+    rows = [((k,) if g else ()) + (sorted({v for v in vs if v is not None}),) for k, vs in res.items()]
+    schema = (f"`{g[0]}` {exp_rows.schema[g[0]].dataType.simpleString()}, " if g else "") + "_edges array<double>"
+    return spark.createDataFrame(rows, schema)
+
+
 def psi_by_side(
     df: DataFrame,
     value: str,
@@ -149,6 +173,7 @@ def psi_by_side(
     actual_group_cols: Sequence[str] = (),
     buckets: int = 10,
     epsilon: float = 1e-8,
+    method: str = "auto",
 ) -> DataFrame:
     """A9 generalised: PSI of the ``actual_side`` rows against the
     ``expected_side`` rows of one frame, per group.
@@ -176,9 +201,8 @@ def psi_by_side(
         F.col(value).cast("double").alias("_v"),
     ).where(F.col("_v").isNotNull())
 
-    pct = F.array_sort(F.array_distinct(F.percentile("_v", probs))).alias("_edges")
     exp_rows = base.where(~F.col("_act"))
-    edges = exp_rows.groupBy(*g).agg(pct) if g else exp_rows.agg(pct)
+    edges = _psi_edges(exp_rows, g, buckets, method)
     # Edge rows: one per group of n + 1 doubles (bounded by the group count).
     joined = base.join(F.broadcast(edges) if not g else edges, on=g, how="inner") if g else base.crossJoin(
         F.broadcast(edges))
@@ -217,6 +241,7 @@ def psi_grouped(
     actual_group_cols: Sequence[str] = (),
     buckets: int = 10,
     epsilon: float = 1e-8,
+    method: str = "auto",
 ) -> DataFrame:
     """A9 over two frames (tagged and unioned, then :func:`psi_by_side`)."""
     g = list(group_cols)
@@ -224,7 +249,7 @@ def psi_grouped(
     e = expected.select(*g, *[F.lit(None).cast(actual.schema[c].dataType).alias(c) for c in ag],
                         F.col(value), F.lit("e").alias("_side"))
     a = actual.select(*g, *ag, F.col(value), F.lit("a").alias("_side"))
-    return psi_by_side(e.unionByName(a), value, "_side", "e", "a", g, ag, buckets, epsilon)
+    return psi_by_side(e.unionByName(a), value, "_side", "e", "a", g, ag, buckets, epsilon, method)
 
 
 def psi(

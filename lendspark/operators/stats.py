@@ -85,27 +85,29 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     return {c: int(row[c] or 0) for c in columns}
 
 
-def _pct(c: Column, p, exact: bool) -> Column:
-    return F.percentile(c, p) if exact else F.percentile_approx(c, p, 10_000)
-
-
 def medians(df: DataFrame, columns: Sequence[str], exact: bool = True) -> dict[str, float | None]:
-    """Median per column (linear interpolation when exact), NULLs skipped."""
-    if not columns:
-        return {}
-    row = df.agg(*[_pct(q(c).cast("double"), F.lit(0.5), exact).alias(c) for c in columns]).first()
-    return {c: row[c] for c in columns}
+    """Median per column (linear interpolation), NULLs skipped. Exact by
+    default (``percentile`` or rank selection, chosen per column by its
+    distinct count); ``exact=False`` uses ``percentile_approx``."""
+    res = quantiles(df, columns, [0.5], exact=exact)
+    return {c: v[0] for c, v in res.items()}
 
 
 def quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], exact: bool = True
 ) -> dict[str, list[float | None]]:
-    """Quantiles per column at ``probs`` (one aggregate)."""
+    """Quantiles per column at ``probs`` (see :mod:`.quantiles`)."""
     if not columns:
         return {}
+    if exact:
+        from .quantiles import quantiles as exact_quantiles
+
+        return exact_quantiles(df, columns, probs, method="auto")
     arr = F.array(*[F.lit(float(p)) for p in probs])
-    row = df.agg(*[_pct(q(c).cast("double"), arr, exact).alias(c) for c in columns]).first()
-    return {c: (list(row[c]) if row[c] is not None else [None] * len(probs)) for c in columns}
+    row = df.agg(*[F.percentile_approx(q(c).cast("double"), arr, 10_000).alias(f"q{i}")
+                   for i, c in enumerate(columns)]).first()
+    return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs))
+            for i, c in enumerate(columns)}
 
 
 def mean_std_pop(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:

@@ -125,3 +125,30 @@ def test_band_actions_golden(spark):
     assert rows[9]["calibration"] == "Over-predicting risk"
     assert rows[9]["action"].startswith("Manual review required")
     assert banding.risk_label_list(12)[11] == "Band 11"
+
+
+def test_rank_quantiles_equal_percentile(spark, monkeypatch):
+    from lendspark.operators import curves, quantiles
+
+    s = fx.loans(spark, SF_SMALL)
+    cols = ["loan_amnt", "dti", "annual_inc", "fico_mean"]
+    probs = [0.0, 0.01, 0.3 + 1e-17, 0.5, 0.8, 0.99, 1.0]
+    monkeypatch.setattr(curves, "ROWS_PER_BUCKET", 40)  # many buckets on tiny data
+    a = quantiles.quantiles(s, cols, probs, method="rank")
+    b = quantiles.quantiles(s, cols, probs, method="percentile")
+    assert a == b
+
+
+def test_rank_band_edges_equal_percentile(spark, monkeypatch):
+    from lendspark.operators import curves
+
+    s = fx.scored(spark, SF_SMALL)
+    monkeypatch.setattr(curves, "ROWS_PER_BUCKET", 30)
+    e1 = banding.quantile_edges(s, "pd_hat", 10, method="rank").first()["edges"]
+    e2 = banding.quantile_edges(s, "pd_hat", 10, method="percentile").first()["edges"]
+    assert e1 == e2
+    p1 = metrics.psi_by_side(split.time_split_label(s, "issue_ts", method="rank"), "pd_hat", "split",
+                             method="rank").first()["psi"]
+    p2 = metrics.psi_by_side(split.time_split_label(s, "issue_ts", method="percentile"), "pd_hat", "split",
+                             method="percentile").first()["psi"]
+    assert abs(p1 - p2) < 1e-12
