@@ -385,14 +385,17 @@ def feature_summary(df: DataFrame, target_col: str = "default", top: int = 10) -
         F.count(F.lit(1)).alias("_rows"),
         *[F.avg(is_missing(c, types[c]).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
     )
+    def entry(section: str, metric: str, value: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"),
+                        value.cast("double").alias("value"))
+
     rows = miss.select(
         F.explode(
             F.array(
-                F.struct(F.lit("shape").alias("section"), F.lit("rows").alias("metric"),
-                         F.col("_rows").cast("double").alias("value")),
-                F.struct(F.lit("shape"), F.lit("columns"), F.lit(float(len(cols)))),
-                F.struct(F.lit("shape"), F.lit("numeric_features"), F.lit(float(n_numeric))),
-                *[F.struct(F.lit("missing"), F.lit(c), F.col(f"m{i}")) for i, c in enumerate(cols)],
+                entry("shape", "rows", F.col("_rows")),
+                entry("shape", "columns", F.lit(float(len(cols)))),
+                entry("shape", "numeric_features", F.lit(float(n_numeric))),
+                *[entry("missing", c, F.col(f"m{i}")) for i, c in enumerate(cols)],
             )
         ).alias("s")
     ).select("s.section", "s.metric", "s.value")

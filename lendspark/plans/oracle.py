@@ -682,3 +682,46 @@ LEFT JOIN (SELECT row_id, CAST({T2} AS INTEGER) AS t FROM loans_raw WHERE ({T2})
 def _():
     return """SELECT s.row_id, s.pd_hat, strftime(l.issue_d, '%Y-%m-%d') AS issue_d
 FROM scored s LEFT JOIN loans l USING (row_id)"""
+
+
+# ---------------------------------------------------------------- reports
+
+LOANS_COLS = RAW_COLS[:4] + ["int_rate", "revol_util"] + RAW_COLS[6:] + ["term_months", "emp_length_int", "fico_mean"]
+LOANS_COLS = list(dict.fromkeys(LOANS_COLS)) + ["default"]
+NUMERIC_LOANS = 16
+
+
+@sql("feature_summary", ("loans",))
+def _():
+    base = f'base AS (SELECT *, CAST({T1} AS INTEGER) AS "default" FROM loans)'
+    miss = " UNION ALL ".join(
+        f"SELECT '{c}' AS metric, avg(CASE WHEN \"{c}\" IS NULL THEN 1.0 ELSE 0.0 END) AS value FROM base"
+        for c in LOANS_COLS)
+    return f"""WITH {base},
+miss AS ({miss}),
+top AS (SELECT metric, value FROM miss ORDER BY value DESC, metric ASC LIMIT 10)
+SELECT 'shape' AS section, 'rows' AS metric, round(CAST(count(*) AS DOUBLE), {D}) AS value FROM base
+UNION ALL SELECT 'shape', 'columns', {float(len(LOANS_COLS))}
+UNION ALL SELECT 'shape', 'numeric_features', {float(NUMERIC_LOANS)}
+UNION ALL SELECT 'missing', metric, round(value, {D}) FROM top
+UNION ALL SELECT 'target', CAST("default" AS VARCHAR), round(CAST(count(*) AS DOUBLE), {D}) FROM base GROUP BY "default"
+"""
+
+
+@sql("band_report", ("scored",))
+def _():
+    return f"""WITH {BANDED}, {SUMMARY}
+SELECT band, pd_min, pd_max, round(observed_default_rate, {D}) AS observed_default_rate,
+  round(cnt / (SELECT sum(cnt) FROM summary), {D}) AS population_share, cnt AS "count",
+  ['Minimal Risk', 'Very Low Risk', 'Low Risk', 'Low-Medium Risk', 'Medium Risk', 'Medium-High Risk', 'High Risk',
+   'Very High Risk', 'Critical Risk', 'Extreme Risk'][least(band, 9) + 1] AS risk_label,
+  CASE WHEN abs(observed_default_rate - (pd_min + pd_max) / 2) < 0.02 THEN 'Well calibrated'
+       WHEN observed_default_rate - (pd_min + pd_max) / 2 > 0 THEN 'Under-predicting risk'
+       ELSE 'Over-predicting risk' END AS calibration,
+  CASE WHEN observed_default_rate < 0.01 THEN 'Auto-approve - Minimal risk, standard terms'
+       WHEN observed_default_rate < 0.05 THEN 'Auto-approve with monitoring - Low risk, consider favorable terms'
+       WHEN observed_default_rate < 0.10 THEN 'Conditional approval - Manual review for high-value cases'
+       WHEN observed_default_rate < 0.20 THEN 'Manual review required - Enhanced due diligence, risk-based pricing'
+       WHEN observed_default_rate < 0.30 THEN 'Selective approval - Decline unless strong mitigating factors'
+       ELSE 'Auto-decline - Unacceptable risk level' END AS action
+FROM summary"""

@@ -499,3 +499,19 @@ def q_tune_select(spark, sf):
 def q_recalibrate(spark, sf):
     s = fx.scored(spark, sf)
     return model.recalibrate(s, "pd_hat", "default").select("row_id", "pd_hat", r("pd_hat_recal"))
+
+
+# --- reports ---------------------------------------------------------------------------
+
+@register("feature_summary")
+def q_feature_summary(spark, sf):
+    s = metrics.feature_summary(_loans_with_target(spark, sf), "default", top=10)
+    return s.select("section", "metric", r("value"))
+
+
+@register("band_report")
+def q_band_report(spark, sf):
+    res = pipelines.band(fx.scored(spark, sf), N_BANDS)
+    return res.summary.join(res.actions, "band").select(
+        "band", "pd_min", "pd_max", r("observed_default_rate"), r("population_share"), "count",
+        "risk_label", "calibration", "action")
