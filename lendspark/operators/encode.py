@@ -244,10 +244,21 @@ def apply_missing_and_outliers(df: DataFrame, p: OutlierParams) -> DataFrame:
 
 
 def handle_missing_and_outliers(
-    df: DataFrame, clip_pct=(0.01, 0.99), exclude: Sequence[str] = ("row_id", "default")
-) -> DataFrame:
-    """E7 = E4 -> E5 -> E6 -> F10, fitted on ``df`` itself."""
-    return apply_missing_and_outliers(df, fit_missing_and_outliers(df, clip_pct, exclude))
+    df: DataFrame,
+    clip_pct=(0.01, 0.99),
+    exclude: Sequence[str] = ("row_id", "default"),
+    materialize: bool = True,
+) -> tuple[DataFrame, OutlierParams]:
+    """E7 = E4 -> E5 -> E6 -> F10, fitted on ``df`` itself. The fit reads
+    the input several times, so it is materialised once first (reliable
+    checkpoint in ``spark.checkpoint.dir``) unless ``materialize`` is off."""
+    if materialize:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    params = fit_missing_and_outliers(df, clip_pct, exclude)
+    return apply_missing_and_outliers(df, params), params
 
 
 # --- E8 scaling -----------------------------------------------------------------------------

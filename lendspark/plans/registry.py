@@ -429,9 +429,7 @@ def q_enc_target_kfold(spark, sf):
 
 @register("impute_clip")
 def q_impute_clip(spark, sf):
-    lo = fx.loans(spark, sf)
-    p = encode.fit_missing_and_outliers(lo, exclude=("row_id",))
-    out = encode.apply_missing_and_outliers(lo, p)
+    out, p = encode.handle_missing_and_outliers(fx.loans(spark, sf), exclude=("row_id",))
     num = list(p.medians)
     flags = [f"{c}_missing" for c in p.flag_columns]
     logs = [f"{c}_log1p" for c in p.log_columns]
