@@ -16,21 +16,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from ..functions.nulls import na_tokens_to_null
+from ..functions.nulls import NUMERIC_TEXT, na_tokens_to_null
 
 ROW_ID = "row_id"
 
 
+def numeric_text_columns(df: DataFrame) -> list[str]:
+    """String columns whose every non-missing value is a numeric literal
+    (one aggregate over all of them): the columns a CSV reader would type
+    as numbers."""
+    cands = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not cands:
+        return []
+    aggs = []
+    for i, c in enumerate(cands):
+        col = F.col(f"`{c}`")
+        aggs += [F.sum(F.when(col.isNotNull() & ~col.rlike(NUMERIC_TEXT), 1).otherwise(0)).alias(f"b{i}"),
+                 F.count(col).alias(f"n{i}")]
+    row = df.agg(*aggs).first()
+    return [c for i, c in enumerate(cands) if row[f"b{i}"] == 0 and row[f"n{i}"] > 0]
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str | None = None,
     key: str | None = None,
     partitions: int | None = None,
+    infer_numeric: bool = True,
 ) -> DataFrame:
     """IO1: header CSV (gzip by extension) -> DataFrame with NA tokens as
     NULL and a ``row_id`` (the ``key`` column when given, else a generated
-    id - land the result with :func:`land` before using it twice)."""
+    id - land the result with :func:`land` before using it twice).
+
+    Without a ``schema`` every column is text; ``infer_numeric`` then types
+    the columns whose non-missing values are all numeric as double (one
+    aggregate pass, instead of the reader's sampling inference)."""
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema)
@@ -38,10 +59,19 @@ def read_raw_csv(
     if partitions:
         df = df.repartition(partitions)
     df = na_tokens_to_null(df)
+    if schema is None and infer_numeric:
+        num = set(numeric_text_columns(df))
+        keys = {ROW_ID, key}
+        df = df.select(*[
+            F.trim(F.col(f"`{c}`")).cast("double").alias(c) if (c in num and c not in keys) else F.col(f"`{c}`")
+            for c in df.columns
+        ])
+    if key and key in df.columns:
+        df = df.withColumn(ROW_ID, F.col(f"`{key}`").cast("long"))
+        return df.select(ROW_ID, *[F.col(f"`{c}`") for c in df.columns if c != ROW_ID])
     if ROW_ID in df.columns:
-        return df
-    rid = F.col(f"`{key}`").cast("long") if key else F.monotonically_increasing_id()
-    return df.select(rid.alias(ROW_ID), *[F.col(f"`{c}`") for c in df.columns])
+        return df.withColumn(ROW_ID, F.col(ROW_ID).cast("long"))
+    return df.select(F.monotonically_increasing_id().alias(ROW_ID), *[F.col(f"`{c}`") for c in df.columns])
 
 
 def land(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
