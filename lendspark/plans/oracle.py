@@ -725,3 +725,88 @@ SELECT band, pd_min, pd_max, round(observed_default_rate, {D}) AS observed_defau
        WHEN observed_default_rate < 0.30 THEN 'Selective approval - Decline unless strong mitigating factors'
        ELSE 'Auto-decline - Unacceptable risk level' END AS action
 FROM summary"""
+
+
+# ---------------------------------------------------------------- model-ready table (PL2)
+
+def _model_ready_sql() -> str:
+    term_m = "CAST(nullif(regexp_extract(term, '([0-9]+)', 1), '') AS DOUBLE)"
+    cleaned = """cleaned AS (
+  SELECT row_id, loan_status, loan_amnt, annual_inc, int_rate, revol_util,
+    coalesce(term, 'Unknown') AS term, coalesce(emp_length, 'Unknown') AS emp_length, issue_d, earliest_cr_line,
+    fico_range_low, fico_range_high, coalesce(dti, m.md) AS dti, revol_bal, installment,
+    coalesce(home_ownership, 'Unknown') AS home_ownership, coalesce(purpose, 'Unknown') AS purpose,
+    coalesce(addr_state, 'Unknown') AS addr_state, coalesce(emp_title, 'Unknown') AS emp_title,
+    coalesce(grade, 'Unknown') AS grade,
+    coalesce(term_months, m.mt) AS term_months, coalesce(emp_length_int, m.me) AS emp_length_int, fico_mean,
+    CAST(dti IS NULL AS INTEGER) AS dti_missing, CAST(term_months IS NULL AS INTEGER) AS term_months_missing,
+    CAST(emp_length_int IS NULL AS INTEGER) AS emp_length_int_missing
+  FROM filtered, (SELECT median(dti) AS md, median(term_months) AS mt, median(emp_length_int) AS me FROM filtered) m
+)"""
+    t2 = f"""t2 AS (SELECT *, CAST({T2} AS INTEGER) AS "default" FROM cleaned WHERE ({T2}) IS NOT NULL)"""
+    freq = ", ".join(
+        f"CAST(count(*) OVER (PARTITION BY coalesce({c}, 'missing')) AS DOUBLE) AS {c}_freq_enc" for c in FREQ)
+    feat = f"""feat AS (
+  SELECT row_id, loan_amnt, annual_inc, int_rate, revol_util, fico_range_low, fico_range_high, dti, revol_bal,
+    installment, {term_m} AS term_months, emp_length_int, fico_mean, dti_missing, term_months_missing,
+    emp_length_int_missing, "default",
+    loan_amnt / nullif(annual_inc, 0) AS lti, dti AS dti_ratio, {F4} AS emp_length_num,
+    {EMP_BIN} AS emp_length_bin, {HISTORY} AS credit_history_years, {RATE_BIN} AS int_rate_bin,
+    CAST(coalesce({term_m} > 36, false) AS DOUBLE) AS term_long,
+    loan_amnt * coalesce(int_rate, (SELECT median(int_rate) FROM t2)) AS loan_x_int,
+    {freq}, home_ownership, purpose, emp_title, issue_d
+  FROM t2
+)"""
+    levels = {
+        "home_ownership": ["MORTGAGE", "OWN", "RENT", "Unknown"],
+        "purpose": ONEHOT["purpose"],
+        "int_rate_bin": ONEHOT["int_rate_bin"],
+        "emp_length_bin": ONEHOT["emp_length_bin"],
+    }
+    dummies = []
+    for c, lv in levels.items():
+        for x in lv[1:]:
+            dummies.append((f"{c}_{x}", f"CAST(coalesce({c} = '{x}', false) AS INTEGER)"))
+        dummies.append((f"{c}_nan", f"CAST({c} IS NULL AS INTEGER)"))
+    te = """te AS (
+  WITH b AS (SELECT row_id, coalesce(emp_title, 'missing') AS v, CAST("default" AS DOUBLE) AS y, row_id % 5 AS f
+             FROM feat),
+  vf AS (SELECT v, f, sum(y) AS s, count(*) AS n FROM b GROUP BY v, f),
+  vt AS (SELECT v, sum(y) AS s_all, count(*) AS n_all FROM b GROUP BY v),
+  g AS (SELECT avg(y) AS gm FROM b)
+  SELECT b.row_id, coalesce(CASE WHEN vt.n_all - vf.n > 0 THEN (vt.s_all - vf.s) / (vt.n_all - vf.n) END, g.gm) AS te
+  FROM b JOIN vt USING (v) JOIN vf USING (v, f), g
+)"""
+    base_num = ["loan_amnt", "annual_inc", "int_rate", "revol_util", "fico_range_low", "fico_range_high", "dti",
+                "revol_bal", "installment", "term_months", "emp_length_int", "fico_mean", "dti_missing",
+                "term_months_missing", "emp_length_int_missing", "lti", "dti_ratio", "emp_length_num",
+                "credit_history_years", "term_long", "loan_x_int", "emp_title_freq_enc", "emp_length_freq_enc",
+                "addr_state_freq_enc"]
+    num = base_num + [d for d, _ in dummies] + ["emp_title_target_te"]
+    q = lambda c: f'"{c}"'
+    wide = f"""wide AS (
+  SELECT f.row_id, {", ".join(f"f.{c}" for c in base_num)},
+    {", ".join(f"{e} AS {q(d)}" for d, e in dummies)},
+    te.te AS emp_title_target_te, f."default", f.issue_d
+  FROM feat f JOIN te USING (row_id)
+)"""
+    flagged = ["lti", "emp_length_num"]
+    med = ", ".join(f"median(CAST({q(c)} AS DOUBLE)) AS {q('m_' + c)}" for c in num)
+    filled = ", ".join(f"coalesce(CAST({q(c)} AS DOUBLE), m.{q('m_' + c)}) AS {q(c)}" for c in num)
+    flags = ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {c}_missing" for c in flagged)
+    qs = ", ".join(f"quantile_cont({q(c)}, 0.01) AS {q('lo_' + c)}, quantile_cont({q(c)}, 0.99) AS {q('hi_' + c)}"
+                   for c in num)
+    clipped = ", ".join(f"least(greatest({q(c)}, qq.{q('lo_' + c)}), qq.{q('hi_' + c)}) AS {q(c)}" for c in num)
+    out = ", ".join(f"round({q(c)}, {D}) AS {q(c)}" for c in num)
+    logs = ", ".join(f"round(ln(1 + greatest({c}, 0.0)), {D}) AS {c}_log1p" for c in LOGS)
+    return f"""WITH {FILTERED}, {cleaned}, {t2}, {feat}, {te}, {wide},
+m AS (SELECT {med} FROM wide),
+filled AS (SELECT row_id, "default", issue_d, {filled}, {flags} FROM wide, m),
+qq AS (SELECT {qs} FROM filled),
+clipped AS (SELECT row_id, "default", issue_d, {clipped}, {", ".join(f"{c}_missing" for c in flagged)} FROM filled, qq)
+SELECT row_id, {out}, {", ".join(f"{c}_missing" for c in flagged)}, {logs},
+       "default" AS is_default, strftime(issue_d, '%Y-%m-%d') AS issue_d
+FROM clipped"""
+
+
+_SQL["feat_model_ready"] = with_views_sql(_model_ready_sql(), ("loans",))

@@ -68,7 +68,9 @@ def features_split(
     return FeatureResult(encode.apply_scaler(labelled, sc), fp, op, sc)
 
 
-def features_conservative(cleaned: DataFrame, seed: int = 42, materialize_input: bool = True) -> FeatureResult:
+def features_conservative(
+    cleaned: DataFrame, seed: int = 42, materialize_input: bool = True, fold=None
+) -> FeatureResult:
     """PL2 (default route): conservative target (T2) -> leakage removal ->
     features -> impute / clip / log -> numeric projection, with ``default``
     and ``issue_d`` carried along (no re-join needed).
@@ -79,7 +81,7 @@ def features_conservative(cleaned: DataFrame, seed: int = 42, materialize_input:
         cleaned = _checkpoint(cleaned)
     df = target.define_default_target(cleaned)
     df, dropped = target.remove_leakage_columns(df)
-    feats, fp = features.build_features(df, target=LABEL, seed=seed)
+    feats, fp = features.build_features(df, target=LABEL, fold=fold, seed=seed)
     # Three aggregates follow over the built table: materialise it once.
     feats = _checkpoint(feats)
     op = encode.fit_missing_and_outliers(feats, exclude=(KEY, LABEL))

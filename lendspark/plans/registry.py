@@ -468,14 +468,23 @@ def q_recover_time(spark, sf):
 
 # --- models and pipelines (rows-only at the driver) ------------------------------------
 
-def _model_ready(spark, sf):
-    return pipelines.features_conservative(clean.clean(fx.loans_raw(spark, sf))).table
+def _model_ready(spark, sf, fold=None):
+    return pipelines.features_conservative(clean.clean(fx.loans_raw(spark, sf)), fold=fold).table
+
+
+def _fold5():
+    return F.pmod(F.col("row_id"), F.lit(5)).cast("int")
 
 
 @register("feat_model_ready")
 def q_feat_model_ready(spark, sf):
-    return _model_ready(spark, sf).withColumn("issue_d", F.date_format("issue_d", "yyyy-MM-dd")) \
-        .withColumnRenamed("default", "is_default")
+    t = _model_ready(spark, sf, fold=_fold5())
+    num = [c for c, d in t.dtypes if d == "double"]
+    return t.select(
+        *[r(c) if c in num else F.col(f"`{c}`") for c in t.columns if c not in ("issue_d", "default")],
+        F.col("default").alias("is_default"),
+        F.date_format("issue_d", "yyyy-MM-dd").alias("issue_d"),
+    )
 
 
 @register("train_score")
