@@ -158,12 +158,12 @@ class ImputeParams:
 
 
 def fit_impute(df: DataFrame, exclude: Sequence[str] = ("row_id",)) -> ImputeParams:
-    """C13 / C14 fit: null counts of numeric columns (one aggregate), then
-    exact medians of the columns that have gaps (one aggregate)."""
+    """C13 / C14 fit: missing shares and distinct counts of numeric columns
+    (one aggregate), then exact medians of the columns with gaps."""
     num = stats.numeric_columns(df, exclude=exclude)
-    counts = stats.null_counts(df, num)
-    gaps = [c for c in num if counts[c] > 0]
-    meds = stats.medians(df, gaps)
+    rates, distinct = stats.profile(df, num, num)
+    gaps = [c for c in num if rates[c] > 0]
+    meds = stats.medians(df, gaps, distinct_hint=distinct)
     cats = [c for c in stats.string_columns(df)]
     return ImputeParams(medians=meds, categorical=cats)
 

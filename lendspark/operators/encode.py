@@ -205,14 +205,17 @@ def fit_missing_and_outliers(
     """E4-E6 fit in three aggregates: missing rates of every column, exact
     medians of numeric columns, clip quantiles of the median-filled values."""
     ex = set(exclude)
-    rates = stats.missing_rates(df, [c for c in df.columns if c not in ex])
-    flags = [c for c, r in rates.items() if r > FLAG_RATE]
     num = stats.numeric_columns(df, exclude=exclude)
-    meds = stats.medians(df, num, exact=exact)
+    # One pass: missing shares (flags) and distinct counts (quantile method).
+    rates, distinct = stats.profile(df, [c for c in df.columns if c not in ex], num if exact else ())
+    flags = [c for c, r in rates.items() if r > FLAG_RATE]
+    meds = stats.medians(df, num, exact=exact, distinct_hint=distinct)
     filled = df.select(
         *[F.coalesce(_q(c).cast("double"), F.lit(meds[c]).cast("double")).alias(c) for c in num]
     )
-    qs = stats.quantiles(filled, num, list(clip_pct), exact=exact)
+    # Median filling adds at most one distinct value per column.
+    hint = {c: d + 1 for c, d in distinct.items()}
+    qs = stats.quantiles(filled, num, list(clip_pct), exact=exact, distinct_hint=hint)
     bounds = {c: (qs[c][0], qs[c][1]) for c in num}
     logs = [c for c in LOG_COLUMNS if c in df.columns]
     return OutlierParams(flag_columns=flags, medians=meds, bounds=bounds, log_columns=logs)

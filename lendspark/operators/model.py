@@ -8,6 +8,7 @@ Spark's mean-loss ``regParam = 1 / (C * sum(weights))``.
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -23,6 +24,7 @@ from .curves import auc_ks
 
 WEIGHT = "_w"
 FEATURES = "_features"
+ROWS_PER_PARTITION = 1_000_000
 
 
 @dataclass
@@ -118,7 +120,13 @@ def train_logistic(
     wmap = F.create_map(*[x for c, w in weights.items() for x in (F.lit(c), F.lit(float(w)))])
     weighted = df.withColumn(WEIGHT, F.element_at(wmap, F.col(label).cast("int")))
     data = _assemble(weighted, feature_cols, scaler).select(
-        F.col(label).cast("double").alias("_label"), FEATURES, WEIGHT).persist()
+        F.col(label).cast("double").alias("_label"), FEATURES, WEIGHT)
+    # The optimizer makes one pass per iteration: size partitions to the data
+    # (about ROWS_PER_PARTITION rows each; coalesce, no shuffle).
+    target = max(1, math.ceil(n / ROWS_PER_PARTITION))
+    if data.rdd.getNumPartitions() > target:
+        data = data.coalesce(target)
+    data = data.persist()
     try:
         lr = LogisticRegression(
             featuresCol=FEATURES, labelCol="_label", weightCol=WEIGHT,

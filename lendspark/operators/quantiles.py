@@ -157,15 +157,22 @@ def distinct_probe(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
 
 
 def quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], method: str = "auto"
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    method: str = "auto",
+    distinct_hint: dict | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns. ``method``: ``percentile`` (one
-    aggregate), ``rank`` (rank selection) or ``auto`` (by distinct count)."""
+    aggregate), ``rank`` (rank selection) or ``auto`` (by distinct count;
+    ``distinct_hint`` supplies counts already measured in an earlier pass)."""
     if not columns:
         return {}
     cols = list(columns)
     if method == "auto":
-        d = distinct_probe(df, cols)
+        hint = distinct_hint or {}
+        missing = [c for c in cols if c not in hint]
+        d = {**hint, **(distinct_probe(df, missing) if missing else {})}
         small = [c for c in cols if d[c] <= EXACT_DISTINCT_LIMIT]
         large = [c for c in cols if d[c] > EXACT_DISTINCT_LIMIT]
     elif method == "percentile":

@@ -75,6 +75,20 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return wide.select(stack).select("s.column", "s.missing_rate")
 
 
+def profile(df: DataFrame, columns: Sequence[str], distinct: Sequence[str] = ()) -> tuple[dict, dict]:
+    """One pass: missing share of ``columns`` and approximate distinct counts
+    of ``distinct`` (the latter decide the exact-quantile method later)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    aggs = [F.avg(is_missing(c, types[c]).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)]
+    aggs += [F.approx_count_distinct(q(c)).alias(f"d{i}") for i, c in enumerate(distinct)]
+    if not aggs:
+        return {}, {}
+    row = df.agg(*aggs).first()
+    rates = {c: (row[f"m{i}"] if row[f"m{i}"] is not None else 0.0) for i, c in enumerate(columns)}
+    dist = {c: int(row[f"d{i}"]) for i, c in enumerate(distinct)}
+    return rates, dist
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     if not columns:
         return {}
@@ -85,16 +99,22 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     return {c: int(row[c] or 0) for c in columns}
 
 
-def medians(df: DataFrame, columns: Sequence[str], exact: bool = True) -> dict[str, float | None]:
+def medians(
+    df: DataFrame, columns: Sequence[str], exact: bool = True, distinct_hint: dict | None = None
+) -> dict[str, float | None]:
     """Median per column (linear interpolation), NULLs skipped. Exact by
     default (``percentile`` or rank selection, chosen per column by its
     distinct count); ``exact=False`` uses ``percentile_approx``."""
-    res = quantiles(df, columns, [0.5], exact=exact)
+    res = quantiles(df, columns, [0.5], exact=exact, distinct_hint=distinct_hint)
     return {c: v[0] for c, v in res.items()}
 
 
 def quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], exact: bool = True
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    exact: bool = True,
+    distinct_hint: dict | None = None,
 ) -> dict[str, list[float | None]]:
     """Quantiles per column at ``probs`` (see :mod:`.quantiles`)."""
     if not columns:
@@ -102,7 +122,7 @@ def quantiles(
     if exact:
         from .quantiles import quantiles as exact_quantiles
 
-        return exact_quantiles(df, columns, probs, method="auto")
+        return exact_quantiles(df, columns, probs, method="auto", distinct_hint=distinct_hint)
     arr = F.array(*[F.lit(float(p)) for p in probs])
     row = df.agg(*[F.percentile_approx(q(c).cast("double"), arr, 10_000).alias(f"q{i}")
                    for i, c in enumerate(columns)]).first()
