@@ -158,24 +158,30 @@ def cross_validated_auc(
     folds: int = 3,
     seed: int = 42,
     penalty: str = "l2",
+    parallelism: int = 4,
 ) -> list[tuple[float, float]]:
     """M2: mean held-out ROC AUC per ``C`` over stratified folds; each fold
-    refits the scaler and the balanced weights on its training part."""
+    refits the scaler and the balanced weights on its training part. The
+    ``len(Cs) * folds`` fits are independent and are submitted from
+    ``parallelism`` driver threads (as ``CrossValidator`` does)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     with_folds = split.stratified_folds(df, label, folds, seed, out="_fold").persist()
-    results = []
+
+    def fold_auc(C: float, k: int) -> float:
+        tr = with_folds.where(F.col("_fold") != k)
+        te = with_folds.where(F.col("_fold") == k)
+        m = train_logistic(tr, feature_cols, label, C, penalty)
+        a = auc_ks(score(m, te, "_p"), "_p", label).first()["auc"]
+        return a if a is not None else float("nan")
+
     try:
-        for C in Cs:
-            aucs = []
-            for k in range(folds):
-                tr = with_folds.where(F.col("_fold") != k)
-                te = with_folds.where(F.col("_fold") == k)
-                m = train_logistic(tr, feature_cols, label, C, penalty)
-                a = auc_ks(score(m, te, "_p"), "_p", label).first()["auc"]
-                aucs.append(a if a is not None else float("nan"))
-            results.append((C, sum(aucs) / len(aucs)))
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            jobs = {(C, k): pool.submit(fold_auc, C, k) for C in Cs for k in range(folds)}
+            aucs = {key: f.result() for key, f in jobs.items()}
     finally:
         with_folds.unpersist()
-    return results
+    return [(C, sum(aucs[(C, k)] for k in range(folds)) / folds) for C in Cs]
 
 
 def tune_logistic(
