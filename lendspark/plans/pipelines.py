@@ -245,6 +245,24 @@ def performance_report(spark: SparkSession, res: TrainResult) -> DataFrame:
     return head.unionByName(per_model)
 
 
+def validation_report(res: ValidationResult) -> DataFrame:
+    """PL8: validation results as ``section, metric, value`` rows: the
+    out-of-time metrics, score PSI, feature PSI and the number of issues
+    raised by the approval rule."""
+    parts = [long_report("out_of_time", res.metrics)]
+    if res.psi_score is not None:
+        parts.append(long_report("psi", res.psi_score))
+    if res.psi_features is not None:
+        parts.append(res.psi_features.select(F.lit("feature_psi").alias("section"),
+                                             F.col("feature").alias("metric"), F.col("psi").alias("value")))
+    parts.append(res.approval.select(F.lit("approval").alias("section"), F.lit("n_issues").alias("metric"),
+                                     F.col("n_issues").cast("double").alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def monitor(reference: DataFrame, current: DataFrame, time_col: str = TIME_COL, freq: str = "Q") -> DataFrame:
     """PL10: per-period PSI / AUC / Brier with the approval triggers."""
     return metrics.monitor_by_period(reference, current, time_col, "pd_hat", LABEL, freq)

@@ -152,3 +152,22 @@ def test_rank_band_edges_equal_percentile(spark, monkeypatch):
     p2 = metrics.psi_by_side(split.time_split_label(s, "issue_ts", method="percentile"), "pd_hat", "split",
                              method="percentile").first()["psi"]
     assert abs(p1 - p2) < 1e-12
+
+
+def test_calibration_arrays_in_bin_order(spark):
+    s = fx.scored(spark, SF_SMALL)
+    row = metrics.compute_metrics(s, with_calibration=True).first()
+    curve = metrics.calibration_curve(s).orderBy("bin").collect()
+    assert row["frac_pos"] == [c["frac_pos"] for c in curve]
+    assert row["mean_pred"] == [c["mean_pred"] for c in curve]
+
+
+def test_validation_report_rows(spark):
+    from lendspark.plans import pipelines
+
+    s = split.time_split_label(fx.scored(spark, SF_SMALL), "issue_ts")
+    tr = s.where("split = 'train'").withColumn("fico_mean", F.col("dti"))
+    va = s.where("split = 'validation'").withColumn("fico_mean", F.col("dti"))
+    res = pipelines.validate(va, tr, time_col="issue_ts")
+    rep = {(r["section"], r["metric"]): r["value"] for r in pipelines.validation_report(res).collect()}
+    assert {("out_of_time", "auc"), ("psi", "psi"), ("feature_psi", "loan_amnt"), ("approval", "n_issues")} <= set(rep)
