@@ -729,7 +729,9 @@ FROM summary"""
 
 # ---------------------------------------------------------------- model-ready table (PL2)
 
-def _model_ready_sql() -> str:
+def _model_ready_sql(route: str = "conservative") -> str:
+    """PL2 (``conservative``: T2 target) or PL1 (``split``: T1 target, then a
+    stratified split ordered by ``row_id`` and a scaler fitted on train)."""
     term_m = "CAST(nullif(regexp_extract(term, '([0-9]+)', 1), '') AS DOUBLE)"
     cleaned = """cleaned AS (
   SELECT row_id, loan_status, loan_amnt, annual_inc, int_rate, revol_util,
@@ -743,7 +745,10 @@ def _model_ready_sql() -> str:
     CAST(emp_length_int IS NULL AS INTEGER) AS emp_length_int_missing
   FROM filtered, (SELECT median(dti) AS md, median(term_months) AS mt, median(emp_length_int) AS me FROM filtered) m
 )"""
-    t2 = f"""t2 AS (SELECT *, CAST({T2} AS INTEGER) AS "default" FROM cleaned WHERE ({T2}) IS NOT NULL)"""
+    if route == "conservative":
+        t2 = f"""t2 AS (SELECT *, CAST({T2} AS INTEGER) AS "default" FROM cleaned WHERE ({T2}) IS NOT NULL)"""
+    else:
+        t2 = f"""t2 AS (SELECT *, CAST({T1} AS INTEGER) AS "default" FROM cleaned)"""
     freq = ", ".join(
         f"CAST(count(*) OVER (PARTITION BY coalesce({c}, 'missing')) AS DOUBLE) AS {c}_freq_enc" for c in FREQ)
     feat = f"""feat AS (
@@ -796,17 +801,36 @@ def _model_ready_sql() -> str:
     flags = ", ".join(f"CAST({c} IS NULL AS INTEGER) AS {c}_missing" for c in flagged)
     qs = ", ".join(f"quantile_cont({q(c)}, 0.01) AS {q('lo_' + c)}, quantile_cont({q(c)}, 0.99) AS {q('hi_' + c)}"
                    for c in num)
-    clipped = ", ".join(f"least(greatest({q(c)}, qq.{q('lo_' + c)}), qq.{q('hi_' + c)}) AS {q(c)}" for c in num)
+    clipped = ", ".join(f"least(greatest({q(c)}, clipq.{q('lo_' + c)}), clipq.{q('hi_' + c)}) AS {q(c)}" for c in num)
     out = ", ".join(f"round({q(c)}, {D}) AS {q(c)}" for c in num)
     logs = ", ".join(f"round(ln(1 + greatest({c}, 0.0)), {D}) AS {c}_log1p" for c in LOGS)
-    return f"""WITH {FILTERED}, {cleaned}, {t2}, {feat}, {te}, {wide},
+    flag_cols = ", ".join(f"{c}_missing" for c in flagged)
+    chain = f"""WITH {FILTERED}, {cleaned}, {t2}, {feat}, {te}, {wide},
 m AS (SELECT {med} FROM wide),
 filled AS (SELECT row_id, "default", issue_d, {filled}, {flags} FROM wide, m),
-qq AS (SELECT {qs} FROM filled),
-clipped AS (SELECT row_id, "default", issue_d, {clipped}, {", ".join(f"{c}_missing" for c in flagged)} FROM filled, qq)
-SELECT row_id, {out}, {", ".join(f"{c}_missing" for c in flagged)}, {logs},
+clipq AS (SELECT {qs} FROM filled),
+clipped AS (SELECT row_id, "default", issue_d, {clipped}, {flag_cols} FROM filled, clipq)"""
+    if route == "conservative":
+        return chain + f"""
+SELECT row_id, {out}, {flag_cols}, {logs},
        "default" AS is_default, strftime(issue_d, '%Y-%m-%d') AS issue_d
 FROM clipped"""
+    raw_logs = ", ".join(f"ln(1 + greatest({c}, 0.0)) AS {c}_log1p" for c in LOGS)
+    scaled_cols = num + [f"{c}_missing" for c in flagged] + [f"{c}_log1p" for c in LOGS]
+    stats_sql = ", ".join(f"avg({q(c)}) AS {q('a_' + c)}, stddev_pop({q(c)}) AS {q('s_' + c)}" for c in scaled_cols)
+    scaled = ", ".join(
+        f"round((CAST({q(c)} AS DOUBLE) - st.{q('a_' + c)}) / CASE WHEN st.{q('s_' + c)} IS NULL OR "
+        f"st.{q('s_' + c)} = 0 THEN 1.0 ELSE st.{q('s_' + c)} END, {D}) AS {q(c)}"
+        for c in scaled_cols)
+    tab_cols = ", ".join(q(c) for c in num)
+    return chain + f""",
+tab AS (SELECT row_id, "default" AS y, {tab_cols}, {flag_cols}, {raw_logs} FROM clipped),
+{quota_sql('tab', 'n - ceil(0.2::DOUBLE * n)')},
+ranked AS (SELECT t.*, row_number() OVER (PARTITION BY y ORDER BY row_id) AS rk FROM tab t),
+labelled AS (SELECT r.*, CASE WHEN rk <= q THEN 'train' ELSE 'test' END AS split FROM ranked r JOIN quota USING (y)),
+st AS (SELECT {stats_sql} FROM labelled WHERE split = 'train')
+SELECT row_id, y AS is_default, split, {scaled} FROM labelled, st"""
 
 
 _SQL["feat_model_ready"] = with_views_sql(_model_ready_sql(), ("loans",))
+_SQL["features_split"] = with_views_sql(_model_ready_sql("split"), ("loans",))

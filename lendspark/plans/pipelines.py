@@ -49,7 +49,12 @@ class FeatureResult:
 
 
 def features_split(
-    cleaned: DataFrame, test_size: float = 0.2, seed: int = 42, materialize_input: bool = True
+    cleaned: DataFrame,
+    test_size: float = 0.2,
+    seed: int = 42,
+    materialize_input: bool = True,
+    fold=None,
+    order: Sequence[str] | None = None,
 ) -> FeatureResult:
     """PL1: simple target (T1) -> features -> impute / clip / log -> numeric
     projection -> stratified split -> scaler fitted on train, applied to
@@ -57,12 +62,12 @@ def features_split(
     if materialize_input:
         cleaned = _checkpoint(cleaned)
     df = target.map_target(cleaned)
-    feats, fp = features.build_features(df, target=LABEL, seed=seed)
+    feats, fp = features.build_features(df, target=LABEL, fold=fold, seed=seed)
     feats = _checkpoint(feats)
     op = encode.fit_missing_and_outliers(feats, exclude=(KEY, LABEL))
     feats = encode.apply_missing_and_outliers(feats, op)
     num = encode.numeric_projection(feats)
-    labelled = split.stratified_split(num, LABEL, test_size, seed, out="split")
+    labelled = split.stratified_split(num, LABEL, test_size, seed, order=order, out="split")
     cols = [c for c in num.columns if c not in (KEY, LABEL)]
     sc = encode.fit_scaler(labelled.where(F.col("split") == "train"), cols)
     return FeatureResult(encode.apply_scaler(labelled, sc), fp, op, sc)

@@ -522,3 +522,11 @@ def q_band_report(spark, sf):
     return res.summary.join(res.actions, "band").select(
         "band", "pd_min", "pd_max", r("observed_default_rate"), r("population_share"), "count",
         "risk_label", "calibration", "action")
+
+
+@register("features_split")
+def q_features_split(spark, sf):
+    fr = pipelines.features_split(clean.clean(fx.loans_raw(spark, sf)), 0.2, fold=_fold5(), order=["row_id"])
+    t = fr.table
+    cols = [c for c in t.columns if c not in ("row_id", "default", "split")]
+    return t.select("row_id", F.col("default").alias("is_default"), "split", *[r(c) for c in cols])
