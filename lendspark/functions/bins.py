@@ -30,6 +30,14 @@ def linspace_probs(n: int) -> list[float]:
     return [i * step for i in range(n)] + [1.0]
 
 
+def qcut_probs(n: int) -> list[float]:
+    """Probabilities of an ``n``-quantile cut as the reference computes them:
+    the evenly spaced grid ``i * (1/n)``, passed through a percent scale and
+    back (``* 100 / 100``), which can move a value by one ulp - enough to put
+    an edge on the other side of a tied data value."""
+    return [(p * 100.0) / 100.0 for p in linspace_probs(n)]
+
+
 def percent_grid_probs(n: int) -> list[float]:
     """``n + 1`` probabilities from a 0..100 percent grid divided by 100."""
     step = 100.0 / n
@@ -49,12 +57,13 @@ def quantile_band(x: str | Column, edges: Column) -> Column:
     """Band index for right-closed bins on sorted distinct ``edges``.
 
     band = number of *inner* edges strictly below ``x``; the lowest edge is
-    included in band 0. NULL stays NULL.
+    included in band 0. NULL stays NULL, and with fewer than two distinct
+    edges (all scores equal) there is no bin, so every band is NULL.
     """
     x = col_of(x)
     inner = F.slice(edges, 2, F.greatest(F.size(edges) - 2, F.lit(0)))
     return F.when(
-        x.isNotNull(), F.size(F.filter(inner, lambda e: e < x)).cast("int")
+        x.isNotNull() & (F.size(edges) >= 2), F.size(F.filter(inner, lambda e: e < x)).cast("int")
     )
 
 

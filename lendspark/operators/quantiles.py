@@ -150,6 +150,81 @@ def rank_quantiles(long: DataFrame, probs: Sequence[float]) -> dict:
     return {k: [interpolate(vals.get(k, {}), n, p) for p in probs] for k, (n, _) in info.items()}
 
 
+def exact_rank_prob(k: int, n: int) -> float:
+    """A probability ``p`` with ``(n - 1) * p == k`` exactly in floating point,
+    so ``percentile`` at ``p`` returns the ``k``-th order statistic itself."""
+    if n <= 1:
+        return 0.0
+    p = k / (n - 1)
+    for _ in range(64):
+        pos = (n - 1) * p
+        if pos == k:
+            return p
+        p = math.nextafter(p, math.inf if pos < k else -math.inf)
+    return k / (n - 1)
+
+
+def cut_plan(n: int, probs: Sequence[float]) -> list[tuple[int, int, float]]:
+    """Per probability: the two neighbouring ranks and the weight, as the
+    array-library linear method computes them (``(n - 1) * p``, both ranks
+    clipped to the last element at or beyond the end)."""
+    plan = []
+    for p in probs:
+        pos = (n - 1) * p
+        if pos >= n - 1:
+            plan.append((n - 1, n - 1, 0.0))
+            continue
+        lo = math.floor(pos)
+        plan.append((lo, lo + 1, pos - lo))
+    return plan
+
+
+def lerp(a, b, t: float):
+    """Two-branch linear interpolation of the array library (bit-exact):
+    ``a + (b - a) * t`` below one half, ``b - (b - a) * (1 - t)`` from it."""
+    d = b - a
+    return b - d * (1 - t) if t >= 0.5 else a + d * t
+
+
+def order_statistics(long: DataFrame, ranks: dict) -> dict:
+    """Values at 0-based ranks per series (``ranks``: key -> set of ranks)
+    of a long frame ``(_k, _v)`` by rank selection (same machinery as
+    :func:`rank_quantiles`)."""
+    long = long.where(F.col("_v").isNotNull()).select("_k", F.col("_v").cast("double").alias("_v"))
+    info = _series_edges(long)
+    if not info:
+        return {}
+    depth = max(1, max(len(e) for _, e in info.values()).bit_length())
+    size = 1 << depth
+    spark = long.sparkSession
+    edge_rows = [(k, [float(x) for x in e] + [math.inf] * (size - len(e))) for k, (_, e) in info.items()]
+    key_type = long.schema["_k"].dataType.simpleString()
+    edges_df = spark.createDataFrame(edge_rows, f"_k {key_type}, _edges array<double>")
+    bucketed = long.join(F.broadcast(edges_df), "_k").select(
+        "_k", "_v", bucket_of(F.col("_v"), F.col("_edges"), depth).alias("_b"))
+    per = {}
+    for r in bucketed.groupBy("_k", "_b").count().collect():
+        per.setdefault(r["_k"], {})[r["_b"]] = int(r["count"])
+    wanted = []
+    for k, (n, _) in info.items():
+        offs, acc = {}, 0
+        for b in sorted(per.get(k, {})):
+            offs[b] = acc
+            acc += per[k][b]
+        for g in ranks.get(k, ()):
+            for b in sorted(offs):
+                if offs[b] <= g < offs[b] + per[k][b]:
+                    wanted.append((k, b, g - offs[b] + 1, g))
+                    break
+    need = spark.createDataFrame(wanted, f"_k {key_type}, _b int, _rn long, _g long")
+    hit = bucketed.join(F.broadcast(need.select("_k", "_b").distinct()), ["_k", "_b"])
+    ranked = hit.withColumn("_rn", F.row_number().over(Window.partitionBy("_k", "_b").orderBy("_v")))
+    out = {}
+    for r in ranked.join(F.broadcast(need), ["_k", "_b", "_rn"]).select("_k", "_g", "_v").collect():
+        out.setdefault(r["_k"], {})[int(r["_g"])] = r["_v"]
+    return out
+
+
 def distinct_probe(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     """Approximate distinct counts (HyperLogLog) of several columns, one pass."""
     row = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(columns)]).first()

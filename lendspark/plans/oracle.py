@@ -8,7 +8,7 @@ Spark operators: AUC through average ranks, quantile bands through
 
 from __future__ import annotations
 
-from ..functions.bins import linspace_probs, percent_grid_probs
+from ..functions.bins import linspace_probs, percent_grid_probs, qcut_probs
 from ..sources.fixtures import with_views_sql
 
 D = 6
@@ -31,7 +31,7 @@ def plist(probs) -> str:
     return "[" + ", ".join(f"{p!r}::DOUBLE" for p in probs) + "]"
 
 
-QCUT10 = plist(linspace_probs(10))
+QCUT10 = plist(qcut_probs(10))
 PCT10 = plist(percent_grid_probs(10))
 
 

@@ -171,3 +171,15 @@ def test_validation_report_rows(spark):
     res = pipelines.validate(va, tr, time_col="issue_ts")
     rep = {(r["section"], r["metric"]): r["value"] for r in pipelines.validation_report(res).collect()}
     assert {("out_of_time", "auc"), ("psi", "psi"), ("feature_psi", "loan_amnt"), ("approval", "n_issues")} <= set(rep)
+
+
+def test_fixture_band_counts_and_cutoff(spark):
+    """Expected values stated with the fixtures at sf0.01."""
+    from conftest import SF_ORACLE
+
+    s = fx.scored(spark, SF_ORACLE)
+    counts = [r["count"] for r in banding.band_summary(banding.assign_bands(s)).orderBy("band").collect()]
+    assert counts == [1501, 1500, 1500, 1499, 1501, 1500, 1499, 1501, 1500, 1499]
+    assert split.time_cutoff(s, "issue_ts") == 955497600000000
+    c = {r["split"]: r["count"] for r in split.time_split_label(s, "issue_ts").groupBy("split").count().collect()}
+    assert (c["train"], c["validation"]) == (11831, 2957)
