@@ -21,7 +21,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Bucket sizing: aim for this many rows per bucket window, within bounds.
@@ -200,7 +200,3 @@ def exact_rank(
     ones = df.withColumn("_one", F.lit(1).cast("long"))
     res = running_sums(ones, order_cols, ["_one"], partition_cols, prefix="_cum")
     return res.withColumnRenamed("_cum_one", out).drop("_one")
-
-
-def asc(c: str) -> Column:
-    return F.col(c).asc()

@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import stats
 
@@ -300,7 +299,3 @@ def numeric_projection(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     num = stats.numeric_columns(df)
     extra = [c for c in keep if c in df.columns and c not in num]
     return df.select(*[_q(c) for c in num + extra])
-
-
-def _is_bool(dtype: T.DataType) -> bool:
-    return isinstance(dtype, T.BooleanType)

@@ -54,24 +54,6 @@ class PDModel:
         return PDModel(feature_cols=cols, scaler=sc, lr=lr, C=rows[0]["C"] if rows else 1.0)
 
 
-def class_weights(df: DataFrame, label: str) -> dict:
-    """``balanced`` weights ``n / (n_classes * n_c)`` from one grouped count."""
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
-    n = sum(counts.values())
-    k = len(counts)
-    return {c: n / (k * m) for c, m in counts.items()}
-
-
-def _with_weights(df: DataFrame, label: str, weights: dict | None) -> tuple[DataFrame, float]:
-    if weights is None:
-        n = df.count()
-        return df.withColumn(WEIGHT, F.lit(1.0)), float(n)
-    wmap = F.create_map(*[x for c, w in weights.items() for x in (F.lit(c), F.lit(float(w)))])
-    out = df.withColumn(WEIGHT, F.element_at(wmap, F.col(label)))
-    total = out.agg(F.sum(WEIGHT)).first()[0]
-    return out, float(total)
-
-
 def _assemble(df: DataFrame, model_cols: Sequence[str], scaler: encode.ScalerParams) -> DataFrame:
     scaled = encode.apply_scaler(df, scaler)
     va = VectorAssembler(inputCols=list(model_cols), outputCol=FEATURES, handleInvalid="error")

@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 
 from .curves import exact_rank
 
-MICROS = "_t_us"
-
-
 def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
