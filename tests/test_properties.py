@@ -68,3 +68,29 @@ def test_qcut_tie_corner_case(spark):
     got = [r["b"] for r in banding.assign_bands(frame(spark, vals), "p", 9, out="b").orderBy("i").collect()]
     want = pd.qcut(pd.Series(vals), 9, labels=False, duplicates="drop").tolist()
     assert got == want
+
+
+def numpy_psi(expected, actual, buckets=10, eps=1e-8):
+    edges = np.unique(np.nanpercentile(expected, np.linspace(0, 100, buckets + 1)))
+    if len(edges) <= 1:
+        return None
+    e, _ = np.histogram(expected, bins=edges)
+    a, _ = np.histogram(actual, bins=edges)
+    e = np.maximum(e / (e.sum() + eps), eps)
+    a = np.maximum(a / (a.sum() + eps), eps)
+    return float(np.sum((a - e) * np.log(a / e)))
+
+
+@settings(max_examples=10, deadline=None)
+@given(exp=values, act=values)
+def test_psi_matches_numpy(spark, exp, act):
+    from lendspark.operators import metrics
+
+    e = spark.createDataFrame([(v,) for v in exp], "p double")
+    a = spark.createDataFrame([(v,) for v in act], "p double")
+    got = metrics.psi(e, a, "p").first()["psi"]
+    want = numpy_psi(np.array(exp), np.array(act))
+    if want is None:
+        assert got is None
+    else:
+        assert abs(got - want) < 1e-9 * max(1.0, abs(want))
