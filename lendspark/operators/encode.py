@@ -172,12 +172,37 @@ def kfold_target_encode(
 ) -> DataFrame:
     """E3 fitted on ``df`` itself; the global mean is a one-row aggregate
     cross-joined in (broadcast)."""
+    return fit_apply_target_encoding(df, column, target, fold, n_splits, seed, out)[0]
+
+
+def fit_apply_target_encoding(
+    df: DataFrame,
+    column: str,
+    target: str,
+    fold: Column | None = None,
+    n_splits: int = 5,
+    seed: int = 42,
+    out: str | None = None,
+) -> tuple[DataFrame, TargetEncoding, DataFrame]:
+    """E3 on ``df`` itself, also returning the fitted table and the one-row
+    global mean (for scoring new rows later)."""
     out = out or f"{column}{TE_SUFFIX}"
     fold = fold if fold is not None else fold_column("row_id", n_splits, seed)
     enc = fit_target_encoding(df, column, target, fold, n_splits)
     gm = df.agg(F.avg(_q(target).cast("double")).alias("_gm"))
     res = apply_target_encoding(df, column, target, enc, fold, out)
-    return res.crossJoin(F.broadcast(gm)).withColumn(out, F.coalesce(F.col(out), F.col("_gm"))).drop("_gm")
+    res = res.crossJoin(F.broadcast(gm)).withColumn(out, F.coalesce(F.col(out), F.col("_gm"))).drop("_gm")
+    return res, enc, gm
+
+
+def apply_target_encoding_new(
+    df: DataFrame, column: str, enc: TargetEncoding, global_mean: float | None, out: str | None = None
+) -> DataFrame:
+    """E3 for rows outside the fit (scoring): the value's mean over all
+    folds; unseen or missing values get the fitted global mean."""
+    out = out or f"{column}{TE_SUFFIX}"
+    res = apply_target_encoding(df, column, "", enc, None, out)
+    return res.withColumn(out, F.coalesce(F.col(out), F.lit(global_mean).cast("double")))
 
 
 # --- E4-E7 impute / clip / log ---------------------------------------------------------------
@@ -195,6 +220,29 @@ class OutlierParams:
     log_columns: list = field(default_factory=list)
 
 
+def save_outlier_params(spark, p: OutlierParams, path: str) -> None:
+    """IO7: the E4-E7 parameters as one small Parquet table."""
+    cols = list(dict.fromkeys(list(p.medians) + list(p.flag_columns) + list(p.log_columns)))
+    rows = [
+        (c, p.medians.get(c), (p.bounds.get(c) or (None, None))[0], (p.bounds.get(c) or (None, None))[1],
+         c in p.medians, c in p.flag_columns, c in p.log_columns)
+        for c in cols
+    ]
+    spark.createDataFrame(
+        rows, "column string, median double, low double, high double, numeric boolean, flag boolean, log boolean"
+    ).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_outlier_params(spark, path: str) -> OutlierParams:
+    rows = spark.read.parquet(path).collect()
+    return OutlierParams(
+        flag_columns=[r["column"] for r in rows if r["flag"]],
+        medians={r["column"]: r["median"] for r in rows if r["numeric"]},
+        bounds={r["column"]: (r["low"], r["high"]) for r in rows if r["numeric"]},
+        log_columns=[r["column"] for r in rows if r["log"]],
+    )
+
+
 def fit_missing_and_outliers(
     df: DataFrame,
     clip_pct: tuple[float, float] = (0.01, 0.99),

@@ -164,9 +164,45 @@ def drop_identifiers(df: DataFrame) -> DataFrame:
 
 @dataclass
 class FeatureParams:
+    """Learned state of the feature builder: interaction median, frequency
+    tables, one-hot levels and the target-encoding table."""
+
     rate_median: float | None = None
     freq_tables: dict = field(default_factory=dict)
     onehot_levels: dict = field(default_factory=dict)
+    te: encode.TargetEncoding | None = None
+    te_mean: DataFrame | float | None = None
+
+    # --- IO7 persistence ---------------------------------------------------------
+    def save(self, spark, path: str) -> None:
+        gm = self.te_mean
+        if isinstance(gm, DataFrame):
+            gm = gm.first()["_gm"]
+        spark.createDataFrame(
+            [("rate_median", self.rate_median), ("te_global_mean", gm)], "name string, value double"
+        ).coalesce(1).write.mode("overwrite").parquet(f"{path}/scalars")
+        lv = [(c, i, x) for c, levels in self.onehot_levels.items() for i, x in enumerate(levels)]
+        spark.createDataFrame(lv, "column string, position int, level string") \
+            .coalesce(1).write.mode("overwrite").parquet(f"{path}/onehot")
+        for c, t in self.freq_tables.items():
+            t.write.mode("overwrite").parquet(f"{path}/freq/{c}")
+        if self.te is not None:
+            self.te.table.write.mode("overwrite").parquet(f"{path}/te")
+
+    @staticmethod
+    def load(spark, path: str) -> FeatureParams:
+        from ..sources.io import read_optional
+
+        sc = {r["name"]: r["value"] for r in spark.read.parquet(f"{path}/scalars").collect()}
+        levels: dict = {}
+        for r in spark.read.parquet(f"{path}/onehot").orderBy("column", "position").collect():
+            levels.setdefault(r["column"], []).append(r["level"])
+        order = [c for c in ONEHOT_COLUMNS if c in levels] + [c for c in levels if c not in ONEHOT_COLUMNS]
+        # Optional parts: read through Spark (works for any shared filesystem).
+        freq = {c: t for c in FREQ_COLUMNS if (t := read_optional(spark, f"{path}/freq/{c}")) is not None}
+        te_table = read_optional(spark, f"{path}/te")
+        te = None if te_table is None else encode.TargetEncoding(table=te_table, global_mean=None, n_splits=0)
+        return FeatureParams(sc.get("rate_median"), freq, {c: levels[c] for c in order}, te, sc.get("te_global_mean"))
 
 
 def scalar_features(df: DataFrame) -> DataFrame:
@@ -202,5 +238,21 @@ def build_features(
     params.onehot_levels = encode.fit_onehot_levels(df, onehot, CATEGORY_ORDER, max_levels)
     df = encode.apply_onehot(df, params.onehot_levels)
     if target is not None and TE_COLUMN in df.columns:
-        df = encode.kfold_target_encode(df, TE_COLUMN, target, fold, n_splits, seed)
+        df, params.te, params.te_mean = encode.fit_apply_target_encoding(df, TE_COLUMN, target, fold, n_splits, seed)
     return drop_identifiers(df), params
+
+
+def apply_features(df: DataFrame, params: FeatureParams) -> DataFrame:
+    """F13 for new rows with frozen parameters: the same columns as
+    :func:`build_features`; unseen values get NULL counts, all-zero dummies
+    and the fitted global target mean."""
+    df = scalar_features(df)
+    df = interaction(df, params.rate_median)
+    for c, t in params.freq_tables.items():
+        if c in df.columns:
+            df = encode.apply_frequency(df, c, t)
+    df = encode.apply_onehot(df, {c: lv for c, lv in params.onehot_levels.items() if c in df.columns})
+    if params.te is not None and TE_COLUMN in df.columns:
+        gm = params.te_mean.first()["_gm"] if isinstance(params.te_mean, DataFrame) else params.te_mean
+        df = encode.apply_target_encoding_new(df, TE_COLUMN, params.te, gm)
+    return drop_identifiers(df)

@@ -90,3 +90,35 @@ def test_contract_errors(spark):
         from lendspark.operators import split
 
         split.time_split(s, "no_such_col")
+
+
+def test_feature_params_round_trip_and_apply(spark, tmpdir_path):
+    from lendspark.operators import clean, encode, features, target
+
+    df = target.map_target(clean.clean(fx.loans_raw(spark, SF_SMALL)))
+    built, params = features.build_features(df, target="default")
+    params.save(spark, tmpdir_path + "/fp")
+    loaded = features.FeatureParams.load(spark, tmpdir_path + "/fp")
+    applied = features.apply_features(df, loaded)
+    assert applied.columns == built.columns
+    cols = [c for c in built.columns if c != "emp_title_target_te"]
+    a = built.select(*[F.col(f"`{c}`") for c in cols]).orderBy("row_id").collect()
+    b = applied.select(*[F.col(f"`{c}`") for c in cols]).orderBy("row_id").collect()
+    assert a == b
+    # scoring-time target encoding: the value's mean over all training rows
+    te = {r["emp_title"]: r["m"] for r in df.groupBy(F.coalesce("emp_title", F.lit("missing")).alias("emp_title"))
+          .agg(F.avg(F.col("default").cast("double")).alias("m")).collect()}
+    got = {r["emp_title"]: r["emp_title_target_te"] for r in applied.select("emp_title", "emp_title_target_te")
+           .distinct().collect()}
+    assert all(abs(got[k] - te[k]) < 1e-12 for k in got)
+    # unseen values fall back to the global mean
+    new = df.limit(3).withColumn("emp_title", F.lit("never seen title"))
+    gm = df.agg(F.avg(F.col("default").cast("double"))).first()[0]
+    vals = [r["emp_title_target_te"] for r in features.apply_features(new, loaded).collect()]
+    assert all(abs(v - gm) < 1e-12 for v in vals)
+
+    op = encode.fit_missing_and_outliers(built, exclude=("row_id", "default"))
+    encode.save_outlier_params(spark, op, tmpdir_path + "/op")
+    op2 = encode.load_outlier_params(spark, tmpdir_path + "/op")
+    assert op2.medians == op.medians and op2.bounds == op.bounds
+    assert set(op2.flag_columns) == set(op.flag_columns) and set(op2.log_columns) == set(op.log_columns)
