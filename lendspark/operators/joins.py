@@ -25,12 +25,11 @@ def unique_by_key(df: DataFrame, key: str, value_cols: Sequence[str], what: str
     agg = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("_dup"), *[F.first(c).alias(c) for c in value_cols]
     )
-    checked = agg.withColumn(
-        "_dup",
-        F.when(F.col("_dup") > 1, F.raise_error(F.concat(F.lit(f"duplicate key in {what}: "),
-                                                             F.col(key).cast("string")))),
-    )
-    return checked.drop("_dup")
+    # The check sits in a filter predicate so it is always evaluated (a
+    # projected-then-dropped column would be pruned by the optimizer).
+    fail = F.when(F.col("_dup") > 1, F.raise_error(
+        F.concat(F.lit(f"duplicate key in {what}: "), F.col(key).cast("string"))))
+    return agg.where(fail.isNull()).drop("_dup")
 
 
 def attach_labels(

@@ -114,3 +114,37 @@ def test_snake_case_and_collision(spark):
     assert clean.snake_case_columns(df).columns == ["loan_amnt", "int_rate_pct"]
     with pytest.raises(ValueError):
         clean.snake_case_columns(spark.createDataFrame([(1, 2)], "`A b` int, `a_b` int"))
+
+
+def test_date_fallback_only_when_needed(spark):
+    iso = [("2015-12-01",), ("2016-01-15",), ("Dec-2015",), (None,)]
+    df = spark.createDataFrame(iso, "issue_d string")
+    assert clean.date_fallback_columns(df) == ["issue_d"]          # 75% fail the month format
+    got = [r["issue_d"] for r in clean.coerce_types(df).collect()]
+    assert [g.strftime("%Y-%m-%d") if g else None for g in got] == ["2015-12-01", "2016-01-15", "2015-12-01", None]
+    mostly_months = spark.createDataFrame([("Dec-2015",)] * 19 + [("2015-12-01",)], "issue_d string")
+    assert clean.date_fallback_columns(mostly_months) == []         # 5% fail: no fallback
+    assert clean.coerce_types(mostly_months).where("issue_d IS NULL").count() == 1
+
+
+def test_leakage_report(spark):
+    df = spark.createDataFrame([(1, 2.0, 3.0, "x")], "row_id int, recoveries double, total_pymnt double, a string")
+    out, removed = target.remove_leakage_columns(df)
+    assert out.columns == ["row_id", "a"]
+    assert [r["dropped_column"] for r in target.leakage_report(spark, removed).orderBy("position").collect()] == \
+        ["recoveries", "total_pymnt"]
+
+
+def test_lookup_joins_raise_on_duplicate_keys(spark):
+    from lendspark.operators import joins
+
+    feats = spark.createDataFrame([(1, 0.5), (2, 0.7)], "row_id long, x double")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "row_id long, target int")
+    got = {r["row_id"]: r["default"] for r in joins.attach_labels(feats, labels).collect()}
+    assert got == {1: 1, 2: 0}
+    dup = labels.unionByName(spark.createDataFrame([(1, 0)], "row_id long, target int"))
+    with pytest.raises(Exception):
+        joins.attach_labels(feats, dup).collect()
+    clean_t = spark.createDataFrame([(1, "Dec-2015"), (2, "Jan-2016")], "row_id long, issue_d string")
+    rec = joins.recover_time_column(feats, clean_t, "issue_d")
+    assert {r["row_id"]: r["issue_d"].month for r in rec.collect()} == {1: 12, 2: 1}
