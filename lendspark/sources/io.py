@@ -56,12 +56,17 @@ def read_raw_csv(
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(path)
+    if not (key and key in df.columns) and ROW_ID not in df.columns:
+        # Assign the id before any shuffle: it is then a function of the
+        # file split and the row position, so a recomputed task (lost
+        # executor) gives every row the same id again.
+        df = df.select(F.monotonically_increasing_id().alias(ROW_ID), *[F.col(f"`{c}`") for c in df.columns])
     if partitions:
         df = df.repartition(partitions)
     df = na_tokens_to_null(df)
     if schema is None and infer_numeric:
         num = set(numeric_text_columns(df))
-        keys = {ROW_ID, key}
+        keys = {ROW_ID, key}  # identifiers keep their text until cast below
         df = df.select(*[
             F.trim(F.col(f"`{c}`")).cast("double").alias(c) if (c in num and c not in keys) else F.col(f"`{c}`")
             for c in df.columns
@@ -69,9 +74,7 @@ def read_raw_csv(
     if key and key in df.columns:
         df = df.withColumn(ROW_ID, F.col(f"`{key}`").cast("long"))
         return df.select(ROW_ID, *[F.col(f"`{c}`") for c in df.columns if c != ROW_ID])
-    if ROW_ID in df.columns:
-        return df.withColumn(ROW_ID, F.col(ROW_ID).cast("long"))
-    return df.select(F.monotonically_increasing_id().alias(ROW_ID), *[F.col(f"`{c}`") for c in df.columns])
+    return df.withColumn(ROW_ID, F.col(ROW_ID).cast("long"))
 
 
 def land(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
