@@ -94,3 +94,40 @@ def test_psi_matches_numpy(spark, exp, act):
         assert got is None
     else:
         assert abs(got - want) < 1e-9 * max(1.0, abs(want))
+
+
+@settings(max_examples=8, deadline=None)
+@given(rows=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 10_000)), min_size=5, max_size=80, unique_by=lambda t: t[1]))
+def test_exact_rank_many_buckets_matches_sort(spark, rows):
+    import lendspark.operators.curves as curves
+
+    old = curves.ROWS_PER_BUCKET
+    curves.ROWS_PER_BUCKET = 3            # force many range buckets on tiny input
+    try:
+        df = spark.createDataFrame(rows, "cls int, key long")
+        got = {(r["cls"], r["key"]): r["rank"] for r in curves.exact_rank(df, ["key"], ["cls"]).collect()}
+    finally:
+        curves.ROWS_PER_BUCKET = old
+    want = {}
+    for c in {c for c, _ in rows}:
+        for i, k in enumerate(sorted(k for cc, k in rows if cc == c)):
+            want[(c, k)] = i + 1
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None)
+@given(labels=st.lists(st.integers(0, 1), min_size=4, max_size=80), share=st.sampled_from([0.1, 0.2, 0.5, 0.8]))
+def test_stratified_quota_allocation(spark, labels, share):
+    import math
+
+    from lendspark.operators import split
+
+    df = spark.createDataFrame([(i, y) for i, y in enumerate(labels)], "row_id long, default int")
+    out = split.stratified_split(df, "default", share)
+    n = len(labels)
+    n_test = math.ceil(share * n)
+    got = {r["default"]: r["count"] for r in out.where("split = 'train'").groupBy("default").count().collect()}
+    counts = {c: labels.count(c) for c in set(labels)}
+    want = split.approximate_mode(dict(sorted(counts.items())), n - n_test)
+    assert {c: got.get(c, 0) for c in counts} == want
+    assert sum(want.values()) == n - n_test
