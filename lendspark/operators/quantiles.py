@@ -23,7 +23,9 @@ Interpolation then follows the ``percentile`` aggregate exactly
 statistics), so both methods return identical values.
 
 :func:`quantiles` picks per series: ``percentile`` while the approximate
-distinct count is at most ``EXACT_DISTINCT_LIMIT``, rank selection above.
+distinct count is at most ``EXACT_DISTINCT_LIMIT`` (and, for several columns
+in one aggregate, while their sum stays within ``FUSED_DISTINCT_BUDGET``),
+rank selection otherwise.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 from . import curves
 
 EXACT_DISTINCT_LIMIT = 2_000_000
+FUSED_DISTINCT_BUDGET = 4_000_000
 _COARSE = 256
 
 
@@ -248,8 +251,15 @@ def quantiles(
         hint = distinct_hint or {}
         missing = [c for c in cols if c not in hint]
         d = {**hint, **(distinct_probe(df, missing) if missing else {})}
-        small = [c for c in cols if d[c] <= EXACT_DISTINCT_LIMIT]
-        large = [c for c in cols if d[c] > EXACT_DISTINCT_LIMIT]
+        # One fused percentile aggregate merges every column's value map in
+        # one task: admit columns (fewest distinct values first) while the
+        # total stays within the budget; the rest use rank selection.
+        small, total = [], 0
+        for c in sorted(cols, key=lambda x: d[x]):
+            if d[c] <= EXACT_DISTINCT_LIMIT and total + d[c] <= FUSED_DISTINCT_BUDGET:
+                small.append(c)
+                total += d[c]
+        large = [c for c in cols if c not in small]
     elif method == "percentile":
         small, large = cols, []
     elif method == "rank":

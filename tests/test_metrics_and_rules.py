@@ -183,3 +183,15 @@ def test_fixture_band_counts_and_cutoff(spark):
     assert split.time_cutoff(s, "issue_ts") == 955497600000000
     c = {r["split"]: r["count"] for r in split.time_split_label(s, "issue_ts").groupBy("split").count().collect()}
     assert (c["train"], c["validation"]) == (11831, 2957)
+
+
+def test_fused_budget_routes_columns(spark, monkeypatch):
+    from lendspark.operators import curves, quantiles
+
+    s = fx.loans(spark, SF_SMALL)
+    cols = ["loan_amnt", "dti", "fico_mean"]
+    monkeypatch.setattr(curves, "ROWS_PER_BUCKET", 40)
+    monkeypatch.setattr(quantiles, "FUSED_DISTINCT_BUDGET", 100)   # only the small-cardinality column fits
+    mixed = quantiles.quantiles(s, cols, [0.01, 0.5, 0.99], method="auto")
+    ref = quantiles.quantiles(s, cols, [0.01, 0.5, 0.99], method="percentile")
+    assert mixed == ref
