@@ -141,10 +141,13 @@ def apply_target_encoding(
     enc: TargetEncoding,
     fold: Column | None = None,
     out: str | None = None,
+    freq_out: str | None = None,
 ) -> DataFrame:
     """E3 apply. With ``fold`` (training rows): mean of the value's target
     over the *other* folds; without (new rows): over all folds. Unseen or
-    undefined -> the global target mean of the fitting rows."""
+    undefined -> the global target mean of the fitting rows. ``freq_out``
+    also emits the value's row count (the frequency encoding of the same
+    column) from the same join."""
     out = out or f"{column}{TE_SUFFIX}"
     key = F.coalesce(_q(column).cast("string"), F.lit(MISSING_TOKEN))
     left = df.withColumn("_tkey", key)
@@ -157,6 +160,8 @@ def apply_target_encoding(
     else:
         num, den = F.col("_all_sum"), F.col("_all_n")
     enc_val = F.when(den > 0, num / den)
+    if freq_out:
+        joined = joined.withColumn(freq_out, F.col("_all_n").cast("double"))
     return joined.withColumn(out, enc_val).drop(
         "_tkey", "_tf", "_value", "_fold_sum", "_fold_n", "_all_sum", "_all_n")
 
@@ -183,6 +188,7 @@ def fit_apply_target_encoding(
     n_splits: int = 5,
     seed: int = 42,
     out: str | None = None,
+    freq_out: str | None = None,
 ) -> tuple[DataFrame, TargetEncoding, DataFrame]:
     """E3 on ``df`` itself, also returning the fitted table and the one-row
     global mean (for scoring new rows later)."""
@@ -190,7 +196,7 @@ def fit_apply_target_encoding(
     fold = fold if fold is not None else fold_column("row_id", n_splits, seed)
     enc = fit_target_encoding(df, column, target, fold, n_splits)
     gm = df.agg(F.avg(_q(target).cast("double")).alias("_gm"))
-    res = apply_target_encoding(df, column, target, enc, fold, out)
+    res = apply_target_encoding(df, column, target, enc, fold, out, freq_out)
     res = res.crossJoin(F.broadcast(gm)).withColumn(out, F.coalesce(F.col(out), F.col("_gm"))).drop("_gm")
     return res, enc, gm
 

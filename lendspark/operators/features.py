@@ -231,14 +231,31 @@ def build_features(
     df = scalar_features(df)
     params = FeatureParams(rate_median=fit_interaction(df))
     df = interaction(df, params.rate_median)
-    for c in [c for c in FREQ_COLUMNS if c in df.columns]:
+    # With a target, the target-encoding table of ``emp_title`` already
+    # holds its row counts: one join gives both encodings (one shuffle of
+    # the wide table instead of two).
+    shared = target is not None and TE_COLUMN in df.columns
+    freq_cols = [c for c in FREQ_COLUMNS if c in df.columns]
+    for c in freq_cols:
+        if shared and c == TE_COLUMN:
+            continue
         params.freq_tables[c] = encode.fit_frequency(df, c)
         df = encode.apply_frequency(df, c, params.freq_tables[c])
     onehot = [c for c in ONEHOT_COLUMNS if c in df.columns]
     params.onehot_levels = encode.fit_onehot_levels(df, onehot, CATEGORY_ORDER, max_levels)
     df = encode.apply_onehot(df, params.onehot_levels)
-    if target is not None and TE_COLUMN in df.columns:
-        df, params.te, params.te_mean = encode.fit_apply_target_encoding(df, TE_COLUMN, target, fold, n_splits, seed)
+    if shared:
+        freq_name = f"{TE_COLUMN}{encode.FREQ_SUFFIX}"
+        df, params.te, params.te_mean = encode.fit_apply_target_encoding(
+            df, TE_COLUMN, target, fold, n_splits, seed, freq_out=freq_name)
+        params.freq_tables[TE_COLUMN] = params.te.table.select(
+            "_value", F.col("_all_n").cast("double").alias("_freq"))
+        params.freq_tables = {c: params.freq_tables[c] for c in freq_cols}
+        # Put the count column back where the separate join would have.
+        cols = [c for c in df.columns if c != freq_name]
+        later = [f"{c}{encode.FREQ_SUFFIX}" for c in freq_cols if c != TE_COLUMN]
+        at = cols.index(later[0]) if later else cols.index("loan_x_int") + 1
+        df = df.select(*[F.col(f"`{c}`") for c in cols[:at] + [freq_name] + cols[at:]])
     return drop_identifiers(df), params
 
 
