@@ -35,19 +35,35 @@ def fit_frequency(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(v.alias("_value")).agg(F.count(F.lit(1)).cast("double").alias("_freq"))
 
 
-def apply_frequency(df: DataFrame, column: str, table: DataFrame, out: str | None = None) -> DataFrame:
-    """E1 apply: left join on the value (unseen values -> NULL)."""
+# Value tables up to this many rows are broadcast (checked before use).
+BROADCAST_ROWS = 100_000
+
+
+def is_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    """Size check before a broadcast: at most ``limit`` rows (bounded count)."""
+    return table.limit(limit + 1).count() <= limit
+
+
+def apply_frequency(
+    df: DataFrame, column: str, table: DataFrame, out: str | None = None, broadcast: bool = False
+) -> DataFrame:
+    """E1 apply: left join on the value (unseen values -> NULL). With
+    ``broadcast`` (a checked small table) the wide side is not shuffled;
+    otherwise a shuffle join whose hot values adaptive execution splits."""
     out = out or f"{column}{FREQ_SUFFIX}"
     key = F.coalesce(_q(column).cast("string"), F.lit(MISSING_TOKEN))
     left = df.withColumn("_fkey", key)
-    joined = left.join(table, left["_fkey"] == table["_value"], "left")
+    right = F.broadcast(table) if broadcast else table
+    joined = left.join(right, left["_fkey"] == right["_value"], "left")
     return joined.withColumn(out, F.col("_freq")).drop("_fkey", "_value", "_freq")
 
 
 def frequency_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """E1 for several columns, fitted on ``df`` itself."""
+    """E1 for several columns, fitted on ``df`` itself; small value tables
+    (size-checked) are broadcast."""
     for c in columns:
-        df = apply_frequency(df, c, fit_frequency(df, c))
+        t = fit_frequency(df, c)
+        df = apply_frequency(df, c, t, broadcast=is_small(t))
     return df
 
 

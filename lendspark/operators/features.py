@@ -239,8 +239,8 @@ def build_features(
     for c in freq_cols:
         if shared and c == TE_COLUMN:
             continue
-        params.freq_tables[c] = encode.fit_frequency(df, c)
-        df = encode.apply_frequency(df, c, params.freq_tables[c])
+        params.freq_tables[c] = t = encode.fit_frequency(df, c)
+        df = encode.apply_frequency(df, c, t, broadcast=encode.is_small(t))
     onehot = [c for c in ONEHOT_COLUMNS if c in df.columns]
     params.onehot_levels = encode.fit_onehot_levels(df, onehot, CATEGORY_ORDER, max_levels)
     df = encode.apply_onehot(df, params.onehot_levels)
@@ -267,7 +267,7 @@ def apply_features(df: DataFrame, params: FeatureParams) -> DataFrame:
     df = interaction(df, params.rate_median)
     for c, t in params.freq_tables.items():
         if c in df.columns:
-            df = encode.apply_frequency(df, c, t)
+            df = encode.apply_frequency(df, c, t, broadcast=encode.is_small(t))
     df = encode.apply_onehot(df, {c: lv for c, lv in params.onehot_levels.items() if c in df.columns})
     if params.te is not None and TE_COLUMN in df.columns:
         gm = params.te_mean.first()["_gm"] if isinstance(params.te_mean, DataFrame) else params.te_mean
