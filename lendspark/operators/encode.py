@@ -158,6 +158,7 @@ def apply_target_encoding(
     fold: Column | None = None,
     out: str | None = None,
     freq_out: str | None = None,
+    broadcast: bool = False,
 ) -> DataFrame:
     """E3 apply. With ``fold`` (training rows): mean of the value's target
     over the *other* folds; without (new rows): over all folds. Unseen or
@@ -169,7 +170,8 @@ def apply_target_encoding(
     left = df.withColumn("_tkey", key)
     if fold is not None:
         left = left.withColumn("_tf", fold + 1)
-    joined = left.join(enc.table, left["_tkey"] == enc.table["_value"], "left")
+    right = F.broadcast(enc.table) if broadcast else enc.table
+    joined = left.join(right, left["_tkey"] == right["_value"], "left")
     if fold is not None:
         num = F.col("_all_sum") - F.element_at("_fold_sum", F.col("_tf"))
         den = F.col("_all_n") - F.element_at("_fold_n", F.col("_tf"))
@@ -212,7 +214,7 @@ def fit_apply_target_encoding(
     fold = fold if fold is not None else fold_column("row_id", n_splits, seed)
     enc = fit_target_encoding(df, column, target, fold, n_splits)
     gm = df.agg(F.avg(_q(target).cast("double")).alias("_gm"))
-    res = apply_target_encoding(df, column, target, enc, fold, out, freq_out)
+    res = apply_target_encoding(df, column, target, enc, fold, out, freq_out, broadcast=is_small(enc.table))
     res = res.crossJoin(F.broadcast(gm)).withColumn(out, F.coalesce(F.col(out), F.col("_gm"))).drop("_gm")
     return res, enc, gm
 
@@ -223,7 +225,7 @@ def apply_target_encoding_new(
     """E3 for rows outside the fit (scoring): the value's mean over all
     folds; unseen or missing values get the fitted global mean."""
     out = out or f"{column}{TE_SUFFIX}"
-    res = apply_target_encoding(df, column, "", enc, None, out)
+    res = apply_target_encoding(df, column, "", enc, None, out, broadcast=is_small(enc.table))
     return res.withColumn(out, F.coalesce(F.col(out), F.lit(global_mean).cast("double")))
 
 
