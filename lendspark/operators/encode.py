@@ -44,6 +44,19 @@ def is_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return table.limit(limit + 1).count() <= limit
 
 
+def small_value_columns(df: DataFrame, columns: Sequence[str], limit: int = BROADCAST_ROWS) -> set[str]:
+    """Columns whose value tables (missing counted as one value) have at
+    most ``limit`` rows: exact distinct counts of all columns in one
+    aggregate, so one pass decides every broadcast."""
+    if not columns:
+        return set()
+    row = df.agg(*[
+        F.count_distinct(F.coalesce(_q(c).cast("string"), F.lit(MISSING_TOKEN))).alias(f"d{i}")
+        for i, c in enumerate(columns)
+    ]).first()
+    return {c for i, c in enumerate(columns) if row[f"d{i}"] <= limit}
+
+
 def apply_frequency(
     df: DataFrame, column: str, table: DataFrame, out: str | None = None, broadcast: bool = False
 ) -> DataFrame:
@@ -61,9 +74,9 @@ def apply_frequency(
 def frequency_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """E1 for several columns, fitted on ``df`` itself; small value tables
     (size-checked) are broadcast."""
+    small = small_value_columns(df, columns)
     for c in columns:
-        t = fit_frequency(df, c)
-        df = apply_frequency(df, c, t, broadcast=is_small(t))
+        df = apply_frequency(df, c, fit_frequency(df, c), broadcast=c in small)
     return df
 
 
@@ -207,6 +220,7 @@ def fit_apply_target_encoding(
     seed: int = 42,
     out: str | None = None,
     freq_out: str | None = None,
+    broadcast: bool | None = None,
 ) -> tuple[DataFrame, TargetEncoding, DataFrame]:
     """E3 on ``df`` itself, also returning the fitted table and the one-row
     global mean (for scoring new rows later)."""
@@ -214,7 +228,8 @@ def fit_apply_target_encoding(
     fold = fold if fold is not None else fold_column("row_id", n_splits, seed)
     enc = fit_target_encoding(df, column, target, fold, n_splits)
     gm = df.agg(F.avg(_q(target).cast("double")).alias("_gm"))
-    res = apply_target_encoding(df, column, target, enc, fold, out, freq_out, broadcast=is_small(enc.table))
+    small = is_small(enc.table) if broadcast is None else broadcast
+    res = apply_target_encoding(df, column, target, enc, fold, out, freq_out, broadcast=small)
     res = res.crossJoin(F.broadcast(gm)).withColumn(out, F.coalesce(F.col(out), F.col("_gm"))).drop("_gm")
     return res, enc, gm
 

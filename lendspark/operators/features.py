@@ -236,18 +236,20 @@ def build_features(
     # the wide table instead of two).
     shared = target is not None and TE_COLUMN in df.columns
     freq_cols = [c for c in FREQ_COLUMNS if c in df.columns]
+    # One pass decides which value tables are small enough to broadcast.
+    small = encode.small_value_columns(df, list(dict.fromkeys(freq_cols + ([TE_COLUMN] if shared else []))))
     for c in freq_cols:
         if shared and c == TE_COLUMN:
             continue
         params.freq_tables[c] = t = encode.fit_frequency(df, c)
-        df = encode.apply_frequency(df, c, t, broadcast=encode.is_small(t))
+        df = encode.apply_frequency(df, c, t, broadcast=c in small)
     onehot = [c for c in ONEHOT_COLUMNS if c in df.columns]
     params.onehot_levels = encode.fit_onehot_levels(df, onehot, CATEGORY_ORDER, max_levels)
     df = encode.apply_onehot(df, params.onehot_levels)
     if shared:
         freq_name = f"{TE_COLUMN}{encode.FREQ_SUFFIX}"
         df, params.te, params.te_mean = encode.fit_apply_target_encoding(
-            df, TE_COLUMN, target, fold, n_splits, seed, freq_out=freq_name)
+            df, TE_COLUMN, target, fold, n_splits, seed, freq_out=freq_name, broadcast=TE_COLUMN in small)
         params.freq_tables[TE_COLUMN] = params.te.table.select(
             "_value", F.col("_all_n").cast("double").alias("_freq"))
         params.freq_tables = {c: params.freq_tables[c] for c in freq_cols}
