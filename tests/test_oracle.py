@@ -34,3 +34,10 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) == 10
     assert "risk_label" in df.columns and "action" in df.columns
+
+
+def test_registry_contract():
+    q, o = queries(), oracle_sql()
+    assert set(o) <= set(q)
+    assert set(q) - set(o) == {"train_score", "tune_select", "recalibrate"}
+    assert all(isinstance(v, str) and v.strip() for v in o.values())
