@@ -61,3 +61,37 @@ def filesystem(uri: str):
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def ship(query):
+    """Let Python workers import this package: once a session, its sources
+    are put into the shared folder as a zip file and added to the job's files
+    (as ``--py-files`` does). Wraps functions whose first argument is the
+    session."""
+    import functools
+    import io
+    import os
+    import zipfile
+
+    name = "lendspark_sources.zip"
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args, **options):
+        if not any(f.endswith(name) for f in spark.sparkContext.listFiles):
+            root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+            held = io.BytesIO()
+            with zipfile.ZipFile(held, "w") as z:
+                for folder, _, files in os.walk(root):
+                    for f in sorted(files):
+                        if f.endswith(".py"):
+                            path = os.path.join(folder, f)
+                            z.write(path, os.path.relpath(path, os.path.dirname(root)))
+            uri = scratch_dir(spark, "sources")
+            fs, path = filesystem(uri)
+            fs.create_dir(path, recursive=True)
+            with fs.open_output_stream(f"{path}/{name}", compression=None) as out:
+                out.write(held.getvalue())
+            spark.sparkContext.addPyFile(f"{uri}/{name}")
+        return query(spark, *args, **options)
+
+    return run

@@ -1,8 +1,8 @@
 """Queries of this subpackage and their SQL."""
 
-from . import op7_mix, op9_license
+from . import op2_warc, op4_vafile, op6_langid, op7_mix, op8_tokens, op9_license
 
-MODULES = [op7_mix, op9_license]
+MODULES = [op2_warc, op4_vafile, op6_langid, op7_mix, op8_tokens, op9_license]
 
 
 def queries() -> dict:
