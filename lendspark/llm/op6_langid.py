@@ -170,18 +170,18 @@ def fit(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> Trees:
     return Trees({lang: (g.gram.to_numpy(np.int64), g.n.to_numpy(np.float64)) for lang, g in counted.groupby("lang")})
 
 
-def identify(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, the share of the predicted
-    language if all were equally likely beforehand."""
+def identify(docs: DataFrame, trees: Trees, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with two columns more: the predicted language, and its share
+    if all languages were equally likely beforehand."""
     from pyspark.sql import types as T
 
     if not trees.langs:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return docs.withColumns({names[0]: F.lit(UNKNOWN), names[1]: F.lit(0.0)})
     model = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = model.value
-        names = np.array(trees.langs, object)
+        langs = np.array(trees.langs, object)
         for batch in batches:
             bits = trees.code_lengths(*text_bytes(batch.column(batch.num_columns - 2)))
             best = bits.argmin(axis=1)
@@ -189,17 +189,17 @@ def identify(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
             lettered = np.array(batch.column(batch.num_columns - 1).to_pylist(), bool)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in range(batch.num_columns - 2)]
-                + [pa.array(np.where(lettered, names[best], UNKNOWN), pa.string()), pa.array(np.where(lettered, score, 0.0))],
+                + [pa.array(np.where(lettered, langs[best], UNKNOWN), pa.string()), pa.array(np.where(lettered, score, 0.0))],
                 names=[f"c{k}" for k in range(batch.num_columns)],
             )
 
     # Positional names inside: the table may have columns of any name.
     rows = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
     source = rows[f"c{docs.columns.index(text)}"]
-    fields = rows.schema.fields + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    fields = rows.schema.fields + [T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())]
     fields = [T.StructField(f"c{k}", f.dataType) for k, f in enumerate(fields)]
     sent = rows.select("*", source.cast("binary").alias("x"), has_letter(source).alias("y"))
-    return sent.mapInArrow(run, T.StructType(fields)).toDF(*docs.columns, "lang_pred", "score")
+    return sent.mapInArrow(run, T.StructType(fields)).toDF(*docs.columns, *names)
 
 
 def has_letter(text: Column) -> Column:
