@@ -11,7 +11,6 @@ Sub-packages:
              splits, joins, curves, metrics, banding, models
   sources    readers / writers and the fixture views over the test tables
   plans      user-facing pipelines and the driver query registry
-  streaming  the scoring monitor as a Structured Streaming query
 """
 
 __version__ = "0.1.0"

@@ -67,13 +67,25 @@ def quantile_band(x: str | Column, edges: Column) -> Column:
     )
 
 
+def band_of(x: str | Column, edges: Sequence[float]) -> Column:
+    """:func:`quantile_band` for edges known beforehand: a sum of comparisons."""
+    x = col_of(x)
+    if len(edges) < 2:
+        return F.lit(None).cast("int")
+    below = F.lit(0)
+    for e in edges[1:-1]:
+        below = below + (x > F.lit(float(e))).cast("int")
+    return F.when(x.isNotNull(), below)
+
+
 def width_bin(x: str | Column, n_bins: int) -> Column:
     """Equal-width bins on [0, 1], right-closed: count of inner edges < x."""
     x = col_of(x)
     inner = linspace_probs(n_bins)[1:-1]
-    return F.when(
-        x.isNotNull(), F.size(F.filter(lit_array(inner), lambda e: e < x)).cast("int")
-    )
+    below = F.lit(0)
+    for e in inner:
+        below = below + (x > F.lit(e)).cast("int")
+    return F.when(x.isNotNull(), below)
 
 
 def histogram_bin(x: str | Column, edges: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.nulls import to_double
+from ..functions.nulls import normalise_nan, to_double
 from ..functions.parse import (
     emp_length_clean,
     extract_term,
@@ -23,6 +23,7 @@ from ..functions.parse import (
     parse_percent_strict,
     snake_case_name,
 )
+from ..sources.stages import stage
 from . import stats
 
 DEFAULT_DROP_THRESHOLD = 0.6
@@ -84,7 +85,7 @@ def date_fallback_columns(df: DataFrame, columns: Sequence[str] = DATE_COLUMNS)
     return [c for c in present if (row[c] or 0.0) > DATE_FALLBACK_SHARE]
 
 
-def coerce_types(df: DataFrame, date_fallback: bool | str = "auto") -> DataFrame:
+def coerce_types(df: DataFrame, date_fallback: bool | str | Sequence[str] = "auto") -> DataFrame:
     """C16 = C6-C9 in one projection.
 
     dates -> timestamp (month format, with the free-form fallback for the
@@ -93,11 +94,13 @@ def coerce_types(df: DataFrame, date_fallback: bool | str = "auto") -> DataFrame
     columns coerced (bad text -> NULL).
 
     ``date_fallback``: ``"auto"`` decides per column with one aggregate,
-    ``True`` / ``False`` force it.
+    ``True`` / ``False`` force it, a list names the columns.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     if date_fallback == "auto":
         fallback = set(date_fallback_columns(df))
+    elif not isinstance(date_fallback, bool):
+        fallback = set(date_fallback)
     elif date_fallback:
         fallback = {c for c in DATE_COLUMNS if c in df.columns}
     else:
@@ -158,19 +161,18 @@ class ImputeParams:
 
 
 def fit_impute(df: DataFrame, exclude: Sequence[str] = ("row_id",)) -> ImputeParams:
-    """C13 / C14 fit: missing shares and distinct counts of numeric columns
-    (one aggregate), then exact medians of the columns with gaps."""
+    """C13 / C14 fit: missing shares of numeric columns, then exact medians
+    of the columns with gaps (NaN is a gap)."""
     num = stats.numeric_columns(df, exclude=exclude)
-    rates, distinct = stats.profile(df, num, num)
-    gaps = [c for c in num if rates[c] > 0]
-    meds = stats.medians(df, gaps, distinct_hint=distinct)
-    cats = [c for c in stats.string_columns(df)]
-    return ImputeParams(medians=meds, categorical=cats)
+    rates = stats.missing_rates(df, num)
+    meds = stats.medians(df, [c for c in num if rates[c] > 0])
+    return ImputeParams(medians=meds, categorical=list(stats.string_columns(df)))
 
 
 def apply_impute(df: DataFrame, params: ImputeParams) -> DataFrame:
     """C13 / C14 apply: ``{c}_missing`` (int) flags appended, numeric gaps
     filled with the median, string gaps with ``'Unknown'``."""
+    df = normalise_nan(df)
     cols = []
     for c in df.columns:
         if c in params.medians:
@@ -184,11 +186,47 @@ def apply_impute(df: DataFrame, params: ImputeParams) -> DataFrame:
     return df.select(*cols, *flags)
 
 
+@dataclass
+class CleanParams:
+    """Learned state of the whole cleaning stage, for new loans."""
+
+    fallback_dates: list = field(default_factory=list)
+    dropped: list = field(default_factory=list)
+    impute: ImputeParams = field(default_factory=ImputeParams)
+
+    # --- IO7 persistence ---------------------------------------------------------
+    def save(self, spark, path: str) -> None:
+        rows = [("fallback", c, None) for c in self.fallback_dates] + [("dropped", c, None) for c in self.dropped]
+        rows += [("median", c, m) for c, m in self.impute.medians.items()]
+        rows += [("categorical", c, None) for c in self.impute.categorical]
+        rows = [(i, *x) for i, x in enumerate(rows)]
+        spark.createDataFrame(rows, "position int, kind string, column string, value double") \
+            .coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark, path: str) -> CleanParams:
+        rows = spark.read.parquet(path).orderBy("position").collect()
+        of = lambda kind: [r["column"] for r in rows if r["kind"] == kind]
+        medians = {r["column"]: r["value"] for r in rows if r["kind"] == "median"}
+        return CleanParams(of("fallback"), of("dropped"), ImputeParams(medians, of("categorical")))
+
+
+def fit_missing(df: DataFrame, drop_threshold: float = DEFAULT_DROP_THRESHOLD) -> CleanParams:
+    """C17 fit: columns to drop, then medians over the rows that stay."""
+    df = normalise_nan(df)
+    dropped = [c for c, r in stats.missing_rates(df).items() if r > drop_threshold]
+    kept = drop_missing_rows(df.drop(*dropped))
+    return CleanParams(dropped=dropped, impute=fit_impute(kept))
+
+
+def apply_missing(df: DataFrame, p: CleanParams) -> DataFrame:
+    """C17 apply = C10 -> C11 -> C12 -> C13 -> C14 with learned parameters."""
+    return apply_impute(drop_missing_rows(normalise_nan(df).drop(*p.dropped)), p.impute)
+
+
 def handle_missing(df: DataFrame, drop_threshold: float = DEFAULT_DROP_THRESHOLD) -> DataFrame:
-    """C17 = C10 -> C11 -> C12 -> C13 -> C14."""
-    df = drop_sparse_columns(df, drop_threshold)
-    df = drop_missing_rows(df)
-    return apply_impute(df, fit_impute(df))
+    """C17 fitted on ``df`` itself."""
+    return apply_missing(df, fit_missing(df, drop_threshold))
 
 
 def target_first(df: DataFrame, target: str = TARGET_SOURCE) -> DataFrame:
@@ -198,21 +236,39 @@ def target_first(df: DataFrame, target: str = TARGET_SOURCE) -> DataFrame:
     return df.select(_q(target), *[_q(c) for c in df.columns if c != target])
 
 
-def clean(
+def typed(df: DataFrame, date_fallback="auto") -> tuple[DataFrame, list[str]]:
+    """C1 -> C5 -> C16, and the date columns read with the free-form fallback."""
+    df = drop_irrelevant_columns(snake_case_columns(df))
+    if date_fallback == "auto":
+        date_fallback = date_fallback_columns(df)
+    elif isinstance(date_fallback, bool):
+        date_fallback = [c for c in DATE_COLUMNS if c in df.columns] if date_fallback else []
+    return coerce_types(df, date_fallback=date_fallback), list(date_fallback)
+
+
+def fit_clean(
     df: DataFrame, drop_threshold: float = DEFAULT_DROP_THRESHOLD, date_fallback="auto", materialize: bool = True
-) -> DataFrame:
-    """C1 -> C5 -> C16 -> C17 -> C15 on an already loaded raw table.
-
-    Three fit aggregates and the output read the typed table, so it is
-    materialised once (reliable checkpoint in ``spark.checkpoint.dir``)
-    unless ``materialize`` is off."""
-    df = snake_case_columns(df)
-    df = drop_irrelevant_columns(df)
-    df = coerce_types(df, date_fallback=date_fallback)
+) -> tuple[DataFrame, CleanParams]:
+    """C18 on a raw table, also returning what was learned. The typed table
+    is staged once (the fits and the result read it) unless ``materialize``
+    is off."""
+    df, fallback = typed(df, date_fallback)
     if materialize:
-        from ..session import ensure_checkpoint_dir
+        df = stage(df, "typed")
+    params = fit_missing(df, drop_threshold)
+    params.fallback_dates = fallback
+    return target_first(apply_missing(df, params)), params
+
 
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    df = handle_missing(df, drop_threshold)
-    return target_first(df)
+def apply_clean(df: DataFrame, params: CleanParams) -> DataFrame:
+    """C18 for new raw loans with frozen parameters: the same columns dropped,
+    the same date formats, the training run's medians. Text columns that the
+    training run did not have stay as they are."""
+    return target_first(apply_missing(typed(df, params.fallback_dates)[0], params))
+
+
+def clean(
+    df: DataFrame, drop_threshold: float = DEFAULT_DROP_THRESHOLD, date_fallback="auto", materialize: bool = True
+) -> DataFrame:
+    """C1 -> C5 -> C16 -> C17 -> C15 on an already loaded raw table."""
+    return fit_clean(df, drop_threshold, date_fallback, materialize)[0]

@@ -3,74 +3,23 @@
 A window with no ``partitionBy`` moves every row into one task. The
 two-level scheme used here keeps the result exact and the work spread out:
 
-1. one small action: approximate quantile edges of the ordering key
-   (a bounded array, at most ``MAX_BUCKETS`` values) and the row count;
-2. ``bucket`` = range bucket of the key (binary search on the edges, JVM
-   side); buckets preserve the order;
-3. per ``(partition, bucket)`` totals - a tiny table - and their running
-   offsets (a window over the tiny table);
-4. a window ``partitionBy(partition, bucket)`` for the running sum inside
-   each bucket, plus the bucket's offset.
-
-Used by AUC / KS (overall and per segment) and by exact stratified quotas.
+1. rows are dealt by range of (partition columns, order columns) and written
+   once with the number of their range; the ranges follow the data;
+2. totals per (partition, range), a tiny table, and their running offsets;
+3. a window inside each range for the running sum, plus the range's offset.
+
+Used by AUC / KS (overall and per segment) and by exact ranks.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bucket sizing: aim for this many rows per bucket window, within bounds.
-ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 16_384
-_COARSE_GRID = 256
-
-
-def _grid(n: int) -> list[float]:
-    return [i / n for i in range(1, n)]
-
-
-def _bucket_edges(df: DataFrame, key: str) -> list[float]:
-    """Order-preserving bucket boundaries for ``key``.
-
-    One aggregate returns the row count and a coarse approximate quantile
-    grid; only when the data needs more buckets than that grid offers (large
-    inputs) does a second aggregate fetch a finer grid. The edges are a
-    bounded list (at most ``MAX_BUCKETS`` doubles).
-    """
-    k = F.col(key).cast("double")
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(k, _grid(_COARSE_GRID), 10_000).alias("edges"),
-    ).first()
-    n = int(row["n"] or 0)
-    n_buckets = max(1, min(MAX_BUCKETS, n // ROWS_PER_BUCKET))
-    if n_buckets <= 1:
-        return []
-    if n_buckets <= _COARSE_GRID:
-        edges = row["edges"] or []
-        stride = max(1, _COARSE_GRID // n_buckets)
-        edges = edges[stride - 1 :: stride]
-    else:
-        accuracy = max(10_000, 4 * n_buckets)
-        edges = df.agg(F.percentile_approx(k, _grid(n_buckets), accuracy).alias("e")).first()["e"] or []
-    return sorted({e for e in edges if e is not None and not math.isnan(e)})
-
-
-def add_range_bucket(df: DataFrame, key: str, out: str = "_bucket") -> DataFrame:
-    """Add an order-preserving bucket id for ``key`` (0 when data is small)."""
-    edges = _bucket_edges(df, key)
-    if not edges:
-        return df.withColumn(out, F.lit(0))
-    splits = [-math.inf] + edges + [math.inf]
-    tmp = f"{out}_key"
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=f"{out}_d", handleInvalid="keep")
-    res = b.transform(df.withColumn(tmp, F.col(key).cast("double")))
-    return res.withColumn(out, F.col(f"{out}_d").cast("int")).drop(tmp, f"{out}_d")
+from ..functions.nulls import nan_to_null
+from ..sources.stages import stage
 
 
 def running_sums(
@@ -84,13 +33,13 @@ def running_sums(
 ) -> DataFrame:
     """Inclusive running sums of ``value_cols`` in ``order_cols`` order.
 
-    ``(partition_cols, order_cols)`` must identify a row; the first order
-    column decides the range bucket. Returns ``df`` plus ``{prefix}{v}``
-    (and the partition totals ``tot_{v}`` when ``with_totals``).
+    ``(partition_cols, order_cols)`` must identify a row. Returns ``df``
+    plus ``{prefix}{v}`` (and the partition totals ``tot_{v}`` when
+    ``with_totals``).
     """
     part = list(partition_cols)
-    first = order_cols[0]
-    bucketed = add_range_bucket(df, first)
+    ranged = df.repartitionByRange(*part, *order_cols).withColumn("_bucket", F.spark_partition_id())
+    bucketed = stage(ranged, "ranges")
 
     def ordered(cols):
         return [F.col(c).desc() if descending else F.col(c).asc() for c in cols]
@@ -114,10 +63,9 @@ def running_sums(
             for v in (value_cols if with_totals else [])
         ],
     )
-    # The offsets table has at most (#partitions x #buckets) rows; with no
-    # partition columns it is bounded by MAX_BUCKETS and safe to broadcast.
-    if not part:
-        offsets = F.broadcast(offsets)
+    # One row per (partition, range): with ranges in partition order at most
+    # as many as there are ranges and partitions together. The planner joins
+    # it by its size.
     joined = bucketed.join(offsets, on=[*part, "_bucket"], how="inner")
     w_in = (
         Window.partitionBy(*part, "_bucket")
@@ -131,26 +79,32 @@ def running_sums(
     )
 
 
-def roc_points(
-    df: DataFrame,
-    score: str,
-    label: str,
-    partition_cols: Sequence[str] = (),
-) -> DataFrame:
+def score_counts(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys, _v, n, labelled, pos)`` per distinct score (NaN is missing),
+    missing scores included: one pass, from which every score metric follows."""
+    y = F.col(label).cast("long")
+    return df.groupBy(*keys, nan_to_null(F.col(score)).alias("_v")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(y).alias("labelled"), F.coalesce(F.sum(y), F.lit(0)).alias("pos")
+    )
+
+
+def roc_points(counts: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
     """Distinct scores (per partition) with ``pos, neg`` and the running
-    ``cum_pos, cum_neg`` in descending score order (ties folded together).
-    Rows with a NULL score or label are ignored."""
+    ``cum_pos, cum_neg`` in descending score order (ties folded together),
+    from :func:`score_counts`. Missing scores and labels are ignored."""
     part = list(partition_cols)
-    y = F.col(label).cast("long")
-    counts = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*part, F.col(score).alias("_score"))
-        .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
+    points = counts.where(F.col("_v").isNotNull() & (F.col("labelled") > 0)).select(
+        *part, F.col("_v").alias("_score"), "pos", (F.col("labelled") - F.col("pos")).alias("neg")
     )
-    return running_sums(counts, ["_score"], ["pos", "neg"], part, descending=True, with_totals=True)
+    return running_sums(points, ["_score"], ["pos", "neg"], part, descending=True, with_totals=True)
 
 
 def auc_ks(df: DataFrame, score: str, label: str, partition_cols: Sequence[str] = ()) -> DataFrame:
+    """:func:`auc_ks_of_counts` of a scored table."""
+    return auc_ks_of_counts(score_counts(df, score, label, partition_cols), partition_cols)
+
+
+def auc_ks_of_counts(counts: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
     """Tie-aware ROC AUC and KS (max |TPR - FPR|), one row per partition.
 
     AUC = sum over distinct scores of ``neg * (cum_pos_before + pos / 2)`` /
@@ -159,7 +113,7 @@ def auc_ks(df: DataFrame, score: str, label: str, partition_cols: Sequence[str]
     NULL when a class is absent.
     """
     part = list(partition_cols)
-    pts = roc_points(df, score, label, part)
+    pts = roc_points(counts, part)
     dec = "decimal(38,0)"
     num = F.col("neg").cast(dec) * (
         F.lit(2).cast(dec) * (F.col("cum_pos") - F.col("pos")).cast(dec) + F.col("pos").cast(dec)

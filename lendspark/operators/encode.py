@@ -2,9 +2,9 @@
 
 Learned state is small and explicit: per-column literals (medians, clip
 bounds, means, stds, one-hot levels) or grouped tables (value counts,
-fold sums) that are joined back by value. Joins on a value column let the
-optimizer broadcast small tables at runtime and split skewed values (the
-``'missing'`` value can be a hot key) with adaptive skew handling.
+fold sums) that are joined back by value. Grouped tables are stage tables, so
+the planner knows their bytes: small ones are broadcast, and beyond that a
+shuffle join splits skewed values (the ``'missing'`` value can be a hot key).
 """
 
 from __future__ import annotations
@@ -15,7 +15,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.nulls import normalise_nan
+from ..sources.stages import stage
 from . import stats
+from .quantiles import interpolate, long_form, needed_ranks, order_statistics
 
 MISSING_TOKEN = "missing"
 FREQ_SUFFIX = "_freq_enc"
@@ -32,88 +35,42 @@ def fit_frequency(df: DataFrame, column: str) -> DataFrame:
     """E1 fit: row count per value, missing counted as ``'missing'``.
     Partial aggregation keeps hot values cheap before the shuffle."""
     v = F.coalesce(_q(column).cast("string"), F.lit(MISSING_TOKEN))
-    return df.groupBy(v.alias("_value")).agg(F.count(F.lit(1)).cast("double").alias("_freq"))
+    return stage(df.groupBy(v.alias("_value")).agg(F.count(F.lit(1)).cast("double").alias("_freq")), "frequencies")
 
 
-# Value tables up to this many rows are broadcast (checked before use).
-BROADCAST_ROWS = 100_000
-
-
-def is_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Size check before a broadcast: at most ``limit`` rows (bounded count)."""
-    return table.limit(limit + 1).count() <= limit
-
-
-def small_value_columns(df: DataFrame, columns: Sequence[str], limit: int = BROADCAST_ROWS) -> set[str]:
-    """Columns whose value tables (missing counted as one value) have at
-    most ``limit`` rows: exact distinct counts of all columns in one
-    aggregate, so one pass decides every broadcast."""
-    if not columns:
-        return set()
-    row = df.agg(*[
-        F.count_distinct(F.coalesce(_q(c).cast("string"), F.lit(MISSING_TOKEN))).alias(f"d{i}")
-        for i, c in enumerate(columns)
-    ]).first()
-    return {c for i, c in enumerate(columns) if row[f"d{i}"] <= limit}
-
-
-def apply_frequency(
-    df: DataFrame, column: str, table: DataFrame, out: str | None = None, broadcast: bool = False
-) -> DataFrame:
-    """E1 apply: left join on the value (unseen values -> NULL). With
-    ``broadcast`` (a checked small table) the wide side is not shuffled;
-    otherwise a shuffle join whose hot values adaptive execution splits."""
+def apply_frequency(df: DataFrame, column: str, table: DataFrame, out: str | None = None) -> DataFrame:
+    """E1 apply: left join on the value (unseen values -> NULL)."""
     out = out or f"{column}{FREQ_SUFFIX}"
     key = F.coalesce(_q(column).cast("string"), F.lit(MISSING_TOKEN))
     left = df.withColumn("_fkey", key)
-    right = F.broadcast(table) if broadcast else table
-    joined = left.join(right, left["_fkey"] == right["_value"], "left")
+    joined = left.join(table, left["_fkey"] == table["_value"], "left")
     return joined.withColumn(out, F.col("_freq")).drop("_fkey", "_value", "_freq")
 
 
 def frequency_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """E1 for several columns, fitted on ``df`` itself; small value tables
-    (size-checked) are broadcast."""
-    small = small_value_columns(df, columns)
-    for c in columns:
-        df = apply_frequency(df, c, fit_frequency(df, c), broadcast=c in small)
+    """E1 for several columns, fitted on ``df`` itself."""
+    tables = {c: fit_frequency(df, c) for c in columns}
+    for c, t in tables.items():
+        df = apply_frequency(df, c, t)
     return df
 
 
 # --- E2 one-hot ----------------------------------------------------------------------------
 
-class TooManyLevels(ValueError):
-    pass
-
-
-def fit_onehot_levels(
-    df: DataFrame, columns: Sequence[str], categories: dict | None = None, max_levels: int = 1000
-) -> dict[str, list[str]]:
+def fit_onehot_levels(df: DataFrame, columns: Sequence[str], categories: dict | None = None) -> dict[str, list[str]]:
     """E2 fit: level list per column. Columns with a fixed category order
     (``categories``) keep it, unused categories included; the others get
-    their sorted distinct values, found for all columns in one action
-    (tagged distinct, partial-aggregated; at most ``max_levels + 1`` values
-    per column come back). A column with more than ``max_levels`` values
-    raises (use a vector encoder for unbounded cardinality)."""
+    their sorted distinct values, found for all columns in one action. Every
+    level becomes a column of the result, so the levels come to the driver."""
     categories = categories or {}
     out = {c: list(categories[c]) for c in columns if c in categories}
     todo = [c for c in columns if c not in categories]
     if todo:
-        from pyspark.sql import Window
-
         pairs = F.explode(F.array(*[
             F.struct(F.lit(c).alias("col"), _q(c).cast("string").alias("v")) for c in todo
         ])).alias("p")
-        distinct = df.select(pairs).select("p.col", "p.v").where(F.col("v").isNotNull()).distinct()
-        w = Window.partitionBy("col").orderBy("v")
-        rows = distinct.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_levels + 1).collect()
-        found = {c: [] for c in todo}
-        for r in rows:
-            found[r["col"]].append(r["v"])
-        for c in todo:
-            if len(found[c]) > max_levels:
-                raise TooManyLevels(f"{c} has more than {max_levels} levels")
-            out[c] = sorted(found[c])
+        rows = df.select(pairs).select("p.col", "p.v").where(F.col("v").isNotNull()).distinct().collect()
+        out |= {c: sorted(r["v"] for r in rows if r["col"] == c) for c in todo}
     return {c: out[c] for c in columns}
 
 
@@ -154,12 +111,12 @@ def fit_target_encoding(
     v = F.coalesce(_q(column).cast("string"), F.lit(MISSING_TOKEN))
     y = _q(target).cast("double")
     work = df.select(v.alias("_v"), y.alias("_y"), fold.alias("_f"))
-    table = work.groupBy(F.col("_v").alias("_value")).agg(
+    table = stage(work.groupBy(F.col("_v").alias("_value")).agg(
         F.array(*[F.sum(F.when(F.col("_f") == i, F.col("_y")).otherwise(0.0)) for i in range(n_splits)]).alias("_fold_sum"),
         F.array(*[F.sum(F.when(F.col("_f") == i, F.lit(1)).otherwise(0)) for i in range(n_splits)]).alias("_fold_n"),
         F.sum("_y").alias("_all_sum"),
         F.count(F.lit(1)).alias("_all_n"),
-    )
+    ), "target-means")
     return TargetEncoding(table=table, global_mean=F.avg(y), n_splits=n_splits)
 
 
@@ -171,7 +128,6 @@ def apply_target_encoding(
     fold: Column | None = None,
     out: str | None = None,
     freq_out: str | None = None,
-    broadcast: bool = False,
 ) -> DataFrame:
     """E3 apply. With ``fold`` (training rows): mean of the value's target
     over the *other* folds; without (new rows): over all folds. Unseen or
@@ -183,8 +139,7 @@ def apply_target_encoding(
     left = df.withColumn("_tkey", key)
     if fold is not None:
         left = left.withColumn("_tf", fold + 1)
-    right = F.broadcast(enc.table) if broadcast else enc.table
-    joined = left.join(right, left["_tkey"] == right["_value"], "left")
+    joined = left.join(enc.table, left["_tkey"] == enc.table["_value"], "left")
     if fold is not None:
         num = F.col("_all_sum") - F.element_at("_fold_sum", F.col("_tf"))
         den = F.col("_all_n") - F.element_at("_fold_n", F.col("_tf"))
@@ -206,8 +161,7 @@ def kfold_target_encode(
     seed: int = 42,
     out: str | None = None,
 ) -> DataFrame:
-    """E3 fitted on ``df`` itself; the global mean is a one-row aggregate
-    cross-joined in (broadcast)."""
+    """E3 fitted on ``df`` itself; the global mean enters as a literal."""
     return fit_apply_target_encoding(df, column, target, fold, n_splits, seed, out)[0]
 
 
@@ -220,7 +174,6 @@ def fit_apply_target_encoding(
     seed: int = 42,
     out: str | None = None,
     freq_out: str | None = None,
-    broadcast: bool | None = None,
 ) -> tuple[DataFrame, TargetEncoding, DataFrame]:
     """E3 on ``df`` itself, also returning the fitted table and the one-row
     global mean (for scoring new rows later)."""
@@ -228,9 +181,9 @@ def fit_apply_target_encoding(
     fold = fold if fold is not None else fold_column("row_id", n_splits, seed)
     enc = fit_target_encoding(df, column, target, fold, n_splits)
     gm = df.agg(F.avg(_q(target).cast("double")).alias("_gm"))
-    small = is_small(enc.table) if broadcast is None else broadcast
-    res = apply_target_encoding(df, column, target, enc, fold, out, freq_out, broadcast=small)
-    res = res.crossJoin(F.broadcast(gm)).withColumn(out, F.coalesce(F.col(out), F.col("_gm"))).drop("_gm")
+    mean = gm.first()["_gm"]
+    res = apply_target_encoding(df, column, target, enc, fold, out, freq_out)
+    res = res.withColumn(out, F.coalesce(F.col(out), F.lit(mean).cast("double")))
     return res, enc, gm
 
 
@@ -240,7 +193,7 @@ def apply_target_encoding_new(
     """E3 for rows outside the fit (scoring): the value's mean over all
     folds; unseen or missing values get the fitted global mean."""
     out = out or f"{column}{TE_SUFFIX}"
-    res = apply_target_encoding(df, column, "", enc, None, out, broadcast=is_small(enc.table))
+    res = apply_target_encoding(df, column, "", enc, None, out)
     return res.withColumn(out, F.coalesce(F.col(out), F.lit(global_mean).cast("double")))
 
 
@@ -286,30 +239,50 @@ def fit_missing_and_outliers(
     df: DataFrame,
     clip_pct: tuple[float, float] = (0.01, 0.99),
     exclude: Sequence[str] = ("row_id", "default"),
-    exact: bool = True,
 ) -> OutlierParams:
-    """E4-E6 fit in three aggregates: missing rates of every column, exact
-    medians of numeric columns, clip quantiles of the median-filled values."""
+    """E4-E6 fit: missing rates of every column, and exact medians and clip
+    quantiles of the median-filled values of the numeric ones. Two passes:
+    the counts of distinct values give both kinds of quantile, since filling
+    only adds to the count of the median."""
     ex = set(exclude)
     num = stats.numeric_columns(df, exclude=exclude)
-    # One pass: missing shares (flags) and distinct counts (quantile method).
-    rates, distinct = stats.profile(df, [c for c in df.columns if c not in ex], num if exact else ())
+    rates = stats.missing_rates(df, [c for c in df.columns if c not in ex])
     flags = [c for c, r in rates.items() if r > FLAG_RATE]
-    meds = stats.medians(df, num, exact=exact, distinct_hint=distinct)
-    filled = df.select(
-        *[F.coalesce(_q(c).cast("double"), F.lit(meds[c]).cast("double")).alias(c) for c in num]
-    )
-    # Median filling adds at most one distinct value per column.
-    hint = {c: d + 1 for c, d in distinct.items()}
-    qs = stats.quantiles(filled, num, list(clip_pct), exact=exact, distinct_hint=hint)
+    counts = stage(value_counts(df, num), "value-counts") if num else None
+    meds = counted_quantiles(counts, num, [0.5], {})
+    meds = {c: v[0] for c, v in meds.items()}
+    qs = counted_quantiles(counts, num, list(clip_pct), meds)
     bounds = {c: (qs[c][0], qs[c][1]) for c in num}
     logs = [c for c in LOG_COLUMNS if c in df.columns]
     return OutlierParams(flag_columns=flags, medians=meds, bounds=bounds, log_columns=logs)
 
 
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(_k, _v, _w)``: occurrences of every value of several columns, the
+    missing ones (NaN included) as NULL."""
+    return long_form(df, columns).groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_w"))
+
+
+def counted_quantiles(counts: DataFrame | None, columns: Sequence[str], probs: Sequence[float], fill: dict) -> dict:
+    """Exact quantiles per column from :func:`value_counts`, missing values
+    counted as ``fill[column]`` where given."""
+    if not columns:
+        return {}
+    known = {c: v for c, v in fill.items() if v is not None}
+    v = F.col("_v")
+    if known:
+        fills = F.create_map(*[x for c, m in known.items() for x in (F.lit(c), F.lit(float(m)))])
+        v = F.coalesce(v, F.element_at(fills, F.col("_k")))
+    found = order_statistics(counts.select("_k", v.alias("_v"), "_w"), lambda s: {k: needed_ranks(n, probs) for k, n in s.items()})
+    none = (0, {})
+    return {c: [interpolate(found.get(c, none)[1], found.get(c, none)[0], p) for p in probs] for c in columns}
+
+
 def apply_missing_and_outliers(df: DataFrame, p: OutlierParams) -> DataFrame:
     """E4-E7 apply: int ``{c}_missing`` flags, median fill, clip (missing
-    bounds mean no clipping), then ``{c}_log1p = log1p(max(c, 0))``."""
+    bounds mean no clipping), then ``{c}_log1p = log1p(max(c, 0))``. NaN
+    counts as missing, here as in the fit."""
+    df = normalise_nan(df)
     flags = [_q(c).isNull().cast("int").alias(f"{c}_missing") for c in p.flag_columns if c in df.columns]
     cols = []
     for c in df.columns:
@@ -338,14 +311,11 @@ def handle_missing_and_outliers(
     exclude: Sequence[str] = ("row_id", "default"),
     materialize: bool = True,
 ) -> tuple[DataFrame, OutlierParams]:
-    """E7 = E4 -> E5 -> E6 -> F10, fitted on ``df`` itself. The fit reads
-    the input several times, so it is materialised once first (reliable
-    checkpoint in ``spark.checkpoint.dir``) unless ``materialize`` is off."""
+    """E7 = E4 -> E5 -> E6 -> F10, fitted on ``df`` itself. The fit and the
+    result read the input, so it is staged once first unless ``materialize``
+    is off."""
     if materialize:
-        from ..session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = stage(df, "outlier-input")
     params = fit_missing_and_outliers(df, clip_pct, exclude)
     return apply_missing_and_outliers(df, params), params
 
@@ -368,7 +338,7 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> ScalerParams:
 
 
 def apply_scaler(df: DataFrame, p: ScalerParams) -> DataFrame:
-    """E8 apply: ``(x - mean) / scale``; NULL stays NULL."""
+    """E8 apply: ``(x - mean) / scale``; missing values stay missing."""
     return df.withColumns(
         {c: (_q(c).cast("double") - F.lit(p.means[c])) / F.lit(p.scales[c]) for c in p.means if c in df.columns}
     )
@@ -381,6 +351,12 @@ def scaler_table(spark, p: ScalerParams) -> DataFrame:
     )
 
 
+def load_scaler(spark, path: str) -> ScalerParams:
+    """IO7: a scaler written from :func:`scaler_table`."""
+    rows = spark.read.parquet(path).collect()
+    return ScalerParams({r["column"]: r["mean"] for r in rows}, {r["column"]: r["scale"] for r in rows})
+
+
 def numeric_projection(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """numeric columns only (booleans are not numeric), plus ``keep``."""
     num = stats.numeric_columns(df)

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.bins import label_bin
-from ..functions.nulls import NUMERIC_TYPES, nan_to_null
+from ..functions.nulls import NUMERIC_TYPES, nan_to_null, normalise_nan
 from ..functions.parse import (
     emp_length_feature,
     extract_term,
     floor_days_between,
     parse_date_fallback,
+    parse_month_date,
     parse_percent_lenient,
 )
 from . import encode, stats
@@ -57,7 +58,7 @@ def _as_timestamp(df: DataFrame, c: str) -> Column:
     dt = df.schema[c].dataType
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return _q(c).cast("timestamp")
-    return parse_date_fallback(_q(c))
+    return F.coalesce(parse_date_fallback(_q(c)), parse_month_date(_q(c)))
 
 
 # --- F1-F10 --------------------------------------------------------------------------
@@ -188,26 +189,29 @@ class FeatureParams:
             t.write.mode("overwrite").parquet(f"{path}/freq/{c}")
         if self.te is not None:
             self.te.table.write.mode("overwrite").parquet(f"{path}/te")
+        # Names every part; written last, read first.
+        parts = [("freq", c) for c in self.freq_tables] + ([("te", TE_COLUMN)] if self.te is not None else [])
+        spark.createDataFrame(parts, "kind string, column string").coalesce(1).write.mode("overwrite").parquet(f"{path}/parts")
 
     @staticmethod
     def load(spark, path: str) -> FeatureParams:
-        from ..sources.io import read_optional
-
+        """Every part that was saved must be there; a missing one raises."""
+        parts = [(r["kind"], r["column"]) for r in spark.read.parquet(f"{path}/parts").collect()]
         sc = {r["name"]: r["value"] for r in spark.read.parquet(f"{path}/scalars").collect()}
         levels: dict = {}
         for r in spark.read.parquet(f"{path}/onehot").orderBy("column", "position").collect():
             levels.setdefault(r["column"], []).append(r["level"])
         order = [c for c in ONEHOT_COLUMNS if c in levels] + [c for c in levels if c not in ONEHOT_COLUMNS]
-        # Optional parts: read through Spark (works for any shared filesystem).
-        freq = {c: t for c in FREQ_COLUMNS if (t := read_optional(spark, f"{path}/freq/{c}")) is not None}
-        te_table = read_optional(spark, f"{path}/te")
-        te = None if te_table is None else encode.TargetEncoding(table=te_table, global_mean=None, n_splits=0)
+        freq = {c: spark.read.parquet(f"{path}/freq/{c}") for c in FREQ_COLUMNS if ("freq", c) in parts}
+        te = None
+        if ("te", TE_COLUMN) in parts:
+            te = encode.TargetEncoding(table=spark.read.parquet(f"{path}/te"), global_mean=None, n_splits=0)
         return FeatureParams(sc.get("rate_median"), freq, {c: levels[c] for c in order}, te, sc.get("te_global_mean"))
 
 
 def scalar_features(df: DataFrame) -> DataFrame:
-    """F1-F8 (no learned state)."""
-    df = ratio_features(df)
+    """F1-F8 (no learned state); NaN counts as missing."""
+    df = ratio_features(normalise_nan(df))
     df = emp_length_features(df)
     df = credit_history_years(df)
     df = rate_bin(df)
@@ -220,7 +224,6 @@ def build_features(
     fold: Column | None = None,
     n_splits: int = 5,
     seed: int = 42,
-    max_levels: int = 1000,
 ) -> tuple[DataFrame, FeatureParams]:
     """F1-F9, E1 (counts), E2 (one-hot of ``home_ownership``,
     ``purpose``, ``int_rate_bin``, ``emp_length_bin``), E3 (out-of-fold
@@ -236,20 +239,18 @@ def build_features(
     # the wide table instead of two).
     shared = target is not None and TE_COLUMN in df.columns
     freq_cols = [c for c in FREQ_COLUMNS if c in df.columns]
-    # One pass decides which value tables are small enough to broadcast.
-    small = encode.small_value_columns(df, list(dict.fromkeys(freq_cols + ([TE_COLUMN] if shared else []))))
     for c in freq_cols:
-        if shared and c == TE_COLUMN:
-            continue
-        params.freq_tables[c] = t = encode.fit_frequency(df, c)
-        df = encode.apply_frequency(df, c, t, broadcast=c in small)
+        if not (shared and c == TE_COLUMN):
+            params.freq_tables[c] = encode.fit_frequency(df, c)
+    for c, t in params.freq_tables.items():
+        df = encode.apply_frequency(df, c, t)
     onehot = [c for c in ONEHOT_COLUMNS if c in df.columns]
-    params.onehot_levels = encode.fit_onehot_levels(df, onehot, CATEGORY_ORDER, max_levels)
+    params.onehot_levels = encode.fit_onehot_levels(df, onehot, CATEGORY_ORDER)
     df = encode.apply_onehot(df, params.onehot_levels)
     if shared:
         freq_name = f"{TE_COLUMN}{encode.FREQ_SUFFIX}"
         df, params.te, params.te_mean = encode.fit_apply_target_encoding(
-            df, TE_COLUMN, target, fold, n_splits, seed, freq_out=freq_name, broadcast=TE_COLUMN in small)
+            df, TE_COLUMN, target, fold, n_splits, seed, freq_out=freq_name)
         params.freq_tables[TE_COLUMN] = params.te.table.select(
             "_value", F.col("_all_n").cast("double").alias("_freq"))
         params.freq_tables = {c: params.freq_tables[c] for c in freq_cols}
@@ -269,7 +270,7 @@ def apply_features(df: DataFrame, params: FeatureParams) -> DataFrame:
     df = interaction(df, params.rate_median)
     for c, t in params.freq_tables.items():
         if c in df.columns:
-            df = encode.apply_frequency(df, c, t, broadcast=encode.is_small(t))
+            df = encode.apply_frequency(df, c, t)
     df = encode.apply_onehot(df, {c: lv for c, lv in params.onehot_levels.items() if c in df.columns})
     if params.te is not None and TE_COLUMN in df.columns:
         gm = params.te_mean.first()["_gm"] if isinstance(params.te_mean, DataFrame) else params.te_mean

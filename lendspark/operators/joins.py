@@ -1,4 +1,4 @@
-"""Key joins (J1, J2, J5) and the labels lookup (IO8).
+"""Key joins (J1, J2) and the labels lookup (IO8).
 
 Row identity is an explicit key (``row_id``); positional alignment of two
 distributed tables has no meaning and is not offered. The right side of
@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import parse_date_fallback, parse_month_date
 
-PREFERRED_KEYS = ["row_id", "Unnamed: 0", "id", "loan_id"]
-
-
 def unique_by_key(df: DataFrame, key: str, value_cols: Sequence[str], what: str = "lookup") -> DataFrame:
     """One row per ``key``; raises at run time when a key repeats. The
     aggregate is hash-partitioned on the key, which the following join
@@ -52,27 +49,18 @@ def attach_labels(
     return joined.withColumnRenamed(label_col, out) if label_col != out else joined
 
 
-def choose_key(left: DataFrame, right: DataFrame) -> str | None:
-    """J2 key choice: a preferred identifier present on both sides, else
-    the first common column in name order."""
-    common = set(left.columns) & set(right.columns)
-    for k in PREFERRED_KEYS:
-        if k in common:
-            return k
-    return sorted(common)[0] if common else None
-
-
 def recover_time_column(
-    df: DataFrame, clean: DataFrame | None, time_col: str = "issue_d", key: str | None = None
+    df: DataFrame, clean: DataFrame | None, time_col: str = "issue_d", key: str = "row_id"
 ) -> DataFrame:
     """Bring ``time_col`` back from the cleaned table by a left join on
-    a shared key (right side unique per key). Returns ``df`` unchanged when
-    the cleaned table, the column or a key is missing."""
-    if clean is None or time_col not in clean.columns or time_col in df.columns:
-        return df
-    key = key or choose_key(df, clean.drop(time_col))
-    if key is None:
+    ``key`` (right side unique per key). ``df`` comes back unchanged when it
+    has the column or there is no cleaned table with it; a key that either
+    side lacks is an error."""
+    if time_col in df.columns or clean is None or time_col not in clean.columns:
         return df
+    for side, table in (("features", df), ("cleaned table", clean)):
+        if key not in table.columns:
+            raise KeyError(f"{side}: no key column {key!r} to bring {time_col!r} back by")
     right = unique_by_key(clean.select(key, time_col), key, [time_col], "time lookup")
     dt = clean.schema[time_col].dataType.simpleString()
     if dt.startswith("timestamp") or dt == "date":
@@ -81,7 +69,3 @@ def recover_time_column(
         t = F.coalesce(parse_date_fallback(F.col(time_col)), parse_month_date(F.col(time_col)))
     return df.join(right.withColumn(time_col, t), on=key, how="left")
 
-
-def lookup(df: DataFrame, table: DataFrame, key: str, value_cols: Sequence[str]) -> DataFrame:
-    """Value -> statistic map as a left join (unique right side)."""
-    return df.join(unique_by_key(table, key, value_cols), on=key, how="left")

@@ -11,9 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.bins import histogram_bin, lit_array, percent_grid_probs, width_bin
+from ..functions.bins import histogram_bin, percent_grid_probs, width_bin
+from ..functions.nulls import nan_to_null
+from ..sources.stages import stage
 from .banding import assign_bands, psi_severity
-from .curves import auc_ks
+from .curves import auc_ks, auc_ks_of_counts, score_counts
+from .quantiles import interpolate, needed_ranks, order_statistics
 from .stats import is_missing, numeric_columns
 
 
@@ -101,6 +104,32 @@ def calibration_table(
 
 # --- A7 / A8 --------------------------------------------------------------
 
+def count_metrics(counts: DataFrame, keys: Sequence[str] = (), threshold: float = 0.5) -> DataFrame:
+    """``(keys, n, obs_rate, avg_pd, auc, ks, precision, recall, brier)`` from
+    :func:`.curves.score_counts`, one row per key. ``counts`` should be a
+    stage table: the curve and the sums both read it."""
+    v, pos, lab, n = F.col("_v"), F.col("pos"), F.col("labelled"), F.col("n")
+    scored = v.isNotNull()
+    hit = scored & (v >= threshold)
+    tp, fp = F.sum(F.when(hit, pos)), F.sum(F.when(hit, lab - pos))
+    fn = F.sum(F.when(scored & (v < threshold), pos))
+    share = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
+    loss = pos * (v - 1) * (v - 1) + (lab - pos) * v * v
+    sums = counts.groupBy(*keys).agg(
+        F.sum(n).alias("n"),
+        F.try_divide(F.sum(pos).cast("double"), F.sum(lab).cast("double")).alias("obs_rate"),
+        F.try_divide(F.sum(F.when(scored, v * n)), F.sum(F.when(scored, n)).cast("double")).alias("avg_pd"),
+        share(F.coalesce(tp, F.lit(0)), F.coalesce(tp, F.lit(0)) + F.coalesce(fp, F.lit(0))).alias("precision"),
+        share(F.coalesce(tp, F.lit(0)), F.coalesce(tp, F.lit(0)) + F.coalesce(fn, F.lit(0))).alias("recall"),
+        F.try_divide(F.sum(F.when(scored, loss)), F.sum(F.when(scored, lab)).cast("double")).alias("brier"),
+    )
+    curve = auc_ks_of_counts(counts, keys)
+    if keys:
+        return sums.join(curve, on=list(keys), how="left")
+    # Two one-row tables.
+    return sums.crossJoin(curve)
+
+
 def compute_metrics(
     df: DataFrame,
     score: str = "pd_hat",
@@ -110,11 +139,10 @@ def compute_metrics(
     n_bins: int = 10,
 ) -> DataFrame:
     """One row ``auc, ks, precision, recall, brier`` (+ optional
-    calibration arrays ``frac_pos, mean_pred`` in bin order)."""
-    simple = df.agg(*confusion_exprs(score, label, threshold), brier_expr(score, label))
-    out = auc_ks(df, score, label).crossJoin(simple).select(
-        "auc", "ks", "precision", "recall", "brier"
-    )
+    calibration arrays ``frac_pos, mean_pred`` in bin order). One pass over
+    ``df`` counts its distinct scores; the rest reads the counts."""
+    counts = stage(score_counts(df, score, label), "score-counts")
+    out = count_metrics(counts, (), threshold).select("auc", "ks", "precision", "recall", "brier")
     if with_calibration:
         curve = calibration_curve(df, score, label, n_bins).agg(
             F.sort_array(F.collect_list(F.struct("bin", "frac_pos", "mean_pred"))).alias("_c")
@@ -139,28 +167,62 @@ def validation_metrics(df: DataFrame, score: str = "pd_hat", label: str = "defau
 
 # --- A9 / A10 / PL10 ----------------------------------------------------------
 
-def _psi_edges(exp_rows: DataFrame, g: list, buckets: int, method: str) -> DataFrame:
-    """Distinct sorted expected-side quantiles per group (``_edges``).
-    ``auto`` uses the percentile aggregate unless some group has too many
-    distinct values, then rank selection (one group column at most)."""
-    probs = percent_grid_probs(buckets)
-    if method == "auto":
-        from .quantiles import EXACT_DISTINCT_LIMIT
+def value_counts(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys, _v, n)`` per distinct value, missing values left out."""
+    v = nan_to_null(F.col(value).cast("double"))
+    return df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull()).groupBy(*keys, "_v").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def psi_of_counts(
+    expected: DataFrame,
+    actual: DataFrame,
+    group_cols: Sequence[str] = (),
+    actual_group_cols: Sequence[str] = (),
+    buckets: int = 10,
+    epsilon: float = 1e-8,
+) -> DataFrame:
+    """PSI from value counts: ``expected`` ``(group_cols, _v, n)``, ``actual``
+    ``(group_cols, actual_group_cols, _v, n)``, both stage tables.
 
-        probe = (exp_rows.groupBy(*g) if g else exp_rows).agg(F.approx_count_distinct("_v").alias("d"))
-        top = probe.agg(F.max("d")).first()[0] or 0
-        method = "percentile" if (top <= EXACT_DISTINCT_LIMIT or len(g) > 1) else "rank"
-    if method != "rank":
-        pct = F.array_sort(F.array_distinct(F.percentile("_v", lit_array(probs)))).alias("_edges")
-        return exp_rows.groupBy(*g).agg(pct) if g else exp_rows.agg(pct)
-    from .quantiles import rank_quantiles
+    The edges (one short array per group) are found exactly and come back as
+    a small table; binning joins it to the counts, not to the source rows.
+    """
+    g, ag = list(group_cols), list(actual_group_cols)
+    probs = percent_grid_probs(buckets)
+    key = F.struct(*g) if g else F.lit(0)
+    found = order_statistics(
+        expected.select(key.alias("_k"), "_v", F.col("n").alias("_w")),
+        lambda sizes: {k: needed_ranks(n, probs) for k, n in sizes.items()},
+    )
+    rows = [((*k,) if g else ()) + (sorted({interpolate(at, n, p) for p in probs}),) for k, (n, at) in found.items()]
+    fields = [f"`{c}` {expected.schema[c].dataType.simpleString()}" for c in g] + ["_edges array<double>"]
+    spark = expected.sparkSession
+    edges = spark.createDataFrame(rows or ([] if g else [([],)]), ", ".join(fields))
+
+    def binned(table: DataFrame, keys: list, out: str) -> DataFrame:
+        # The edge table has one row per group, known on the driver.
+        joined = table.join(edges, on=g) if g else table.crossJoin(F.broadcast(edges))
+        cell = histogram_bin(F.col("_v"), F.col("_edges")).alias("_bin")
+        return joined.groupBy(*keys, cell).agg(F.sum("n").alias(out)).where(F.col("_bin").isNotNull())
+
+    e_cnt, a_cnt = binned(expected, g, "_e"), binned(actual, g + ag, "_a")
+    keys = actual.select(*g, *ag).distinct()
+    bins = edges.where(F.size("_edges") >= 2).select(*g, F.explode(F.sequence(F.lit(0), F.size("_edges") - 2)).alias("_bin"))
+    bins = bins.join(keys, on=g, how="inner") if g else bins.crossJoin(keys)
+    grid = bins.join(e_cnt, on=[*g, "_bin"], how="left").join(a_cnt, on=[*g, *ag, "_bin"], how="left")
+    grid = grid.fillna(0, subset=["_e", "_a"])
 
-    key = F.col(g[0]) if g else F.lit(0)
-    res = rank_quantiles(exp_rows.select(key.alias("_k"), "_v"), probs)
-    spark = exp_rows.sparkSession
-    rows = [((k,) if g else ()) + (sorted({v for v in vs if v is not None}),) for k, vs in res.items()]
-    schema = (f"`{g[0]}` {exp_rows.schema[g[0]].dataType.simpleString()}, " if g else "") + "_edges array<double>"
-    return spark.createDataFrame(rows, schema)
+    w = Window.partitionBy(*g, *ag) if (g or ag) else Window.partitionBy(F.lit(0))
+    e_share = F.greatest(F.col("_e") / (F.sum("_e").over(w) + F.lit(epsilon)), F.lit(epsilon))
+    a_share = F.greatest(F.col("_a") / (F.sum("_a").over(w) + F.lit(epsilon)), F.lit(epsilon))
+    terms = grid.select(*g, *ag, ((a_share - e_share) * F.log(a_share / e_share)).alias("_t"))
+    if not g and not ag:
+        # Exactly one row; PSI NULL when fewer than two edges exist.
+        return terms.agg(F.sum("_t").alias("psi"))
+    res = terms.groupBy(*g, *ag).agg(F.sum("_t").alias("psi"))
+    return keys.join(res, on=[*g, *ag], how="left")
 
 
 def psi_by_side(
@@ -173,7 +235,6 @@ def psi_by_side(
     actual_group_cols: Sequence[str] = (),
     buckets: int = 10,
     epsilon: float = 1e-8,
-    method: str = "auto",
 ) -> DataFrame:
     """A9 generalised: PSI of the ``actual_side`` rows against the
     ``expected_side`` rows of one frame, per group.
@@ -186,51 +247,13 @@ def psi_by_side(
 
     ``group_cols`` key the edges (e.g. feature); ``actual_group_cols`` add
     keys on the actual side only (e.g. period), each compared with the same
-    expected distribution. Two passes over the input: the edge aggregate
-    over the expected rows, and one grouped count over both sides.
+    expected distribution. One pass over the input.
     """
-    g = list(group_cols)
-    ag = list(actual_group_cols)
-    probs = lit_array(percent_grid_probs(buckets))
-    is_exp = F.col(side_col) == F.lit(expected_side)
-    is_act = F.col(side_col) == F.lit(actual_side)
-    base = df.where(is_exp | is_act).select(
-        *g,
-        *[F.when(is_act, F.col(c)).alias(c) for c in ag],
-        is_act.alias("_act"),
-        F.col(value).cast("double").alias("_v"),
-    ).where(F.col("_v").isNotNull())
-
-    exp_rows = base.where(~F.col("_act"))
-    edges = _psi_edges(exp_rows, g, buckets, method)
-    # Edge rows: one per group of n + 1 doubles (bounded by the group count).
-    joined = base.join(F.broadcast(edges) if not g else edges, on=g, how="inner") if g else base.crossJoin(
-        F.broadcast(edges))
-    counts = joined.groupBy(*g, *ag, "_act", histogram_bin(F.col("_v"), F.col("_edges")).alias("_bin")).agg(
-        F.count(F.lit(1)).alias("_c"))
-
-    in_range = counts.where(F.col("_bin").isNotNull())
-    e_cnt = in_range.where(~F.col("_act")).select(*g, "_bin", F.col("_c").alias("_e"))
-    a_cnt = in_range.where(F.col("_act")).select(*g, *ag, "_bin", F.col("_c").alias("_a"))
-    keys = counts.where(F.col("_act")).select(*g, *ag).distinct()
-
-    bins = edges.where(F.size("_edges") >= 2).select(
-        *g, F.explode(F.sequence(F.lit(0), F.size("_edges") - 2)).alias("_bin"))
-    bins = bins.join(keys, on=g, how="inner") if g else bins.crossJoin(keys)
-    grid = bins.join(e_cnt, on=[*g, "_bin"], how="left").join(a_cnt, on=[*g, *ag, "_bin"], how="left")
-    grid = grid.fillna(0, subset=["_e", "_a"])
-
-    w = Window.partitionBy(*g, *ag) if (g or ag) else Window.partitionBy(F.lit(0))
-    e_share = F.greatest(F.col("_e") / (F.sum("_e").over(w) + F.lit(epsilon)), F.lit(epsilon))
-    a_share = F.greatest(F.col("_a") / (F.sum("_a").over(w) + F.lit(epsilon)), F.lit(epsilon))
-    terms = grid.select(*g, *ag, ((a_share - e_share) * F.log(a_share / e_share)).alias("_t"))
-    res = terms.groupBy(*g, *ag).agg(F.sum("_t").alias("psi"))
-    if not g and not ag:
-        # Exactly one output row, PSI NULL when fewer than two edges exist.
-        return edges.select(F.lit(1).alias("_k")).join(
-            res.select(F.lit(1).alias("_k"), "psi"), on="_k", how="left"
-        ).select("psi")
-    return keys.join(res, on=[*g, *ag], how="left")
+    g, ag = list(group_cols), list(actual_group_cols)
+    sides = df.where(F.col(side_col).isin(expected_side, actual_side)).withColumn("_act", F.col(side_col) == F.lit(actual_side))
+    sides = sides.withColumns({c: F.when(F.col("_act"), F.col(c)) for c in ag})
+    counts = stage(value_counts(sides, value, [*g, *ag, "_act"]), "value-counts")
+    return psi_of_counts(counts.where(~F.col("_act")), counts.where("_act"), g, ag, buckets, epsilon)
 
 
 def psi_grouped(
@@ -241,15 +264,12 @@ def psi_grouped(
     actual_group_cols: Sequence[str] = (),
     buckets: int = 10,
     epsilon: float = 1e-8,
-    method: str = "auto",
 ) -> DataFrame:
-    """A9 over two frames (tagged and unioned, then :func:`psi_by_side`)."""
-    g = list(group_cols)
-    ag = list(actual_group_cols)
-    e = expected.select(*g, *[F.lit(None).cast(actual.schema[c].dataType).alias(c) for c in ag],
-                        F.col(value), F.lit("e").alias("_side"))
-    a = actual.select(*g, *ag, F.col(value), F.lit("a").alias("_side"))
-    return psi_by_side(e.unionByName(a), value, "_side", "e", "a", g, ag, buckets, epsilon, method)
+    """A9 over two frames, one pass over each."""
+    g, ag = list(group_cols), list(actual_group_cols)
+    e = stage(value_counts(expected, value, g), "value-counts")
+    a = stage(value_counts(actual, value, g + ag), "value-counts")
+    return psi_of_counts(e, a, g, ag, buckets, epsilon)
 
 
 def psi(
@@ -259,6 +279,24 @@ def psi(
     return psi_grouped(expected, actual, value, (), (), buckets, epsilon)
 
 
+def side_metrics(
+    df: DataFrame,
+    side_col: str = "split",
+    score: str = "pd_hat",
+    label: str = "default",
+    expected_side="train",
+    actual_side="validation",
+) -> DataFrame:
+    """One row ``auc, ks, brier, psi``: quality of the actual side and its
+    drift against the expected side, from one pass over ``df``."""
+    sides = df.where(F.col(side_col).isin(expected_side, actual_side))
+    counts = stage(score_counts(sides, score, label, [side_col]), "score-counts")
+    known = counts.where(F.col("_v").isNotNull()).select(side_col, "_v", "n")
+    drift = psi_of_counts(known.where(F.col(side_col) == expected_side), known.where(F.col(side_col) == actual_side))
+    quality = count_metrics(counts.where(F.col(side_col) == actual_side).drop(side_col))
+    return quality.crossJoin(drift).select("auc", "ks", "brier", "psi")
+
+
 # Features compared between the training and validation files.
 DEFAULT_PSI_FEATURES = ["loan_amnt", "annual_inc", "dti", "fico_mean"]
 
@@ -359,17 +397,8 @@ def segment_performance(
         ).alias("_s"),
     ).select("_s.segment_col", "_s.segment", "_p", "_y").where(F.col("segment").isNotNull())
     keys = ["segment_col", "segment"]
-    d = F.col("_p") - F.col("_y").cast("double")
-    basic = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(F.col("_y").cast("double")).alias("obs_rate"),
-        F.avg("_p").alias("avg_pd"),
-        F.avg(d * d).alias("brier"),
-    )
-    curve = auc_ks(long, "_p", "_y", keys)
-    return basic.join(curve, on=keys, how="left").select(
-        *keys, "n", "obs_rate", "avg_pd", "auc", "ks", "brier"
-    )
+    counts = stage(score_counts(long, "_p", "_y", keys), "score-counts")
+    return count_metrics(counts, keys).select(*keys, "n", "obs_rate", "avg_pd", "auc", "ks", "brier")
 
 
 # --- A14 / A15 / A16 ------------------------------------------------------------
@@ -435,11 +464,11 @@ def monitor_by_period(
     cur = current.where(F.col(time_col).isNotNull()).withColumn(
         "period", period_of(F.col(time_col), freq)
     )
-    p = psi_grouped(reference, cur, score, (), ["period"], buckets)
-    d = F.col(score) - _y(label)
-    basic = cur.groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.avg(d * d).alias("brier"))
-    curve = auc_ks(cur, score, label, ["period"]).select("period", "auc")
-    out = basic.join(curve, "period", "left").join(p, "period", "left")
+    counts = stage(score_counts(cur, score, label, ["period"]), "score-counts")
+    expected = stage(value_counts(reference, score), "value-counts")
+    known = counts.where(F.col("_v").isNotNull()).select("period", "_v", "n")
+    p = psi_of_counts(expected, known, (), ["period"], buckets)
+    out = count_metrics(counts, ["period"]).join(p, "period", "left")
     return out.select(
         "period", "n", "psi", "auc", "brier",
         F.coalesce(F.col("psi") > PSI_CEILING, F.lit(False)).alias("psi_trigger"),

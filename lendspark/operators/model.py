@@ -24,7 +24,6 @@ from .curves import auc_ks
 
 WEIGHT = "_w"
 FEATURES = "_features"
-ROWS_PER_PARTITION = 1_000_000
 
 
 @dataclass
@@ -73,6 +72,47 @@ def fit_stats(df: DataFrame, feature_cols: Sequence[str], label: str) -> tuple[e
     return encode.ScalerParams(means=means, scales=scales), {1: int(row["_n1"]), 0: int(row["_n0"])}
 
 
+def class_weights(counts: dict, class_weight: str | dict | None) -> dict:
+    if class_weight == "balanced":
+        present = {c: m for c, m in counts.items() if m > 0}
+        n = sum(counts.values())
+        return {c: n / (len(present) * m) for c, m in present.items()}
+    return class_weight if isinstance(class_weight, dict) else {0: 1.0, 1: 1.0}
+
+
+@dataclass
+class TrainingSet:
+    """Scaled, assembled and weighted rows, ready for fits at several ``C``."""
+
+    data: DataFrame  # _label, features, weight
+    scaler: encode.ScalerParams
+    weight_sum: float
+    feature_cols: list
+
+
+def training_set(
+    df: DataFrame, feature_cols: Sequence[str], label: str = "default", class_weight: str | dict | None = "balanced"
+) -> TrainingSet:
+    """One aggregate gives the scaler and the class counts; the assembled
+    rows keep the input's partitioning."""
+    scaler, counts = fit_stats(df, feature_cols, label)
+    weights = class_weights(counts, class_weight)
+    wmap = F.create_map(*[x for c, w in weights.items() for x in (F.lit(c), F.lit(float(w)))])
+    weighted = df.withColumn(WEIGHT, F.element_at(wmap, F.col(label).cast("int")))
+    data = _assemble(weighted, feature_cols, scaler).select(F.col(label).cast("double").alias("_label"), FEATURES, WEIGHT)
+    total = sum(weights.get(c, 0.0) * m for c, m in counts.items())
+    return TrainingSet(data, scaler, total, list(feature_cols))
+
+
+def fit_logistic(ts: TrainingSet, C: float = 1.0, penalty: str = "l2", max_iter: int = 1000, tol: float = 1e-6) -> PDModel:
+    lr = LogisticRegression(
+        featuresCol=FEATURES, labelCol="_label", weightCol=WEIGHT,
+        regParam=1.0 / (C * ts.weight_sum), elasticNetParam=1.0 if penalty == "l1" else 0.0,
+        standardization=False, fitIntercept=True, maxIter=max_iter, tol=tol,
+    )
+    return PDModel(feature_cols=ts.feature_cols, scaler=ts.scaler, lr=lr.fit(ts.data), C=C)
+
+
 def train_logistic(
     df: DataFrame,
     feature_cols: Sequence[str],
@@ -85,40 +125,13 @@ def train_logistic(
 ) -> PDModel:
     """M1: scale (population std, fitted here), then weighted logistic
     regression with an L1 or L2 penalty of strength ``C`` (sum-loss scale).
-
-    One aggregate gives the scaler and the class counts; the assembled
-    training set is persisted for the optimizer's passes and released after.
-    """
-    scaler, counts = fit_stats(df, feature_cols, label)
-    n = counts[0] + counts[1]
-    if class_weight == "balanced":
-        present = {c: m for c, m in counts.items() if m > 0}
-        weights = {c: n / (len(present) * m) for c, m in present.items()}
-    elif isinstance(class_weight, dict):
-        weights = class_weight
-    else:
-        weights = {0: 1.0, 1: 1.0}
-    wsum = sum(weights.get(c, 0.0) * m for c, m in counts.items())
-    wmap = F.create_map(*[x for c, w in weights.items() for x in (F.lit(c), F.lit(float(w)))])
-    weighted = df.withColumn(WEIGHT, F.element_at(wmap, F.col(label).cast("int")))
-    data = _assemble(weighted, feature_cols, scaler).select(
-        F.col(label).cast("double").alias("_label"), FEATURES, WEIGHT)
-    # The optimizer makes one pass per iteration: size partitions to the data
-    # (about ROWS_PER_PARTITION rows each; coalesce, no shuffle).
-    target = max(1, math.ceil(n / ROWS_PER_PARTITION))
-    if data.rdd.getNumPartitions() > target:
-        data = data.coalesce(target)
-    data = data.persist()
+    The training set is persisted for the optimizer's passes."""
+    ts = training_set(df, feature_cols, label, class_weight)
+    ts.data = ts.data.persist()
     try:
-        lr = LogisticRegression(
-            featuresCol=FEATURES, labelCol="_label", weightCol=WEIGHT,
-            regParam=1.0 / (C * wsum), elasticNetParam=1.0 if penalty == "l1" else 0.0,
-            standardization=False, fitIntercept=True, maxIter=max_iter, tol=tol,
-        )
-        fitted = lr.fit(data)
+        return fit_logistic(ts, C, penalty, max_iter, tol)
     finally:
-        data.unpersist()
-    return PDModel(feature_cols=list(feature_cols), scaler=scaler, lr=fitted, C=C)
+        ts.data.unpersist()
 
 
 def score(model: PDModel, df: DataFrame, out: str = "pd_hat") -> DataFrame:
@@ -142,28 +155,43 @@ def cross_validated_auc(
     penalty: str = "l2",
     parallelism: int = 4,
 ) -> list[tuple[float, float]]:
-    """M2: mean held-out ROC AUC per ``C`` over stratified folds; each fold
-    refits the scaler and the balanced weights on its training part. The
-    ``len(Cs) * folds`` fits are independent and are submitted from
-    ``parallelism`` driver threads (as ``CrossValidator`` does)."""
+    """M2: mean held-out ROC AUC per ``C`` over stratified folds. Each fold
+    fits the scaler and the balanced weights once on its training part and
+    reuses the assembled rows for every ``C``; the folds are independent and
+    are submitted from ``parallelism`` driver threads."""
     from concurrent.futures import ThreadPoolExecutor
 
     with_folds = split.stratified_folds(df, label, folds, seed, out="_fold").persist()
 
-    def fold_auc(C: float, k: int) -> float:
-        tr = with_folds.where(F.col("_fold") != k)
-        te = with_folds.where(F.col("_fold") == k)
-        m = train_logistic(tr, feature_cols, label, C, penalty)
-        a = auc_ks(score(m, te, "_p"), "_p", label).first()["auc"]
-        return a if a is not None else float("nan")
+    def fold_aucs(k: int) -> list[float]:
+        ts = training_set(with_folds.where(F.col("_fold") != k), feature_cols, label)
+        ts.data = ts.data.persist()
+        held_out = with_folds.where(F.col("_fold") == k)
+        try:
+            found = []
+            for C in Cs:
+                a = auc_ks(score(fit_logistic(ts, C, penalty), held_out, "_p"), "_p", label).first()["auc"]
+                found.append(a if a is not None else float("nan"))
+            return found
+        finally:
+            ts.data.unpersist()
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            jobs = {(C, k): pool.submit(fold_auc, C, k) for C in Cs for k in range(folds)}
-            aucs = {key: f.result() for key, f in jobs.items()}
+            aucs = list(pool.map(fold_aucs, range(folds)))
     finally:
         with_folds.unpersist()
-    return [(C, sum(aucs[(C, k)] for k in range(folds)) / folds) for C in Cs]
+    return [(C, sum(a[i] for a in aucs) / folds) for i, C in enumerate(Cs)]
+
+
+def best_of_grid(grid: Sequence[tuple[float, float]]) -> float:
+    """The ``C`` of the highest mean AUC (first best wins on ties). A ``C``
+    whose AUC is undefined in a fold cannot win; if all are, that is an error."""
+    known = [(C, a) for C, a in grid if not math.isnan(a)]
+    if not known:
+        raise ValueError("no grid value has an AUC in every fold: a fold holds a single class")
+    top = max(a for _, a in known)
+    return next(C for C, a in known if a == top)
 
 
 def tune_logistic(
@@ -176,8 +204,7 @@ def tune_logistic(
 ) -> tuple[float, list[tuple[float, float]]]:
     """M2: best ``C`` by mean held-out AUC (first best wins on ties)."""
     res = cross_validated_auc(df, feature_cols, label, Cs, folds, seed)
-    best = max(res, key=lambda x: (x[1], -Cs.index(x[0])))
-    return best[0], res
+    return best_of_grid(res), res
 
 
 def tune_on_sample(

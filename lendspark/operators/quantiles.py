@@ -1,50 +1,24 @@
-"""Exact quantiles at any scale.
-
-The ``percentile`` aggregate is exact but keeps a value -> count map; with
-no grouping the final merge of every map happens in one task, so a column
-with 10^9 distinct values (continuous scores, money amounts) does not fit.
-
-:func:`rank_quantiles` finds the same values by rank selection:
-
-1. one aggregate per series (a column, or a group): count, and an
-   approximate quantile grid that cuts the values into order-preserving
-   range buckets of about ``ROWS_PER_BUCKET`` rows (a finer grid is fetched
-   only for series that need more than the coarse one offers);
-2. every row gets its bucket by a branch-free binary search over the padded
-   edge array (native expressions, no UDF);
-3. bucket counts (one small aggregate) locate the bucket and local rank of
-   each needed order statistic;
-4. only the few buckets that hold a needed rank are sorted (a window per
-   bucket), and the needed rows come back: at most two per probability and
-   series.
-
-Interpolation then follows the ``percentile`` aggregate exactly
-(``position = (n - 1) * p``; linear between the neighbouring order
-statistics), so both methods return identical values.
-
-:func:`quantiles` picks per series: ``percentile`` while the approximate
-distinct count is at most ``EXACT_DISTINCT_LIMIT`` (and, for several columns
-in one aggregate, while their sum stays within ``FUSED_DISTINCT_BUDGET``),
-rank selection otherwise.
+"""Exact quantiles at any scale, by one algorithm.
+
+Values are counted first (``groupBy(series, value)`` with partial sums, so
+ties fold before the shuffle), the counts are dealt by value range and
+written once; totals per range give every range's offset, and only the
+ranges that hold a needed rank are read again to pick it. No task holds more
+than one range of distinct values, whatever their number; the driver gets
+one row per (series, range) and per needed rank.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from . import curves
-
-EXACT_DISTINCT_LIMIT = 2_000_000
-FUSED_DISTINCT_BUDGET = 4_000_000
-_COARSE = 256
-
-
-def _grid(n: int) -> list[float]:
-    return [i / n for i in range(1, n)]
+from ..functions.nulls import nan_to_null
+from ..sources.stages import stage
 
 
 def interpolate(values_at: dict[int, float], n: int, p: float) -> float | None:
@@ -63,110 +37,14 @@ def interpolate(values_at: dict[int, float], n: int, p: float) -> float | None:
 
 
 def needed_ranks(n: int, probs: Sequence[float]) -> set[int]:
+    """0-based ranks that :func:`interpolate` reads at ``probs``."""
     out = set()
-    for p in probs:
+    for p in probs if n else ():
         pos = (n - 1) * p
-        out.add(math.floor(pos))
-        out.add(math.ceil(pos))
+        out |= {math.floor(pos), math.ceil(pos)}
     return out
 
 
-def bucket_of(v: Column, edges: Column, depth: int) -> Column:
-    """Number of edges strictly below ``v`` in a sorted array padded with
-    +inf to length ``2 ** depth`` (binary search, ``depth`` steps)."""
-    pos = F.lit(0)
-    for k in reversed(range(depth)):
-        step = 1 << k
-        pos = pos + F.when(F.element_at(edges, pos + step) < v, F.lit(step)).otherwise(F.lit(0))
-    return pos
-
-
-def _series_edges(long: DataFrame) -> dict:
-    """Per series: row count and order-preserving bucket edges."""
-    rows = long.groupBy("_k").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("_v", _grid(_COARSE), 10_000).alias("e"),
-    ).collect()
-    info = {}
-    fine = []
-    for r in rows:
-        n = int(r["n"])
-        want = max(1, min(curves.MAX_BUCKETS, n // curves.ROWS_PER_BUCKET))
-        if want <= 1:
-            edges = []
-        elif want <= _COARSE:
-            stride = max(1, _COARSE // want)
-            edges = (r["e"] or [])[stride - 1 :: stride]
-        else:
-            edges = None
-            fine.append((r["_k"], want))
-        info[r["_k"]] = [n, edges]
-    for k, want in fine:
-        e = long.where(F.col("_k") == F.lit(k)).agg(
-            F.percentile_approx("_v", _grid(want), max(10_000, 4 * want)).alias("e")).first()["e"]
-        info[k][1] = e or []
-    for k in info:
-        info[k][1] = sorted({x for x in info[k][1] if x is not None and not math.isnan(x)})
-    return info
-
-
-def rank_quantiles(long: DataFrame, probs: Sequence[float]) -> dict:
-    """Exact quantiles per series of a long frame ``(_k, _v)``, NULL values
-    ignored. Returns ``{key: [q(p) for p in probs]}``."""
-    long = long.where(F.col("_v").isNotNull()).select("_k", F.col("_v").cast("double").alias("_v"))
-    info = _series_edges(long)
-    if not info:
-        return {}
-    depth = max(1, max(len(e) for _, e in info.values()).bit_length())
-    size = 1 << depth
-    spark = long.sparkSession
-    edge_rows = [(k, [float(x) for x in e] + [math.inf] * (size - len(e))) for k, (_, e) in info.items()]
-    key_type = long.schema["_k"].dataType.simpleString()
-    edges_df = spark.createDataFrame(edge_rows, f"_k {key_type}, _edges array<double>")
-    # One row per series with a bounded array: safe to broadcast.
-    bucketed = long.join(F.broadcast(edges_df), "_k").select(
-        "_k", "_v", bucket_of(F.col("_v"), F.col("_edges"), depth).alias("_b"))
-    counts = bucketed.groupBy("_k", "_b").count().collect()
-    per = {}
-    for r in counts:
-        per.setdefault(r["_k"], {})[r["_b"]] = int(r["count"])
-    wanted = []  # (key, bucket, local rank 1-based, global rank 0-based)
-    for k, (n, _) in info.items():
-        offs, acc = {}, 0
-        for b in sorted(per.get(k, {})):
-            offs[b] = acc
-            acc += per[k][b]
-        for g in needed_ranks(n, probs):
-            for b in sorted(offs):
-                if offs[b] <= g < offs[b] + per[k][b]:
-                    wanted.append((k, b, g - offs[b] + 1, g))
-                    break
-    need = spark.createDataFrame(wanted, f"_k {key_type}, _b int, _rn long, _g long")
-    # Only the buckets holding a needed rank are sorted.
-    hit = bucketed.join(F.broadcast(need.select("_k", "_b").distinct()), ["_k", "_b"])
-    w = Window.partitionBy("_k", "_b").orderBy("_v")
-    ranked = hit.withColumn("_rn", F.row_number().over(w))
-    got = ranked.join(F.broadcast(need), ["_k", "_b", "_rn"]).select("_k", "_g", "_v").collect()
-    vals = {}
-    for r in got:
-        vals.setdefault(r["_k"], {})[int(r["_g"])] = r["_v"]
-    return {k: [interpolate(vals.get(k, {}), n, p) for p in probs] for k, (n, _) in info.items()}
-
-
-def exact_rank_prob(k: int, n: int) -> float:
-    """A probability ``p`` with ``(n - 1) * p == k`` exactly in floating point,
-    so ``percentile`` at ``p`` returns the ``k``-th order statistic itself."""
-    if n <= 1:
-        return 0.0
-    p = k / (n - 1)
-    for _ in range(64):
-        pos = (n - 1) * p
-        if pos == k:
-            return p
-        p = math.nextafter(p, math.inf if pos < k else -math.inf)
-    return k / (n - 1)
-
-
 def cut_plan(n: int, probs: Sequence[float]) -> list[tuple[int, int, float]]:
     """Per probability: the two neighbouring ranks and the weight, as the
     array-library linear method computes them (``(n - 1) * p``, both ranks
@@ -189,95 +67,55 @@ def lerp(a, b, t: float):
     return b - d * (1 - t) if t >= 0.5 else a + d * t
 
 
-def order_statistics(long: DataFrame, ranks: dict) -> dict:
-    """Values at 0-based ranks per series (``ranks``: key -> set of ranks)
-    of a long frame ``(_k, _v)`` by rank selection (same machinery as
-    :func:`rank_quantiles`)."""
-    long = long.where(F.col("_v").isNotNull()).select("_k", F.col("_v").cast("double").alias("_v"))
-    info = _series_edges(long)
-    if not info:
-        return {}
-    depth = max(1, max(len(e) for _, e in info.values()).bit_length())
-    size = 1 << depth
-    spark = long.sparkSession
-    edge_rows = [(k, [float(x) for x in e] + [math.inf] * (size - len(e))) for k, (_, e) in info.items()]
-    key_type = long.schema["_k"].dataType.simpleString()
-    edges_df = spark.createDataFrame(edge_rows, f"_k {key_type}, _edges array<double>")
-    bucketed = long.join(F.broadcast(edges_df), "_k").select(
-        "_k", "_v", bucket_of(F.col("_v"), F.col("_edges"), depth).alias("_b"))
-    per = {}
-    for r in bucketed.groupBy("_k", "_b").count().collect():
-        per.setdefault(r["_k"], {})[r["_b"]] = int(r["count"])
+def order_statistics(long: DataFrame, ranks: Callable[[dict], dict[object, Iterable[int]]]) -> dict:
+    """Values at 0-based ranks per series.
+
+    ``long`` has ``_k`` (series), ``_v`` (any orderable type; NULL is left
+    out) and optionally ``_w`` (how often the value occurs). ``ranks`` gets
+    the counts per series and names the ranks wanted. Returns
+    ``{key: (n, {rank: value})}``.
+    """
+    weight = F.sum("_w") if "_w" in long.columns else F.count(F.lit(1))
+    counts = long.where(F.col("_v").isNotNull()).groupBy("_k", "_v").agg(weight.cast("long").alias("_c"))
+    table = stage(counts.repartitionByRange("_k", "_v").withColumn("_p", F.spark_partition_id()), "value-counts")
+    parts: dict = {}
+    for r in table.groupBy("_k", "_p").agg(F.sum("_c").alias("c")).collect():
+        parts.setdefault(r["_k"], []).append((r["_p"], int(r["c"])))
+    sizes = {k: sum(c for _, c in v) for k, v in parts.items()}
+    out = {k: (n, {}) for k, n in sizes.items()}
     wanted = []
-    for k, (n, _) in info.items():
-        offs, acc = {}, 0
-        for b in sorted(per.get(k, {})):
-            offs[b] = acc
-            acc += per[k][b]
-        for g in ranks.get(k, ()):
-            for b in sorted(offs):
-                if offs[b] <= g < offs[b] + per[k][b]:
-                    wanted.append((k, b, g - offs[b] + 1, g))
-                    break
-    need = spark.createDataFrame(wanted, f"_k {key_type}, _b int, _rn long, _g long")
-    hit = bucketed.join(F.broadcast(need.select("_k", "_b").distinct()), ["_k", "_b"])
-    ranked = hit.withColumn("_rn", F.row_number().over(Window.partitionBy("_k", "_b").orderBy("_v")))
-    out = {}
-    for r in ranked.join(F.broadcast(need), ["_k", "_b", "_rn"]).select("_k", "_g", "_v").collect():
-        out.setdefault(r["_k"], {})[int(r["_g"])] = r["_v"]
+    for k, asked in ranks(sizes).items():
+        if k not in parts:
+            continue
+        todo, before = sorted(set(asked)), 0
+        for p, c in sorted(parts[k]):
+            wanted += [(k, p, before, g) for g in todo if before <= g < before + c]
+            before += c
+    if not wanted:
+        return out
+    schema = T.StructType([T.StructField("k", long.schema["_k"].dataType)])
+    schema = schema.add("p", T.IntegerType()).add("before", T.LongType()).add("g", T.LongType())
+    need = long.sparkSession.createDataFrame(wanted, schema)
+    here = F.col("_k").eqNullSafe(F.col("k")) & (F.col("_p") == F.col("p"))
+    hit = table.join(need.select("k", "p", "before").distinct(), here).drop("k", "p")
+    upto = F.sum("_c").over(Window.partitionBy("_k", "_p").orderBy("_v")) + F.col("before")
+    running = hit.withColumn("_upto", upto)
+    got = running.join(need.select("k", "p", "g"), here).where((F.col("g") < F.col("_upto")) & (F.col("g") >= F.col("_upto") - F.col("_c")))
+    for r in got.select("_k", "_v", "g").collect():
+        out[r["_k"]][1][int(r["g"])] = r["_v"]
     return out
 
 
-def distinct_probe(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
-    """Approximate distinct counts (HyperLogLog) of several columns, one pass."""
-    row = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    return {c: int(row[f"d{i}"]) for i, c in enumerate(columns)}
+def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(_k, _v)`` with one row per column and row; NaN counts as missing."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("_k"), nan_to_null(F.col(f"`{c}`")).alias("_v")) for c in columns])
+    return df.select(F.explode(pairs).alias("_s")).select("_s._k", "_s._v")
 
 
-def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    method: str = "auto",
-    distinct_hint: dict | None = None,
-) -> dict[str, list[float | None]]:
-    """Exact quantiles of several columns. ``method``: ``percentile`` (one
-    aggregate), ``rank`` (rank selection) or ``auto`` (by distinct count;
-    ``distinct_hint`` supplies counts already measured in an earlier pass)."""
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns in one pass over ``df``."""
     if not columns:
         return {}
-    cols = list(columns)
-    if method == "auto":
-        hint = distinct_hint or {}
-        missing = [c for c in cols if c not in hint]
-        d = {**hint, **(distinct_probe(df, missing) if missing else {})}
-        # One fused percentile aggregate merges every column's value map in
-        # one task: admit columns (fewest distinct values first) while the
-        # total stays within the budget; the rest use rank selection.
-        small, total = [], 0
-        for c in sorted(cols, key=lambda x: d[x]):
-            if d[c] <= EXACT_DISTINCT_LIMIT and total + d[c] <= FUSED_DISTINCT_BUDGET:
-                small.append(c)
-                total += d[c]
-        large = [c for c in cols if c not in small]
-    elif method == "percentile":
-        small, large = cols, []
-    elif method == "rank":
-        small, large = [], cols
-    else:
-        raise ValueError(f"unknown quantile method {method!r}")
-    out = {}
-    if small:
-        arr = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[F.percentile(F.col(f"`{c}`").cast("double"), arr).alias(f"q{i}")
-                       for i, c in enumerate(small)]).first()
-        for i, c in enumerate(small):
-            out[c] = list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)
-    if large:
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("_k"), F.col(f"`{c}`").cast("double").alias("_v")) for c in large
-        ])).alias("_s")).select("_s._k", "_s._v")
-        res = rank_quantiles(long, probs)
-        for c in large:
-            out[c] = res.get(c, [None] * len(probs))
-    return {c: out[c] for c in cols}
+    found = order_statistics(long_form(df, columns), lambda sizes: {k: needed_ranks(n, probs) for k, n in sizes.items()})
+    none = (0, {})
+    return {c: [interpolate(found.get(c, none)[1], found.get(c, none)[0], p) for p in probs] for c in columns}

@@ -2,31 +2,33 @@
 
 Random parity with a NumPy shuffle is impossible; row order here comes from
 a deterministic hash of ``row_id`` and the seed (or any order the caller
-gives). Class quotas are exact, and the per-class ranking uses the
-two-level running count of :mod:`.curves`, so a dominant class never lands
-in a single task.
+gives). Class quotas are exact: the order value at each class's quota is
+found by exact rank selection over the label and order columns only, and a
+row's label is a comparison with it, so the wide table is never shuffled.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .quantiles import order_statistics, quantiles
 
-from .curves import exact_rank
 
 def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
 def time_cutoff(df: DataFrame, time_col: str = "issue_d", quantile: float = 0.8) -> float | None:
-    """P2 cutoff: linear ``quantile`` of the time column, in epoch micros."""
+    """P2 cutoff: exact linear ``quantile`` of the time column, in epoch micros."""
     if time_col not in df.columns:
-        raise KeyError(f"time_col '{time_col}' not found in dataframe")
-    row = df.agg(F.percentile(_micros(F.col(time_col)).cast("double"), F.lit(quantile)).alias("c")).first()
-    return row["c"]
+        raise KeyError(f"no column {time_col!r} to split by time")
+    t = df.select(_micros(F.col(time_col)).cast("double").alias("t"))
+    return quantiles(t, ["t"], [quantile])["t"][0]
 
 
 def cutoff_micros(train_end: str) -> int:
@@ -45,37 +47,15 @@ def time_split_label(
     train_end: str | None = None,
     quantile: float = 0.8,
     out: str = "split",
-    method: str = "auto",
 ) -> DataFrame:
     """P2 as a label: ``train`` when ``time <= cutoff``, ``validation`` when
-    after; rows with a missing time get NULL (they belong to neither).
-
-    The cutoff is a one-row ``percentile`` aggregate cross-joined in
-    (broadcast; the plan stays lazy) unless the time column has too many
-    distinct values, then it is found by rank selection (``method``)."""
+    after; rows with a missing time get NULL (they belong to neither). The
+    cutoff is found once and enters the plan as a literal."""
     if time_col not in df.columns:
-        raise KeyError(f"time_col '{time_col}' not found in dataframe")
-    t = _micros(F.col(time_col)).cast("double")
-    if train_end is not None:
-        cut = F.lit(float(cutoff_micros(train_end)))
-        return df.withColumn(out, F.when(t <= cut, "train").when(t > cut, "validation"))
-    if method == "auto":
-        from .quantiles import EXACT_DISTINCT_LIMIT
-
-        d = df.agg(F.approx_count_distinct(t)).first()[0] or 0
-        method = "percentile" if d <= EXACT_DISTINCT_LIMIT else "rank"
-    if method == "rank":
-        from .quantiles import rank_quantiles
-
-        cut = rank_quantiles(df.select(F.lit(0).alias("_k"), t.alias("_v")), [quantile]).get(0, [None])[0]
-        cl = F.lit(cut).cast("double")
-        return df.withColumn(out, F.when(t <= cl, "train").when(t > cl, "validation"))
-    c = df.agg(F.percentile(t, F.lit(quantile)).alias("_cut"))
-    return (
-        df.crossJoin(F.broadcast(c))
-        .withColumn(out, F.when(t <= F.col("_cut"), "train").when(t > F.col("_cut"), "validation"))
-        .drop("_cut")
-    )
+        raise KeyError(f"no column {time_col!r} to split by time")
+    cut = float(cutoff_micros(train_end)) if train_end is not None else time_cutoff(df, time_col, quantile)
+    t, c = _micros(F.col(time_col)).cast("double"), F.lit(cut).cast("double")
+    return df.withColumn(out, F.when(t <= c, "train").when(t > c, "validation"))
 
 
 def time_split(
@@ -104,27 +84,39 @@ def approximate_mode(class_counts: dict, n_draws: int) -> dict:
     return floored
 
 
-def _class_counts(df: DataFrame, label: str, max_classes: int = 10_000) -> dict:
-    rows = df.groupBy(label).count().orderBy(label).limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"{label} has more than {max_classes} classes; not a class label")
-    return {r[label]: int(r["count"]) for r in rows}
+def _order(order: Sequence[str] | None, seed: int, key: str) -> Column:
+    """The value that rows are ordered by within a class; it must tell rows apart."""
+    if order:
+        return F.struct(*[F.col(f"`{c}`") for c in order])
+    return F.struct(F.xxhash64(F.col(f"`{key}`"), F.lit(seed)).alias("h"), F.col(f"`{key}`"))
+
 
+def _class_cuts(df: DataFrame, label: str, position: Column, ends: Callable[[dict], dict]) -> tuple[DataFrame, dict]:
+    """(table of ``_class, _cuts``, class counts). ``ends`` turns the class
+    counts into ascending row numbers per class; ``_cuts`` holds the order
+    value at each of them (none for number 0, which nothing is below)."""
+    long = df.select(F.col(label).alias("_k"), position.alias("_v"))
+    sizes: dict = {}
 
-def _order_cols(df: DataFrame, order: Sequence[str] | None, seed: int, key: str) -> tuple[DataFrame, list[str]]:
-    if order:
-        return df, list(order)
-    return df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))), ["_h", key]
+    def ranks(counts: dict) -> dict:
+        order = sorted(counts, key=lambda k: (k is not None, k))
+        sizes.update({k: counts[k] for k in order})
+        return {k: [e - 1 for e in v if e > 0] for k, v in ends(sizes).items()}
 
+    found = order_statistics(long, ranks)
+    rows = [(k, [found[k][1].get(e - 1) for e in v]) for k, v in (ends(sizes).items() if sizes else ())]
+    schema = T.StructType([T.StructField("_class", long.schema["_k"].dataType), T.StructField("_cuts", T.ArrayType(long.schema["_v"].dataType))])
+    return df.sparkSession.createDataFrame(rows, schema), sizes
 
-def _select_by_quota(
-    df: DataFrame, label: str, quotas: dict, order: Sequence[str] | None, seed: int, key: str, out: str
-) -> DataFrame:
-    work, ocols = _order_cols(df, order, seed, key)
-    ranked = exact_rank(work, ocols, [label], out="_rk")
-    quota = F.create_map(*[x for k, v in quotas.items() for x in (F.lit(k), F.lit(int(v)))])
-    res = ranked.withColumn(out, F.col("_rk") <= F.element_at(quota, F.col(label)))
-    return res.drop("_rk", *(["_h"] if not order else []))
+
+def _with_cuts(df: DataFrame, label: str, cuts: DataFrame) -> DataFrame:
+    # One row per class, known on the driver; the planner joins it by size.
+    return df.join(cuts, F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")
+
+
+def _draw_sizes(n: int, part: float, take: Callable[[float], int]) -> int:
+    """Rows in the drawn part of ``n`` under the given rounding."""
+    return int(take(n * part))
 
 
 def stratified_split(
@@ -138,13 +130,15 @@ def stratified_split(
 ) -> DataFrame:
     """Label each row ``train`` / ``test`` keeping class shares; the
     test set has ``ceil(n * test_size)`` rows in total."""
-    counts = _class_counts(df, label)
-    n = sum(counts.values())
-    n_test = math.ceil(test_size * n)
-    n_train = n - n_test
-    quotas = approximate_mode(counts, n_train)
-    res = _select_by_quota(df, label, quotas, order, seed, key, "_in")
-    return res.withColumn(out, F.when(F.col("_in"), "train").otherwise("test")).drop("_in")
+    position = _order(order, seed, key)
+
+    def ends(sizes: dict) -> dict:
+        n = sum(sizes.values())
+        return {k: [q] for k, q in approximate_mode(sizes, n - _draw_sizes(n, test_size, math.ceil)).items()}
+
+    cuts, _ = _class_cuts(df, label, position, ends)
+    inside = F.coalesce(position <= F.col("_cuts")[0], F.lit(False))
+    return _with_cuts(df, label, cuts).withColumn(out, F.when(inside, "train").otherwise("test")).drop("_cuts")
 
 
 def stratified_subsample(
@@ -157,15 +151,20 @@ def stratified_subsample(
 ) -> DataFrame:
     """Class-preserving subsample of ``max(2, round(n * frac))`` rows
     (half-even rounding); everything when that is not below ``n``."""
-    if not 0 < frac <= 1.0:
-        raise ValueError("frac must be in (0, 1]")
-    counts = _class_counts(df, label)
-    n = sum(counts.values())
-    size = int(max(2, round(n * frac)))
-    if size >= n:
+    if frac <= 0 or frac > 1:
+        raise ValueError(f"a sample share lies above 0 and at most at 1, got {frac}")
+    position, whole = _order(order, seed, key), []
+
+    def ends(sizes: dict) -> dict:
+        n = sum(sizes.values())
+        size = max(2, _draw_sizes(n, frac, round))
+        whole[:] = [size >= n]
+        return {k: [q] for k, q in (sizes if size >= n else approximate_mode(sizes, size)).items()}
+
+    cuts, sizes = _class_cuts(df, label, position, ends)
+    if not sizes or whole[0]:
         return df
-    quotas = approximate_mode(counts, size)
-    return _select_by_quota(df, label, quotas, order, seed, key, "_in").where("_in").drop("_in")
+    return _with_cuts(df, label, cuts).where(position <= F.col("_cuts")[0]).drop("_cuts")
 
 
 def stratified_folds(
@@ -177,11 +176,19 @@ def stratified_folds(
     key: str = "row_id",
     out: str = "fold",
 ) -> DataFrame:
-    """Fold id in ``0..k-1`` dealt round-robin within each class."""
-    work, ocols = _order_cols(df, order, seed, key)
-    ranked = exact_rank(work, ocols, [label], out="_rk")
-    res = ranked.withColumn(out, ((F.col("_rk") - 1) % k).cast("int")).drop("_rk")
-    return res.drop("_h") if not order else res
+    """Fold id in ``0..k-1``: each class is cut, in order, into ``k``
+    runs whose sizes differ by one at most (longer ones first)."""
+    position = _order(order, seed, key)
+
+    def ends(sizes: dict) -> dict:
+        return {c: [f * (n // k) + min(f, n % k) for f in range(1, k)] for c, n in sizes.items()}
+
+    cuts, _ = _class_cuts(df, label, position, ends)
+    below = F.lit(0)
+    for f in range(k - 1):
+        # A cut before the first row lies below every row.
+        below = below + F.coalesce(position > F.col("_cuts")[f], F.lit(True)).cast("int")
+    return _with_cuts(df, label, cuts).withColumn(out, below).drop("_cuts")
 
 
 def recombine(*parts: DataFrame) -> DataFrame:

@@ -1,13 +1,8 @@
 """Fused column statistics: one aggregate pass for all columns at once.
 
-The reference loops over columns (one pass per column per statistic); here
-each statistic family is a single ``agg`` over every requested column, and
-only the one-row result (bounded by the number of columns) reaches the
-driver, where it becomes literals in the next plan.
-
-Exact quantiles (``percentile``) keep a value->count map per column; that is
-fine to ~10^7 distinct values. ``exact=False`` switches to
-``percentile_approx`` explicitly - never silently.
+Each statistic family is a single pass over every requested column, and
+only its result (bounded by the number of columns) reaches the driver,
+where it becomes literals in the next plan.
 """
 
 from __future__ import annotations
@@ -18,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.nulls import is_numeric_type
+from ..functions.nulls import is_numeric_type, nan_to_null
+from .quantiles import quantiles
 
 
 def q(c: str) -> Column:
@@ -75,67 +71,18 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return wide.select(stack).select("s.column", "s.missing_rate")
 
 
-def profile(df: DataFrame, columns: Sequence[str], distinct: Sequence[str] = ()) -> tuple[dict, dict]:
-    """One pass: missing share of ``columns`` and approximate distinct counts
-    of ``distinct`` (the latter decide the exact-quantile method later)."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    aggs = [F.avg(is_missing(c, types[c]).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)]
-    aggs += [F.approx_count_distinct(q(c)).alias(f"d{i}") for i, c in enumerate(distinct)]
-    if not aggs:
-        return {}, {}
-    row = df.agg(*aggs).first()
-    rates = {c: (row[f"m{i}"] if row[f"m{i}"] is not None else 0.0) for i, c in enumerate(columns)}
-    dist = {c: int(row[f"d{i}"]) for i, c in enumerate(distinct)}
-    return rates, dist
-
-
-def null_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
-    if not columns:
-        return {}
-    types = {f.name: f.dataType for f in df.schema.fields}
-    row = df.agg(
-        *[F.sum(is_missing(c, types[c]).cast("long")).alias(c) for c in columns]
-    ).first()
-    return {c: int(row[c] or 0) for c in columns}
-
-
-def medians(
-    df: DataFrame, columns: Sequence[str], exact: bool = True, distinct_hint: dict | None = None
-) -> dict[str, float | None]:
-    """Median per column (linear interpolation), NULLs skipped. Exact by
-    default (``percentile`` or rank selection, chosen per column by its
-    distinct count); ``exact=False`` uses ``percentile_approx``."""
-    res = quantiles(df, columns, [0.5], exact=exact, distinct_hint=distinct_hint)
-    return {c: v[0] for c, v in res.items()}
-
-
-def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    exact: bool = True,
-    distinct_hint: dict | None = None,
-) -> dict[str, list[float | None]]:
-    """Quantiles per column at ``probs`` (see :mod:`.quantiles`)."""
-    if not columns:
-        return {}
-    if exact:
-        from .quantiles import quantiles as exact_quantiles
-
-        return exact_quantiles(df, columns, probs, method="auto", distinct_hint=distinct_hint)
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    row = df.agg(*[F.percentile_approx(q(c).cast("double"), arr, 10_000).alias(f"q{i}")
-                   for i, c in enumerate(columns)]).first()
-    return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs))
-            for i, c in enumerate(columns)}
+def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Exact median per column (linear interpolation), missing values skipped."""
+    return {c: v[0] for c, v in quantiles(df, columns, [0.5]).items()}
 
 
 def mean_std_pop(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
-    """Mean and population standard deviation per column, NULLs skipped."""
+    """Mean and population standard deviation per column, missing values skipped."""
     if not columns:
         return {}
     aggs = []
     for i, c in enumerate(columns):
-        aggs += [F.avg(q(c)).alias(f"a{i}"), F.stddev_pop(q(c)).alias(f"s{i}")]
+        v = nan_to_null(q(c))
+        aggs += [F.avg(v).alias(f"a{i}"), F.stddev_pop(v).alias(f"s{i}")]
     row = df.agg(*aggs).first()
     return {c: (row[f"a{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}

@@ -89,9 +89,7 @@ def ensure_default_target(df: DataFrame, target: str = "default", source: str =
         return df.withColumn(target, v.cast("int"))
     if source in df.columns:
         return df.withColumn(target, simple_target(source))
-    raise KeyError(
-        f"Could not find or construct a binary target column. Provide '{target}' or '{source}'."
-    )
+    raise KeyError(f"no target: the table has neither {target!r} nor a status column {source!r}")
 
 
 def remove_leakage_columns(

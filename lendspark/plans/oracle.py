@@ -8,8 +8,7 @@ Spark operators: AUC through average ranks, quantile bands through
 
 from __future__ import annotations
 
-from ..functions.bins import linspace_probs, percent_grid_probs, qcut_probs
-from ..sources.fixtures import with_views_sql
+from ..sources.fixtures import CONTINUOUS_SCORE, HALF_ZERO_SCORE, with_views_sql
 
 D = 6
 _SQL: dict[str, str] = {}
@@ -31,8 +30,11 @@ def plist(probs) -> str:
     return "[" + ", ".join(f"{p!r}::DOUBLE" for p in probs) + "]"
 
 
-QCUT10 = plist(qcut_probs(10))
-PCT10 = plist(percent_grid_probs(10))
+# The probability grids of ten quantile bands (with the percent
+# round trip), of ten equal-width bins, and of the stability percentiles.
+QCUT10 = plist([0.0, 0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6000000000000001, 0.7, 0.8, 0.9, 1.0])
+WIDTH10 = [0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6000000000000001, 0.7000000000000001, 0.8, 0.9]
+PCT10 = plist([0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0])
 
 
 def band_expr(edges: str, v: str) -> str:
@@ -159,7 +161,7 @@ FROM {auc_rank_sql('scored')} a, {ks_sql('scored')} k,
 
 @sql("calibration_width", ("scored",))
 def _():
-    inner = ", ".join(f"{p!r}::DOUBLE" for p in linspace_probs(10)[1:-1])
+    inner = ", ".join(f"{p!r}::DOUBLE" for p in WIDTH10)
     return f"""SELECT CAST(len(list_filter([{inner}], lambda e: e < pd_hat)) AS INTEGER) AS bin,
        round(avg(CAST("default" AS DOUBLE)), {D}) AS frac_pos, round(avg(pd_hat), {D}) AS mean_pred, count(*) AS n
 FROM scored WHERE pd_hat IS NOT NULL GROUP BY 1"""
@@ -824,13 +826,76 @@ FROM clipped"""
         for c in scaled_cols)
     tab_cols = ", ".join(q(c) for c in num)
     return chain + f""",
-tab AS (SELECT row_id, "default" AS y, {tab_cols}, {flag_cols}, {raw_logs} FROM clipped),
+tab AS (SELECT row_id, issue_d, "default" AS y, {tab_cols}, {flag_cols}, {raw_logs} FROM clipped),
 {quota_sql('tab', 'n - ceil(0.2::DOUBLE * n)')},
 ranked AS (SELECT t.*, row_number() OVER (PARTITION BY y ORDER BY row_id) AS rk FROM tab t),
 labelled AS (SELECT r.*, CASE WHEN rk <= q THEN 'train' ELSE 'test' END AS split FROM ranked r JOIN quota USING (y)),
 st AS (SELECT {stats_sql} FROM labelled WHERE split = 'train')
-SELECT row_id, y AS is_default, split, {scaled} FROM labelled, st"""
+SELECT row_id, y AS is_default, split, strftime(issue_d, '%Y-%m-%d') AS issue_d, {scaled} FROM labelled, st"""
 
 
 _SQL["feat_model_ready"] = with_views_sql(_model_ready_sql(), ("loans",))
 _SQL["features_split"] = with_views_sql(_model_ready_sql("split"), ("loans",))
+
+
+# ---------------------------------------------------------------- inputs the plain fixtures lack
+
+@sql("band_assign_continuous", ("scored",))
+def _():
+    return f"""WITH s AS (SELECT row_id, {CONTINUOUS_SCORE} AS p, {HALF_ZERO_SCORE} AS z FROM scored),
+e AS (SELECT list_sort(list_distinct(quantile_cont(p, {QCUT10}))) AS ep,
+             list_sort(list_distinct(quantile_cont(z, {QCUT10}))) AS ez FROM s)
+SELECT row_id, {band_expr('e.ep', 's.p')} AS p_band, {band_expr('e.ez', 's.z')} AS z_band FROM s, e"""
+
+
+@sql("band_summary_unscored", ("scored",))
+def _():
+    return f"""WITH s AS (SELECT row_id, "default" AS y, CASE WHEN row_id % 4 <> 0 THEN pd_hat END AS p FROM scored),
+e AS (SELECT list_sort(list_distinct(quantile_cont(p, {QCUT10}))) AS ep FROM s),
+b AS (SELECT {band_expr('e.ep', 's.p')} AS band FROM s, e WHERE p IS NOT NULL),
+t AS (SELECT count(*) AS n, avg(CAST(y AS DOUBLE)) AS rate FROM s)
+SELECT band, count(*) AS "count", round(count(*) / max(t.n), {D}) AS population_share,
+       max(t.n) AS total_observations, round(max(t.rate), {D}) AS overall_default_rate
+FROM b, t GROUP BY band"""
+
+
+@sql("psi_nan", ("scored",))
+def _():
+    v = "CASE WHEN row_id % 7 <> 0 AND row_id % 5 <> 0 THEN pd_hat END AS v"
+    return f"""WITH {SCORED_SPLIT},
+tr AS (SELECT {v} FROM scored_split WHERE split = 'train'),
+va AS (SELECT {v} FROM scored_split WHERE split = 'validation')
+SELECT round(psi, {D}) AS psi FROM {psi_sql('tr', 'va')} p"""
+
+
+@sql("impute_nan", ("scored",))
+def _():
+    return f"""WITH s AS (SELECT row_id, CASE WHEN row_id % 7 <> 0 AND row_id % 5 <> 0 THEN dti END AS dti FROM scored),
+f AS (SELECT row_id, coalesce(dti, (SELECT median(dti) FROM s)) AS dti, CAST(dti IS NULL AS INTEGER) AS dti_missing FROM s),
+q AS (SELECT quantile_cont(dti, 0.01) AS lo, quantile_cont(dti, 0.99) AS hi FROM f)
+SELECT row_id, round(least(greatest(dti, lo), hi), {D}) AS dti, dti_missing FROM f, q"""
+
+
+@sql("feat_history_text", ("loans",))
+def _():
+    return f"SELECT row_id, {HISTORY} AS credit_history_years FROM loans"
+
+
+@sql("folds", ("scored",))
+def _():
+    return """WITH r AS (SELECT row_id, row_number() OVER (PARTITION BY "default" ORDER BY row_id) AS rk,
+                   count(*) OVER (PARTITION BY "default") AS n FROM scored)
+SELECT row_id, CAST(CASE WHEN rk <= n // 3 + least(1, n % 3) THEN 0
+                         WHEN rk <= 2 * (n // 3) + least(2, n % 3) THEN 1 ELSE 2 END AS INTEGER) AS fold FROM r"""
+
+
+@sql("clean_apply_frozen", ("loans",))
+def _():
+    learned = IMPUTED_SELECT.format(extra="").replace("FROM filtered) m", "FROM filtered WHERE row_id % 5 <> 0) m")
+    return f"WITH {FILTERED}\n{learned} WHERE row_id % 5 = 0"
+
+
+@sql("train_inputs", ("loans", "scored"))
+def _():
+    return f"""SELECT s.row_id, s.loan_amnt, CAST({T1} AS INTEGER) AS is_default, strftime(l.issue_d, '%Y-%m-%d') AS issue_d
+FROM scored s LEFT JOIN loans l USING (row_id)"""

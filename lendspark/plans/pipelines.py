@@ -2,9 +2,8 @@
 
 Each pipeline takes DataFrames and returns DataFrames (or a small result
 object holding them); writing them out is the caller's choice (IO5).
-Before multi-pass stages (model fitting) the input is cut from its lineage
-with a reliable ``checkpoint`` in the folder named by
-``spark.checkpoint.dir``.
+Inputs that several fits read are staged as Parquet in the shared folder
+(:mod:`..sources.stages`), so each fit reads only its columns.
 """
 
 from __future__ import annotations
@@ -15,8 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import banding, clean, encode, features, metrics, model, split, target
-from ..session import ensure_checkpoint_dir
+from ..operators import banding, clean, encode, features, joins, metrics, model, split, target
+from ..sources.stages import stage
 
 LABEL = "default"
 TIME_COL = "issue_d"
@@ -32,11 +31,6 @@ def require_columns(df: DataFrame, columns: Sequence[str], what: str = "input")
         raise ValueError(f"{what} must contain columns {list(columns)}; missing {missing}")
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 # --- PL1 / PL2 feature tables -------------------------------------------------------------
 
 @dataclass
@@ -48,6 +42,33 @@ class FeatureResult:
     dropped_leakage: list = field(default_factory=list)
 
 
+def _built(df: DataFrame, fold, seed: int, fit_scope: str, train_rows) -> tuple:
+    """Features and E4-E7 with their parameters, learned on all rows or, for
+    ``fit_scope="train"``, on the rows where ``train_rows`` holds and applied
+    to the others."""
+    if fit_scope not in ("all", "train"):
+        raise ValueError(f"fit_scope is 'all' or 'train', not {fit_scope!r}")
+    if fit_scope == "all":
+        feats, fp = features.build_features(df, target=LABEL, fold=fold, seed=seed)
+        feats = stage(feats, "features")
+        op = encode.fit_missing_and_outliers(feats, exclude=(KEY, LABEL))
+    else:
+        df = df.withColumn("_train", F.coalesce(train_rows, F.lit(False)))
+        fitted, fp = features.build_features(df.where("_train"), target=LABEL, fold=fold, seed=seed)
+        fitted = stage(fitted, "features")
+        op = encode.fit_missing_and_outliers(fitted.drop("_train"), exclude=(KEY, LABEL))
+        rest = features.apply_features(df.where("not _train"), fp)
+        feats = fitted.unionByName(rest.select(*[F.col(f"`{c}`") for c in fitted.columns])).drop("_train")
+    return encode.apply_missing_and_outliers(feats, op), fp, op
+
+
+def _with_time(feats: DataFrame, table: DataFrame) -> DataFrame:
+    """The issue date as a timestamp, where the table carries it."""
+    if TIME_COL not in feats.columns:
+        return table
+    return table.withColumn(TIME_COL, F.col(TIME_COL).cast("timestamp"))
+
+
 def features_split(
     cleaned: DataFrame,
     test_size: float = 0.2,
@@ -55,46 +76,51 @@ def features_split(
     materialize_input: bool = True,
     fold=None,
     order: Sequence[str] | None = None,
+    fit_scope: str = "all",
 ) -> FeatureResult:
     """PL1: simple target (T1) -> features -> impute / clip / log -> numeric
     projection -> stratified split -> scaler fitted on train, applied to
-    both -> recombined, with a ``split`` column."""
+    both -> recombined, with ``split``, ``default`` and ``issue_d``.
+
+    ``fit_scope="train"`` learns medians, clip bounds and encodings on the
+    training part only; ``"all"`` on all rows, as the original does."""
     if materialize_input:
-        cleaned = _checkpoint(cleaned)
-    df = target.map_target(cleaned)
-    feats, fp = features.build_features(df, target=LABEL, fold=fold, seed=seed)
-    feats = _checkpoint(feats)
-    op = encode.fit_missing_and_outliers(feats, exclude=(KEY, LABEL))
-    feats = encode.apply_missing_and_outliers(feats, op)
-    num = encode.numeric_projection(feats)
-    labelled = split.stratified_split(num, LABEL, test_size, seed, order=order, out="split")
-    cols = [c for c in num.columns if c not in (KEY, LABEL)]
+        cleaned = stage(cleaned, "cleaned")
+    df = split.stratified_split(target.map_target(cleaned), LABEL, test_size, seed, order=order, out="split")
+    feats, fp, op = _built(df, fold, seed, fit_scope, F.col("split") == "train")
+    keep = ["split"] + ([TIME_COL] if TIME_COL in feats.columns else [])
+    labelled = _with_time(feats, encode.numeric_projection(feats, keep=keep))
+    cols = [c for c in labelled.columns if c not in (KEY, LABEL, TIME_COL, "split")]
     sc = encode.fit_scaler(labelled.where(F.col("split") == "train"), cols)
     return FeatureResult(encode.apply_scaler(labelled, sc), fp, op, sc)
 
 
 def features_conservative(
-    cleaned: DataFrame, seed: int = 42, materialize_input: bool = True, fold=None
+    cleaned: DataFrame,
+    seed: int = 42,
+    materialize_input: bool = True,
+    fold=None,
+    fit_scope: str = "all",
+    train_end: str | None = None,
 ) -> FeatureResult:
     """PL2 (default route): conservative target (T2) -> leakage removal ->
     features -> impute / clip / log -> numeric projection, with ``default``
     and ``issue_d`` carried along (no re-join needed).
 
-    The cleaned input is materialised first (several fit aggregates read
-    it); pass ``materialize_input=False`` when it is already a stored table."""
+    ``fit_scope="train"`` learns on the training period only (``train_end``
+    or the time quantile). The cleaned input is staged first (several fits
+    read it); pass ``materialize_input=False`` when it is a stored table."""
     if materialize_input:
-        cleaned = _checkpoint(cleaned)
+        cleaned = stage(cleaned, "cleaned")
     df = target.define_default_target(cleaned)
     df, dropped = target.remove_leakage_columns(df)
-    feats, fp = features.build_features(df, target=LABEL, fold=fold, seed=seed)
-    # Three aggregates follow over the built table: materialise it once.
-    feats = _checkpoint(feats)
-    op = encode.fit_missing_and_outliers(feats, exclude=(KEY, LABEL))
-    feats = encode.apply_missing_and_outliers(feats, op)
+    train_rows = None
+    if fit_scope == "train":
+        df = split.time_split_label(df, TIME_COL, train_end, out="_period")
+        train_rows = F.col("_period") == "train"
+    feats, fp, op = _built(df, fold, seed, fit_scope, train_rows)
     keep = [LABEL] + ([TIME_COL] if TIME_COL in feats.columns else [])
-    table = encode.numeric_projection(feats, keep=keep)
-    if TIME_COL in table.columns:
-        table = table.withColumn(TIME_COL, F.col(TIME_COL).cast("timestamp"))
+    table = _with_time(feats, encode.numeric_projection(feats, keep=keep))
     return FeatureResult(table, fp, op, None, dropped)
 
 
@@ -117,6 +143,23 @@ def feature_columns(df: DataFrame) -> list[str]:
     return split.feature_label_columns(df, LABEL, TIME_COL, exclude=(KEY, "split"))
 
 
+def train_inputs(
+    feats: DataFrame, labels: DataFrame | None = None, cleaned: DataFrame | None = None, key: str = KEY
+) -> DataFrame:
+    """The feature table with target and time: the target is the table's own,
+    else the labels table's, else derived from ``loan_status`` (of the
+    features, or of the cleaned table by key), else an error; the time column
+    is brought back from the cleaned table by key where it is absent."""
+    if LABEL not in feats.columns:
+        if labels is not None:
+            feats = joins.attach_labels(feats, labels, key, out=LABEL)
+        elif clean.TARGET_SOURCE not in feats.columns and cleaned is not None and clean.TARGET_SOURCE in cleaned.columns:
+            status = joins.unique_by_key(cleaned.select(key, clean.TARGET_SOURCE), key, [clean.TARGET_SOURCE], "cleaned table")
+            feats = feats.join(status, on=key, how="left")
+    feats = target.ensure_default_target(feats, LABEL, clean.TARGET_SOURCE).drop(clean.TARGET_SOURCE)
+    return joins.recover_time_column(feats, cleaned, TIME_COL, key)
+
+
 def train(
     feats: DataFrame,
     train_end: str | None = None,
@@ -125,14 +168,18 @@ def train(
     Cs: Sequence[float] = (0.1, 1.0, 10.0),
     frac: float = 0.15,
     folds: int = 3,
+    labels: DataFrame | None = None,
+    cleaned: DataFrame | None = None,
 ) -> TrainResult:
-    """PL3: time split -> baseline (L2, C = 1, balanced) -> optional tuning
+    """PL3: target and time (:func:`train_inputs`) -> time split -> baseline (L2, C = 1, balanced) -> optional tuning
     on a stratified sample -> validation metrics -> selection rule; the
     selected model is returned and used."""
+    feats = train_inputs(feats, labels, cleaned)
     require_columns(feats, [LABEL, TIME_COL], "feature table")
-    data = _checkpoint(feats)
-    tr, va = split.time_split(data, TIME_COL, train_end)
-    cols = feature_columns(data)
+    # The cutoff is found on the way into the stage table, once.
+    data = stage(split.time_split_label(feats, TIME_COL, train_end, out="_part"), "training")
+    tr, va = (data.where(F.col("_part") == part).drop("_part") for part in ("train", "validation"))
+    cols = feature_columns(tr)
     baseline = model.train_logistic(tr, cols, LABEL, C=1.0)
     spark = data.sparkSession
     base_m = metrics.compute_metrics(model.score(baseline, va, "pd_hat"), "pd_hat", LABEL)
@@ -148,8 +195,7 @@ def train(
     decision = model.select_model(spark, b_auc, t_auc)
     sel = decision.first()["selected"]
     selected = tuned if (sel == "tuned" and tuned is not None) else baseline
-    counts = {r["_s"]: r["count"] for r in split.time_split_label(data, TIME_COL, train_end, out="_s")
-              .groupBy("_s").count().collect()}
+    counts = {r["_part"]: r["count"] for r in data.groupBy("_part").count().collect()}
     return TrainResult(baseline, tuned, best_c, grid, rows, decision, selected,
                        counts.get("train", 0), counts.get("validation", 0))
 
@@ -220,11 +266,6 @@ def calibrate(scored: DataFrame, apply: bool = False, seed: int = 42) -> Calibra
     return CalibrationResult(metrics.brier(scored), metrics.calibration_table(scored), recal)
 
 
-def clean_and_features(raw: DataFrame, drop_threshold: float = clean.DEFAULT_DROP_THRESHOLD) -> FeatureResult:
-    """C18 followed by PL2."""
-    return features_conservative(clean.clean(raw, drop_threshold))
-
-
 # --- PL8 report tables ---------------------------------------------------------------------------
 
 def long_report(section: str, wide: DataFrame) -> DataFrame:
@@ -235,7 +276,8 @@ def long_report(section: str, wide: DataFrame) -> DataFrame:
 
 
 def performance_report(spark: SparkSession, res: TrainResult) -> DataFrame:
-    """PL8: training report rows (row counts, best C, metrics per model)."""
+    """PL8: training report rows (row counts, best C, metrics per model, the
+    selection decision)."""
     head = spark.createDataFrame(
         [("summary", "training_rows", float(res.train_rows)),
          ("summary", "validation_rows", float(res.validation_rows)),
@@ -247,7 +289,12 @@ def performance_report(spark: SparkSession, res: TrainResult) -> DataFrame:
         F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"))
                             for c in ("auc", "ks", "precision", "recall", "brier")])).alias("s"),
     ).select("section", "s.metric", "s.value")
-    return head.unionByName(per_model)
+    decision = long_report("selection", res.decision)
+    chosen = res.decision.select(
+        F.lit("selection").alias("section"), F.lit("tuned_selected").alias("metric"),
+        (F.col("selected") == "tuned").cast("double").alias("value"),
+    )
+    return head.unionByName(per_model).unionByName(decision).unionByName(chosen)
 
 
 def validation_report(res: ValidationResult) -> DataFrame:
@@ -268,6 +315,22 @@ def validation_report(res: ValidationResult) -> DataFrame:
     return out
 
 
+def stability_report(
+    reference: DataFrame, current: DataFrame, time_col: str = TIME_COL, freq: str = "Q",
+    features: Sequence[str] = metrics.DEFAULT_PSI_FEATURES,
+) -> DataFrame:
+    """PL8: feature drift and the by-period summary in one table
+    ``section, metric, key, value``."""
+    psi = metrics.psi_features(reference, current, features)
+    drift = psi.select(F.lit("feature_psi").alias("section"), F.lit("psi").alias("metric"), F.col("feature").alias("key"), F.col("psi").alias("value"))
+    periods = metrics.temporal_summary(current, time_col, freq=freq)
+    values = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in ("avg_pd", "obs_rate", "n")])
+    by_period = periods.select("period", F.explode(values).alias("s")).select(
+        F.lit("by_period").alias("section"), "s.metric", F.col("period").alias("key"), "s.value"
+    )
+    return drift.unionByName(by_period)
+
+
 def monitor(reference: DataFrame, current: DataFrame, time_col: str = TIME_COL, freq: str = "Q") -> DataFrame:
     """PL10: per-period PSI / AUC / Brier with the approval triggers."""
     return metrics.monitor_by_period(reference, current, time_col, "pd_hat", LABEL, freq)

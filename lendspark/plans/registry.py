@@ -168,11 +168,7 @@ def q_segment_performance(spark, sf):
 
 @register("approval")
 def q_approval(spark, sf):
-    s = _scored_with_split(spark, sf)
-    val = s.where("split = 'validation'")
-    m = metrics.compute_metrics(val).select("auc", "brier")
-    p = metrics.psi_by_side(s, "pd_hat", "split", "train", "validation")
-    a = banding.approval(m.crossJoin(p))
+    a = banding.approval(metrics.side_metrics(_scored_with_split(spark, sf)))
     return a.select(r("auc"), r("psi"), r("brier"), "issues", "n_issues", "decision")
 
 
@@ -462,7 +458,7 @@ def q_join_labels(spark, sf):
 def q_recover_time(spark, sf):
     feats = fx.scored(spark, sf).select("row_id", "pd_hat")
     cleaned = fx.loans(spark, sf).select("row_id", "issue_d")
-    j = joins.recover_time_column(feats, cleaned, "issue_d")
+    j = joins.recover_time_column(feats, cleaned, "issue_d", "row_id")
     return _dates_as_text(j, ("issue_d",)).select("row_id", "pd_hat", "issue_d")
 
 
@@ -528,5 +524,74 @@ def q_band_report(spark, sf):
 def q_features_split(spark, sf):
     fr = pipelines.features_split(clean.clean(fx.loans_raw(spark, sf)), 0.2, fold=_fold5(), order=["row_id"])
     t = fr.table
-    cols = [c for c in t.columns if c not in ("row_id", "default", "split")]
-    return t.select("row_id", F.col("default").alias("is_default"), "split", *[r(c) for c in cols])
+    cols = [c for c in t.columns if c not in ("row_id", "default", "split", "issue_d")]
+    day = F.date_format("issue_d", "yyyy-MM-dd").alias("issue_d")
+    return t.select("row_id", F.col("default").alias("is_default"), "split", day, *[r(c) for c in cols])
+
+
+# --- inputs the plain fixtures lack: missing scores, NaN, text dates, ties --------------------
+
+
+@register("band_assign_continuous")
+def q_band_assign_continuous(spark, sf):
+    """One distinct score per row, and a score that is zero for half of the rows."""
+    s = fx.scored(spark, sf).select("row_id", fx.continuous_score().alias("p"), fx.half_zero_score().alias("z"))
+    b = banding.assign_bands(banding.assign_bands(s, "p", N_BANDS, out="p_band"), "z", N_BANDS, out="z_band")
+    return b.select("row_id", "p_band", "z_band")
+
+
+@register("band_summary_unscored")
+def q_band_summary_unscored(spark, sf):
+    s = fx.scored(spark, sf).withColumn("pd_hat", F.when(F.col("row_id") % 4 != 0, F.col("pd_hat")))
+    summary = banding.band_summary(banding.assign_bands(s, "pd_hat", N_BANDS))
+    total = banding.band_metrics(summary).select("total_observations", r("overall_default_rate"))
+    return summary.select("band", "count", r("population_share")).crossJoin(F.broadcast(total))
+
+
+def _with_nan(df, column):
+    """NaN in every fifth row and NULL in every seventh."""
+    k = F.col("row_id")
+    v = F.col(column).cast("double")
+    return df.withColumn(column, F.when(k % 7 == 0, F.lit(None)).when(k % 5 == 0, F.lit(float("nan"))).otherwise(v))
+
+
+@register("psi_nan")
+def q_psi_nan(spark, sf):
+    s = _with_nan(_scored_with_split(spark, sf), "pd_hat")
+    return metrics.psi_by_side(s, "pd_hat", "split", "train", "validation").select(r("psi"))
+
+
+@register("impute_nan")
+def q_impute_nan(spark, sf):
+    s = _with_nan(fx.scored(spark, sf).select("row_id", "dti", "loan_amnt"), "dti")
+    out, _ = encode.handle_missing_and_outliers(s, exclude=("row_id",))
+    return out.select("row_id", r("dti"), "dti_missing")
+
+
+@register("feat_history_text")
+def q_feat_history_text(spark, sf):
+    t = features.credit_history_years(fx.loans_raw(spark, sf).select("row_id", "issue_d", "earliest_cr_line"))
+    return t.select("row_id", "credit_history_years")
+
+
+@register("folds")
+def q_folds(spark, sf):
+    f = split.stratified_folds(fx.scored(spark, sf), "default", 3, order=["row_id"])
+    return f.select("row_id", "fold")
+
+
+@register("clean_apply_frozen")
+def q_clean_apply_frozen(spark, sf):
+    """Cleaning learned on four fifths of the rows, applied to the others."""
+    raw = fx.loans_raw(spark, sf)
+    _, params = clean.fit_clean(raw.where("row_id % 5 <> 0"), date_fallback=False)
+    return _dates_as_text(clean.apply_clean(raw.where("row_id % 5 = 0"), params))
+
+
+@register("train_inputs")
+def q_train_inputs(spark, sf):
+    """Target and time brought to a bare feature table by key."""
+    feats = fx.scored(spark, sf).select("row_id", "loan_amnt")
+    cleaned = fx.loans(spark, sf).select("row_id", "loan_status", "issue_d")
+    t = pipelines.train_inputs(feats, None, cleaned)
+    return _dates_as_text(t, ("issue_d",)).select("row_id", "loan_amnt", F.col("default").alias("is_default"), "issue_d")

@@ -7,7 +7,6 @@ helpers are for scripts, tests and the benchmark.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -53,22 +52,3 @@ def build_session(
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the deployment sets ``spark.checkpoint.dir`` to a shared
-    filesystem; we read it from the session. Only when it is unset (local
-    tests) do we create a scratch folder of our own.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="lendspark-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir

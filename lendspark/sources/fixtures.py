@@ -161,6 +161,19 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coerce_types(loans_raw(spark, sf_dir), date_fallback=False)
 
 
+# Scores the plain view lacks, over k = row_id.
+CONTINUOUS_SCORE = "cast(row_id * 7919 % 1000003 as double) / 1000003 + cast(row_id as double) / 1e12"
+HALF_ZERO_SCORE = "case when row_id % 2 = 0 then cast(0 as double) else cast(row_id * 104729 % 99991 as double) / 99991 end"
+
+
+def continuous_score():
+    return F.expr(CONTINUOUS_SCORE)
+
+
+def half_zero_score():
+    return F.expr(HALF_ZERO_SCORE)
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scored validation-like table: ``row_id, default, pd_hat, ...``."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")

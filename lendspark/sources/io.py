@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from ..functions.nulls import NUMERIC_TEXT, na_tokens_to_null
+from ..functions.nulls import NUMERIC_TEXT, na_tokens_to_null, normalise_nan
 
 ROW_ID = "row_id"
 
@@ -51,8 +51,9 @@ def read_raw_csv(
 
     Without a ``schema`` every column is text; ``infer_numeric`` then types
     the columns whose non-missing values are all numeric as double (one
-    aggregate pass, instead of the reader's sampling inference)."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+    aggregate pass, instead of the reader's sampling inference). Quoted
+    fields may hold line breaks."""
+    reader = spark.read.option("header", True).option("multiLine", True).option("mode", "PERMISSIVE").option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(path)
@@ -86,27 +87,24 @@ def land(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) ->
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """IO2 / IO3: a stage table (Parquet, or CSV with a header)."""
+    """IO2 / IO3: a stage table (Parquet, or CSV with a header). A first CSV
+    column without a name is a written row index: it becomes ``row_id``
+    unless there is one already. NaN is read as missing."""
     if path.endswith(".csv") or path.endswith(".csv.gz"):
-        return spark.read.option("header", True).option("inferSchema", True).csv(path)
-    return spark.read.parquet(path)
+        df = spark.read.option("header", True).option("inferSchema", True).option("multiLine", True).csv(path)
+        if df.columns and df.columns[0] in ("_c0", "Unnamed: 0"):
+            df = df.drop(df.columns[0]) if ROW_ID in df.columns else df.withColumnRenamed(df.columns[0], ROW_ID)
+        return normalise_nan(df)
+    return normalise_nan(spark.read.parquet(path))
 
 
 def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
-    """IO4: missing or unreadable input -> ``None`` (dependent outputs skip)."""
+    """IO4: an input that does not exist -> ``None`` (dependent outputs
+    skip). Any other failure is raised."""
     try:
         return read_table(spark, path)
-    except AnalysisException:
-        return None
-    except Exception:  # unreadable file
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
-
-def save_params(spark: SparkSession, rows: Sequence[tuple], schema: str, path: str) -> None:
-    """IO7: a small parameter table (medians, bounds, scaler...) as Parquet."""
-    spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("overwrite").parquet(path)
-
-
-def load_params(spark: SparkSession, path: str) -> list:
-    """IO7: read a parameter table back (bounded: one row per column)."""
-    return spark.read.parquet(path).collect()

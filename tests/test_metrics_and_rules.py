@@ -41,15 +41,6 @@ def test_auc_symmetry_and_ks_range(spark):
     assert 0 <= k <= 1
 
 
-def test_running_sums_bucketed_equals_single(spark, monkeypatch):
-    s = fx.scored(spark, SF_SMALL)
-    monkeypatch.setattr(curves, "ROWS_PER_BUCKET", 50)  # force many buckets
-    many = curves.auc_ks(s, "pd_hat", "default").first()
-    monkeypatch.setattr(curves, "ROWS_PER_BUCKET", 10 ** 12)
-    one = curves.auc_ks(s, "pd_hat", "default").first()
-    assert abs(many["auc"] - one["auc"]) < 1e-15 and abs(many["ks"] - one["ks"]) < 1e-15
-
-
 def test_segment_auc_single_class_is_null(spark):
     df = spark.createDataFrame([("a", 0.1, 1), ("a", 0.2, 1), ("b", 0.3, 0), ("b", 0.9, 1)],
                                "g string, pd_hat double, default int")
@@ -75,6 +66,29 @@ def test_band_counts_sum_and_tied_bands(spark):
     assert summ.agg(F.sum("count")).first()[0] == s.count()
 
 
+def test_band_totals_cover_unscored_rows(spark):
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else i / 100, i % 2) for i in range(100)], "row_id int, pd_hat double, default int")
+    summ = banding.band_summary(banding.assign_bands(df, "pd_hat", 5))
+    assert abs(summ.agg(F.sum("population_share")).first()[0] - 0.75) < 1e-12
+    m = banding.band_metrics(summ).first()
+    assert m["total_observations"] == 100 and m["overall_default_rate"] == 0.5
+
+
+def test_folds_are_even_per_class(spark):
+    s = fx.scored(spark, SF_SMALL)
+    got = split.stratified_folds(s, "default", 3).groupBy("default", "fold").count().collect()
+    for y in (0, 1):
+        sizes = [r["count"] for r in got if r["default"] == y]
+        assert len(sizes) == 3 and max(sizes) - min(sizes) <= 1
+
+
+def test_psi_ignores_nan(spark):
+    s = fx.scored(spark, SF_SMALL).select("row_id", "pd_hat")
+    part = F.col("row_id") % 5 == 0
+    holes = s.withColumn("pd_hat", F.when(part, F.lit(float("nan"))).otherwise(F.col("pd_hat")))
+    assert metrics.psi(holes, s, "pd_hat").first()["psi"] == metrics.psi(s.where(~part), s, "pd_hat").first()["psi"]
+
+
 def test_time_split_disjoint(spark):
     s = split.time_split_label(fx.scored(spark, SF_SMALL), "issue_ts")
     c = {r["split"]: r["count"] for r in s.groupBy("split").count().collect()}
@@ -124,34 +138,41 @@ def test_band_actions_golden(spark):
     assert rows[9]["risk_label"] == "Extreme Risk"
     assert rows[9]["calibration"] == "Over-predicting risk"
     assert rows[9]["action"].startswith("Manual review required")
-    assert banding.risk_label_list(12)[11] == "Band 11"
+    many = df.select(banding.risk_label(F.lit(11), 12).alias("x")).first()["x"]
+    assert many == "Band 11"
 
 
-def test_rank_quantiles_equal_percentile(spark, monkeypatch):
-    from lendspark.operators import curves, quantiles
+def test_quantiles_equal_percentile(spark):
+    from lendspark.operators import quantiles
 
     s = fx.loans(spark, SF_SMALL)
     cols = ["loan_amnt", "dti", "annual_inc", "fico_mean"]
     probs = [0.0, 0.01, 0.3 + 1e-17, 0.5, 0.8, 0.99, 1.0]
-    monkeypatch.setattr(curves, "ROWS_PER_BUCKET", 40)  # many buckets on tiny data
-    a = quantiles.quantiles(s, cols, probs, method="rank")
-    b = quantiles.quantiles(s, cols, probs, method="percentile")
-    assert a == b
+    got = quantiles.quantiles(s, cols, probs)
+    arr = F.array(*[F.lit(p) for p in probs])
+    want = s.agg(*[F.percentile(F.col(c).cast("double"), arr).alias(c) for c in cols]).first()
+    assert got == {c: list(want[c]) for c in cols}
 
 
-def test_rank_band_edges_equal_percentile(spark, monkeypatch):
-    from lendspark.operators import curves
+def test_quantiles_of_nothing_nan_and_ties(spark):
+    from lendspark.operators import quantiles
 
-    s = fx.scored(spark, SF_SMALL)
-    monkeypatch.setattr(curves, "ROWS_PER_BUCKET", 30)
-    e1 = banding.quantile_edges(s, "pd_hat", 10, method="rank").first()["edges"]
-    e2 = banding.quantile_edges(s, "pd_hat", 10, method="percentile").first()["edges"]
-    assert e1 == e2
-    p1 = metrics.psi_by_side(split.time_split_label(s, "issue_ts", method="rank"), "pd_hat", "split",
-                             method="rank").first()["psi"]
-    p2 = metrics.psi_by_side(split.time_split_label(s, "issue_ts", method="percentile"), "pd_hat", "split",
-                             method="percentile").first()["psi"]
-    assert abs(p1 - p2) < 1e-12
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, None, nan), (1.0, None, 2.0), (nan, None, 4.0), (5.0, None, None)], "a double, b double, c double")
+    assert quantiles.quantiles(df, ["a", "b", "c"], [0.0, 0.5, 1.0]) == {
+        "a": [1.0, 1.0, 5.0], "b": [None, None, None], "c": [2.0, 3.0, 4.0]}
+    assert quantiles.quantiles(df.limit(0), ["a"], [0.5]) == {"a": [None]}
+
+
+def test_order_statistics_of_structs_by_series(spark):
+    from lendspark.operators.quantiles import order_statistics
+
+    rows = [("x", i % 7, i) for i in range(200)] + [(None, 3, 1)]
+    df = spark.createDataFrame(rows, "k string, a int, b int").select(F.col("k").alias("_k"), F.struct("a", "b").alias("_v"))
+    got = order_statistics(df, lambda sizes: {k: {0, n - 1, n // 2} for k, n in sizes.items()})
+    want = sorted((a, b) for k, a, b in rows if k == "x")
+    assert {r: tuple(v) for r, v in got["x"][1].items()} == {0: want[0], 199: want[199], 100: want[100]}
+    assert got[None][0] == 1 and tuple(got[None][1][0]) == (3, 1)
 
 
 def test_calibration_arrays_in_bin_order(spark):
@@ -183,15 +204,3 @@ def test_fixture_band_counts_and_cutoff(spark):
     assert split.time_cutoff(s, "issue_ts") == 955497600000000
     c = {r["split"]: r["count"] for r in split.time_split_label(s, "issue_ts").groupBy("split").count().collect()}
     assert (c["train"], c["validation"]) == (11831, 2957)
-
-
-def test_fused_budget_routes_columns(spark, monkeypatch):
-    from lendspark.operators import curves, quantiles
-
-    s = fx.loans(spark, SF_SMALL)
-    cols = ["loan_amnt", "dti", "fico_mean"]
-    monkeypatch.setattr(curves, "ROWS_PER_BUCKET", 40)
-    monkeypatch.setattr(quantiles, "FUSED_DISTINCT_BUDGET", 100)   # only the small-cardinality column fits
-    mixed = quantiles.quantiles(s, cols, [0.01, 0.5, 0.99], method="auto")
-    ref = quantiles.quantiles(s, cols, [0.01, 0.5, 0.99], method="percentile")
-    assert mixed == ref

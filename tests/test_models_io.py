@@ -122,3 +122,48 @@ def test_feature_params_round_trip_and_apply(spark, tmpdir_path):
     op2 = encode.load_outlier_params(spark, tmpdir_path + "/op")
     assert op2.medians == op.medians and op2.bounds == op.bounds
     assert set(op2.flag_columns) == set(op.flag_columns) and set(op2.log_columns) == set(op.log_columns)
+
+
+def test_missing_artifact_raises(spark, tmpdir_path):
+    from lendspark.operators import clean, features, target
+
+    df = target.map_target(clean.clean(fx.loans_raw(spark, SF_SMALL)))
+    _, params = features.build_features(df, target="default")
+    params.freq_tables.pop("addr_state")
+    params.save(spark, tmpdir_path + "/a")
+    assert "addr_state" not in features.FeatureParams.load(spark, tmpdir_path + "/a").freq_tables
+    spark.createDataFrame([("freq", "addr_state")], "kind string, column string") \
+        .write.mode("append").parquet(tmpdir_path + "/a/parts")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        features.FeatureParams.load(spark, tmpdir_path + "/a")
+
+
+def test_clean_params_round_trip(spark, tmpdir_path):
+    from lendspark.operators import clean
+
+    raw = fx.loans_raw(spark, SF_SMALL)
+    fitted, params = clean.fit_clean(raw)
+    params.save(spark, tmpdir_path + "/clean")
+    loaded = clean.CleanParams.load(spark, tmpdir_path + "/clean")
+    assert loaded == params
+    again = clean.apply_clean(raw, loaded)
+    assert again.columns == fitted.columns
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, fitted.collect()))
+
+
+def test_best_of_grid_passes_over_nan():
+    nan = float("nan")
+    assert model.best_of_grid([(0.1, nan), (1.0, 0.7), (10.0, 0.7)]) == 1.0
+    with pytest.raises(ValueError):
+        model.best_of_grid([(0.1, nan)])
+
+
+def test_csv_fields_with_line_breaks_and_index_column(spark, tmpdir_path):
+    import os
+
+    os.makedirs(tmpdir_path + "/csv")
+    with open(tmpdir_path + "/csv/x.csv", "w") as f:
+        f.write(',a,b\n7,"one\ntwo",NaN\n8,three,2.5\n')
+    t = io.read_table(spark, tmpdir_path + "/csv/x.csv")
+    assert sorted(t.collect()) == [(7, "one\ntwo", None), (8, "three", 2.5)] and t.columns[0] == "row_id"
+    assert io.read_raw_csv(spark, tmpdir_path + "/csv/x.csv").count() == 2

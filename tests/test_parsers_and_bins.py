@@ -146,5 +146,5 @@ def test_lookup_joins_raise_on_duplicate_keys(spark):
     with pytest.raises(Exception):
         joins.attach_labels(feats, dup).collect()
     clean_t = spark.createDataFrame([(1, "Dec-2015"), (2, "Jan-2016")], "row_id long, issue_d string")
-    rec = joins.recover_time_column(feats, clean_t, "issue_d")
+    rec = joins.recover_time_column(feats, clean_t, "issue_d", "row_id")
     assert {r["row_id"]: r["issue_d"].month for r in rec.collect()} == {1: 12, 2: 1}

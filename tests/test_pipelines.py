@@ -60,6 +60,32 @@ def test_full_chain(spark, tmpdir_path):
     assert mon.count() > 0
 
 
+def test_train_scope_learns_on_train_rows_only(spark):
+    cleaned = clean.clean(fx.loans_raw(spark, SF_SMALL))
+    one = pipelines.features_split(cleaned, fit_scope="train")
+    train = one.table.where("split = 'train'")
+    assert train.count() > 0 and "issue_d" in one.table.columns
+    alone = one.table.where("split = 'test'").count()
+    assert train.count() + alone == cleaned.count()
+    # The interaction's median is that of the training rows.
+    ids = train.select("row_id")
+    rates = cleaned.join(ids, "row_id").agg(F.percentile("int_rate", F.lit(0.5))).first()[0]
+    assert one.feature_params.rate_median == rates
+
+
+def test_stability_report(spark):
+    s = fx.scored(spark, SF_SMALL)
+    rep = pipelines.stability_report(s, s, "issue_ts", features=["loan_amnt", "dti"]).collect()
+    assert {r["key"] for r in rep if r["section"] == "feature_psi"} == {"loan_amnt", "dti"}
+    assert sum(r["value"] for r in rep if r["metric"] == "n") == s.count()
+
+
+def test_split_table_feeds_training(spark):
+    fr = pipelines.features_split(clean.clean(fx.loans_raw(spark, SF_SMALL)))
+    res = pipelines.train(fr.table.drop("split"), tune=False)
+    assert res.train_rows > 0 and res.validation_rows > 0
+
+
 def test_features_split_route(spark):
     cleaned = clean.clean(fx.loans_raw(spark, SF_SMALL))
     fr = pipelines.features_split(cleaned, test_size=0.2)
