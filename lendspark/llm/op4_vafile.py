@@ -127,7 +127,7 @@ class Blocks:
             cuts = np.flatnonzero(np.diff(inside) * width > READ_GAP) + 1
             for run in np.split(inside, cuts):
                 data = self._at(at + 9 * n + int(run[0]) * width, int(run[-1] - run[0] + 1) * width)
-                vectors.append(np.frombuffer(data, kind).reshape(-1, d)[run - run[0]])
+                vectors.append(np.frombuffer(data, kind).reshape(int(run[-1] - run[0] + 1), d)[run - run[0]])
         return ids, np.concatenate(vectors).astype(np.int64)
 
 
