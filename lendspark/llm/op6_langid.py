@@ -55,24 +55,21 @@ class Trees:
         s = SYMBOLS
         self.langs = sorted(counts)
         self.row = np.zeros(s**ORDER, np.int32)
+        self.bits = np.zeros((s, 0), np.float32)
+        if not self.langs:
+            return
         share = np.full((1, len(self.langs), s), 1.0 / s)
         shares, known, parent_of = [], np.zeros(1, np.int64), np.zeros(1, np.int64)
         first = 0
         for order in range(ORDER + 1):
-            per_lang, total = [], np.zeros(s ** (order + 1), np.int64)
+            # How often each context occurs, all languages together. Counts of
+            # what follows it are kept whole below the highest order only.
+            context, per_lang = np.zeros(s**order, np.int64), []
             for lang in self.langs:
                 codes, n = counts[lang]
-                short = np.bincount(codes % s ** (order + 1), n, s ** (order + 1)) if order < ORDER else None
-                per_lang.append(short)
-                if short is not None:
-                    total += short.astype(np.int64)
-            if order < ORDER:
-                context = total.reshape(-1, s).sum(axis=1)
-            else:
-                context = np.zeros(s**ORDER, np.int64)
-                for lang in self.langs:
-                    codes, n = counts[lang]
-                    context += np.bincount(codes // s, n, s**ORDER).astype(np.int64)
+                context += np.bincount(codes // s % s**order, n, s**order).astype(np.int64)
+                if order < ORDER:
+                    per_lang.append(np.bincount(codes % s ** (order + 1), n, s ** (order + 1)))
             kept = np.flatnonzero(context >= MIN_COUNT) if order else np.zeros(1, np.int64)
             if order:
                 parent_of = np.searchsorted(known, kept % s ** (order - 1))
