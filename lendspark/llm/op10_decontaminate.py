@@ -141,12 +141,10 @@ class Items:
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self._slot(self.keys)] = True
         self.steps = 3 * int(self.n.max()) if len(self.n) else 0
-        self.by_key: dict[tuple[int, int, int], list[int]] = {}
-        if len(self.texts):
-            codes = self.samples(self._matrix(self.texts), self.n)
-            for x, n in enumerate(self.n.tolist()):
-                for r in range(REPEATS):
-                    self.by_key.setdefault((n, r, int(codes[r, x])), []).append(x)
+        # LSH keys of all items and repeats, sorted, with their items.
+        codes = self.lsh_keys(self._matrix(self.texts), self.n).reshape(-1) if self.texts else np.zeros(0, _U)
+        order = np.argsort(codes, kind="stable")
+        self.codes, self.coded = codes[order], np.tile(np.arange(len(self.texts)), REPEATS)[order]
 
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
@@ -162,25 +160,31 @@ class Items:
         Row i of ``windows`` has n[i] bytes and zeros behind them."""
         rng = np.random.default_rng(SEED)
         moves = rng.integers(0, 2, (self.steps, REPEATS, 256), np.uint8)
+        moves[:, :, 0] = 0  # the walk stops at the window's end
         where = rng.random((REPEATS, SAMPLES))
         steps = (where[:, :, None] * (3 * n)[None, None, :]).astype(np.int64)  # repeat, sample, window
         wide, count = windows.shape[1], len(windows)
         flat, turn = np.ascontiguousarray(windows).reshape(-1), moves.reshape(self.steps, -1)
         at = np.tile(np.arange(count) * wide, REPEATS)
-        end = np.tile(np.arange(count) * wide + n, REPEATS)
         rep = np.repeat(np.arange(REPEATS) * 256, count)
         walk = np.zeros((int(steps.max()) + 1 if steps.size else 0, REPEATS * count), np.uint8)
+        step, move = np.empty_like(rep), np.empty(len(rep), np.uint8)
         for j in range(len(walk)):
-            byte = flat.take(at)
-            walk[j] = byte
-            at += turn[j].take(rep + byte)
-            np.minimum(at, end, out=at)
+            flat.take(at, out=walk[j], mode="clip")
+            np.add(rep, walk[j], out=step)
+            turn[j].take(step, out=move, mode="clip")
+            at += move
         out = np.zeros((REPEATS, count), _U)
         column = np.arange(REPEATS * count).reshape(REPEATS, count)
         for s in range(SAMPLES):
             out ^= mix(walk[steps[:, s, :], column].astype(_U) + _U(256 * (s + 1)))
         return out
 
+    def lsh_keys(self, windows: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Per repeat and window: its samples, length and repeat as one value."""
+        of = mix((np.arange(REPEATS, dtype=_U)[:, None] << _U(32)) + n.astype(_U)[None, :])
+        return mix(self.samples(windows, n) + of)
+
     def windows(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, start, n) of the item-sized windows to embed."""
         g = grams(data)
@@ -220,8 +224,9 @@ class Items:
         ends = np.append(starts[1:], len(data)) - 1
         start = np.maximum(start, starts[text])
         inside = start < ends[text]
-        found = np.unique(np.column_stack([text, start, n])[inside], axis=0)
-        return found[:, 0], found[:, 1], found[:, 2]
+        # Windows of like length side by side: they walk together.
+        found = np.unique(np.column_stack([n, text, start])[inside], axis=0)
+        return found[:, 1], found[:, 2], found[:, 0]
 
     def find(self, column: pa.Array) -> dict[tuple[int, int], int]:
         """{(row, item's index): least edits} of a column of texts."""
@@ -243,23 +248,27 @@ class Items:
         at = start[:, None] + np.arange(wide)
         inside = (at < ends[text][:, None]) & (np.arange(wide) < n[:, None])
         windows = np.where(inside, flat[np.minimum(at, len(flat) - 1)], 0).astype(np.uint8)
-        codes = self.samples(windows, n)
-        tried = set()
-        for r in range(REPEATS):
-            for w, (code, size) in enumerate(zip(codes[r].tolist(), n.tolist(), strict=True)):
-                for x in self.by_key.get((size, r, code), ()):
-                    if (w, x) in tried:
-                        continue
-                    tried.add((w, x))
-                    key, k = (first + int(text[w]), x), int(self.k[x])
-                    if out.get(key, k + 1) == 0:
-                        continue
-                    a = max(int(begin[text[w]]), int(start[w]) - k)
-                    b = min(int(ends[text[w]]), int(start[w]) + size + k)
-                    near = flat[a:b].tobytes()
-                    edits = 0 if self.texts[x] in near else least_edits(self.texts[x], near)[0]
-                    if edits <= k and edits < out.get(key, k + 1):
-                        out[key] = edits
+        codes = self.lsh_keys(windows, n).reshape(-1)
+        low, high = (np.searchsorted(self.codes, codes, side=side) for side in ("left", "right"))
+        hits = np.flatnonzero(high > low)
+        pairs = {(int(h) % len(n), int(x)) for h in hits for x in self.coded[low[h] : high[h]]}
+        # Windows of one text and item that overlap are verified as one stretch.
+        spans: dict[tuple[int, int], list[list[int]]] = {}
+        for s, w, x in sorted((int(start[w]), w, x) for w, x in pairs if n[w] == self.n[x]):
+            k = int(self.k[x])
+            a, b = max(int(begin[text[w]]), s - k), min(int(ends[text[w]]), s + int(n[w]) + k)
+            mine = spans.setdefault((int(text[w]), x), [])
+            if mine and a <= mine[-1][1]:
+                mine[-1][1] = max(b, mine[-1][1])
+            else:
+                mine.append([a, b])
+        for (t, x), mine in spans.items():
+            key, k = (first + t, x), int(self.k[x])
+            for a, b in mine:
+                near = flat[a:b].tobytes()
+                edits = 0 if self.texts[x] in near else least_edits(self.texts[x], near)[0]
+                if edits <= k and edits < out.get(key, k + 1):
+                    out[key] = edits
 
 
 def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[Items]:
