@@ -136,8 +136,9 @@ def repeated_shingles(docs: DataFrame, total: int, text: str = "text", width: in
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, len(batch), 2000):
-                data, starts, ends = text_bytes(batch.column(0).slice(k, 2000))
-                found = {digest(s): s for s in shingles(data, starts, ends, width) if len(s)}
+                # Hashing takes eight bytes and more a byte of text: few texts at a time.
+                parts = (text_bytes(batch.column(0).slice(j, 250)) for j in range(k, min(k + 2000, len(batch)), 250))
+                found = {digest(s): s for part in parts for s in shingles(*part, width) if len(s)}
                 if not found:
                     continue
                 sizes = np.array([len(s) for s in found.values()], "<u4")

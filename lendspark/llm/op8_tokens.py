@@ -99,7 +99,6 @@ class Encoder:
         # Composed Latin letters and ASCII: normalisation changes only their case.
         self.plain = regex.compile(r"(?!.*<\|)[\x21-\x7eÀ-įı-ɏ]+")
         self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
@@ -107,8 +106,6 @@ class Encoder:
             return [np.array(x.ids, "<u4").tobytes() for x in found]
         if len(self.chunks) > CACHE_WORDS:
             self.chunks.clear()
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces.clear()
         words = [t.split() for t in texts]
         new: set[bytes] = set()
         for w in words:
@@ -126,19 +123,22 @@ class Encoder:
                 split.append((c, self.split.findall(s.lower())))
             else:
                 odd.append(c)
-        new = list({p for _, ps in split for p in ps if p not in self.pieces})
+        # A piece that is a chunk itself is known already; pieces of this call
+        # that are new are encoded together, one white space apart.
+        pieces = {p: self.chunks.get(p.encode()) for _, ps in split for p in ps}
+        new = [p for p, ids in pieces.items() if ids is None]
         for k in range(0, len(new), 1000):
             part = new[k : k + 1000]
             ids = np.array(self.bare.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part) and cuts[-1] == len(ids):
                 for p, a in zip(part, np.split(ids, cuts[:-1]), strict=True):
-                    self.pieces[p] = a.tobytes()
+                    pieces[p] = a.tobytes()
             else:
                 for p in part:
-                    self.pieces[p] = np.array(self.full.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+                    pieces[p] = np.array(self.full.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
         for c, ps in split:
-            self.chunks[c] = b"".join([self.pieces[p] for p in ps])
+            self.chunks[c] = b"".join([pieces[p] for p in ps])
         for c, x in zip(odd, self.full.encode_batch([c.decode() for c in odd], add_special_tokens=False), strict=True):
             self.chunks[c] = np.array(x.ids, "<u4").tobytes()
 
