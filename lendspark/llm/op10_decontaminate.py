@@ -14,12 +14,16 @@ a document that holds a stretch within k = ``EDITS`` n edits of it.
    and byte says whether to move on), which turns edits into mismatches.
    ``REPEATS`` walks each sample ``SAMPLES`` positions; a window and an item
    that agree on a whole sample are a candidate. REPEATS follows from the
-   target recall at the mismatch rate ``MISMATCH``.
+   target recall at the mismatch rate ``MISMATCH``. For items over ``LONG``
+   bytes the walk would cost more than verification: every place that step 1
+   leaves is verified.
 3. Verification. The exact least number of edits between the item and any
    stretch around the window (bit-parallel dynamic programming).
 
-Items are handled in blocks of ``ITEM_BLOCK``, one pass over the documents
-each, so what the tasks hold is bounded. Every whole text is scanned.
+Items are embedded in the executors and handled in blocks of about
+``ITEM_BYTES`` and ``ITEM_BLOCK`` items, one pass over the documents each, so
+what the driver and the tasks hold is bounded by these and the longest item.
+Every whole text is scanned.
 
 Defined cases: a null text holds nothing; items that are null or shorter than
 ``GRAM`` normalised bytes are too short to tell and match nothing; items with
@@ -31,13 +35,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, table
+from .common import ship, stage, table
 from .op6_langid import text_bytes
 from .shingles import mix
 
@@ -48,6 +53,10 @@ MISMATCH = 0.35
 RECALL = 0.95
 REPEATS = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - MISMATCH) ** SAMPLES))
 ITEM_BLOCK = 20_000
+ITEM_BYTES = 4 << 20
+LONG = 4096
+WINDOW_BYTES = 1 << 19
+SLICE = 64
 CHUNK = 4 << 20
 FILTER_BITS = 22
 SEED = 20
@@ -121,12 +130,89 @@ def least_edits(item: bytes, text: bytes) -> tuple[int, int]:
     return best, at
 
 
+@lru_cache(maxsize=64)
+def _moves(part: int) -> np.ndarray:
+    """A row per step of a slice: for repeat and byte, whether to move on."""
+    h = mix(np.arange(part * SLICE * 256, (part + 1) * SLICE * 256, dtype=_U) + (_U(SEED) << _U(40))).reshape(SLICE, 1, 256)
+    more = [mix(h + _U(k)) for k in range(1, -(-REPEATS // 64))]
+    words = np.concatenate([h, *more], axis=1)  # 64 repeats a word
+    r = np.arange(REPEATS)
+    moves = (words[:, r // 64] >> (r % 64).astype(_U)[None, :, None] & _U(1)).astype(np.uint8)
+    moves[:, :, 0] = 0  # the walk stops at the window's end
+    return moves.reshape(SLICE, -1)
+
+
+def samples(windows: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """One key per repeat and window: the walk's bytes at sampled steps.
+    Row i of ``windows`` has n[i] bytes and zeros behind them."""
+    wide, count = windows.shape[1], len(windows)
+    where = np.random.default_rng(SEED).random((REPEATS, SAMPLES))
+    steps = (where[:, :, None] * (3 * n)[None, None, :]).astype(np.uint16)  # repeat, sample, window
+    lane = np.broadcast_to(np.arange(REPEATS * count).reshape(REPEATS, 1, count), steps.shape).reshape(-1)
+    # What is looked at, by step; nothing else of the walk is kept.
+    order = np.argsort(steps.reshape(-1), kind="stable")
+    until = np.cumsum(np.bincount(steps.reshape(-1)))
+    lane, seen = lane[order], np.empty(steps.size, np.uint8)
+    flat = np.ascontiguousarray(windows).reshape(-1)
+    at = np.tile(np.arange(count) * wide, REPEATS)
+    rep = np.repeat(np.arange(REPEATS) * 256, count)
+    step, move, now, done = np.empty_like(rep), np.empty(len(rep), np.uint8), np.empty(len(rep), np.uint8), 0
+    for j, end in enumerate(until.tolist()):
+        flat.take(at, out=now, mode="clip")
+        if end > done:
+            now.take(lane[done:end], out=seen[done:end], mode="clip")
+            done = end
+        np.add(rep, now, out=step)
+        _moves(j // SLICE)[j % SLICE].take(step, out=move, mode="clip")
+        at += move
+    found = np.empty_like(seen)
+    found[order] = seen
+    found, out = found.reshape(steps.shape), np.zeros((REPEATS, count), _U)
+    for s in range(SAMPLES):
+        out ^= mix(found[:, s, :].astype(_U) + _U(256 * (s + 1)))
+    return out
+
+
+def lsh_keys(windows: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Per repeat and window: its samples, length and repeat as one value."""
+    of = mix((np.arange(REPEATS, dtype=_U)[:, None] << _U(32)) + n.astype(_U)[None, :])
+    return mix(samples(windows, n) + of)
+
+
+def stretches(n: np.ndarray) -> Iterator[slice]:
+    """Runs of windows, of lengths n in order, that take about WINDOW_BYTES
+    when padded to the longest of the run."""
+    a = 0
+    while a < len(n):
+        b = min(len(n), a + 1000)
+        while b - a > 1 and int(n[b - 1]) * (b - a) > WINDOW_BYTES:
+            b = a + (b - a) // 2
+        yield slice(a, b)
+        a = b
+
+
+def embed(texts: list[bytes]) -> np.ndarray:
+    """LSH keys per clean text and repeat; texts over LONG bytes have none (0)."""
+    out, n = np.zeros((len(texts), REPEATS), _U), np.array([len(t) for t in texts], np.int64)
+    order = np.argsort(n, kind="stable")
+    order = order[n[order] <= LONG]
+    for x in stretches(n[order]):
+        wide = int(n[order[x]].max()) + 1
+        rows = b"".join(texts[i].ljust(wide, b"\0") for i in order[x])
+        out[order[x]] = lsh_keys(np.frombuffer(rows, np.uint8).reshape(-1, wide), n[order[x]]).T
+    return out
+
+
 class Items:
     """One block of items with its q-gram table and LSH keys."""
 
-    def __init__(self, ids: list, texts: list[str]):
-        found = [(i, c) for i, c in zip(ids, map(clean, texts), strict=True) if len(c) >= GRAM]
-        self.ids, self.texts = [i for i, _ in found], [c for _, c in found]
+    def __init__(self, ids: list, texts: list, codes: np.ndarray | None = None):
+        """With ``codes`` (see ``embed``) the texts are clean and long enough."""
+        if codes is None:
+            found = [(i, c) for i, c in zip(ids, map(clean, texts), strict=True) if len(c) >= GRAM]
+            ids, texts = [i for i, _ in found], [c for _, c in found]
+            codes = embed(texts)
+        self.ids, self.texts = ids, texts
         self.n = np.array([len(c) for c in self.texts], np.int64)
         self.k = np.array([allowed(len(c)) for c in self.texts], np.int64)
         self.need = np.maximum(1, self.n - GRAM + 1 - self.k * GRAM)
@@ -140,53 +226,19 @@ class Items:
         self.count = np.diff(np.append(self.first, len(flat)))
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self._slot(self.keys)] = True
-        self.steps = 3 * int(self.n.max()) if len(self.n) else 0
         # LSH keys of all items and repeats, sorted, with their items.
-        codes = self.lsh_keys(self._matrix(self.texts), self.n).reshape(-1) if self.texts else np.zeros(0, _U)
+        short = np.flatnonzero(self.n <= LONG)
+        codes = codes[short].T.reshape(-1)
         order = np.argsort(codes, kind="stable")
-        self.codes, self.coded = codes[order], np.tile(np.arange(len(self.texts)), REPEATS)[order]
+        self.codes, self.coded = codes[order], np.tile(short, REPEATS)[order]
 
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
         return (keys * _U(0x9E3779B97F4A7C15)) >> _U(64 - FILTER_BITS)
 
-    @staticmethod
-    def _matrix(texts: list[bytes]) -> np.ndarray:
-        wide = max(map(len, texts)) + 1
-        return np.frombuffer(b"".join(t.ljust(wide, b"\0") for t in texts), np.uint8).reshape(len(texts), wide)
-
-    def samples(self, windows: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """One key per repeat and window: the walk's bytes at sampled steps.
-        Row i of ``windows`` has n[i] bytes and zeros behind them."""
-        rng = np.random.default_rng(SEED)
-        moves = rng.integers(0, 2, (self.steps, REPEATS, 256), np.uint8)
-        moves[:, :, 0] = 0  # the walk stops at the window's end
-        where = rng.random((REPEATS, SAMPLES))
-        steps = (where[:, :, None] * (3 * n)[None, None, :]).astype(np.int64)  # repeat, sample, window
-        wide, count = windows.shape[1], len(windows)
-        flat, turn = np.ascontiguousarray(windows).reshape(-1), moves.reshape(self.steps, -1)
-        at = np.tile(np.arange(count) * wide, REPEATS)
-        rep = np.repeat(np.arange(REPEATS) * 256, count)
-        walk = np.zeros((int(steps.max()) + 1 if steps.size else 0, REPEATS * count), np.uint8)
-        step, move = np.empty_like(rep), np.empty(len(rep), np.uint8)
-        for j in range(len(walk)):
-            flat.take(at, out=walk[j], mode="clip")
-            np.add(rep, walk[j], out=step)
-            turn[j].take(step, out=move, mode="clip")
-            at += move
-        out = np.zeros((REPEATS, count), _U)
-        column = np.arange(REPEATS * count).reshape(REPEATS, count)
-        for s in range(SAMPLES):
-            out ^= mix(walk[steps[:, s, :], column].astype(_U) + _U(256 * (s + 1)))
-        return out
-
-    def lsh_keys(self, windows: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Per repeat and window: its samples, length and repeat as one value."""
-        of = mix((np.arange(REPEATS, dtype=_U)[:, None] << _U(32)) + n.astype(_U)[None, :])
-        return mix(self.samples(windows, n) + of)
-
-    def windows(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, start, n) of the item-sized windows to embed."""
+    def windows(self, data: np.ndarray, starts: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+        """(text, start, n) of the item-sized windows to embed; (text, item,
+        first start, last start) of the places of items over LONG bytes."""
         g = grams(data)
         pos = np.flatnonzero(self.filter[self._slot(g)])
         at = np.searchsorted(self.keys, g[pos])
@@ -210,9 +262,12 @@ class Items:
         same = (group[y] == group[x]) & (diagonal[y] - diagonal[x] <= 2 * self.k[item[x]])
         x, y = x[same], y[same]
         if not len(x):
-            return (np.zeros(0, np.int64),) * 3
+            return (np.zeros(0, np.int64),) * 3, (np.zeros(0, np.int64),) * 4
         k, n = self.k[item[x]], self.n[item[x]]
         low, high, text = diagonal[y] - k, diagonal[x] + k, group[x] // len(self.n)
+        far = n > LONG
+        places = text[far], item[x][far], low[far], high[far]
+        x, k, n, low, high, text = (v[~far] for v in (x, k, n, low, high, text))
         # Word starts in any of the ranges, and the diagonals themselves.
         space = np.flatnonzero(_SPACE[data] | (data == 0)) + 1
         space = np.concatenate([[0], space])
@@ -226,7 +281,7 @@ class Items:
         inside = start < ends[text]
         # Windows of like length side by side: they walk together.
         found = np.unique(np.column_stack([n, text, start])[inside], axis=0)
-        return found[:, 1], found[:, 2], found[:, 0]
+        return (found[:, 1], found[:, 2], found[:, 0]), places
 
     def find(self, column: pa.Array) -> dict[tuple[int, int], int]:
         """{(row, item's index): least edits} of a column of texts."""
@@ -236,10 +291,11 @@ class Items:
         while first < len(starts) and len(self.texts):
             stop = max(first + 1, int(np.searchsorted(ends, starts[first] + CHUNK)))
             flat, begin = normalise(data, starts[first:stop], ends[first:stop])
-            text, start, n = self.windows(flat, begin)
+            (text, start, n), places = self.windows(flat, begin)
             ends_of = np.append(begin[1:], len(flat)) - 1
-            for a in range(0, len(start), 1000):
-                self._check(flat, begin, ends_of, text[a : a + 1000], start[a : a + 1000], n[a : a + 1000], first, out)
+            for x in stretches(n):
+                self._check(flat, begin, ends_of, text[x], start[x], n[x], first, out)
+            self._verify(flat, begin, ends_of, zip(*(v.tolist() for v in places), strict=True), first, out)
             first = stop
         return out
 
@@ -248,16 +304,20 @@ class Items:
         at = start[:, None] + np.arange(wide)
         inside = (at < ends[text][:, None]) & (np.arange(wide) < n[:, None])
         windows = np.where(inside, flat[np.minimum(at, len(flat) - 1)], 0).astype(np.uint8)
-        codes = self.lsh_keys(windows, n).reshape(-1)
+        codes = lsh_keys(windows, n).reshape(-1)
         low, high = (np.searchsorted(self.codes, codes, side=side) for side in ("left", "right"))
         hits = np.flatnonzero(high > low)
         pairs = {(int(h) % len(n), int(x)) for h in hits for x in self.coded[low[h] : high[h]]}
+        places = ((int(text[w]), x, int(start[w]), int(start[w])) for w, x in pairs if n[w] == self.n[x])
+        self._verify(flat, begin, ends, places, first, out)
+
+    def _verify(self, flat, begin, ends, places, first, out) -> None:
         # Windows of one text and item that overlap are verified as one stretch.
         spans: dict[tuple[int, int], list[list[int]]] = {}
-        for s, w, x in sorted((int(start[w]), w, x) for w, x in pairs if n[w] == self.n[x]):
+        for t, x, low, high in sorted(places, key=lambda p: p[2]):
             k = int(self.k[x])
-            a, b = max(int(begin[text[w]]), s - k), min(int(ends[text[w]]), s + int(n[w]) + k)
-            mine = spans.setdefault((int(text[w]), x), [])
+            a, b = max(int(begin[t]), low - k), min(int(ends[t]), high + int(self.n[x]) + k)
+            mine = spans.setdefault((t, x), [])
             if mine and a <= mine[-1][1]:
                 mine[-1][1] = max(b, mine[-1][1])
             else:
@@ -273,11 +333,25 @@ class Items:
 
 def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[Items]:
     rows = items.select(F.col(item_id).alias("i"), F.col(text).alias("t")).filter("t is not null")
-    blocks = math.ceil(rows.count() / ITEM_BLOCK)
+    kind = rows.schema["i"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, len(batch), 1000):
+                part = batch.slice(a, 1000)
+                texts = [clean(t) for t in part.column(1).to_pylist()]
+                stays = pa.array([len(c) >= GRAM for c in texts], pa.bool_())
+                codes = pa.array([c.astype("<u8").tobytes() for c in embed(texts)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.binary()), codes], ["i", "t", "codes"]).filter(stays)
+
+    found = stage(rows.mapInArrow(run, f"i {kind}, t binary, codes binary"), "benchmark-items")
+    size = found.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("t")).alias("bytes")).first()
+    blocks = max(math.ceil(size["n"] / ITEM_BLOCK), math.ceil((size["bytes"] or 0) / ITEM_BYTES))
     for b in range(blocks):
-        part = rows.filter(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b) if blocks > 1 else rows
-        found = part.collect()
-        yield Items([r["i"] for r in found], [r["t"] for r in found])
+        part = found.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b) if blocks > 1 else found
+        held = part.collect()
+        codes = np.frombuffer(b"".join(r["codes"] for r in held), "<u8").astype(_U).reshape(-1, REPEATS)
+        yield Items([r["i"] for r in held], [bytes(r["t"]) for r in held], codes)
 
 
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

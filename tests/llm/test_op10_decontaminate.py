@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -111,3 +112,31 @@ def test_positions_survive_slices():
     index = de.Items([1], [item])
     column = pa.array(["no", "x " + item, None, item + " y"])
     assert set(index.find(column)) == {(1, 0), (3, 0)} and set(index.find(column.slice(2))) == {(1, 0)}
+
+
+def test_one_very_long_item_is_found_in_bounded_memory(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 9)))
+    long, short = (" ".join(word() for _ in range(n)) for n in (16_000, 30))
+    tracemalloc.start()
+    de.Items([1, 2], [long, short])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(long) > 90_000 and peak < 200e6
+    other = " ".join(word() for _ in range(300))
+    rows = [(0, other + " " + long + " " + other), (1, other + mutate(long, 40, rng)), (2, other + long[:50_000]), (3, other + " " + short), (4, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, long), (2, short)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in ship(lambda s: de.leaks(docs, items))(spark).collect()}
+    assert set(got) == {(0, 1), (1, 1), (3, 2)} and got[(0, 1)] == got[(3, 2)] == 0 < got[(1, 1)] <= 40
+
+
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(de, "ITEM_BYTES", 20_000)
+    rows, _ = corpus(3, docs=400)
+    items = spark.createDataFrame([(d, t) for d, t in rows], "item_id long, text string")
+    blocks = list(ship(lambda s: list(de.item_blocks(items)))(spark))
+    assert sorted(i for b in blocks for i in b.ids) == [d for d, _ in rows]
+    assert max(sum(map(len, b.texts)) for b in blocks) < 40_000
+    for b in blocks[:2]:  # embedded in the executors as here
+        assert (de.Items(b.ids, [t.decode() for t in b.texts]).codes == b.codes).all()
