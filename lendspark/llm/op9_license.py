@@ -1,6 +1,6 @@
 """Licence scan by canonical digest lookup.
 
-A text is normalised (ASCII case, copyright lines, punctuation and white
+A text is normalised (ASCII case, copyright notices, punctuation and white
 space, equivalent spellings) and hashed; the digest of the entire text is
 hash-joined to the digests of known licence texts. The same lookup runs for
 every whole line, since documents often end in a one-line notice.
@@ -8,6 +8,12 @@ every whole line, since documents often end in a one-line notice.
 Only DataFrame functions are used. The known table is a parameter of at most
 ``MAX_KNOWN`` rows (checked), so its broadcast has a proven bound.
 
+A notice stands at a line's start: 'copyright' and a sign, a year or a holder,
+a sign and a year, or 'all rights reserved' alone. Words that follow
+'copyright' in licence texts ('notice', 'holders', ...) are no holder, since
+wrapped lines begin with them. The notice ends with the line, or where a
+listed text begins on the same line.
+
 Defined cases: a null text has a null digest and no licence; a text without
 letters or digits (also the empty one) has the digest of '' and no licence;
 rows repeated with equal id and text each give a row with the same result;
@@ -16,6 +22,8 @@ an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +31,16 @@ from .common import ascii_lower, stage, table
 from .licenses import KNOWN, SPELLINGS
 
 MAX_KNOWN = 10_000
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+# First words of the listed texts.
+_STARTS = sorted({tuple(re.findall("[a-z0-9]+", t.split("\n")[0].lower())[:3]) for _, t in KNOWN})
+_START = "(?<![a-z0-9])(?:" + "|".join("[^a-z0-9\\n]+".join(x).replace("license", "licen[sc]e") for x in _STARTS) + ")(?![a-z0-9])"
+_YEAR = r"(?:19|20)\d\d"
+_BODY = r"(?:notices?|holders?|owners?|laws?|licen[sc]es?|statements?|permissions?|protection|infringements?|interests?|rights?|works?|terms?|disclaimers?|and|or|in|of|to|is|are|as)(?![a-z0-9])"
+_NOTICE = (
+    rf"copyright[ \t:,]*(?:\(c\)|©|{_YEAR}|[<\[{{])|copyright[ \t]+(?!{_BODY})[^\s\x00-\x2F]"
+    rf"|\(c\)[ \t]*(?:copyright[ \t]|{_YEAR}|by[ \t])|©|all rights reserved[^a-z0-9\n]*(?=\n|\z|{_START})"
+)
+COPYRIGHT_LINE = rf"(^|\n)[ \t]*(?:{_NOTICE})[^\n]*?(?=\n|\z|{_START})"
 NOT_WORD = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 

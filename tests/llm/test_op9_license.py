@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from lendspark.llm.licenses import KNOWN
@@ -38,3 +40,39 @@ def test_main_path_is_native(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = scan(df, known_digests(spark))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+ISC_AS_PUBLISHED = """Copyright (c) 2004-2010 by Some Consortium, Inc. ("SC")
+Copyright The Other Authors
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
+OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE.
+"""
+
+
+def test_every_known_text_in_every_wrap(spark):
+    wrap = lambda t, n: "\n".join(textwrap.fill(x, n, break_long_words=False, break_on_hyphens=False) for x in t.split("\n"))
+    cases = [(i, wrap(t, n)) for i, t in KNOWN for n in range(12, 100)] + [("ISC", ISC_AS_PUBLISHED)]
+    got = run(spark, [t for _, t in cases])
+    assert [(n, i) for n, (i, _) in enumerate(cases) if got[n][0] != i] == []
+
+
+def test_notice_on_the_licences_own_line(spark):
+    heads = ["Copyright (c) 2020 A. Nother, Inc. ", "(c) 1999 X ", "© The Authors. All rights reserved. ", "Copyright 2001-2003 by X, Y and Z: "]
+    cases = [(i, h + " ".join(t.split())) for i, t in KNOWN for h in heads]
+    got = run(spark, [t for _, t in cases])
+    assert [(n, i) for n, (i, _) in enumerate(cases) if got[n][0] != i] == []
+
+
+def test_list_items_and_body_lines_are_no_notices(spark):
+    got = run(spark, ["Copyright notice\n" + MIT, "(c) You must retain it.\n" + MIT, "All rights reserved by X\n" + MIT, "All rights reserved.\n" + MIT])
+    assert [got[i][0] for i in range(4)] == [None, None, None, "MIT"]
