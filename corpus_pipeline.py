@@ -1,7 +1,7 @@
 """Corpus preparation pipeline over ``documents``.
 
 Five stages, each one of the corpus operators at work on all that the stage
-before it kept: language identification (documents in no known language go),
+before it kept: language identification (documents without a letter go),
 near duplicates (one document of each group stays), benchmark
 decontamination (documents that hold a benchmark item go), mixing (rows are
 repeated or left out to meet the sources' targets), and token files. All but
@@ -23,9 +23,11 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: those predicted ``und`` go. The model is
+    """Documents with a language: those predicted ``und`` go, which are the
+    texts without a letter and no others. Gibberish with letters and texts in a
+    language not learned get the nearest language and stay. The model is
     fitted on the training folds of the stage's own input; without labelled
-    text there, only documents without a letter go."""
+    text there, the same documents go."""
     trees = op6_langid.fit_documents(docs)
     if not trees.langs:
         return docs.filter(op6_langid.has_letter(docs["text"]))
