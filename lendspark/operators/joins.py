@@ -14,6 +14,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import parse_date_fallback, parse_month_date
+from ..sources.stages import stage
+
+
+def heavy_keys(left: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """(key, n): the values of ``key`` that more than one ``parts``-th of the
+    rows of ``left`` have; at most ``parts`` rows, written as a stage table."""
+    parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = stage(left.filter(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("_heavy")).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    return counts.filter(F.col("_n") * parts > total)
+
+
+def lookup_join(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame | None = None) -> DataFrame:
+    """Left join of ``right`` (one row per value of ``key``) without a hot task.
+
+    The values of :func:`heavy_keys` go through a broadcast of at most one row
+    for each shuffle partition. The rest is joined by key as the planner
+    chooses; rows whose key is heavy or null are dealt by the hash of the whole
+    row there, since they match nothing. A null key matches nothing. ``left``
+    is read once more to count its keys, unless ``heavy`` (from
+    :func:`heavy_keys`) is given.
+    """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(left, key, parts) if heavy is None else heavy
+    values = [c for c in right.columns if c != key]
+    bundle = F.struct(*[F.col(f"`{c}`") for c in values])
+    right = right.select(F.col(f"`{key}`").alias("_key"), bundle.alias("_row"))
+    # Bounded: fewer than ``parts`` values can each hold over a parts-th of the rows.
+    hot = heavy.select("_heavy").join(right, F.col("_heavy") == F.col("_key")).select("_heavy", F.col("_row").alias("_hot"))
+    k = F.col(f"`{key}`")
+    names = left.columns
+    marked = left.join(F.broadcast(hot), k == F.col("_heavy"), "left")
+    apart = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in names]), F.lit(parts)) + 1
+    marked = marked.withColumn("_spread", F.when(F.col("_heavy").isNotNull() | k.isNull(), apart).otherwise(F.lit(0).cast("long")))
+    rest = right.withColumn("_zero", F.lit(0).cast("long"))
+    joined = marked.join(rest, (k == F.col("_key")) & (F.col("_spread") == F.col("_zero")), "left")
+    row = F.coalesce(F.col("_hot"), F.col("_row"))
+    return joined.select(*[F.col(f"`{c}`") for c in names], *[row.getField(c).alias(c) for c in values])
+
 
 def unique_by_key(df: DataFrame, key: str, value_cols: Sequence[str], what: str = "lookup") -> DataFrame:
     """One row per ``key``; raises at run time when a key repeats. The
