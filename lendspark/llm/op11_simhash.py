@@ -13,7 +13,7 @@ when they differ in at most ``near`` (3) bits.
    those within the cut go left, the others right, and those that a linked
    one across the cut could have go right as well. So any linked pair meets in
    a cell, whatever the plan; the sample decides on cost only.
-4. Cells are counted. One with more than ``CELL`` fingerprints is dealt by hash
+4. Cells are counted. One far over ``CELL`` fingerprints is dealt by hash
    into g parts whose g * (g + 1) / 2 pairs are tasks of their own: no cell is
    too large, and no pair is left out.
 5. In a task, rows are sorted by the distance to the pivot that spreads them
@@ -46,7 +46,7 @@ from .common import ship, stage, table
 WIDTH, SEED, NEAR = 3, 42, 3
 SAMPLE = 16_384  # fingerprints that the plan is made on, about
 PIVOTS = 64
-CELL = 12_000
+CELL = 32_000
 DENSE, LATER = 6, 8  # pivots compared for whole blocks, then for survivors
 BLOCK_PAIRS = 2_000_000
 TEXT_BLOCK = 1 << 20
@@ -140,7 +140,7 @@ class Plan:
         self.root = 0 if self.nodes else -1
 
     def split(self, d: np.ndarray) -> tuple[int, int] | None:
-        """The pivot and cut that leave the least work, with those that go both
+        """The pivot and cut that leave the fewest pairs, with those that go both
         ways counted twice; None where no cut saves any."""
         n, k = d.shape
         seen = np.bincount((d.astype(np.int64) + 65 * np.arange(k)).ravel(), minlength=65 * k).reshape(k, 65)
@@ -148,9 +148,9 @@ class Plan:
         left = upto.astype(float)
         right = n - np.concatenate([np.zeros((k, self.near)), upto[:, : 65 - self.near]], axis=1)
         # The right side has d > cut - near, so what is counted ends at cut - near.
-        work = left**1.5 + right**1.5
+        work = left**2 + right**2
         pivot, cut = np.unravel_index(work.argmin(), work.shape)
-        return (int(pivot), int(cut)) if work[pivot, cut] < 0.97 * n**1.5 else None
+        return (int(pivot), int(cut)) if work[pivot, cut] < 0.97 * n**2 else None
 
     def deal(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, cell): every cell that each fingerprint goes to."""
@@ -268,7 +268,8 @@ def links(prints: DataFrame, near: int = NEAR, cell: int = CELL, sample: int = S
 
     dealt = stage(prints.select("fp").mapInArrow(deal, "cell int, fp long"), "simhash-cells")
     sizes = {r["cell"]: r["n"] for r in dealt.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # one row a cell
-    parted = {c: -(-n // cell) for c, n in sizes.items() if n > cell}
+    # The plan's sizes are estimates: cells half as large again stay whole.
+    parted = {c: -(-n // cell) for c, n in sizes.items() if 2 * n > 3 * cell}
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
