@@ -219,7 +219,10 @@ def connect(fp: np.ndarray, side: np.ndarray | None, pivots: np.ndarray, near: i
     high = np.searchsorted(lead, first[a] + near, side="right")
     k = 0
     while k < len(a):
-        step = max(1, BLOCK_PAIRS // max(1, int(high[k] - low[k])))
+        # The window grows along the block: as many rows as fit with the last one's.
+        step = len(a) - k
+        while step > 1 and step * int(high[k + step - 1] - low[k]) > BLOCK_PAIRS:
+            step = (step + 1) // 2
         x = a[k : k + step]
         y = b[low[k] : high[min(k + step, len(a)) - 1]]
         k += step
