@@ -1,6 +1,6 @@
 """Bin helpers. Four closedness conventions exist and are never shared:
 
-* :func:`quantile_band`   right-closed on data quantile edges, lowest value
+* :func:`band_of`         right-closed on data quantile edges, lowest value
                           included, duplicate edges dropped (score bands).
 * :func:`width_bin`       right-closed on fixed equal-width edges
                           (calibration curve).
@@ -9,8 +9,8 @@
 * :func:`label_bin`       right-closed fixed edges with labels, lowest
                           included, anything else -> ``'missing'``.
 
-Edges travel as ``array<double>`` columns (a one-row parameter table
-cross-joined in, or a literal array), so binning is a pure expression.
+Edges are literals, or an ``array<double>`` column of a small table; binning is
+a sum of comparisons either way.
 """
 
 from __future__ import annotations
@@ -48,27 +48,11 @@ def lit_array(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
-def distinct_sorted(edges: Column) -> Column:
-    """Remove repeated edges and sort ascending."""
-    return F.array_sort(F.array_distinct(edges))
-
-
-def quantile_band(x: str | Column, edges: Column) -> Column:
-    """Band index for right-closed bins on sorted distinct ``edges``.
-
-    band = number of *inner* edges strictly below ``x``; the lowest edge is
-    included in band 0. NULL stays NULL, and with fewer than two distinct
-    edges (all scores equal) there is no bin, so every band is NULL.
-    """
-    x = col_of(x)
-    inner = F.slice(edges, 2, F.greatest(F.size(edges) - 2, F.lit(0)))
-    return F.when(
-        x.isNotNull() & (F.size(edges) >= 2), F.size(F.filter(inner, lambda e: e < x)).cast("int")
-    )
-
-
 def band_of(x: str | Column, edges: Sequence[float]) -> Column:
-    """:func:`quantile_band` for edges known beforehand: a sum of comparisons."""
+    """Band for right-closed bins on sorted distinct ``edges``: the number of
+    inner edges strictly below ``x``, so the lowest edge is in band 0. NULL
+    stays NULL; with fewer than two edges (all scores equal) there is no band.
+    """
     x = col_of(x)
     if len(edges) < 2:
         return F.lit(None).cast("int")
@@ -88,18 +72,20 @@ def width_bin(x: str | Column, n_bins: int) -> Column:
     return F.when(x.isNotNull(), below)
 
 
-def histogram_bin(x: str | Column, edges: Column) -> Column:
+def histogram_bin(x: str | Column, edges: Column, most: int = 32) -> Column:
     """Left-closed bins ``[e_i, e_{i+1})``, the last one closed; values outside
-    ``[e_0, e_last]`` and NULL -> NULL. Needs at least two edges."""
+    ``[e_0, e_last]`` and NULL -> NULL. Needs at least two edges; more than
+    ``most`` are an error."""
     x = col_of(x)
     n = F.size(edges)
-    idx = F.size(F.filter(edges, lambda e: e <= x)) - 1
-    last = F.element_at(edges, -1)
+    reached = F.lit(-1)
+    for i in range(most):
+        reached = reached + F.coalesce((x >= F.get(edges, F.lit(i))).cast("int"), F.lit(0))
     return (
-        F.when(x.isNull() | (n < 2), F.lit(None).cast("int"))
-        .when((x < F.element_at(edges, 1)) | (x > last), F.lit(None).cast("int"))
-        .when(x == last, (n - 2).cast("int"))
-        .otherwise(idx.cast("int"))
+        F.when(n > most, F.raise_error(F.lit(f"more than {most} edges")).cast("int"))
+        .when(x.isNull() | (n < 2), F.lit(None).cast("int"))
+        .when((reached < 0) | (x > F.get(edges, n - 1)), F.lit(None).cast("int"))
+        .otherwise(F.least(reached, n - 2))
     )
 
 

@@ -3,8 +3,9 @@
 Learned state is small and explicit: per-column literals (medians, clip
 bounds, means, stds, one-hot levels) or grouped tables (value counts,
 fold sums) that are joined back by value. Grouped tables are stage tables, so
-the planner knows their bytes: small ones are broadcast, and beyond that a
-shuffle join splits skewed values (the ``'missing'`` value can be a hot key).
+the planner knows their bytes: small ones are broadcast, and beyond that the
+values that hold a large share of the rows (such as ``'missing'``) are joined
+through a broadcast of their own.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import normalise_nan
 from ..sources.stages import stage
 from . import stats
+from .joins import lookup_join
 from .quantiles import interpolate, long_form, needed_ranks, order_statistics
 
 MISSING_TOKEN = "missing"
@@ -41,10 +43,16 @@ def fit_frequency(df: DataFrame, column: str) -> DataFrame:
 def apply_frequency(df: DataFrame, column: str, table: DataFrame, out: str | None = None) -> DataFrame:
     """E1 apply: left join on the value (unseen values -> NULL)."""
     out = out or f"{column}{FREQ_SUFFIX}"
-    key = F.coalesce(_q(column).cast("string"), F.lit(MISSING_TOKEN))
-    left = df.withColumn("_fkey", key)
-    joined = left.join(table, left["_fkey"] == table["_value"], "left")
-    return joined.withColumn(out, F.col("_freq")).drop("_fkey", "_value", "_freq")
+    joined = _join_values(df, column, table, "_freq")
+    return joined.withColumn(out, F.col("_freq")).drop("_freq")
+
+
+def _join_values(df: DataFrame, column: str, table: DataFrame, count: str) -> DataFrame:
+    """Left join of a fitted table (one row per ``_value``) by the values of
+    ``column``, missing as ``'missing'``. The table's own counts name the heavy
+    values, which are joined apart (:func:`.joins.lookup_join`)."""
+    left = df.withColumn("_vkey", F.coalesce(_q(column).cast("string"), F.lit(MISSING_TOKEN)))
+    return lookup_join(left, table.withColumnRenamed("_value", "_vkey"), "_vkey", weight=count).drop("_vkey")
 
 
 def frequency_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -98,8 +106,7 @@ def fold_column(key: str = "row_id", n_splits: int = 5, seed: int = 42) -> Colum
 
 @dataclass
 class TargetEncoding:
-    table: DataFrame  # _value, _fold_sum, _fold_n (arrays by fold), _all_sum, _all_n
-    global_mean: Column
+    table: DataFrame  # _value, _fold_sum, _fold_n (arrays by fold), _all_sum, _all_n, _rows
     n_splits: int
 
 
@@ -107,17 +114,19 @@ def fit_target_encoding(
     df: DataFrame, column: str, target: str, fold: Column, n_splits: int = 5
 ) -> TargetEncoding:
     """E3 fit: per value, the target sum and count of every fold and overall
-    (one grouped aggregate, partial-aggregated before the shuffle)."""
+    (one grouped aggregate, partial-aggregated before the shuffle). Rows
+    without a target count for the frequency (``_rows``) only."""
     v = F.coalesce(_q(column).cast("string"), F.lit(MISSING_TOKEN))
     y = _q(target).cast("double")
     work = df.select(v.alias("_v"), y.alias("_y"), fold.alias("_f"))
     table = stage(work.groupBy(F.col("_v").alias("_value")).agg(
-        F.array(*[F.sum(F.when(F.col("_f") == i, F.col("_y")).otherwise(0.0)) for i in range(n_splits)]).alias("_fold_sum"),
-        F.array(*[F.sum(F.when(F.col("_f") == i, F.lit(1)).otherwise(0)) for i in range(n_splits)]).alias("_fold_n"),
+        F.array(*[F.coalesce(F.sum(F.when(F.col("_f") == i, F.col("_y"))), F.lit(0.0)) for i in range(n_splits)]).alias("_fold_sum"),
+        F.array(*[F.count(F.when(F.col("_f") == i, F.col("_y"))) for i in range(n_splits)]).alias("_fold_n"),
         F.sum("_y").alias("_all_sum"),
-        F.count(F.lit(1)).alias("_all_n"),
+        F.count("_y").alias("_all_n"),
+        F.count(F.lit(1)).alias("_rows"),
     ), "target-means")
-    return TargetEncoding(table=table, global_mean=F.avg(y), n_splits=n_splits)
+    return TargetEncoding(table=table, n_splits=n_splits)
 
 
 def apply_target_encoding(
@@ -135,11 +144,8 @@ def apply_target_encoding(
     also emits the value's row count (the frequency encoding of the same
     column) from the same join."""
     out = out or f"{column}{TE_SUFFIX}"
-    key = F.coalesce(_q(column).cast("string"), F.lit(MISSING_TOKEN))
-    left = df.withColumn("_tkey", key)
-    if fold is not None:
-        left = left.withColumn("_tf", fold + 1)
-    joined = left.join(enc.table, left["_tkey"] == enc.table["_value"], "left")
+    left = df if fold is None else df.withColumn("_tf", fold + 1)
+    joined = _join_values(left, column, enc.table, "_rows")
     if fold is not None:
         num = F.col("_all_sum") - F.element_at("_fold_sum", F.col("_tf"))
         den = F.col("_all_n") - F.element_at("_fold_n", F.col("_tf"))
@@ -147,9 +153,8 @@ def apply_target_encoding(
         num, den = F.col("_all_sum"), F.col("_all_n")
     enc_val = F.when(den > 0, num / den)
     if freq_out:
-        joined = joined.withColumn(freq_out, F.col("_all_n").cast("double"))
-    return joined.withColumn(out, enc_val).drop(
-        "_tkey", "_tf", "_value", "_fold_sum", "_fold_n", "_all_sum", "_all_n")
+        joined = joined.withColumn(freq_out, F.col("_rows").cast("double"))
+    return joined.withColumn(out, enc_val).drop("_tf", "_fold_sum", "_fold_n", "_all_sum", "_all_n", "_rows")
 
 
 def kfold_target_encode(
@@ -241,41 +246,40 @@ def fit_missing_and_outliers(
     exclude: Sequence[str] = ("row_id", "default"),
 ) -> OutlierParams:
     """E4-E6 fit: missing rates of every column, and exact medians and clip
-    quantiles of the median-filled values of the numeric ones. Two passes:
-    the counts of distinct values give both kinds of quantile, since filling
-    only adds to the count of the median."""
+    quantiles of the median-filled values of the numeric ones. One aggregate
+    counts the missing values; one selection gives both kinds of quantile, as
+    the fills stand next to the median in the order of the filled values."""
     ex = set(exclude)
     num = stats.numeric_columns(df, exclude=exclude)
-    rates = stats.missing_rates(df, [c for c in df.columns if c not in ex])
+    present = [c for c in df.columns if c not in ex]
+    rates = stats.missing_rates(df, present)
     flags = [c for c, r in rates.items() if r > FLAG_RATE]
-    counts = stage(value_counts(df, num), "value-counts") if num else None
-    meds = counted_quantiles(counts, num, [0.5], {})
-    meds = {c: v[0] for c, v in meds.items()}
-    qs = counted_quantiles(counts, num, list(clip_pct), meds)
-    bounds = {c: (qs[c][0], qs[c][1]) for c in num}
     logs = [c for c in LOG_COLUMNS if c in df.columns]
+    if not num:
+        return OutlierParams(flag_columns=flags, log_columns=logs)
+    total = df.count()
+
+    def ranks(sizes: dict) -> dict:
+        return {c: needed_ranks(n, [0.5]) | {r for p in needed_ranks(total, clip_pct) if (r := unfilled_rank(p, n, total)) is not None}
+                for c, n in sizes.items()}
+
+    found = order_statistics(long_form(df, num), ranks)
+    meds, bounds = {}, {}
+    for c in num:
+        n, at = found.get(c, (0, {}))
+        meds[c] = interpolate(at, n, 0.5)
+        filled = {p: meds[c] if (r := unfilled_rank(p, n, total)) is None else at[r] for p in needed_ranks(total, clip_pct)} if n else {}
+        bounds[c] = tuple(interpolate(filled, total if n else 0, p) for p in clip_pct)
     return OutlierParams(flag_columns=flags, medians=meds, bounds=bounds, log_columns=logs)
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(_k, _v, _w)``: occurrences of every value of several columns, the
-    missing ones (NaN included) as NULL."""
-    return long_form(df, columns).groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_w"))
-
-
-def counted_quantiles(counts: DataFrame | None, columns: Sequence[str], probs: Sequence[float], fill: dict) -> dict:
-    """Exact quantiles per column from :func:`value_counts`, missing values
-    counted as ``fill[column]`` where given."""
-    if not columns:
-        return {}
-    known = {c: v for c, v in fill.items() if v is not None}
-    v = F.col("_v")
-    if known:
-        fills = F.create_map(*[x for c, m in known.items() for x in (F.lit(c), F.lit(float(m)))])
-        v = F.coalesce(v, F.element_at(fills, F.col("_k")))
-    found = order_statistics(counts.select("_k", v.alias("_v"), "_w"), lambda s: {k: needed_ranks(n, probs) for k, n in s.items()})
-    none = (0, {})
-    return {c: [interpolate(found.get(c, none)[1], found.get(c, none)[0], p) for p in probs] for c in columns}
+def unfilled_rank(rank: int, n: int, total: int) -> int | None:
+    """Rank among ``n`` values of the one that has ``rank`` after ``total - n``
+    copies of the median joined them; None for a copy."""
+    below = (n - 1) // 2 + 1
+    if rank < below:
+        return rank
+    return rank - (total - n) if rank >= below + total - n else None
 
 
 def apply_missing_and_outliers(df: DataFrame, p: OutlierParams) -> DataFrame:

@@ -205,7 +205,7 @@ class FeatureParams:
         freq = {c: spark.read.parquet(f"{path}/freq/{c}") for c in FREQ_COLUMNS if ("freq", c) in parts}
         te = None
         if ("te", TE_COLUMN) in parts:
-            te = encode.TargetEncoding(table=spark.read.parquet(f"{path}/te"), global_mean=None, n_splits=0)
+            te = encode.TargetEncoding(table=spark.read.parquet(f"{path}/te"), n_splits=0)
         return FeatureParams(sc.get("rate_median"), freq, {c: levels[c] for c in order}, te, sc.get("te_global_mean"))
 
 
@@ -252,7 +252,7 @@ def build_features(
         df, params.te, params.te_mean = encode.fit_apply_target_encoding(
             df, TE_COLUMN, target, fold, n_splits, seed, freq_out=freq_name)
         params.freq_tables[TE_COLUMN] = params.te.table.select(
-            "_value", F.col("_all_n").cast("double").alias("_freq"))
+            "_value", F.col("_rows").cast("double").alias("_freq"))
         params.freq_tables = {c: params.freq_tables[c] for c in freq_cols}
         # Put the count column back where the separate join would have.
         cols = [c for c in df.columns if c != freq_name]

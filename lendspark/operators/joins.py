@@ -26,29 +26,41 @@ def heavy_keys(left: DataFrame, key: str, parts: int | None = None) -> DataFrame
     return counts.filter(F.col("_n") * parts > total)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame | None = None) -> DataFrame:
+def lookup_join(
+    left: DataFrame, right: DataFrame, key: str, heavy: DataFrame | None = None, weight: str | None = None,
+    row_key: str = "row_id",
+) -> DataFrame:
     """Left join of ``right`` (one row per value of ``key``) without a hot task.
 
     The values of :func:`heavy_keys` go through a broadcast of at most one row
     for each shuffle partition. The rest is joined by key as the planner
-    chooses; rows whose key is heavy or null are dealt by the hash of the whole
-    row there, since they match nothing. A null key matches nothing. ``left``
+    chooses; rows whose key is heavy or null are dealt by the hash of ``row_key``
+    there (of the whole row without it), since they match nothing. A null key matches nothing. ``left``
     is read once more to count its keys, unless ``heavy`` (from
-    :func:`heavy_keys`) is given.
+    :func:`heavy_keys`) is given, or ``weight``, the column of ``right`` that
+    holds how many rows have each key.
     """
     parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy = heavy_keys(left, key, parts) if heavy is None else heavy
     values = [c for c in right.columns if c != key]
     bundle = F.struct(*[F.col(f"`{c}`") for c in values])
+    total = right.agg(F.sum(f"`{weight}`")).first()[0] or 0 if weight else None
     right = right.select(F.col(f"`{key}`").alias("_key"), bundle.alias("_row"))
     # Bounded: fewer than ``parts`` values can each hold over a parts-th of the rows.
-    hot = heavy.select("_heavy").join(right, F.col("_heavy") == F.col("_key")).select("_heavy", F.col("_row").alias("_hot"))
+    if weight:
+        hot = right.where(F.col("_row")[weight] * parts > F.lit(total)).withColumn("_heavy", F.col("_key"))
+    else:
+        heavy = heavy_keys(left, key, parts) if heavy is None else heavy
+        hot = heavy.select("_heavy").join(right, F.col("_heavy") == F.col("_key"))
+    hot = hot.select("_heavy", F.col("_row").alias("_hot"))
     k = F.col(f"`{key}`")
     names = left.columns
     marked = left.join(F.broadcast(hot), k == F.col("_heavy"), "left")
-    apart = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in names]), F.lit(parts)) + 1
+    by = [row_key] if row_key in names else [f.name for f in left.schema.fields if not f.dataType.simpleString().startswith("map")]
+    hashed = [F.col(f"`{c}`") for c in by]
+    apart = F.pmod(F.xxhash64(*hashed), F.lit(parts)) + 1
     marked = marked.withColumn("_spread", F.when(F.col("_heavy").isNotNull() | k.isNull(), apart).otherwise(F.lit(0).cast("long")))
-    rest = right.withColumn("_zero", F.lit(0).cast("long"))
+    # Zero, but no literal: the optimizer would take a literal out of the join's keys.
+    rest = right.withColumn("_zero", F.pmod(F.xxhash64("_key"), F.lit(1)).cast("long"))
     joined = marked.join(rest, (k == F.col("_key")) & (F.col("_spread") == F.col("_zero")), "left")
     row = F.coalesce(F.col("_hot"), F.col("_row"))
     return joined.select(*[F.col(f"`{c}`") for c in names], *[row.getField(c).alias(c) for c in values])

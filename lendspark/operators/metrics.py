@@ -167,51 +167,55 @@ def validation_metrics(df: DataFrame, score: str = "pd_hat", label: str = "defau
 
 # --- A9 / A10 / PL10 ----------------------------------------------------------
 
-def value_counts(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """``(keys, _v, n)`` per distinct value, missing values left out."""
-    v = nan_to_null(F.col(value).cast("double"))
-    return df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull()).groupBy(*keys, "_v").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+def known_values(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys, _v, n)``: every row's value with a count of one, the missing
+    ones as NULL."""
+    return df.select(*keys, nan_to_null(F.col(value).cast("double")).alias("_v"), F.lit(1).cast("long").alias("n"))
 
 
 def psi_of_counts(
-    expected: DataFrame,
-    actual: DataFrame,
+    sides: DataFrame,
     group_cols: Sequence[str] = (),
     actual_group_cols: Sequence[str] = (),
     buckets: int = 10,
     epsilon: float = 1e-8,
 ) -> DataFrame:
-    """PSI from value counts: ``expected`` ``(group_cols, _v, n)``, ``actual``
-    ``(group_cols, actual_group_cols, _v, n)``, both stage tables.
-
-    The edges (one short array per group) are found exactly and come back as
-    a small table; binning joins it to the counts, not to the source rows.
+    """PSI from ``sides``: rows ``(group_cols, actual_group_cols, _act, _v,
+    n)``, of single rows or of counted values. ``_act`` tells the actual side;
+    the expected side leaves the actual groups NULL.
+
+    The edges (one short array per group) are selected from the expected rows
+    and come back as a small table; one pass then counts both sides by bin, and
+    all else reads those counts (at most ``buckets`` a group). No value is
+    shuffled.
     """
     g, ag = list(group_cols), list(actual_group_cols)
+    sides = sides.where(F.col("_v").isNotNull())
     probs = percent_grid_probs(buckets)
     key = F.struct(*g) if g else F.lit(0)
     found = order_statistics(
-        expected.select(key.alias("_k"), "_v", F.col("n").alias("_w")),
+        sides.where(~F.col("_act")).select(key.alias("_k"), "_v", F.col("n").alias("_w")),
         lambda sizes: {k: needed_ranks(n, probs) for k, n in sizes.items()},
     )
     rows = [((*k,) if g else ()) + (sorted({interpolate(at, n, p) for p in probs}),) for k, (n, at) in found.items()]
-    fields = [f"`{c}` {expected.schema[c].dataType.simpleString()}" for c in g] + ["_edges array<double>"]
-    spark = expected.sparkSession
-    edges = spark.createDataFrame(rows or ([] if g else [([],)]), ", ".join(fields))
-
-    def binned(table: DataFrame, keys: list, out: str) -> DataFrame:
-        # The edge table has one row per group, known on the driver.
-        joined = table.join(edges, on=g) if g else table.crossJoin(F.broadcast(edges))
-        cell = histogram_bin(F.col("_v"), F.col("_edges")).alias("_bin")
-        return joined.groupBy(*keys, cell).agg(F.sum("n").alias(out)).where(F.col("_bin").isNotNull())
-
-    e_cnt, a_cnt = binned(expected, g, "_e"), binned(actual, g + ag, "_a")
+    fields = [f"`{c}` {sides.schema[c].dataType.simpleString()}" for c in g] + ["_edges array<double>"]
+    edges = sides.sparkSession.createDataFrame(rows or ([] if g else [([],)]), ", ".join(fields))
+
+    # The edge table has one row per group, known on the driver.
+    named = edges.select(*[F.col(c).alias(f"_g_{c}") for c in g], "_edges")
+    here = F.lit(True)
+    for c in g:
+        here = here & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    joined = sides.join(F.broadcast(named), here, "left") if g else sides.crossJoin(F.broadcast(named))
+    cell = histogram_bin(F.col("_v"), F.col("_edges"), buckets + 1).alias("_bin")
+    counts = stage(joined.groupBy(*g, *ag, "_act", cell).agg(F.sum("n").alias("_n")), "bin-counts")
+
+    expected = counts.where(~F.col("_act")).select(*g, "_bin", F.col("_n").alias("_e"))
+    actual = counts.where("_act").select(*g, *ag, "_bin", F.col("_n").alias("_a"))
     keys = actual.select(*g, *ag).distinct()
     bins = edges.where(F.size("_edges") >= 2).select(*g, F.explode(F.sequence(F.lit(0), F.size("_edges") - 2)).alias("_bin"))
     bins = bins.join(keys, on=g, how="inner") if g else bins.crossJoin(keys)
-    grid = bins.join(e_cnt, on=[*g, "_bin"], how="left").join(a_cnt, on=[*g, *ag, "_bin"], how="left")
+    grid = bins.join(expected, on=[*g, "_bin"], how="left").join(actual, on=[*g, *ag, "_bin"], how="left")
     grid = grid.fillna(0, subset=["_e", "_a"])
 
     w = Window.partitionBy(*g, *ag) if (g or ag) else Window.partitionBy(F.lit(0))
@@ -225,6 +229,12 @@ def psi_of_counts(
     return keys.join(res, on=[*g, *ag], how="left")
 
 
+def both_sides(expected: DataFrame, actual: DataFrame, actual_group_cols: Sequence[str] = ()) -> DataFrame:
+    """The input of :func:`psi_of_counts` from the rows of either side."""
+    absent = {c: F.lit(None).cast(actual.schema[c].dataType) for c in actual_group_cols}
+    return expected.withColumns({**absent, "_act": F.lit(False)}).unionByName(actual.withColumn("_act", F.lit(True)))
+
+
 def psi_by_side(
     df: DataFrame,
     value: str,
@@ -247,13 +257,13 @@ def psi_by_side(
 
     ``group_cols`` key the edges (e.g. feature); ``actual_group_cols`` add
     keys on the actual side only (e.g. period), each compared with the same
-    expected distribution. One pass over the input.
+    expected distribution. The input is scanned some four times for its value
+    and key columns; nothing but counts is shuffled.
     """
     g, ag = list(group_cols), list(actual_group_cols)
     sides = df.where(F.col(side_col).isin(expected_side, actual_side)).withColumn("_act", F.col(side_col) == F.lit(actual_side))
     sides = sides.withColumns({c: F.when(F.col("_act"), F.col(c)) for c in ag})
-    counts = stage(value_counts(sides, value, [*g, *ag, "_act"]), "value-counts")
-    return psi_of_counts(counts.where(~F.col("_act")), counts.where("_act"), g, ag, buckets, epsilon)
+    return psi_of_counts(known_values(sides, value, [*g, *ag, "_act"]), g, ag, buckets, epsilon)
 
 
 def psi_grouped(
@@ -265,11 +275,10 @@ def psi_grouped(
     buckets: int = 10,
     epsilon: float = 1e-8,
 ) -> DataFrame:
-    """A9 over two frames, one pass over each."""
+    """A9 over two frames."""
     g, ag = list(group_cols), list(actual_group_cols)
-    e = stage(value_counts(expected, value, g), "value-counts")
-    a = stage(value_counts(actual, value, g + ag), "value-counts")
-    return psi_of_counts(e, a, g, ag, buckets, epsilon)
+    sides = both_sides(known_values(expected, value, g), known_values(actual, value, g + ag), ag)
+    return psi_of_counts(sides, g, ag, buckets, epsilon)
 
 
 def psi(
@@ -291,8 +300,7 @@ def side_metrics(
     drift against the expected side, from one pass over ``df``."""
     sides = df.where(F.col(side_col).isin(expected_side, actual_side))
     counts = stage(score_counts(sides, score, label, [side_col]), "score-counts")
-    known = counts.where(F.col("_v").isNotNull()).select(side_col, "_v", "n")
-    drift = psi_of_counts(known.where(F.col(side_col) == expected_side), known.where(F.col(side_col) == actual_side))
+    drift = psi_of_counts(counts.select((F.col(side_col) == F.lit(actual_side)).alias("_act"), "_v", "n"))
     quality = count_metrics(counts.where(F.col(side_col) == actual_side).drop(side_col))
     return quality.crossJoin(drift).select("auc", "ks", "brier", "psi")
 
@@ -465,9 +473,8 @@ def monitor_by_period(
         "period", period_of(F.col(time_col), freq)
     )
     counts = stage(score_counts(cur, score, label, ["period"]), "score-counts")
-    expected = stage(value_counts(reference, score), "value-counts")
-    known = counts.where(F.col("_v").isNotNull()).select("period", "_v", "n")
-    p = psi_of_counts(expected, known, (), ["period"], buckets)
+    sides = both_sides(known_values(reference, score), counts.select("period", "_v", "n"), ["period"])
+    p = psi_of_counts(sides, (), ["period"], buckets)
     out = count_metrics(counts, ["period"]).join(p, "period", "left")
     return out.select(
         "period", "n", "psi", "auc", "brier",

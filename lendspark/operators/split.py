@@ -114,11 +114,6 @@ def _with_cuts(df: DataFrame, label: str, cuts: DataFrame) -> DataFrame:
     return df.join(cuts, F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")
 
 
-def _draw_sizes(n: int, part: float, take: Callable[[float], int]) -> int:
-    """Rows in the drawn part of ``n`` under the given rounding."""
-    return int(take(n * part))
-
-
 def stratified_split(
     df: DataFrame,
     label: str = "default",
@@ -134,7 +129,7 @@ def stratified_split(
 
     def ends(sizes: dict) -> dict:
         n = sum(sizes.values())
-        return {k: [q] for k, q in approximate_mode(sizes, n - _draw_sizes(n, test_size, math.ceil)).items()}
+        return {k: [q] for k, q in approximate_mode(sizes, n - math.ceil(n * test_size)).items()}
 
     cuts, _ = _class_cuts(df, label, position, ends)
     inside = F.coalesce(position <= F.col("_cuts")[0], F.lit(False))
@@ -157,7 +152,7 @@ def stratified_subsample(
 
     def ends(sizes: dict) -> dict:
         n = sum(sizes.values())
-        size = max(2, _draw_sizes(n, frac, round))
+        size = max(2, round(n * frac))
         whole[:] = [size >= n]
         return {k: [q] for k, q in (sizes if size >= n else approximate_mode(sizes, size)).items()}
 

@@ -95,12 +95,12 @@ SELECT band,
   CASE WHEN abs(observed_default_rate - (pd_min + pd_max) / 2) < 0.02 THEN 'Well calibrated'
        WHEN observed_default_rate - (pd_min + pd_max) / 2 > 0 THEN 'Under-predicting risk'
        ELSE 'Over-predicting risk' END AS calibration,
-  CASE WHEN observed_default_rate < 0.01 THEN 'Auto-approve - Minimal risk, standard terms'
-       WHEN observed_default_rate < 0.05 THEN 'Auto-approve with monitoring - Low risk, consider favorable terms'
-       WHEN observed_default_rate < 0.10 THEN 'Conditional approval - Manual review for high-value cases'
-       WHEN observed_default_rate < 0.20 THEN 'Manual review required - Enhanced due diligence, risk-based pricing'
-       WHEN observed_default_rate < 0.30 THEN 'Selective approval - Decline unless strong mitigating factors'
-       ELSE 'Auto-decline - Unacceptable risk level' END AS action
+  CASE WHEN observed_default_rate < 0.01 THEN '**Auto-approve** - Minimal risk, standard terms'
+       WHEN observed_default_rate < 0.05 THEN '**Auto-approve** with monitoring - Low risk, consider favorable terms'
+       WHEN observed_default_rate < 0.10 THEN '**Conditional approval** - Manual review for high-value cases'
+       WHEN observed_default_rate < 0.20 THEN '**Manual review required** - Enhanced due diligence, risk-based pricing'
+       WHEN observed_default_rate < 0.30 THEN '**Selective approval** - Decline unless strong mitigating factors'
+       ELSE '**Auto-decline** - Unacceptable risk level' END AS action
 FROM summary"""
 
 
@@ -720,12 +720,12 @@ SELECT band, pd_min, pd_max, round(observed_default_rate, {D}) AS observed_defau
   CASE WHEN abs(observed_default_rate - (pd_min + pd_max) / 2) < 0.02 THEN 'Well calibrated'
        WHEN observed_default_rate - (pd_min + pd_max) / 2 > 0 THEN 'Under-predicting risk'
        ELSE 'Over-predicting risk' END AS calibration,
-  CASE WHEN observed_default_rate < 0.01 THEN 'Auto-approve - Minimal risk, standard terms'
-       WHEN observed_default_rate < 0.05 THEN 'Auto-approve with monitoring - Low risk, consider favorable terms'
-       WHEN observed_default_rate < 0.10 THEN 'Conditional approval - Manual review for high-value cases'
-       WHEN observed_default_rate < 0.20 THEN 'Manual review required - Enhanced due diligence, risk-based pricing'
-       WHEN observed_default_rate < 0.30 THEN 'Selective approval - Decline unless strong mitigating factors'
-       ELSE 'Auto-decline - Unacceptable risk level' END AS action
+  CASE WHEN observed_default_rate < 0.01 THEN '**Auto-approve** - Minimal risk, standard terms'
+       WHEN observed_default_rate < 0.05 THEN '**Auto-approve** with monitoring - Low risk, consider favorable terms'
+       WHEN observed_default_rate < 0.10 THEN '**Conditional approval** - Manual review for high-value cases'
+       WHEN observed_default_rate < 0.20 THEN '**Manual review required** - Enhanced due diligence, risk-based pricing'
+       WHEN observed_default_rate < 0.30 THEN '**Selective approval** - Decline unless strong mitigating factors'
+       ELSE '**Auto-decline** - Unacceptable risk level' END AS action
 FROM summary"""
 
 

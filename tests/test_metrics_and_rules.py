@@ -134,10 +134,10 @@ def test_band_actions_golden(spark):
     rows = {r["band"]: r for r in banding.band_actions(df, 10).collect()}
     assert rows[0]["risk_label"] == "Minimal Risk"
     assert rows[0]["calibration"] == "Well calibrated"
-    assert rows[0]["action"].startswith("Auto-approve - Minimal risk")
+    assert rows[0]["action"].startswith("**Auto-approve** - Minimal risk")
     assert rows[9]["risk_label"] == "Extreme Risk"
     assert rows[9]["calibration"] == "Over-predicting risk"
-    assert rows[9]["action"].startswith("Manual review required")
+    assert rows[9]["action"].startswith("**Manual review required**")
     many = df.select(banding.risk_label(F.lit(11), 12).alias("x")).first()["x"]
     assert many == "Band 11"
 
