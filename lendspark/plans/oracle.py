@@ -391,6 +391,67 @@ ranked AS (SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY row_id)
 SELECT row_id, y AS is_default FROM ranked JOIN quota USING (y) WHERE rk <= q"""
 
 
+# ---------------------------------------------------------------- model fits
+
+
+@sql("recalibrate", ("scored",))
+def _():
+    """Newton steps on the calibration counts, one table after the other."""
+    steps = """s0 AS MATERIALIZED (
+  SELECT 0.0::DOUBLE AS a, ln((n1 * hit + n0 * miss) / (n1 * (1 - hit) + n0 * (1 - miss))) AS b FROM goal)"""
+    for i in range(12):
+        steps += f""",
+g{i} AS MATERIALIZED (
+  SELECT any_value(s.a) AS a, any_value(s.b) AS b,
+         sum(d * x) AS ga, sum(d) AS gb, sum(w * x * x) AS haa, sum(w * x) AS hab, sum(w) AS hbb
+  FROM (SELECT x, s.a, s.b, m * p - wanted AS d, m * p * (1 - p) AS w
+        FROM (SELECT c.*, 1 / (1 + exp(-(s.a * x + s.b))) AS p, s.a, s.b FROM points c, s{i} s) s) s),
+s{i + 1} AS MATERIALIZED (
+  SELECT a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab) AS a, b - (haa * gb - hab * ga) / (haa * hbb - hab * hab) AS b FROM g{i})"""
+    return f"""WITH base AS (SELECT row_id, "default" AS y FROM scored),
+{quota_sql('base', 'n - ceil(0.8::DOUBLE * n)')},
+ranked AS (SELECT s.row_id, s.pd_hat AS x, s."default" AS y, row_number() OVER (PARTITION BY s."default" ORDER BY s.row_id) AS rk FROM scored s),
+cal AS MATERIALIZED (SELECT x, y FROM ranked JOIN quota USING (y) WHERE rk <= q),
+goal AS MATERIALIZED (
+  SELECT n1, n0, (n1 + 1) / (n1 + 2) AS hit, 1 / (n0 + 2) AS miss
+  FROM (SELECT count(*) FILTER (y = 1)::DOUBLE AS n1, count(*) FILTER (y = 0)::DOUBLE AS n0 FROM cal)),
+points AS MATERIALIZED (
+  SELECT x, count(*)::DOUBLE AS m, sum(CASE WHEN y = 1 THEN hit ELSE miss END) AS wanted FROM cal, goal GROUP BY x),
+{steps}
+SELECT s.row_id, s.pd_hat, round(1 / (1 + exp(-(f.a * s.pd_hat + f.b))), {D}) AS pd_hat_recal FROM scored s, s12 f"""
+
+
+@sql("train_logistic", ("scored",))
+def _():
+    """Newton steps of a balanced L2 model (C = 1) on two scaled features,
+    three unknowns by Cramer's rule."""
+    det = lambda m: " + ".join(
+        f"{m[0][i]} * ({m[1][(i + 1) % 3]} * {m[2][(i + 2) % 3]} - {m[1][(i + 2) % 3]} * {m[2][(i + 1) % 3]})" for i in range(3)
+    )
+    h = [["h00", "h01", "h02"], ["h01", "h11", "h12"], ["h02", "h12", "h22"]]
+    swap = lambda k: [[f"g{r}" if c == k else h[r][c] for c in range(3)] for r in range(3)]
+    steps = "s0 AS MATERIALIZED (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)"
+    for i in range(12):
+        steps += f""",
+d{i} AS MATERIALIZED (
+  SELECT b0, b1, b2, sum(r) AS g0, sum(r * x1) + b1 AS g1, sum(r * x2) + b2 AS g2, sum(w) AS h00, sum(w * x1) AS h01, sum(w * x2) AS h02,
+         sum(w * x1 * x1) + 1 AS h11, sum(w * x1 * x2) AS h12, sum(w * x2 * x2) + 1 AS h22
+  FROM (SELECT x1, x2, b0, b1, b2, k * (p - y) AS r, k * p * (1 - p) AS w
+        FROM (SELECT z.*, s.*, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM scaled z, s{i} s))
+  GROUP BY b0, b1, b2),
+s{i + 1} AS MATERIALIZED (
+  SELECT b0 - ({det(swap(0))}) / ({det(h)}) AS b0, b1 - ({det(swap(1))}) / ({det(h)}) AS b1, b2 - ({det(swap(2))}) / ({det(h)}) AS b2 FROM d{i})"""
+    return f"""WITH scaled AS MATERIALIZED (
+  SELECT "default"::DOUBLE AS y,
+         (loan_amnt - avg(loan_amnt) OVER ()) / stddev_pop(loan_amnt) OVER () AS x1, (dti - avg(dti) OVER ()) / stddev_pop(dti) OVER () AS x2,
+         count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY "default")) AS k
+  FROM scored),
+{steps}
+SELECT 'intercept' AS feature, round(b0, {D}) AS coefficient FROM s12
+UNION ALL SELECT 'loan_amnt', round(b1, {D}) FROM s12
+UNION ALL SELECT 'dti', round(b2, {D}) FROM s12"""
+
+
 # ---------------------------------------------------------------- cleaning
 
 RAW_COLS = ['row_id', 'loan_status', 'loan_amnt', 'annual_inc', 'int_rate', 'revol_util', 'term', 'emp_length',

@@ -501,7 +501,14 @@ def q_tune_select(spark, sf):
 @register("recalibrate")
 def q_recalibrate(spark, sf):
     s = fx.scored(spark, sf)
-    return model.recalibrate(s, "pd_hat", "default").select("row_id", "pd_hat", r("pd_hat_recal"))
+    return model.recalibrate(s, "pd_hat", "default", order=["row_id"]).select("row_id", "pd_hat", r("pd_hat_recal"))
+
+
+@register("train_logistic")
+def q_train_logistic(spark, sf):
+    m = model.train_logistic(fx.scored(spark, sf), ["loan_amnt", "dti"], "default", tol=1e-10)
+    rows = [("intercept", m.intercept), *zip(m.feature_cols, m.coefficients, strict=True)]
+    return spark.createDataFrame(rows, "feature string, coefficient double").select("feature", r("coefficient"))
 
 
 # --- reports ---------------------------------------------------------------------------

@@ -42,7 +42,7 @@ def test_logistic_matches_newton(spark):
     n0 = len(y) - n1
     w = np.where(y == 1, len(y) / (2 * n1), len(y) / (2 * n0))
     beta = newton_logistic(X, y, w, 1.0)
-    got = np.r_[m.lr.coefficients.toArray(), m.lr.intercept]
+    got = np.r_[m.coefficients, m.intercept]
     assert np.abs(got - beta).max() < 1e-5
 
 
@@ -167,3 +167,72 @@ def test_csv_fields_with_line_breaks_and_index_column(spark, tmpdir_path):
     t = io.read_table(spark, tmpdir_path + "/csv/x.csv")
     assert sorted(t.collect()) == [(7, "one\ntwo", None), (8, "three", 2.5)] and t.columns[0] == "row_id"
     assert io.read_raw_csv(spark, tmpdir_path + "/csv/x.csv").count() == 2
+
+
+def test_grid_fits_match_separate_newton(spark):
+    """All folds and all C in shared passes, each with the scaler and weights
+    of its own training part."""
+    from lendspark.operators import split
+
+    cols = ["loan_amnt", "dti", "term_months"]
+    s = split.stratified_folds(fx.scored(spark, SF_SMALL).select("row_id", *cols, "default").fillna(0), "default", 3, out="_fold")
+    grid = [(C, k) for C in (0.01, 1.0) for k in (None, 0, 1, 2)]
+    models = model.newton_fits(model.training_set(s, cols, "default", F.col("_fold")), grid, tol=1e-10)
+    pdf = s.toPandas()
+    for (C, k), m in zip(grid, models):
+        part = pdf[pdf["_fold"] != (-1 if k is None else k)]
+        X = part[cols].to_numpy(float)
+        X = (X - X.mean(0)) / X.std(0)
+        y = part["default"].to_numpy(float)
+        w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+        beta = newton_logistic(X, y, w, C)
+        assert np.abs(np.r_[m.coefficients, m.intercept] - beta).max() < 1e-7
+
+
+def test_l1_fit_meets_its_optimality_conditions(spark):
+    cols = ["loan_amnt", "dti", "term_months"]
+    s = fx.scored(spark, SF_SMALL).select(*cols, "default").fillna(0)
+    C = 0.01
+    m = model.train_logistic(s, cols, "default", C=C, penalty="l1", class_weight=None, tol=1e-12)
+    pdf = s.toPandas()
+    X = pdf[cols].to_numpy(float)
+    X = (X - X.mean(0)) / X.std(0)
+    y, b = pdf["default"].to_numpy(float), np.array(m.coefficients)
+    g = X.T @ (1 / (1 + np.exp(-(X @ b + m.intercept))) - y)
+    assert abs((1 / (1 + np.exp(-(X @ b + m.intercept))) - y).sum()) < 1e-6
+    for j in range(3):
+        assert abs(g[j] + np.sign(b[j]) / C) < 1e-5 if b[j] else abs(g[j]) <= 1 / C + 1e-6
+
+
+def test_many_tasks_add_up(spark, monkeypatch):
+    s = fx.scored(spark, SF_SMALL).select("loan_amnt", "dti", "default")
+    one = model.train_logistic(s, ["loan_amnt", "dti"])
+    monkeypatch.setattr(model, "DIRECT", 2)
+    many = model.train_logistic(s.repartition(9), ["loan_amnt", "dti"])
+    assert np.abs(np.r_[one.coefficients, one.intercept] - np.r_[many.coefficients, many.intercept]).max() < 1e-9
+
+
+def test_missing_feature_is_an_error(spark):
+    s = spark.createDataFrame([(1.0, 0), (None, 1), (2.0, 1), (0.5, 0)], "x double, default int")
+    with pytest.raises(ValueError):
+        model.train_logistic(s, ["x"])
+    m = model.train_logistic(s.where("x is not null"), ["x"])
+    with pytest.raises(Exception, match="missing"):
+        model.score(m, s).collect()
+
+
+def test_platt_matches_direct_newton(spark):
+    """Against a fit of all calibration rows, ties and an all-negative part."""
+    rng = np.random.default_rng(1)
+    rows = [(k, float(round(x, 2)), int(rng.random() < x)) for k, x in enumerate(rng.random(800))]
+    df = spark.createDataFrame(rows, "row_id long, p double, y int")
+    cal = model.fit_platt(df, "p", "y", 0.5, order=["row_id"])
+    from lendspark.operators import split
+
+    part = split.stratified_split(df, "y", 0.5, order=["row_id"]).where("split = 'train'").toPandas()
+    pos, neg = (part.y == 1).sum(), (part.y == 0).sum()
+    t = np.where(part.y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
+    p = 1 / (1 + np.exp(-(cal.a * part.p + cal.b)))
+    assert abs(((p - t) * part.p).sum()) < 1e-7 and abs((p - t).sum()) < 1e-7
+    none = model.fit_platt(spark.createDataFrame([(k, k / 50, 0) for k in range(50)], "row_id long, p double, y int"), "p", "y", 0.5)
+    assert abs(none.a) < 1e-6

@@ -40,5 +40,5 @@ def test_registry_contract():
     q, o = queries(), oracle_sql()
     assert set(o) <= set(q)
     own = {k for k in q if k != "pipeline" and not k.startswith("op")}
-    assert own - set(o) == {"train_score", "tune_select", "recalibrate"}
+    assert own - set(o) == {"train_score", "tune_select"}
     assert all(isinstance(v, str) and v.strip() for v in o.values())
