@@ -8,7 +8,7 @@ two-level scheme used here keeps the result exact and the work spread out:
 2. totals per (partition, range), a tiny table, and their running offsets;
 3. a window inside each range for the running sum, plus the range's offset.
 
-Used by AUC / KS (overall and per segment) and by exact ranks.
+Used by AUC / KS (overall and per segment) and by one-hot vocabularies.
 """
 
 from __future__ import annotations
@@ -139,18 +139,3 @@ def auc_ks_of_counts(counts: DataFrame, partition_cols: Sequence[str] = ()) -> D
         F.when(valid, F.col("_ks")).alias("ks"),
     )
     return out
-
-
-def exact_rank(
-    df: DataFrame,
-    order_cols: Sequence[str],
-    partition_cols: Sequence[str] = (),
-    out: str = "rank",
-) -> DataFrame:
-    """1-based row number in ``order_cols`` order within ``partition_cols``.
-
-    ``order_cols`` must make rows unique within a partition (append a key).
-    """
-    ones = df.withColumn("_one", F.lit(1).cast("long"))
-    res = running_sums(ones, order_cols, ["_one"], partition_cols, prefix="_cum")
-    return res.withColumnRenamed("_cum_one", out).drop("_one")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import normalise_nan
 from ..sources.stages import stage
 from . import stats
+from .curves import running_sums
 from .joins import lookup_join
 from .quantiles import interpolate, long_form, needed_ranks, order_statistics
 
@@ -65,11 +66,18 @@ def frequency_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # --- E2 one-hot ----------------------------------------------------------------------------
 
-def fit_onehot_levels(df: DataFrame, columns: Sequence[str], categories: dict | None = None) -> dict[str, list[str]]:
+MAX_LEVELS = 1000
+
+
+def fit_onehot_levels(
+    df: DataFrame, columns: Sequence[str], categories: dict | None = None, max_levels: int = MAX_LEVELS
+) -> dict[str, list[str]]:
     """E2 fit: level list per column. Columns with a fixed category order
     (``categories``) keep it, unused categories included; the others get
     their sorted distinct values, found for all columns in one action. Every
-    level becomes a column of the result, so the levels come to the driver."""
+    level becomes a column of the result, so the levels come to the driver;
+    more than ``max_levels`` in all are an error (use the sparse form,
+    :func:`fit_onehot_vocabulary`)."""
     categories = categories or {}
     out = {c: list(categories[c]) for c in columns if c in categories}
     todo = [c for c in columns if c not in categories]
@@ -77,7 +85,10 @@ def fit_onehot_levels(df: DataFrame, columns: Sequence[str], categories: dict |
         pairs = F.explode(F.array(*[
             F.struct(F.lit(c).alias("col"), _q(c).cast("string").alias("v")) for c in todo
         ])).alias("p")
-        rows = df.select(pairs).select("p.col", "p.v").where(F.col("v").isNotNull()).distinct().collect()
+        found = df.select(pairs).select("p.col", "p.v").where(F.col("v").isNotNull()).distinct()
+        rows = found.limit(max_levels + 1).collect()
+        if len(rows) > max_levels:
+            raise ValueError(f"over {max_levels} levels in {todo}: one column each is too many")
         out |= {c: sorted(r["v"] for r in rows if r["col"] == c) for c in todo}
     return {c: out[c] for c in columns}
 
@@ -97,6 +108,62 @@ def apply_onehot(df: DataFrame, levels: dict[str, list[str]], drop_first: bool =
     return out.fillna(0, subset=[d for d in out.columns if d not in df.columns])
 
 
+@dataclass
+class Vocabulary:
+    """Positions of the sparse one-hot vector."""
+
+    table: DataFrame  # _column, _level (NULL: missing), _position
+    columns: list
+    size: int
+
+
+def fit_onehot_vocabulary(
+    df: DataFrame, columns: Sequence[str], categories: dict | None = None, drop_first: bool = True
+) -> Vocabulary:
+    """E2 fit for any number of levels: the places that
+    :func:`apply_onehot`'s columns would have, as a table. Levels are found by
+    one grouping and numbered by ranges in the executors
+    (:func:`.curves.running_sums`); none reaches the driver. Columns with a
+    fixed order (``categories``) keep it."""
+    spark, categories = df.sparkSession, categories or {}
+    schema = "_c int, _rank int, _level string"
+    fixed = [(i, k, v) for i, c in enumerate(columns) for k, v in enumerate(categories.get(c, ()))]
+    levels = spark.createDataFrame(fixed, schema)
+    free = [(i, c) for i, c in enumerate(columns) if c not in categories]
+    if free:
+        pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), _q(c).cast("string").alias("_level")) for i, c in free])).alias("p")
+        found = df.select(pairs).select("p._c", F.lit(0).alias("_rank"), "p._level").where(F.col("_level").isNotNull()).distinct()
+        levels = levels.unionByName(found)
+    levels = stage(levels, "levels")
+    if drop_first:
+        # One row per column.
+        first = levels.groupBy("_c").agg(F.min(F.struct("_rank", "_level")).alias("_first"))
+        levels = levels.join(first, "_c").where(F.struct("_rank", "_level") > F.col("_first")).drop("_first")
+    missing = spark.createDataFrame([(i, 2**31 - 1, None) for i in range(len(columns))], schema)
+    every = levels.unionByName(missing).withColumn("_one", F.lit(1).cast("long"))
+    placed = running_sums(every, ["_c", "_rank", "_level"], ["_one"], prefix="_upto")
+    table = stage(placed.select(F.col("_c").alias("_column"), "_level", (F.col("_upto_one") - 1).cast("int").alias("_position")), "vocabulary")
+    return Vocabulary(table, list(columns), table.count())
+
+
+def apply_onehot_sparse(df: DataFrame, vocabulary: Vocabulary, out: str = "onehot") -> DataFrame:
+    """E2 apply, sparse: ``out`` is a struct ``size, indices, values`` with a
+    one at the place of every column's level, the places ascending; dropped and
+    unseen levels have none. The source columns are removed. One lookup by
+    value per column, heavy values apart."""
+    n = len(vocabulary.columns)
+    for i, c in enumerate(vocabulary.columns):
+        mine = vocabulary.table.where(F.col("_column") == i)
+        missing = mine.where(F.col("_level").isNull()).first()["_position"]
+        known = mine.where(F.col("_level").isNotNull()).select(F.col("_level").alias("_vkey"), F.col("_position").alias(f"_p{i}"))
+        df = lookup_join(df.withColumn("_vkey", _q(c).cast("string")), known, "_vkey").drop("_vkey")
+        df = df.withColumn(f"_p{i}", F.when(_q(c).isNull(), F.lit(missing)).otherwise(F.col(f"_p{i}")))
+    at = F.filter(F.array(*[F.col(f"_p{i}") for i in range(n)]), lambda p: p.isNotNull())
+    ones = F.transform(at, lambda _: F.lit(1.0))
+    sparse = F.struct(F.lit(vocabulary.size).alias("size"), at.alias("indices"), ones.alias("values"))
+    return df.withColumn(out, sparse).drop(*vocabulary.columns, *[f"_p{i}" for i in range(n)])
+
+
 # --- E3 out-of-fold target encoding ------------------------------------------------------
 
 def fold_column(key: str = "row_id", n_splits: int = 5, seed: int = 42) -> Column:

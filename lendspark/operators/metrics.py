@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.bins import histogram_bin, percent_grid_probs, width_bin
@@ -191,13 +191,8 @@ def psi_of_counts(
     """
     g, ag = list(group_cols), list(actual_group_cols)
     sides = sides.where(F.col("_v").isNotNull())
-    probs = percent_grid_probs(buckets)
-    key = F.struct(*g) if g else F.lit(0)
-    found = order_statistics(
-        sides.where(~F.col("_act")).select(key.alias("_k"), "_v", F.col("n").alias("_w")),
-        lambda sizes: {k: needed_ranks(n, probs) for k, n in sizes.items()},
-    )
-    rows = [((*k,) if g else ()) + (sorted({interpolate(at, n, p) for p in probs}),) for k, (n, at) in found.items()]
+    found = stability_edges(sides.where(~F.col("_act")), g, buckets)
+    rows = [((*k,) if g else ()) + (e,) for k, e in found.items()]
     fields = [f"`{c}` {sides.schema[c].dataType.simpleString()}" for c in g] + ["_edges array<double>"]
     edges = sides.sparkSession.createDataFrame(rows or ([] if g else [([],)]), ", ".join(fields))
 
@@ -209,7 +204,27 @@ def psi_of_counts(
     joined = sides.join(F.broadcast(named), here, "left") if g else sides.crossJoin(F.broadcast(named))
     cell = histogram_bin(F.col("_v"), F.col("_edges"), buckets + 1).alias("_bin")
     counts = stage(joined.groupBy(*g, *ag, "_act", cell).agg(F.sum("n").alias("_n")), "bin-counts")
+    return psi_of_bins(edges, counts, g, ag, epsilon)
+
+
+def stability_edges(expected: DataFrame, group_cols: Sequence[str] = (), buckets: int = 10) -> dict:
+    """Distinct quantiles of ``(group_cols, _v, n)`` on the percent grid, by
+    group (a tuple of its values; 0 without groups)."""
+    probs = percent_grid_probs(buckets)
+    key = F.struct(*group_cols) if group_cols else F.lit(0)
+    found = order_statistics(
+        expected.select(key.alias("_k"), "_v", F.col("n").alias("_w")),
+        lambda sizes: {k: needed_ranks(n, probs) for k, n in sizes.items()},
+    )
+    return {k: sorted({interpolate(at, n, p) for p in probs}) for k, (n, at) in found.items()}
+
 
+def psi_of_bins(
+    edges: DataFrame, counts: DataFrame, group_cols: Sequence[str] = (), actual_group_cols: Sequence[str] = (), epsilon: float = 1e-8
+) -> DataFrame:
+    """PSI from ``edges`` ``(group_cols, _edges)`` and ``counts`` ``(group_cols,
+    actual_group_cols, _act, _bin, _n)``, a few rows each."""
+    g, ag = list(group_cols), list(actual_group_cols)
     expected = counts.where(~F.col("_act")).select(*g, "_bin", F.col("_n").alias("_e"))
     actual = counts.where("_act").select(*g, *ag, "_bin", F.col("_n").alias("_a"))
     keys = actual.select(*g, *ag).distinct()
@@ -467,14 +482,23 @@ def monitor_by_period(
     """PL10: per period of ``current``: ``n, psi`` (score against the
     ``reference`` distribution), ``auc, brier`` and the three trigger flags
     of the approval rule. Missing periods are excluded."""
+    counts = stage(period_counts(current, time_col, score, label, freq), "score-counts")
+    return monitor_of_counts(known_values(reference, score), counts, buckets)
+
+
+def period_counts(current: DataFrame, time_col: str, score: str = "pd_hat", label: str = "default", freq: str = "Q") -> DataFrame:
+    """``(period, _v, n, labelled, pos)``: the counts per period and score from
+    which every figure of the monitor follows. Missing periods are left out."""
+    cur = current.where(F.col(time_col).isNotNull()).withColumn("period", period_of(F.col(time_col), freq))
+    return score_counts(cur, score, label, ["period"])
+
+
+def monitor_of_counts(reference: DataFrame, counts: DataFrame, buckets: int = 10) -> DataFrame:
+    """PL10 from :func:`period_counts` (a stored table) and the reference's
+    values or counts ``(_v, n)``."""
     from .banding import AUC_FLOOR, BRIER_CEILING, PSI_CEILING
 
-    cur = current.where(F.col(time_col).isNotNull()).withColumn(
-        "period", period_of(F.col(time_col), freq)
-    )
-    counts = stage(score_counts(cur, score, label, ["period"]), "score-counts")
-    sides = both_sides(known_values(reference, score), counts.select("period", "_v", "n"), ["period"])
-    p = psi_of_counts(sides, (), ["period"], buckets)
+    p = psi_of_counts(both_sides(reference, counts.select("period", "_v", "n"), ["period"]), (), ["period"], buckets)
     out = count_metrics(counts, ["period"]).join(p, "period", "left")
     return out.select(
         "period", "n", "psi", "auc", "brier",
@@ -482,3 +506,31 @@ def monitor_by_period(
         F.coalesce(F.col("brier") > BRIER_CEILING, F.lit(False)).alias("brier_trigger"),
         F.coalesce(F.col("auc") < AUC_FLOOR, F.lit(False)).alias("auc_trigger"),
     )
+
+
+class MonitorState:
+    """The monitor's counts kept as a table partitioned by period.
+
+    :meth:`put` takes the rows of some periods and replaces these periods'
+    partitions (so putting a period again changes nothing), reading no other
+    period. :meth:`set_reference` keeps the reference's counts beside them.
+    :meth:`report` is :func:`monitor_by_period` of all rows ever put.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, time_col: str, score: str = "pd_hat", label: str = "default", freq: str = "Q"):
+        self.spark, self.path, self.args = spark, path.rstrip("/"), (time_col, score, label, freq)
+
+    def set_reference(self, reference: DataFrame) -> None:
+        rows = known_values(reference, self.args[1]).where(F.col("_v").isNotNull())
+        rows.groupBy("_v").agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{self.path}/reference")
+
+    def put(self, rows: DataFrame) -> None:
+        counts = period_counts(rows, *self.args)
+        counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(f"{self.path}/periods")
+
+    def counts(self) -> DataFrame:
+        schema = "_v double, n long, labelled long, pos long, period string"
+        return self.spark.read.schema(schema).parquet(f"{self.path}/periods")
+
+    def report(self, buckets: int = 10) -> DataFrame:
+        return monitor_of_counts(self.spark.read.parquet(f"{self.path}/reference"), self.counts(), buckets)

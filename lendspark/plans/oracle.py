@@ -421,10 +421,9 @@ points AS MATERIALIZED (
 SELECT s.row_id, s.pd_hat, round(1 / (1 + exp(-(f.a * s.pd_hat + f.b))), {D}) AS pd_hat_recal FROM scored s, s12 f"""
 
 
-@sql("train_logistic", ("scored",))
-def _():
-    """Newton steps of a balanced L2 model (C = 1) on two scaled features,
-    three unknowns by Cramer's rule."""
+def newton_sql(train: str) -> str:
+    """Newton steps of a balanced L2 model (C = 1) on loan_amnt and dti of
+    ``train``, three unknowns by Cramer's rule; the last table is ``s12``."""
     det = lambda m: " + ".join(
         f"{m[0][i]} * ({m[1][(i + 1) % 3]} * {m[2][(i + 2) % 3]} - {m[1][(i + 2) % 3]} * {m[2][(i + 1) % 3]})" for i in range(3)
     )
@@ -441,17 +440,104 @@ d{i} AS MATERIALIZED (
   GROUP BY b0, b1, b2),
 s{i + 1} AS MATERIALIZED (
   SELECT b0 - ({det(swap(0))}) / ({det(h)}) AS b0, b1 - ({det(swap(1))}) / ({det(h)}) AS b1, b2 - ({det(swap(2))}) / ({det(h)}) AS b2 FROM d{i})"""
-    return f"""WITH scaled AS MATERIALIZED (
+    return f"""scaled AS MATERIALIZED (
   SELECT "default"::DOUBLE AS y,
          (loan_amnt - avg(loan_amnt) OVER ()) / stddev_pop(loan_amnt) OVER () AS x1, (dti - avg(dti) OVER ()) / stddev_pop(dti) OVER () AS x2,
          count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY "default")) AS k
-  FROM scored),
-{steps}
+  FROM {train}),
+{steps}"""
+
+
+@sql("train_logistic", ("scored",))
+def _():
+    return f"""WITH {newton_sql('scored')}
 SELECT 'intercept' AS feature, round(b0, {D}) AS coefficient FROM s12
 UNION ALL SELECT 'loan_amnt', round(b1, {D}) FROM s12
 UNION ALL SELECT 'dti', round(b2, {D}) FROM s12"""
 
 
+_SQL["io_model"] = _SQL["train_logistic"]
+
+
+@sql("performance_report", ("scored",))
+def _():
+    """Fit on the training period, metrics on the rest."""
+    return f"""WITH {SCORED_SPLIT},
+tr AS MATERIALIZED (SELECT * FROM scored_split WHERE split = 'train'),
+{newton_sql('tr')},
+va AS MATERIALIZED (
+  SELECT 1 / (1 + exp(-(b0 + b1 * (v.loan_amnt - m.a1) / m.d1 + b2 * (v.dti - m.a2) / m.d2))) AS pd_hat, v."default"
+  FROM (SELECT * FROM scored_split WHERE split = 'validation') v, s12,
+       (SELECT avg(loan_amnt) AS a1, stddev_pop(loan_amnt) AS d1, avg(dti) AS a2, stddev_pop(dti) AS d2 FROM tr) m),
+found AS (
+  SELECT a.auc, k.ks, c.* FROM {auc_rank_sql('va')} a, {ks_sql('va')} k,
+         (SELECT {CONF} AS precision, {RECALL} AS recall, {BRIER} AS brier FROM va) c)
+SELECT section, metric, round(value, {D}) AS value FROM (
+  SELECT 'summary' AS section, 'training_rows' AS metric, count(*)::DOUBLE AS value FROM tr
+  UNION ALL SELECT 'summary', 'validation_rows', count(*) FROM va
+  UNION ALL SELECT 'tuning', 'best_c', NULL
+  UNION ALL SELECT 'baseline', 'auc', auc FROM found UNION ALL SELECT 'baseline', 'ks', ks FROM found
+  UNION ALL SELECT 'baseline', 'precision', precision FROM found UNION ALL SELECT 'baseline', 'recall', recall FROM found
+  UNION ALL SELECT 'baseline', 'brier', brier FROM found
+  UNION ALL SELECT 'selection', 'baseline_auc', auc FROM found UNION ALL SELECT 'selection', 'tuned_auc', NULL
+  UNION ALL SELECT 'selection', 'delta', NULL UNION ALL SELECT 'selection', 'tuned_selected', NULL)"""
+
+
+@sql("calibrate_report", ("scored",))
+def _():
+    return f"""WITH recal AS MATERIALIZED (SELECT * FROM ({_SQL['recalibrate']})),
+recal_y AS (SELECT r.pd_hat_recal AS p, s."default" AS y FROM recal r JOIN scored s USING (row_id))
+SELECT 'calibration' AS section, band::VARCHAR AS key, unnest(['mean_pred', 'frac_pos', 'n']) AS metric,
+       unnest([mean_pred, frac_pos, n::DOUBLE]) AS value FROM ({_SQL['calibration_quantile']})
+UNION ALL SELECT 'brier', '', 'brier', brier FROM ({_SQL['metric_brier']})
+UNION ALL SELECT 'recalibrated', '', 'brier', round(avg((p - y) * (p - y)), {D}) FROM recal_y
+UNION ALL SELECT 'recalibrated', '', 'avg_pd', round(avg(p), {D}) FROM recal_y"""
+
+
+@sql("validate_report", ("scored",))
+def _():
+    """Each table on its own, from the rows of the validation period."""
+    segment = f"""SELECT seg, n, obs_rate, avg_pd, brier, ks, (s1 - P * (P + 1) / 2.0) / (P * N0) AS auc FROM (
+  SELECT seg, count(*) AS n, avg(y) AS obs_rate, avg(p) AS avg_pd, avg((p - y) * (p - y)) AS brier, sum(y) AS P, count(*) - sum(y) AS N0,
+         sum(CASE WHEN y = 1 THEN rk END) AS s1
+  FROM (SELECT *, rank() OVER (PARTITION BY seg ORDER BY p) + (count(*) OVER (PARTITION BY seg, p) - 1) / 2.0 AS rk FROM long) GROUP BY seg)
+JOIN (SELECT seg, max(abs(cp / P - cn / N0)) AS ks FROM (
+  SELECT seg, sum(y) OVER w AS cp, sum(1 - y) OVER w AS cn, sum(y) OVER (PARTITION BY seg) AS P, sum(1 - y) OVER (PARTITION BY seg) AS N0
+  FROM long WINDOW w AS (PARTITION BY seg ORDER BY p DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) GROUP BY seg) USING (seg)"""
+    side = lambda s: " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS v FROM scored_split WHERE split = '{s}'" for f in ("loan_amnt", "dti"))
+    return f"""WITH {SCORED_SPLIT},
+val AS MATERIALIZED (SELECT * FROM scored_split WHERE split = 'validation'),
+tr AS (SELECT pd_hat AS v FROM scored_split WHERE split = 'train'), va AS (SELECT pd_hat AS v FROM val),
+ftr AS ({side('train')}), fva AS ({side('validation')}),
+long AS MATERIALIZED (
+  SELECT 'term_months=' || term_months::VARCHAR AS seg, pd_hat AS p, "default"::DOUBLE AS y FROM val WHERE term_months IS NOT NULL
+  UNION ALL SELECT 'grade=' || grade, pd_hat, "default" FROM val WHERE grade IS NOT NULL),
+one AS MATERIALIZED (SELECT a.auc, k.ks, b.brier, p.psi FROM {auc_rank_sql('val')} a, {ks_sql('val')} k,
+  (SELECT {BRIER} AS brier FROM val) b, {psi_sql('tr', 'va')} p),
+rows AS (
+  SELECT 'out_of_time' AS section, '' AS key, unnest(['auc', 'ks', 'brier']) AS metric, unnest([auc, ks, brier]) AS value FROM one
+  UNION ALL SELECT 'psi', '', 'psi', psi FROM one
+  UNION ALL SELECT 'feature_psi', '', feature, psi FROM {psi_sql('ftr', 'fva', group='feature')} f
+  UNION ALL SELECT 'approval', '', 'n_issues', (auc < 0.65)::INT + (psi > 0.25)::INT + (brier > 0.20)::INT FROM one
+  UNION ALL SELECT 'by_period', period, unnest(['avg_pd', 'obs_rate', 'n']), unnest([avg_pd, obs_rate, n::DOUBLE]) FROM (
+    SELECT coalesce(CAST(year(issue_ts) AS VARCHAR) || 'Q' || CAST(quarter(issue_ts) AS VARCHAR), 'NaT') AS period, avg(pd_hat) AS avg_pd,
+           avg("default"::DOUBLE) AS obs_rate, count(*) AS n FROM val GROUP BY 1)
+  UNION ALL SELECT 'by_segment', seg, unnest(['n', 'obs_rate', 'avg_pd', 'auc', 'ks', 'brier']), unnest([n::DOUBLE, obs_rate, avg_pd, auc, ks, brier]) FROM ({segment}))
+SELECT section, key, metric, round(value, {D}) AS value FROM rows"""
+
+
+_SQL["monitor_state"] = _SQL["monitor_by_period"]
+
+
+@sql("io_round_trip", ("loans_raw",))
+def _():
+    text = ", ".join(f"CASE WHEN {c} NOT IN ('', 'n/a') THEN {c} END AS {c}"
+                     for c in ("loan_status", "int_rate", "term", "emp_length", "issue_d", "home_ownership", "emp_title"))
+    return f"""SELECT row_id, {text}, 'say "it",' || chr(10) || 'row ' || row_id::VARCHAR AS note, fico_range_low::BIGINT AS fico_range_low,
+       round(loan_amnt, {D}) AS loan_amnt, round(annual_inc, {D}) AS annual_inc, round(dti, {D}) AS dti FROM loans_raw"""
+
+
 # ---------------------------------------------------------------- cleaning
 
 RAW_COLS = ['row_id', 'loan_status', 'loan_amnt', 'annual_inc', 'int_rate', 'revol_util', 'term', 'emp_length',
@@ -960,3 +1046,28 @@ def _():
 def _():
     return f"""SELECT s.row_id, s.loan_amnt, CAST({T1} AS INTEGER) AS is_default, strftime(l.issue_d, '%Y-%m-%d') AS issue_d
 FROM scored s LEFT JOIN loans l USING (row_id)"""
+
+
+# ---------------------------------------------------------------- stored parameters, sparse vectors
+
+_SQL["io_outlier_params"] = _SQL["impute_clip"]
+_SQL["io_scaler"] = _SQL["scale"]
+
+
+@sql("enc_onehot_sparse", ("loans",))
+def _():
+    """Places by column, level (the fixed lists in their own order), missing last; the first level dropped."""
+    cols = [*ONEHOT, "emp_title"]
+    fixed = " UNION ALL ".join(
+        f"SELECT {cols.index(c)} AS c, {k} AS rank, '{x}' AS level" for c in ("int_rate_bin", "emp_length_bin") for k, x in enumerate(ONEHOT[c])
+    )
+    free = " UNION ".join(f"SELECT {cols.index(c)}, 0, {c} FROM x WHERE {c} IS NOT NULL" for c in ("home_ownership", "purpose", "emp_title"))
+    missing = ", ".join(f"({i}, 2147483647, NULL)" for i in range(len(cols)))
+    long = " UNION ALL ".join(f"SELECT row_id, {i} AS c, {c} AS level FROM x" for i, c in enumerate(cols))
+    return f"""WITH x AS (SELECT row_id, home_ownership, purpose, {RATE_BIN} AS int_rate_bin, {EMP_BIN} AS emp_length_bin, emp_title FROM loans),
+levels AS ({fixed} UNION ALL SELECT * FROM ({free})),
+kept AS (SELECT c, rank, level FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY rank, level) AS k FROM levels) WHERE k > 1
+         UNION ALL SELECT * FROM (VALUES {missing})),
+placed AS MATERIALIZED (SELECT c, level, row_number() OVER (ORDER BY c, rank, level) - 1 AS place FROM kept)
+SELECT l.row_id, (SELECT count(*) FROM placed)::INTEGER AS size, coalesce(string_agg(place::VARCHAR, ',' ORDER BY place), '') AS indices
+FROM ({long}) l LEFT JOIN placed p ON p.c = l.c AND p.level IS NOT DISTINCT FROM l.level GROUP BY l.row_id"""

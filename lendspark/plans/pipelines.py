@@ -10,10 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.bins import histogram_bin
+from ..functions.nulls import nan_to_null
 from ..operators import banding, clean, encode, features, joins, metrics, model, split, target
 from ..sources.stages import stage
 
@@ -235,21 +238,90 @@ class ValidationResult:
     approval: DataFrame
 
 
+SCORE = "pd_hat"
+
+
+def _grouped(df: DataFrame, sets: Sequence[str | tuple]) -> DataFrame:
+    """Counts of ``df`` (``_y``, ``_s`` and grouping columns) by every one of
+    ``sets``, a grouping each, with its number as ``_set``: one pass and one
+    exchange of partial counts."""
+    sets = [(s,) if isinstance(s, str) else tuple(s) for s in sets]
+    names = list(dict.fromkeys(c for s in sets for c in s))
+    mask = {sum(1 << (len(names) - 1 - i) for i, c in enumerate(names) if c not in s): k for k, s in enumerate(sets)}
+    number = F.lit(None).cast("int")
+    for m, k in mask.items():
+        number = F.when(F.grouping_id() == m, k).otherwise(number)
+    return df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in names]).agg(
+        number.alias("_set"), F.count(F.lit(1)).alias("n"), F.count("_y").alias("labelled"),
+        F.coalesce(F.sum("_y"), F.lit(0)).alias("pos"), F.count("_s").alias("known"), F.sum("_s").alias("total"),
+    )
+
+
 def validate(scored: DataFrame, train_scored: DataFrame | None = None, time_col: str = TIME_COL) -> ValidationResult:
     """PL6: metrics, score and feature PSI (when a training table is
-    given), by-period summary, segment tables, approval rule."""
-    require_columns(scored, [LABEL, "pd_hat"], "scored table")
-    m = metrics.compute_metrics(scored, "pd_hat", LABEL).select("auc", "ks", "brier")
+    given), by-period summary, segment tables, approval rule.
+
+    The scored table is read once: one aggregate by grouping sets counts it by
+    score, by period, by segment and score, and by bin of every compared
+    value; all tables follow from these counts. The bins' edges are selected
+    from the training table."""
+    require_columns(scored, [LABEL, SCORE], "scored table")
+    spark, segments = scored.sparkSession, metrics.segment_columns(scored)
+    compared, edges = [], {}
+    if train_scored is not None:
+        compared = [c for c in [SCORE, *metrics.DEFAULT_PSI_FEATURES] if c in train_scored.columns and c in scored.columns]
+    if compared:
+        long = metrics.unpivot_features(train_scored, compared).select("feature", nan_to_null("value").alias("_v"), F.lit(1).alias("n"))
+        found = metrics.stability_edges(long.where(F.col("_v").isNotNull()), ["feature"])
+        edges = {k[0]: e for k, e in found.items()}
+
+    def with_bins(df: DataFrame) -> list:
+        at = {c: F.array(*[F.lit(float(e)) for e in edges.get(c, ())]).cast("array<double>") for c in compared}
+        # A value outside the edges counts as -1, a missing one as NULL.
+        inside = {c: histogram_bin(nan_to_null(f"`{c}`"), at[c], 11) for c in compared}
+        return [F.when(nan_to_null(f"`{c}`").isNotNull(), F.coalesce(b, F.lit(-1))).alias(f"_b{i}") for i, (c, b) in enumerate(inside.items())]
+
+    bins = [f"_b{i}" for i in range(len(compared))]
+    period = [metrics.period_of(F.col(time_col)).alias("period")] if time_col in scored.columns else []
+    sets = ["_v", *(["period"] if period else []), *[(f"_g{i}", "_v") for i in range(len(segments))], *bins]
+    rows = scored.select(
+        nan_to_null(SCORE).alias("_v"), nan_to_null(SCORE).alias("_s"), F.col(LABEL).cast("long").alias("_y"), *period,
+        *[F.col(f"`{c}`").cast("string").alias(f"_g{i}") for i, c in enumerate(segments)], *with_bins(scored),
+    )
+    counts = stage(_grouped(rows, sets), "validation-counts")
+    of = lambda s: counts.where(F.col("_set") == sets.index(s))
+
+    m = metrics.count_metrics(of("_v").select("_v", "n", "labelled", "pos")).select("auc", "ks", "brier")
+    temporal = None
+    if period:
+        share = lambda a, b: F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
+        temporal = of("period").select("period", share("total", "known").alias("avg_pd"), share("pos", "labelled").alias("obs_rate"), "n")
+    segs = [
+        of((f"_g{i}", "_v")).where(F.col(f"_g{i}").isNotNull()).select(F.lit(c).alias("segment_col"), F.col(f"_g{i}").alias("segment"), "_v", "n", "labelled", "pos")
+        for i, c in enumerate(segments)
+    ]
+    empty = spark.createDataFrame([], "segment_col string, segment string, _v double, n long, labelled long, pos long")
+    by_segment = metrics.count_metrics(stage(reduce(DataFrame.unionByName, segs, empty), "segment-counts"), ["segment_col", "segment"])
+    by_segment = by_segment.select("segment_col", "segment", "n", "obs_rate", "avg_pd", "auc", "ks", "brier")
+
     psi_s = psi_f = None
     if train_scored is not None:
-        if "pd_hat" in train_scored.columns:
-            psi_s = metrics.psi(train_scored, scored, "pd_hat")
-        psi_f = metrics.psi_features(train_scored, scored)
-    temporal = metrics.temporal_summary(scored, time_col) if time_col in scored.columns else None
-    segs = metrics.segment_performance(scored, metrics.segment_columns(scored))
-    psi_val = psi_s if psi_s is not None else scored.sparkSession.createDataFrame([(None,)], "psi double")
-    appr = banding.approval(m.crossJoin(psi_val))
-    return ValidationResult(m, psi_s, psi_f, temporal, segs, appr)
+        sides = [spark.createDataFrame([], "feature string, _act boolean, _bin int, _n long")]
+        if compared:
+            train = stage(_grouped(train_scored.select(F.lit(0).alias("_y"), F.lit(0.0).alias("_s"), *with_bins(train_scored)), bins), "training-bins")
+            for act, table, shift in ((False, train, 0), (True, counts, len(sets) - len(bins))):
+                for i, c in enumerate(compared):
+                    mine = table.where((F.col("_set") == shift + i) & F.col(f"_b{i}").isNotNull())
+                    sides.append(mine.select(F.lit(c).alias("feature"), F.lit(act).alias("_act"), F.when(F.col(f"_b{i}") >= 0, F.col(f"_b{i}")).alias("_bin"), F.col("n").alias("_n")))
+        table = spark.createDataFrame([(c, e) for c, e in edges.items()], "feature string, _edges array<double>")
+        psi = metrics.psi_of_bins(table, reduce(DataFrame.unionByName, sides), ["feature"])
+        if SCORE in compared:
+            one = spark.createDataFrame([(SCORE,)], "feature string")
+            psi_s = one.join(psi, "feature", "left").select("psi")
+        psi_f = psi.where(F.col("feature") != SCORE).select("feature", "psi", banding.psi_severity(F.col("psi")).alias("severity"))
+    psi_val = psi_s if psi_s is not None else spark.createDataFrame([(None,)], "psi double")
+    return ValidationResult(m, psi_s, psi_f, temporal, by_segment, banding.approval(m.crossJoin(psi_val)))
+
 
 
 @dataclass
@@ -259,10 +331,10 @@ class CalibrationResult:
     recalibrated: DataFrame | None
 
 
-def calibrate(scored: DataFrame, apply: bool = False, seed: int = 42) -> CalibrationResult:
+def calibrate(scored: DataFrame, apply: bool = False, seed: int = 42, order: Sequence[str] | None = None) -> CalibrationResult:
     """PL7: Brier score, quantile calibration table, optional Platt step."""
     require_columns(scored, [LABEL, "pd_hat"], "scored table")
-    recal = model.recalibrate(scored, "pd_hat", LABEL, seed) if apply else None
+    recal = model.recalibrate(scored, "pd_hat", LABEL, seed, order) if apply else None
     return CalibrationResult(metrics.brier(scored), metrics.calibration_table(scored), recal)
 
 
@@ -315,6 +387,31 @@ def validation_report(res: ValidationResult) -> DataFrame:
     return out
 
 
+def _keyed(section: str, df: DataFrame, key, values: Sequence[str]) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in values])
+    return df.select(key.alias("key"), F.explode(pairs).alias("s")).select(F.lit(section).alias("section"), "key", "s.metric", "s.value")
+
+
+def full_validation_report(res: ValidationResult) -> DataFrame:
+    """PL8: :func:`validation_report` with the by-period and segment tables,
+    ``section, key, metric, value``."""
+    out = validation_report(res).select("section", F.lit("").alias("key"), "metric", "value")
+    if res.temporal is not None:
+        out = out.unionByName(_keyed("by_period", res.temporal, F.col("period"), ["avg_pd", "obs_rate", "n"]))
+    at = F.concat("segment_col", F.lit("="), "segment")
+    return out.unionByName(_keyed("by_segment", res.segments, at, ["n", "obs_rate", "avg_pd", "auc", "ks", "brier"]))
+
+
+def calibration_report(res: CalibrationResult) -> DataFrame:
+    """PL8: calibration results as ``section, key, metric, value``."""
+    out = _keyed("calibration", res.table, F.col("band").cast("string"), ["mean_pred", "frac_pos", "n"])
+    out = out.unionByName(_keyed("brier", res.brier, F.lit(""), ["brier"]))
+    if res.recalibrated is not None:
+        after = res.recalibrated.agg(metrics.brier_expr("pd_hat_recal", LABEL), F.avg("pd_hat_recal").alias("avg_pd"))
+        out = out.unionByName(_keyed("recalibrated", after, F.lit(""), ["brier", "avg_pd"]))
+    return out
+
+
 def stability_report(
     reference: DataFrame, current: DataFrame, time_col: str = TIME_COL, freq: str = "Q",
     features: Sequence[str] = metrics.DEFAULT_PSI_FEATURES,

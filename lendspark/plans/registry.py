@@ -8,6 +8,7 @@ Dates are emitted as text, the target as ``is_default``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import banding, metrics, split
 from ..sources import fixtures as fx
+from ..sources import io, stages
 
 DIGITS = 6
 N_BANDS = 10
@@ -511,8 +513,98 @@ def q_train_logistic(spark, sf):
     return spark.createDataFrame(rows, "feature string, coefficient double").select("feature", r("coefficient"))
 
 
+# --- stored inputs and parameters (IO1-IO7) --------------------------------------------
+
+def _folder(spark, label):
+    return f"{stages.stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@register("io_round_trip")
+def q_io_round_trip(spark, sf):
+    """Quoted CSV with line breaks written, read in ranges, typed, landed and read back."""
+    path = _folder(spark, "csv")
+    note = F.concat(F.lit('say "it",\nrow '), F.col("row_id").cast("string"))
+    raw = fx.loans_raw(spark, sf).withColumn("note", note)
+    writer = raw.write.option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    io.land(io.read_raw_csv(spark, path, key="row_id"), f"{path}-landed")
+    back = io.read_table(spark, f"{path}-landed")
+    text = ["loan_status", "int_rate", "term", "emp_length", "issue_d", "home_ownership", "emp_title", "note"]
+    return back.select("row_id", *text, "fico_range_low", r("loan_amnt"), r("annual_inc"), r("dti"))
+
+
+@register("io_outlier_params")
+def q_io_outlier_params(spark, sf):
+    """Imputation and clip parameters stored, loaded and applied."""
+    path, loans = _folder(spark, "outliers"), fx.loans(spark, sf)
+    encode.save_outlier_params(spark, encode.fit_missing_and_outliers(loans, exclude=("row_id",)), path)
+    p = encode.load_outlier_params(spark, path)
+    out = encode.apply_missing_and_outliers(loans, p)
+    flags = [f"{c}_missing" for c in p.flag_columns]
+    return out.select("row_id", *[r(c) for c in p.medians], *flags, *[r(f"{c}_log1p") for c in p.log_columns])
+
+
+@register("io_scaler")
+def q_io_scaler(spark, sf):
+    path, lo = _folder(spark, "scaler"), _loans_split(spark, sf)
+    encode.scaler_table(spark, encode.fit_scaler(lo.where("split = 'train'"), SCALE_COLUMNS)).write.parquet(path)
+    return encode.apply_scaler(lo, encode.load_scaler(spark, path)).select("row_id", *[r(c) for c in SCALE_COLUMNS])
+
+
+@register("io_model")
+def q_io_model(spark, sf):
+    path = _folder(spark, "model")
+    model.train_logistic(fx.scored(spark, sf), ["loan_amnt", "dti"], "default", tol=1e-10).save(spark, path)
+    m = model.PDModel.load(spark, path)
+    rows = [("intercept", m.intercept), *zip(m.feature_cols, m.coefficients, strict=True)]
+    return spark.createDataFrame(rows, "feature string, coefficient double").select("feature", r("coefficient"))
+
+
 # --- reports ---------------------------------------------------------------------------
 
+@register("validate_report")
+def q_validate_report(spark, sf):
+    """PL6: all validation tables from one pass over the scored rows."""
+    s = _scored_with_split(spark, sf)
+    res = pipelines.validate(s.where("split = 'validation'"), s.where("split = 'train'"), time_col="issue_ts")
+    return pipelines.full_validation_report(res).select("section", "key", "metric", r("value"))
+
+
+@register("calibrate_report")
+def q_calibrate_report(spark, sf):
+    res = pipelines.calibrate(fx.scored(spark, sf), apply=True, order=["row_id"])
+    return pipelines.calibration_report(res).select("section", "key", "metric", r("value"))
+
+
+@register("performance_report")
+def q_performance_report(spark, sf):
+    """PL3, PL4: time split, fit and metrics on two features."""
+    feats = fx.scored(spark, sf).select("row_id", "loan_amnt", "dti", "default", F.col("issue_ts").cast("timestamp").alias("issue_d"))
+    res = pipelines.train(feats, tune=False)
+    return pipelines.performance_report(spark, res).select("section", "metric", r("value"))
+
+
+@register("monitor_state")
+def q_monitor_state(spark, sf):
+    """PL10 from a state that periods are added to, one of them twice."""
+    s = _scored_with_split(spark, sf)
+    state = metrics.MonitorState(spark, _folder(spark, "monitor"), "issue_ts")
+    state.set_reference(s.where("split = 'train'"))
+    early = F.col("issue_ts") < F.lit("1996-01-01").cast("timestamp")
+    for part in (s.where(early), s.where(~early), s.where(early)):
+        state.put(part)
+    return state.report().select("period", "n", r("psi"), r("auc"), r("brier"), "psi_trigger", "brier_trigger", "auc_trigger")
+
+
+@register("enc_onehot_sparse")
+def q_enc_onehot_sparse(spark, sf):
+    lo = features.scalar_features(fx.loans(spark, sf))
+    cols = [*features.ONEHOT_COLUMNS, "emp_title"]
+    vocabulary = encode.fit_onehot_vocabulary(lo, cols, features.CATEGORY_ORDER)
+    out = encode.apply_onehot_sparse(lo.select("row_id", *cols), vocabulary)
+    return out.select("row_id", F.col("onehot.size").alias("size"), F.array_join(F.col("onehot.indices").cast("array<string>"), ",").alias("indices"))
+
+
 @register("feature_summary")
 def q_feature_summary(spark, sf):
     s = metrics.feature_summary(_loans_with_target(spark, sf), "default", top=10)

@@ -98,11 +98,11 @@ def test_psi_matches_numpy(spark, exp, act):
 
 @settings(max_examples=8, deadline=None)
 @given(rows=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 10_000)), min_size=5, max_size=80, unique_by=lambda t: t[1]))
-def test_exact_rank_matches_sort(spark, rows):
-    import lendspark.operators.curves as curves
+def test_running_count_matches_sort(spark, rows):
+    from lendspark.operators import curves
 
-    df = spark.createDataFrame(rows, "cls int, key long")
-    got = {(r["cls"], r["key"]): r["rank"] for r in curves.exact_rank(df, ["key"], ["cls"]).collect()}
+    df = spark.createDataFrame([(c, k, 1) for c, k in rows], "cls int, key long, one long")
+    got = {(r["cls"], r["key"]): r["cum_one"] for r in curves.running_sums(df, ["key"], ["one"], ["cls"]).collect()}
     want = {}
     for c in {c for c, _ in rows}:
         for i, k in enumerate(sorted(k for cc, k in rows if cc == c)):
