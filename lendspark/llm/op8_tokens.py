@@ -40,7 +40,11 @@ from .common import filesystem, scratch_dir, ship, table
 END_ID = 2
 FRAME_IDS = 65_536
 SLICE_BYTES = 1_000_000
-CACHE_WORDS = 500_000
+# Ids kept per worker: bytes of one generation of chunks and of pieces of them,
+# with what an entry costs besides its text; longer chunks are not kept.
+CHUNK_BYTES, PIECE_BYTES, ENTRY_BYTES, LONG_CHUNK = 80_000_000, 32_000_000, 160, 100
+# Each is a piece of its own behind letters (the split rule keeps ' with s, t, ...).
+PUNCTUATION = {b".", b",", b";", b":", b"!", b"?", b")", b'"'}
 LEVEL = 3
 
 DOC_MAGIC = 0x184D2A5D
@@ -56,9 +60,9 @@ class Encoder:
     """Ids of whole texts, as bytes.
 
     For a vocabulary that lower-cases, drops white space and splits by
-    ``WORD_SPLIT``, no token reaches over white space, so the ids of each
-    white-space-free chunk are kept and looked up. Other vocabularies are
-    encoded text by text.
+    ``WORD_SPLIT``, no token reaches over white space or a border of that
+    split, so the ids of each white-space-free chunk and of its pieces are kept
+    and looked up. Other vocabularies are encoded text by text.
     """
 
     _made: dict[str, Encoder] = {}
@@ -98,49 +102,96 @@ class Encoder:
         self.split = regex.compile(WORD_SPLIT)
         # Composed Latin letters and ASCII: normalisation changes only their case.
         self.plain = regex.compile(r"(?!.*<\|)[\x21-\x7eÀ-įı-ɏ]+")
-        self.chunks: dict[bytes, bytes] = {}
+        self.chunks, self.pieces = Cache(CHUNK_BYTES), Cache(PIECE_BYTES)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             found = self.full.encode_batch([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(x.ids, "<u4").tobytes() for x in found]
-        if len(self.chunks) > CACHE_WORDS:
-            self.chunks.clear()
-        words = [t.split() for t in texts]
+        # ASCII case never matters, but special tokens are looked for as they stand.
+        words = [t.split() if b"<|" in t else t.lower().split() for t in texts]
         new: set[bytes] = set()
         for w in words:
             new.update(w)
-        self._learn([w for w in new if w not in self.chunks])
-        known = self.chunks.__getitem__
-        return [b"".join(map(known, w)) for w in words]
-
-    def _learn(self, chunks: list[bytes]) -> None:
+        long = self._learn(self.chunks.missing(new))
+        known = self.chunks.young | long if long else self.chunks.young
+        out = [b"".join(map(known.__getitem__, w)) for w in words]
+        self.chunks.age()
+        self.pieces.age()
+        return out
+
+    def _learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of new chunks into the cache; those of long chunks are returned."""
         split: list[tuple[bytes, list[str]]] = []
         odd: list[bytes] = []
         for c in chunks:
             s = c.decode()
-            if self.plain.fullmatch(s):
+            # Most are lower-case ASCII letters, or those and one more character.
+            if c.isalpha() and c.islower():
+                split.append((c, [s]))
+            elif c[:-1].isalpha() and c[:-1].islower() and c[-1:] in PUNCTUATION:
+                split.append((c, [s[:-1], s[-1]]))
+            elif self.plain.fullmatch(s):
                 split.append((c, self.split.findall(s.lower())))
             else:
                 odd.append(c)
-        # A piece that is a chunk itself is known already; pieces of this call
-        # that are new are encoded together, one white space apart.
-        pieces = {p: self.chunks.get(p.encode()) for _, ps in split for p in ps}
-        new = [p for p, ids in pieces.items() if ids is None]
+        # Pieces that are new are encoded together, one white space apart.
+        new = self.pieces.missing({p for _, ps in split for p in ps})
+        pieces = self.pieces.young
+        made: dict[str, bytes] = {}
         for k in range(0, len(new), 1000):
             part = new[k : k + 1000]
             ids = np.array(self.bare.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part) and cuts[-1] == len(ids):
-                for p, a in zip(part, np.split(ids, cuts[:-1]), strict=True):
-                    pieces[p] = a.tobytes()
+                packed, ends = ids.tobytes(), (4 * cuts).tolist()
+                found = [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+            else:
+                found = [np.array(self.full.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in part]
+            for p, a in zip(part, found, strict=True):
+                if len(p) <= LONG_CHUNK:
+                    self.pieces.put(p, a)
+                else:
+                    made[p] = a
+        of = (lambda p: made.get(p) or pieces[p]) if made else pieces.__getitem__
+        found = [(c, b"".join(map(of, ps))) for c, ps in split]
+        encoded = self.full.encode_batch([c.decode() for c in odd], add_special_tokens=False)
+        found += [(c, np.array(x.ids, "<u4").tobytes()) for c, x in zip(odd, encoded, strict=True)]
+        long = {}
+        for c, ids in found:
+            if len(c) <= LONG_CHUNK:
+                self.chunks.put(c, ids)
             else:
-                for p in part:
-                    pieces[p] = np.array(self.full.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
-        for c, ps in split:
-            self.chunks[c] = b"".join([pieces[p] for p in ps])
-        for c, x in zip(odd, self.full.encode_batch([c.decode() for c in odd], add_special_tokens=False), strict=True):
-            self.chunks[c] = np.array(x.ids, "<u4").tobytes()
+                long[c] = ids
+        return long
+
+
+class Cache:
+    """Entries of two generations. One that is used moves to the young one;
+    when that is full, it becomes the old one and the old one goes."""
+
+    def __init__(self, most: int):
+        self.most, self.size = most, 0
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def missing(self, keys: set) -> list:
+        """Keys in neither generation; the others are young after the call."""
+        out = []
+        for k in keys - self.young.keys():
+            if (v := self.old.get(k)) is None:
+                out.append(k)
+            else:
+                self.put(k, v)
+        return out
+
+    def put(self, key, value: bytes) -> None:
+        self.young[key] = value
+        self.size += len(key) + len(value) + ENTRY_BYTES
+
+    def age(self) -> None:
+        if self.size > self.most:
+            self.young, self.old, self.size = {}, self.young, 0
 
 
 class TokenWriter:
