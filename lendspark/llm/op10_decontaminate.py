@@ -57,7 +57,7 @@ ITEM_BYTES = 4 << 20
 LONG = 4096
 WINDOW_BYTES = 1 << 19
 SLICE = 64
-CHUNK = 4 << 20
+CHUNK = 512 << 10
 FILTER_BITS = 22
 SEED = 20
 
