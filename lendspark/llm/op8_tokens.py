@@ -123,8 +123,11 @@ class Encoder:
             long = self._learn(self.chunks.missing(new))
         finally:
             gc.enable()
-        known = self.chunks.young | long if long else self.chunks.young
+        known = self.chunks.young
+        known.update(long)
         out = [b"".join(map(known.__getitem__, w)) for w in words]
+        for chunk in long:
+            del known[chunk]
         self.chunks.age()
         return out
 
