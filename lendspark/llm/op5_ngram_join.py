@@ -5,10 +5,11 @@ reaches a threshold given as a whole fraction (80 / 100).
 
 1. Equal sets are one class from the start (a 128-bit digest of the sorted
    set), so copies never meet as pairs.
-2. Every shingle's number of classes is counted exactly, in hash buckets of
-   packed arrays. A shingle of one class cannot be shared; only repeated
-   shingles go on, with their counts.
-3. Shingles are ordered by (count, hash), the rarest first. Linked sets share
+2. One text of every class is kept, in blocks. The blocks ask hash buckets
+   for the number of classes of each of their distinct shingles. A shingle of
+   one class cannot be shared; only repeated shingles go on.
+3. Shingles are ordered by (count, hash), the rarest first (counts from 128
+   in steps of a sixteenth of a doubling). Linked sets share
    at least o = ceil(0.8 n) shingles, so their prefixes of n - o + K shingles
    share K of them (K = 2). A class whose unique shingles leave fewer than K
    places in its prefix has no link. The others are indexed: a rare prefix
@@ -37,13 +38,16 @@ no other; an empty table gives no row. Extra columns are ignored.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import lookup_join
 from .common import ship, stage, table
 from .components import components
 from .op6_langid import text_bytes
@@ -55,8 +59,8 @@ K = 2
 FREQUENT = 64
 LONG = 310
 BLOCK = 128
+BLOCK_BYTES = 4_000_000
 BUCKET_SHINGLES = 4_000_000
-LOW48 = np.uint64((1 << 48) - 1)
 
 
 def overlap_least(n: int) -> int:
@@ -102,7 +106,8 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
     """Rows by runs of equal values in the first ``keys`` columns."""
     key, held = None, []
     for batch in batches:
-        for r in batch.to_pylist():
+        # Python copies of a few rows at a time: a batch may hold thousands of blobs.
+        for r in (r for k in range(0, len(batch), 64) for r in batch.slice(k, 64).to_pylist()):
             now = tuple(list(r.values())[:keys])
             if now != key:
                 if held:
@@ -113,113 +118,140 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
         yield key, held
 
 
-def _six(h: np.ndarray) -> bytes:
-    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+def count_codes(n: np.ndarray) -> np.ndarray:
+    """A byte for a number of classes that never falls as the number grows:
+    exact below 128, sixteen steps to a doubling above, 255 at the end."""
+    return np.where(n < 128, n, np.minimum(255, 128 + 16 * np.log2(np.maximum(n, 128) / 128))).astype(np.uint8)
 
 
-def _from_six(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
-    return out.reshape(-1).view("<u8").astype(np.uint64)
+def distinct_texts(docs: DataFrame, text: str = "text", width: int = WIDTH) -> DataFrame:
+    """(ref, ends, body): one text of every class, in blocks of about
+    ``BLOCK_BYTES`` (the texts one behind the other, compressed). Written
+    as a stage table, so that a block keeps its members when a task is redone."""
 
+    def one_a_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            for k in range(0, len(batch), 250):
+                part = batch.column(0).slice(k, 250)
+                names = [digest(s) if len(s) else None for s in shingles(*text_bytes(part), width)]
+                fresh = [x for x, c in enumerate(names) if c is not None and not (c in seen or seen.add(c))]
+                if fresh:
+                    yield pa.RecordBatch.from_arrays([pa.array([names[x] for x in fresh], pa.binary()), part.take(pa.array(fresh))], ["c", "text"])
+
+    def block(held: list[bytes]) -> pa.RecordBatch:
+        ends = np.cumsum([len(t) for t in held]).astype("<i8").tobytes()
+        row = [uuid.uuid4().bytes], [ends], [zstandard.ZstdCompressor(level=1).compress(b"".join(held))]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in row], ["ref", "ends", "body"])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        held, size = [], 0
+        for batch in batches:
+            for c, t in zip(batch.column(0), batch.column(1), strict=True):
+                c = c.as_py()
+                if c in seen:
+                    continue
+                seen.add(c)
+                held.append(t.as_py())
+                size += len(held[-1])
+                if size >= BLOCK_BYTES:
+                    yield block(held)
+                    held, size = [], 0
+        if held:
+            yield block(held)
 
-PACKED = "bucket int, hashes binary, owners binary, sizes binary, counts binary"
+    sent = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(one_a_task, "c binary, text binary")
+    return stage(sent.repartition("c").mapInArrow(blocks, "ref binary, ends binary, body binary"), "class-texts")
+
+
+def block_sets(ends: bytes, body: bytes, width: int) -> list[np.ndarray]:
+    """The shingle sets of a block's texts."""
+    cuts = np.concatenate([[0], np.frombuffer(ends, "<i8")])
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
+    # Hashing takes eight bytes and more a byte of text: few texts at a time.
+    return [s for k in range(0, len(cuts) - 1, 250) for s in shingles(data, cuts[k:-1][:250], cuts[k + 1 :][:250], width)]
 
 
 def repeated_shingles(docs: DataFrame, total: int, text: str = "text", width: int = WIDTH) -> DataFrame:
     """(c, n, rare, shingles) of the classes that may link: n the set's size,
     shingles its repeated ones in global order (8 bytes each), of which the
-    first ``rare`` belong to fewer than FREQUENT classes."""
+    first ``rare`` belong to fewer than FREQUENT classes.
+
+    A block asks every bucket for the counts of its distinct hashes (sorted,
+    four bytes each) and gets a byte for each back, in their order: no names
+    travel. Two hashes of a bucket that agree in these bytes (one in a
+    thousand) are counted as one, which can only make a shingle more frequent.
+    """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(parts, math.ceil(total / BUCKET_SHINGLES))
+    texts = distinct_texts(docs, text, width)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, len(batch), 2000):
-                # Hashing takes eight bytes and more a byte of text: few texts at a time.
-                parts = (text_bytes(batch.column(0).slice(j, 250)) for j in range(k, min(k + 2000, len(batch)), 250))
-                found = {digest(s): s for part in parts for s in shingles(*part, width) if len(s)}
-                if not found:
-                    continue
-                sizes = np.array([len(s) for s in found.values()], "<u4")
-                names = np.frombuffer(b"".join(found), np.uint8).reshape(-1, 16)
-                h, own = np.concatenate(list(found.values())), np.repeat(np.arange(len(sizes)), sizes)
+            for k in range(len(batch)):
+                ref, ends, body = (batch.column(x)[k].as_py() for x in range(3))
+                h, n = np.unique(np.concatenate(block_sets(ends, body, width)), return_counts=True)
+                # Buckets are ranges of the hash, so that sorted hashes lie bucket by bucket.
                 at = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-                order = np.argsort(at, kind="stable")
-                cuts = np.searchsorted(at[order], np.arange(buckets + 1, dtype=np.uint64))
-                rows = []
-                for b in np.flatnonzero(np.diff(cuts)):
-                    pick = order[cuts[b] : cuts[b + 1]]
-                    who, n = np.unique(own[pick], return_counts=True)
-                    rows.append((int(b), _six(h[pick]), names[who].tobytes(), sizes[who].tobytes(), n.astype("<u4").tobytes()))
+                full, first = np.unique(at, return_index=True)
+                cuts = np.append(first, len(h)).tolist()
+                h, n = (h & np.uint64(0xFFFFFFFF)).astype("<u4"), n.astype("<u4")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 4, strict=True)],
-                    ["bucket", "hashes", "owners", "sizes", "counts"],
+                    [
+                        pa.array(full.astype(np.int32)),
+                        pa.array([ref] * len(full), pa.binary()),
+                        pa.array([h[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                        pa.array([n[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                    ],
+                    ["bucket", "ref", "hashes", "counts"],
                 )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket,), rows in _groups(batches, 1):
-            h = np.concatenate([_from_six(r["hashes"]) for r in rows])
-            names = np.frombuffer(b"".join(r["owners"] for r in rows), "V16")
-            sizes = np.frombuffer(b"".join(r["sizes"] for r in rows), "<u4")
-            of = np.repeat(np.arange(len(names)), np.frombuffer(b"".join(r["counts"] for r in rows), "<u4"))
+            cuts = np.cumsum([0] + [len(r["hashes"]) // 4 for r in rows]).tolist()
+            h = np.frombuffer(b"".join(r["hashes"] for r in rows), "<u4")
+            n = np.frombuffer(b"".join(r["counts"] for r in rows), "<u4")
+            refs = [r["ref"] for r in rows]
             rows.clear()
-            # A class seen by several tasks counts once.
-            uniq, first, who = np.unique(names, return_index=True, return_inverse=True)
-            sizes, own = sizes[first], who.reshape(-1)[of]
-            order = np.lexsort((own, h))
-            h, own = h[order], own[order]
-            fresh = np.ones(len(h), bool)
-            fresh[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])
-            h, own = h[fresh], own[fresh]
-            start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            df = np.repeat(np.diff(np.append(start, len(h))), np.diff(np.append(start, len(h))))
-            keep = df > 1
-            h, own, df = h[keep] | (np.uint64(bucket & 0xFFFF) << np.uint64(48)), own[keep], df[keep]
-            # Rows for the next grouping, by the class's own bucket.
-            goal = np.frombuffer(uniq.tobytes(), "<u4").reshape(-1, 4)[:, 0].astype(np.uint64) * np.uint64(buckets) >> np.uint64(32)
-            order = np.lexsort((own, goal[own]))
-            h, own, df = h[order], own[order], df[order]
-            cuts = np.searchsorted(goal[own], np.arange(buckets + 1, dtype=np.uint64))
+            order = np.argsort(h, kind="stable")
+            s = h[order]
+            first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+            df = np.add.reduceat(n[order], first, dtype=np.int64)
+            codes = np.empty(len(h), np.uint8)
+            codes[order] = np.repeat(count_codes(df), np.diff(np.append(first, len(h))))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(refs, pa.binary()),
+                    pa.array([bucket] * len(refs), pa.int32()),
+                    pa.array([codes[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                ],
+                ["ref", "bucket", "codes"],
+            )
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (head, *rest) in _groups(batches, 1):
+            sets = block_sets(head["ends"], head["body"], width)
+            h = np.unique(np.concatenate(sets))
+            codes = np.frombuffer(b"".join(r["codes"] for r in rest), np.uint8)
             out = []
-            for b in np.flatnonzero(np.diff(cuts)):
-                x = slice(cuts[b], cuts[b + 1])
-                who, n = np.unique(own[x], return_counts=True)
-                out.append((int(b), h[x].astype("<u8").tobytes() + df[x].astype("<u4").tobytes(), uniq[who].tobytes(), sizes[who].astype("<u4").tobytes(), n.astype("<u4").tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*out, strict=True), [pa.int32()] + [pa.binary()] * 4, strict=True)],
-                    ["bucket", "hashes", "owners", "sizes", "counts"],
-                )
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _groups(batches, 1):
-            m = [len(r["hashes"]) // 12 for r in rows]
-            h = np.concatenate([np.frombuffer(r["hashes"], "<u8", k) for r, k in zip(rows, m, strict=True)])
-            df = np.concatenate([np.frombuffer(r["hashes"], "<u4", k, 8 * k) for r, k in zip(rows, m, strict=True)])
-            names = np.frombuffer(b"".join(r["owners"] for r in rows), "V16")
-            sizes = np.frombuffer(b"".join(r["sizes"] for r in rows), "<u4")
-            of = np.repeat(np.arange(len(names)), np.frombuffer(b"".join(r["counts"] for r in rows), "<u4"))
-            rows.clear()
-            uniq, first, who = np.unique(names, return_index=True, return_inverse=True)
-            own = who.reshape(-1)[of]
-            order = np.lexsort((h, df, own))
-            h, df, own = h[order], df[order], own[order]
-            cuts = np.searchsorted(own, np.arange(len(uniq) + 1))
-            out = []
-            for x, n in enumerate(sizes[first].tolist()):
-                mine = slice(cuts[x], cuts[x + 1])
-                r = cuts[x + 1] - cuts[x]
-                if prefix(n, r) >= K:
-                    rare = int(np.searchsorted(df[mine], FREQUENT))
-                    out.append({"c": uniq[x].tobytes(), "n": n, "rare": rare, "shingles": h[mine].tobytes()})
+            for s in sets:
+                df = codes[np.searchsorted(h, s)]
+                order = np.argsort(df, kind="stable")  # s is sorted, so equal counts stay by hash
+                order = order[int((df <= 1).sum()) :]
+                if prefix(len(s), len(order)) >= K:
+                    rare = int(np.searchsorted(df[order], FREQUENT))
+                    out.append({"c": digest(s), "n": len(s), "rare": rare, "shingles": s[order].astype("<u8").tobytes()})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("c", pa.binary()), ("n", pa.int64()), ("rare", pa.int64()), ("shingles", pa.binary())]))
 
-    packed = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(pack, PACKED)
-    counted = packed.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(count, PACKED)
-    return counted.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(
-        gather, "c binary, n long, rare long, shingles binary"
+    asked = texts.mapInArrow(ask, "bucket int, ref binary, hashes binary, counts binary")
+    answers = asked.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(answer, "ref binary, bucket int, codes binary")
+    nothing = F.lit(None).cast("binary")
+    both = texts.select("ref", F.lit(-1).alias("bucket"), nothing.alias("codes"), "ends", "body").union(
+        answers.select("ref", "bucket", "codes", nothing.alias("ends"), nothing.alias("body"))
     )
+    dealt = both.repartition(max(parts, math.ceil(texts.count() / 8)), "ref").sortWithinPartitions("ref", "bucket")
+    return dealt.mapInArrow(finish, "c binary, n long, rare long, shingles binary")
 
 
 def prefix(n: int, repeated: int) -> int:
@@ -334,12 +366,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = stage(classes(docs, doc_id, text, width), "classes")
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     alive = stage(repeated_shingles(docs, total, text, width), "alive")
-    labels = components(links(alive))
-    named = rows.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
-    least = named.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
-    return named.join(least, "label", "left").select(
-        "doc_id", "n_shingles", "c", "label", F.coalesce("least", "doc_id").alias("component_id")
-    )
+    labels = components(links(alive)).withColumnRenamed("node", "c")
+    named = rows.filter("c is not null").groupBy("c").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    named = stage(named.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c")), "labels-of-classes")
+    least = named.groupBy("label").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("members"))
+    # One component may hold a third of all classes, one class a third of all rows.
+    named = stage(lookup_join(named, least, "label", weight="members", row_key="c"), "least-of-classes")
+    out = lookup_join(rows, named.select("c", "label", "least", "copies"), "c", weight="copies")
+    return out.select("doc_id", "n_shingles", "c", "label", F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:

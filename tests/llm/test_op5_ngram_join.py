@@ -1,9 +1,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
-from lendspark.llm.op5_ngram_join import drop_near_duplicates, near_duplicates, op5_ngram_join
+from lendspark.llm import op5_ngram_join as module
+from lendspark.llm.op5_ngram_join import count_codes, drop_near_duplicates, near_duplicates, op5_ngram_join, repeated_shingles
 from lendspark.llm.common import ship, table
 from tests_llm_helpers import SF, crowd
 
@@ -89,6 +91,38 @@ def test_components_equal_brute_force(spark, seed):
     assert run(spark, rows) == expected(rows)
 
 
+def test_many_blocks_and_buckets(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK_BYTES", 2_000)
+    monkeypatch.setattr(module, "BUCKET_SHINGLES", 300)
+    rows = made(3)
+    assert run(spark, rows) == expected(rows)
+
+
+def test_copies_over_tasks_count_once(spark):
+    rows = [(i, " ".join(f"t{i % 7}w{k}" for k in range(40))) for i in range(210)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert ship(lambda s: repeated_shingles(df, 210 * 36))(spark).count() == 0
+    assert run(spark, rows) == expected(rows)
+
+
+def test_hot_class_and_hot_component(spark):
+    """A third of the rows are one text, another third one component."""
+    rng = random.Random(5)
+    base = [f"b{k}" for k in range(120)]
+    rows = ["one text that a third of all rows hold word for word"] * 120
+    rows += [" ".join(edits(base, 0.01, rng, ["x", "y", "z"])) for _ in range(120)]
+    rows += [f"row {k} has words that no other row has {k} {k + 1} {k + 2}" for k in range(120)]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    assert run(spark, rows) == expected(rows)
+
+
+def test_count_codes():
+    codes = count_codes(np.arange(1, 200_000))
+    assert codes[:127].tolist() == list(range(1, 128))
+    assert (np.diff(codes.astype(int)) >= 0).all() and codes[-1] == 255
+
+
 def test_whole_table_equals_brute_force(spark):
     got = op5_ngram_join(spark, SF).collect()
     rows = [(r["doc_id"], r["text"]) for r in table(spark, SF, "documents").select("doc_id", "text").collect()]
