@@ -232,16 +232,22 @@ def repeated_shingles(docs: DataFrame, total: int, text: str = "text", width: in
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, (head, *rest) in _groups(batches, 1):
             sets = block_sets(head["ends"], head["body"], width)
-            h = np.unique(np.concatenate(sets))
             codes = np.frombuffer(b"".join(r["codes"] for r in rest), np.uint8)
+            cuts = np.cumsum([0] + [len(s) for s in sets])
+            flat = np.concatenate(sets)
+            order = np.argsort(flat, kind="stable")
+            rank = np.cumsum(np.concatenate([[False], flat[order[1:]] != flat[order[:-1]]]))
+            df = np.empty(len(flat), np.uint8)
+            df[order] = codes[rank]
+            shared = np.add.reduceat(df > 1, cuts[:-1], dtype=np.int64).tolist()
             out = []
-            for s in sets:
-                df = codes[np.searchsorted(h, s)]
-                order = np.argsort(df, kind="stable")  # s is sorted, so equal counts stay by hash
-                order = order[int((df <= 1).sum()) :]
-                if prefix(len(s), len(order)) >= K:
-                    rare = int(np.searchsorted(df[order], FREQUENT))
-                    out.append({"c": digest(s), "n": len(s), "rare": rare, "shingles": s[order].astype("<u8").tobytes()})
+            for x, s in enumerate(sets):
+                if prefix(len(s), shared[x]) < K:
+                    continue
+                mine = df[cuts[x] : cuts[x + 1]]
+                order = np.argsort(mine, kind="stable")[len(s) - shared[x] :]  # s is sorted, so equal counts stay by hash
+                rare = int(np.searchsorted(mine[order], FREQUENT))
+                out.append({"c": digest(s), "n": len(s), "rare": rare, "shingles": s[order].astype("<u8").tobytes()})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("c", pa.binary()), ("n", pa.int64()), ("rare", pa.int64()), ("shingles", pa.binary())]))
 
     asked = texts.mapInArrow(ask, "bucket int, ref binary, hashes binary, counts binary")
@@ -348,9 +354,10 @@ def links(alive: DataFrame) -> DataFrame:
     sizes = (
         checked.groupBy("hub").agg(F.count("*").alias("members"), F.sum((~F.col("yes")).cast("long")).alias("opens"))
         .filter("opens > 0 and members > 1")
-        .select("hub", F.ceil(F.col("opens") / BLOCK).alias("left"), F.ceil(F.col("members") / BLOCK).alias("right"))
+        .select("hub", "members", F.ceil(F.col("opens") / BLOCK).alias("left"), F.ceil(F.col("members") / BLOCK).alias("right"))
     )
-    grouped = checked.join(sizes, "hub").withColumn("h", F.xxhash64("c"))
+    # One hub may have a third of all classes.
+    grouped = lookup_join(checked, sizes, "hub", weight="members", row_key="c").filter("members is not null").withColumn("h", F.xxhash64("c"))
     at = lambda side: F.pmod("h", F.col(side))
     every = lambda side: F.explode(F.sequence(F.lit(0).cast("long"), F.col(side) - 1))
     open_rows = grouped.filter("not yes").select("hub", at("left").alias("i"), every("right").alias("j"), F.lit(True).alias("open"), "c")
