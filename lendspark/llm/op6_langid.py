@@ -13,8 +13,10 @@ Bytes are grouped first: ASCII letters without case, one class for all other
 ASCII bytes, and each byte of multi-byte characters.
 
 The trees are fitted on a sample of about ``TRAIN_BYTES`` of labelled text
-per language (whole documents, chosen by hash), which bounds the tables; the
-scores use every byte of every text.
+per language (whole distinct texts, chosen by hash, one at least) and of at
+most ``MAX_LANGS`` languages (checked), which bounds the tables; contexts seen
+fewer than ``MIN_COUNT`` times in the sample, all languages together, are
+left to shorter ones. The scores use every byte of every text.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
 equal code lengths go to the smaller language name; a text that is too odd
@@ -36,6 +38,7 @@ from .common import fold, ship, table
 
 ORDER = 3
 TRAIN_BYTES = 4_000_000
+MAX_LANGS = 200
 MIN_COUNT = 4
 PIECE = 1 << 20
 UNKNOWN = "und"
@@ -154,14 +157,27 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(n)], ["lang", "gram", "n"])
 
 
+def sample_texts(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:
+    """(lang, text): distinct texts of each language, drawn by hash at the rate
+    that gives about ``train_bytes``, and its text of the smallest draw
+    always, so that no language is left out. Copies count as one text, in the
+    sizes and in the sample."""
+    rows = labelled.select("lang", F.col("text").cast("binary").alias("text")).dropna()
+    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("draw", F.pmod("h", F.lit(1_000_000)) / 1e6)
+    distinct = rows.select("lang", "h", "draw", F.length("text").alias("size")).distinct()
+    first = F.min(F.struct("draw", "h")).alias("first")
+    sizes = distinct.groupBy("lang").agg((F.lit(float(train_bytes)) / F.greatest(F.sum("size"), F.lit(1))).alias("part"), first)
+    if sizes.count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} values of lang")
+    chosen = (F.col("draw") < F.col("part")) | (F.col("h") == F.col("first.h"))
+    sample = rows.join(F.broadcast(sizes), "lang").filter(chosen)
+    return sample.dropDuplicates(["lang", "h"]).select("lang", "text")
+
+
 def fit(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> Trees:
     """Trees from (lang, text) rows; rows with a null in either are left out."""
-    rows = labelled.select("lang", F.col("text").cast("binary").alias("text")).dropna()
-    sizes = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("size"))
-    part = F.least(F.lit(1.0), F.lit(float(train_bytes)) / F.col("size"))
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1e6
-    sample = rows.join(F.broadcast(sizes.select("lang", part.alias("part"))), "lang").filter(draw < F.col("part"))
-    grams = sample.select("lang", "text").mapInArrow(_gram_counts, "lang string, gram long, n long")
+    sample = sample_texts(labelled, train_bytes)
+    grams = sample.mapInArrow(_gram_counts, "lang string, gram long, n long")
     # At most one entry per sampled byte, packed into one row per language.
     counted = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     return Trees({lang: (g.gram.to_numpy(np.int64), g.n.to_numpy(np.float64)) for lang, g in counted.groupby("lang")})

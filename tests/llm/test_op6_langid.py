@@ -117,3 +117,25 @@ def test_defined_cases(spark):
     assert li.identify(df.limit(0), made).count() == 0
     none = li.identify(df, li.fit(df.where(F.lit(False)).select("lang", "text")))
     assert {r["lang_pred"] for r in none.collect()} == {"und"}
+
+
+def test_sample_takes_distinct_texts_within_the_bound(spark):
+    """Thousands of copies neither fill the sample nor keep other texts out."""
+    hot = "one text that is copied thousands of times " * 24
+    rows = [("en", hot)] * 4000 + [("en", f"text {k} of two hundred others " * 40) for k in range(200)]
+    rows += [("fr", "un seul texte qui dépasse la borne " * 9000), ("de", ""), ("de", None), (None, "no language")]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    for bound in (50_000, 200_000, 10_000_000):
+        got = [(r["lang"], bytes(r["text"])) for r in ship(lambda s: li.sample_texts(df, bound))(spark).collect()]
+        assert len(set(got)) == len(got)
+        taken = [t for la, t in got if la == "en"]
+        assert sum(map(len, taken)) <= 2 * bound and len(taken) >= min(201, bound // 3000)
+        assert {la for la, _ in got} == {"en", "fr", "de"}
+    assert len(taken) == 201
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(li, "MAX_LANGS", 2)
+    df = spark.createDataFrame([(x, "some text") for x in ("a", "b", "c")], "lang string, text string")
+    with pytest.raises(ValueError, match="values of lang"):
+        li.fit(df)
