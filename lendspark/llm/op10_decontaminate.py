@@ -21,8 +21,10 @@ a document that holds a stretch within k = ``EDITS`` n edits of it.
    stretch around the window (bit-parallel dynamic programming).
 
 Items are embedded in the executors and handled in blocks of about
-``ITEM_BYTES`` and ``ITEM_BLOCK`` items, one pass over the documents each, so
+``ITEM_BYTES`` and ``ITEM_BLOCK`` items, which a worker loads in turn, so
 what the driver and the tasks hold is bounded by these and the longest item.
+Grams that many items share are taken some items at a time (``POSTINGS``
+entries), and windows of items of one length are folded at once.
 Every whole text is scanned.
 
 Defined cases: a null text holds nothing; items that are null or shorter than
@@ -34,6 +36,7 @@ of either kind gives no row; extra columns pass through ``decontaminate``.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, stage, table
+from .common import filesystem, scratch_dir, ship, stage, table
 from .op6_langid import text_bytes
 from .shingles import mix
 
@@ -58,6 +61,7 @@ LONG = 4096
 WINDOW_BYTES = 1 << 19
 SLICE = 64
 CHUNK = 512 << 10
+POSTINGS = 500_000
 FILTER_BITS = 22
 SEED = 20
 
@@ -212,7 +216,10 @@ class Items:
             found = [(i, c) for i, c in zip(ids, map(clean, texts), strict=True) if len(c) >= GRAM]
             ids, texts = [i for i, _ in found], [c for _, c in found]
             codes = embed(texts)
-        self.ids, self.texts = ids, texts
+        # By length: items whose windows are the same lie side by side.
+        order = sorted(range(len(texts)), key=lambda x: len(texts[x]))
+        self.ids, self.texts, codes = [ids[x] for x in order], [texts[x] for x in order], codes[order]
+        self.kind = None
         self.n = np.array([len(c) for c in self.texts], np.int64)
         self.k = np.array([allowed(len(c)) for c in self.texts], np.int64)
         self.need = np.maximum(1, self.n - GRAM + 1 - self.k * GRAM)
@@ -222,8 +229,9 @@ class Items:
         place = np.concatenate([np.arange(len(x)) for x in keys])
         order = np.argsort(flat, kind="stable")
         self.item, self.place = item[order], place[order]
-        self.keys, self.first = np.unique(flat[order], return_index=True)
-        self.count = np.diff(np.append(self.first, len(flat)))
+        self.keys, first = np.unique(flat[order], return_index=True)
+        # Postings by gram and item, as one value.
+        self.posting = np.repeat(np.arange(len(self.keys)), np.diff(np.append(first, len(flat)))) * len(self.texts) + self.item
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self._slot(self.keys)] = True
         # LSH keys of all items and repeats, sorted, with their items.
@@ -245,43 +253,63 @@ class Items:
         good = at < len(self.keys)
         good[good] = self.keys[at[good]] == g[pos[good]]
         pos, at = pos[good], at[good]
-        times = self.count[at]
-        entry = np.repeat(self.first[at] - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(int(times.sum()))
+        texts, span = len(starts), len(data) + 1
+        ranges, places = [], []
+        todo = [(0, len(self.n))]
+        while todo:  # items a to b, fewer where they share the document's grams
+            a, b = todo.pop()
+            low, high = (np.searchsorted(self.posting, at * len(self.n) + x) for x in (a, b))
+            if b - a > 1 and int((high - low).sum()) > POSTINGS:
+                todo += [((a + b) // 2, b), (a, (a + b) // 2)]
+                continue
+            text, item, first, last = self._votes(pos, low, high, starts, a, b)
+            far = self.n[item] > LONG
+            places.append(np.stack([text[far], item[far], last[far] - self.k[item[far]], first[far] + self.k[item[far]]]))
+            text, item, first, last = (v[~far] for v in (text, item, first, last))
+            # Equal ranges of items of one length are one.
+            ranges.append(np.unique(np.stack([self.n[item] * texts + text, last - self.k[item], first + self.k[item], first]), axis=1))
+        group, low, high, diagonal = np.concatenate(ranges, axis=1)
+        # Word starts in any of the ranges, and the diagonals themselves.
+        order = np.lexsort((low, group))
+        g, low, high = group[order], low[order], high[order]
+        wide = span + 4 * LONG
+        until = np.maximum.accumulate(g * wide + high + 2 * LONG)
+        fresh = np.flatnonzero(np.concatenate([[True], g[1:] * wide + low[1:] + 2 * LONG > until[:-1]])[: len(g)])
+        g, low, high = g[fresh], low[fresh], until[np.append(fresh[1:], len(until)) - 1] - g[fresh] * wide - 2 * LONG if len(g) else high
+        space = np.flatnonzero(_SPACE[data] | (data == 0)) + 1
+        space = np.concatenate([[0], space])
+        a, b = np.searchsorted(space, low), np.searchsorted(space, high, side="right")
+        times = b - a
+        pick = np.repeat(a - np.concatenate([[0], np.cumsum(times)])[: len(a)], times) + np.arange(int(times.sum()))
+        start, group = np.concatenate([space[pick], diagonal]), np.concatenate([np.repeat(g, times), group])
+        start = np.maximum(start, starts[group % texts])
+        inside = start < (np.append(starts[1:], len(data)) - 1)[group % texts]
+        # Windows of like length side by side: they walk together.
+        found = np.unique(group[inside] * span + start[inside])
+        group = found // span
+        return (group % texts, found % span, group // texts), tuple(np.concatenate(places, axis=1))
+
+    def _votes(self, pos, low, high, starts, a, b):
+        """(text, item, first diagonal, last diagonal) where ``need`` grams of
+        one of the items a to b lie near each other; postings low to high of
+        every position."""
+        times = high - low
+        entry = np.repeat(low - np.concatenate([[0], np.cumsum(times)])[: len(low)], times) + np.arange(int(times.sum()))
         item, diagonal = self.item[entry], np.repeat(pos, times) - self.place[entry]
         text = np.repeat(np.searchsorted(starts, pos, side="right") - 1, times)
         # Diagonals of one text and item side by side.
-        span = len(data) + int(self.n.max()) + 1
-        code = (text * len(self.n) + item) * span + diagonal + int(self.n.max())
+        most = int(self.n[a:b].max())
+        span = int(pos.max()) + 1 + most if len(pos) else 1
+        code = (text * (b - a) + item - a) * span + diagonal + most
         code.sort()
-        group, diagonal = code // span, code % span - int(self.n.max())
-        item = group % len(self.n)
+        group, diagonal = code // span, code % span - most
+        item = group % (b - a) + a
         ahead = np.arange(len(code)) + self.need[item] - 1
-        enough = ahead < len(code)
-        x = np.flatnonzero(enough)
+        x = np.flatnonzero(ahead < len(code))
         y = ahead[x]
         same = (group[y] == group[x]) & (diagonal[y] - diagonal[x] <= 2 * self.k[item[x]])
         x, y = x[same], y[same]
-        if not len(x):
-            return (np.zeros(0, np.int64),) * 3, (np.zeros(0, np.int64),) * 4
-        k, n = self.k[item[x]], self.n[item[x]]
-        low, high, text = diagonal[y] - k, diagonal[x] + k, group[x] // len(self.n)
-        far = n > LONG
-        places = text[far], item[x][far], low[far], high[far]
-        x, k, n, low, high, text = (v[~far] for v in (x, k, n, low, high, text))
-        # Word starts in any of the ranges, and the diagonals themselves.
-        space = np.flatnonzero(_SPACE[data] | (data == 0)) + 1
-        space = np.concatenate([[0], space])
-        a, b = np.searchsorted(space, low), np.searchsorted(space, high, side="right")
-        times = b - a
-        pick = np.repeat(a - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(int(times.sum()))
-        start = np.concatenate([space[pick], diagonal[x]])
-        text, n = np.concatenate([np.repeat(text, times), text]), np.concatenate([np.repeat(n, times), n])
-        ends = np.append(starts[1:], len(data)) - 1
-        start = np.maximum(start, starts[text])
-        inside = start < ends[text]
-        # Windows of like length side by side: they walk together.
-        found = np.unique(np.column_stack([n, text, start])[inside], axis=0)
-        return (found[:, 1], found[:, 2], found[:, 0]), places
+        return group[x] // (b - a), item[x], diagonal[x], diagonal[y]
 
     def find(self, column: pa.Array) -> dict[tuple[int, int], int]:
         """{(row, item's index): least edits} of a column of texts."""
@@ -349,36 +377,61 @@ def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text")
     blocks = max(math.ceil(size["n"] / ITEM_BLOCK), math.ceil((size["bytes"] or 0) / ITEM_BYTES))
     for b in range(blocks):
         part = found.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b) if blocks > 1 else found
-        held = part.collect()
-        codes = np.frombuffer(b"".join(r["codes"] for r in held), "<u8").astype(_U).reshape(-1, REPEATS)
-        yield Items([r["i"] for r in held], [bytes(r["t"]) for r in held], codes)
-
-
-def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+        held = part.toArrow()
+        ids, texts, codes = (held.column(c).to_pylist() for c in ("i", "t", "codes"))
+        block = Items(ids, texts, np.frombuffer(b"".join(codes), "<u8").astype(_U).reshape(-1, REPEATS))
+        block.kind = held.schema.field("i").type
+        yield block
+
+
+class Stored:
+    """Item blocks in files of the shared folder; a worker holds one of them
+    at a time, however many there are."""
+
+    def __init__(self, blocks: Iterator[Items], folder: str):
+        fs, path = filesystem(folder)
+        fs.create_dir(path, recursive=True)
+        self.files: list[str] = []
+        for block in blocks:
+            name = f"{len(self.files)}.items"
+            with fs.open_output_stream(f"{path}/{name}", compression=None) as out:
+                out.write(pickle.dumps(block))
+            self.files.append(f"{folder}/{name}")
+        self.held: tuple[str, Items] | None = None
+
+    def __iter__(self) -> Iterator[Items]:
+        for uri in self.files:
+            if self.held is None or self.held[0] != uri:
+                self.held = None
+                fs, path = filesystem(uri)
+                with fs.open_input_stream(path, compression=None) as file:
+                    self.held = uri, pickle.loads(file.read())
+            yield self.held[1]
+
+
+def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:
     """(doc_id, item_id, edits) of every document row and item found in it."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, item_id long, edits int"
-    out = docs.sparkSession.createDataFrame([], schema)
-    for block in item_blocks(items):
-        held = docs.sparkSession.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = sorted(held.value.find(batch.column(1)).items())
+    kinds = [t.simpleString() for t in (rows.schema["doc_id"].dataType, items.schema[item_id].dataType)]
+    blocks = Stored(item_blocks(items, item_id), scratch_dir(docs.sparkSession, "item-blocks"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks:
+                found = sorted(block.find(batch.column(1)).items())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array([r for (r, _), _ in found], pa.int64())),
-                        pa.array([held.value.ids[x] for (_, x), _ in found], pa.int64()),
+                        pa.array([block.ids[x] for (_, x), _ in found], block.kind),
                         pa.array([e for _, e in found], pa.int32()),
                     ],
                     ["doc_id", "item_id", "edits"],
                 )
 
-        out = out.union(rows.mapInArrow(run, schema))
-    return out
+    return rows.mapInArrow(run, f"doc_id {kinds[0]}, item_id {kinds[1]}, edits int")
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id") -> DataFrame:
     """The rows of ``docs`` that hold no item, with their columns."""
     from pyspark.sql import types as T
 
@@ -386,17 +439,17 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text") -> Data
     rows = docs.toDF(*[f"c{k}" for k in range(len(names))])
     schema = T.StructType([T.StructField(f"c{k}", f.dataType) for k, f in enumerate(rows.schema.fields)])
     at = names.index(text)
-    for block in item_blocks(items):
-        held = docs.sparkSession.sparkContext.broadcast(block)
+    blocks = Stored(item_blocks(items, item_id), scratch_dir(docs.sparkSession, "item-blocks"))
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks:
                 stays = np.ones(len(batch), bool)
-                stays[[r for r, _ in held.value.find(batch.column(at))]] = False
-                yield batch.filter(pa.array(stays))
+                stays[[r for r, _ in block.find(batch.column(at))]] = False
+                batch = batch.filter(pa.array(stays))
+            yield batch
 
-        rows = rows.mapInArrow(run, schema)
-    return rows.toDF(*names)
+    return rows.mapInArrow(run, schema).toDF(*names)
 
 
 @ship

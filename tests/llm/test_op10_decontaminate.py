@@ -140,3 +140,53 @@ def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
     assert max(sum(map(len, b.texts)) for b in blocks) < 40_000
     for b in blocks[:2]:  # embedded in the executors as here
         assert (de.Items(b.ids, [t.decode() for t in b.texts]).codes == b.codes).all()
+
+
+def shared_sentence(items, docs, seed=6):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 9)))
+    common = "choose the best answer to the following question"
+    bench = [f"{common} " + " ".join(word() for _ in range(rng.randint(3, 25))) for _ in range(items)]
+    texts = [" ".join([word() for _ in range(20)] + [common] + [word() for _ in range(20)]) for _ in range(docs)]
+    texts[2] += " " + bench[1]
+    return bench, texts
+
+
+def test_items_taken_in_slices_give_the_same_windows(monkeypatch):
+    bench, texts = shared_sentence(200, 12)
+    index, column = de.Items(list(range(200)), bench), pa.array(texts)
+    flat, begin = de.normalise(*de.text_bytes(column))
+    whole = index.windows(flat, begin)[0]
+    found = index.find(column)
+    monkeypatch.setattr(de, "POSTINGS", 3_000)
+    sliced = index.windows(flat, begin)[0]
+    assert len(whole[0]) > 100 and all((a == b).all() for a, b in zip(whole, sliced, strict=True))
+    assert index.find(column) == found and (2, index.ids.index(1)) in found
+
+
+def test_a_sentence_of_all_items_takes_bounded_memory():
+    bench, texts = shared_sentence(1_000, 40)
+    index, column = de.Items(list(range(1_000)), bench), pa.array(texts)
+    flat, begin = de.normalise(*de.text_bytes(column))
+    tracemalloc.start()
+    index.windows(flat, begin)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+
+
+def test_blocks_share_one_worker_and_ids_may_be_text(spark, monkeypatch):
+    monkeypatch.setattr(de, "ITEM_BLOCK", 4)
+    rows, bench = corpus(5, items=15, docs=60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(f"item {i}", t) for i, t in bench], "name string, text string")
+    found = ship(lambda s: de.leaks(docs, items, item_id="name"))(spark)
+    kept = de.decontaminate(docs, items, item_id="name")
+    for df in (found, kept):
+        assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    monkeypatch.setattr(de, "ITEM_BLOCK", 1000)
+    one = de.leaks(docs, spark.createDataFrame(bench, "item_id int, text string"))
+    assert one.schema["item_id"].dataType.simpleString() == "int"
+    pairs = {(r["doc_id"], r["item_id"], r["edits"]) for r in found.collect()}
+    assert pairs == {(r["doc_id"], f"item {r['item_id']}", r["edits"]) for r in one.collect()}
+    assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in rows} - {d for d, _, _ in pairs}
