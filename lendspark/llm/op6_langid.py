@@ -40,7 +40,8 @@ ORDER = 3
 TRAIN_BYTES = 4_000_000
 MAX_LANGS = 200
 MIN_COUNT = 4
-PIECE = 1 << 20
+PIECE = 1 << 18
+GRAM_PIECE = 1 << 19
 UNKNOWN = "und"
 
 SYMBOLS = 27 + 128
@@ -144,17 +145,29 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, gram, n) of about GRAM_PIECE symbols at a time."""
     s = SYMBOLS
+
+    def counted(lang: str, grams: list[np.ndarray]) -> pa.RecordBatch:
+        codes, n = np.unique(np.concatenate(grams), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(n)], ["lang", "gram", "n"])
+
     for batch in batches:
         data, starts, ends = text_bytes(batch.column(1))
         langs = np.array(batch.column(0).to_pylist(), object)
         for lang in sorted(set(langs)):
-            grams = []
+            grams, size = [], 0
             for a, b in zip(starts[langs == lang], ends[langs == lang], strict=True):
-                sym = np.concatenate([np.zeros(ORDER, np.int64), _CLASS[data[a:b]].astype(np.int64)])
-                grams.append(((sym[:-3] * s + sym[1:-2]) * s + sym[2:-1]) * s + sym[3:])
-            codes, n = np.unique(np.concatenate(grams), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(n)], ["lang", "gram", "n"])
+                for p in range(a, b, GRAM_PIECE):
+                    q, before = min(b, p + GRAM_PIECE), max(a, p - ORDER)
+                    sym = np.concatenate([np.zeros(ORDER - (p - before), np.int64), _CLASS[data[before:q]].astype(np.int64)])
+                    grams.append(((sym[:-3] * s + sym[1:-2]) * s + sym[2:-1]) * s + sym[3:])
+                    size += q - p
+                    if size >= GRAM_PIECE:
+                        yield counted(lang, grams)
+                        grams, size = [], 0
+            if grams:
+                yield counted(lang, grams)
 
 
 def sample_texts(labelled: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:

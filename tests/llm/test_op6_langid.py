@@ -139,3 +139,19 @@ def test_too_many_languages_are_refused(spark, monkeypatch):
     df = spark.createDataFrame([(x, "some text") for x in ("a", "b", "c")], "lang string, text string")
     with pytest.raises(ValueError, match="values of lang"):
         li.fit(df)
+
+
+def test_gram_counts_in_pieces_equal_those_of_whole_texts(monkeypatch):
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "fr", "en", "en"]), pa.array([b"the cat and the dog " * 9, "où est".encode(), b"", b"xy"], pa.binary())], ["lang", "text"])
+
+    def total():
+        out = Counter()
+        for part in li._gram_counts(iter([batch])):
+            for lang, gram, n in zip(*(c.to_pylist() for c in part.columns)):
+                out[lang, gram] += n
+        return out
+
+    whole = total()
+    for piece in (1, 2, 7, 64):
+        monkeypatch.setattr(li, "GRAM_PIECE", piece)
+        assert total() == whole
