@@ -60,7 +60,7 @@ FREQUENT = 64
 LONG = 310
 BLOCK = 128
 BLOCK_BYTES = 4_000_000
-BUCKET_SHINGLES = 4_000_000
+BUCKET_SHINGLES = 2_000_000
 
 
 def overlap_least(n: int) -> int:
