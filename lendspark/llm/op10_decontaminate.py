@@ -232,14 +232,25 @@ class Items:
         self.keys, first = np.unique(flat[order], return_index=True)
         # Postings by gram and item, as one value.
         self.posting = np.repeat(np.arange(len(self.keys)), np.diff(np.append(first, len(flat)))) * len(self.texts) + self.item
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[self._slot(self.keys)] = True
+        self._set_filter()
         # LSH keys of all items and repeats, sorted, with their items.
         short = np.flatnonzero(self.n <= LONG)
         codes = codes[short].T.reshape(-1)
         order = np.argsort(codes, kind="stable")
         self.codes, self.coded = codes[order], np.tile(short, REPEATS)[order]
 
+    def _set_filter(self) -> None:
+        self.filter = np.zeros(1 << FILTER_BITS, bool)
+        self.filter[self._slot(self.keys)] = True
+
+    def __getstate__(self) -> dict:
+        # The filter is far larger than the rest of a small block and made anew.
+        return {k: v for k, v in self.__dict__.items() if k != "filter"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._set_filter()
+
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
         return (keys * _U(0x9E3779B97F4A7C15)) >> _U(64 - FILTER_BITS)
