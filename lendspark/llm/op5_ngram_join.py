@@ -124,7 +124,7 @@ def count_codes(n: np.ndarray) -> np.ndarray:
     return np.where(n < 128, n, np.minimum(255, 128 + 16 * np.log2(np.maximum(n, 128) / 128))).astype(np.uint8)
 
 
-def distinct_texts(docs: DataFrame, text: str = "text", width: int = WIDTH) -> DataFrame:
+def distinct_texts(docs: DataFrame, parts: int, text: str = "text", width: int = WIDTH) -> DataFrame:
     """(ref, ends, body): one text of every class, in blocks of about
     ``BLOCK_BYTES`` (the texts one behind the other, compressed). Written
     as a stage table, so that a block keeps its members when a task is redone."""
@@ -162,7 +162,7 @@ def distinct_texts(docs: DataFrame, text: str = "text", width: int = WIDTH) -> D
             yield block(held)
 
     sent = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(one_a_task, "c binary, text binary")
-    return stage(sent.repartition("c").mapInArrow(blocks, "ref binary, ends binary, body binary"), "class-texts")
+    return stage(sent.repartition(parts, "c").mapInArrow(blocks, "ref binary, ends binary, body binary"), "class-texts")
 
 
 def block_sets(ends: bytes, body: bytes, width: int) -> list[np.ndarray]:
@@ -185,7 +185,7 @@ def repeated_shingles(docs: DataFrame, total: int, text: str = "text", width: in
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(parts, math.ceil(total / BUCKET_SHINGLES))
-    texts = distinct_texts(docs, text, width)
+    texts = distinct_texts(docs, buckets, text, width)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
