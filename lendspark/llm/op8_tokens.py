@@ -44,7 +44,7 @@ FRAME_IDS = 65_536
 SLICE_BYTES = 1_000_000
 # Ids kept per worker: bytes of one generation, with what an entry costs besides
 # its text; longer chunks are not kept.
-CACHE_BYTES, ENTRY_BYTES, LONG_CHUNK = 56_000_000, 160, 100
+CACHE_BYTES, ENTRY_BYTES, LONG_CHUNK = 40_000_000, 160, 100
 TRAILING = re.compile(rb"(?<=[a-z])([.,;:!?)\"]+)(?=[\x20\x09-\x0D])")
 LEVEL = 3
 
