@@ -59,6 +59,7 @@ K = 2
 FREQUENT = 64
 LONG = 310
 BLOCK = 128
+TEXTS = 100
 BLOCK_BYTES = 4_000_000
 BUCKET_SHINGLES = 2_000_000
 
@@ -87,8 +88,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, len(batch), 500):
-                part = batch.slice(k, 500)
+            for k in range(0, len(batch), TEXTS):
+                part = batch.slice(k, TEXTS)
                 sets = shingles(*text_bytes(part.column(1)), width)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -132,8 +133,8 @@ def distinct_texts(docs: DataFrame, parts: int, text: str = "text", width: int =
     def one_a_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            for k in range(0, len(batch), 250):
-                part = batch.column(0).slice(k, 250)
+            for k in range(0, len(batch), TEXTS):
+                part = batch.column(0).slice(k, TEXTS)
                 names = [digest(s) if len(s) else None for s in shingles(*text_bytes(part), width)]
                 fresh = [x for x, c in enumerate(names) if c is not None and not (c in seen or seen.add(c))]
                 if fresh:
@@ -170,7 +171,7 @@ def block_sets(ends: bytes, body: bytes, width: int) -> list[np.ndarray]:
     cuts = np.concatenate([[0], np.frombuffer(ends, "<i8")])
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
     # Hashing takes eight bytes and more a byte of text: few texts at a time.
-    return [s for k in range(0, len(cuts) - 1, 250) for s in shingles(data, cuts[k:-1][:250], cuts[k + 1 :][:250], width)]
+    return [s for k in range(0, len(cuts) - 1, TEXTS) for s in shingles(data, cuts[k:-1][:TEXTS], cuts[k + 1 :][:TEXTS], width)]
 
 
 def repeated_shingles(docs: DataFrame, total: int, text: str = "text", width: int = WIDTH) -> DataFrame:
