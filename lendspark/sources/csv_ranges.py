@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from .stages import stage
 
 ROW_ID = "row_id"
+BATCH, BATCH_CHARS = 5000, 1 << 20  # of the records that a task holds at once
 
 
 def inside_after(line: str, inside: bool, sep: str = ",") -> bool:
@@ -99,6 +100,70 @@ def ranges_inside(lines: DataFrame) -> dict[tuple[str, int], bool]:
     return out
 
 
+def _records(batches: Iterator[pa.RecordBatch], begun: dict[tuple[str, int], bool], number: int) -> Iterator[pa.RecordBatch]:
+    """Records and pieces of records of one task, numbered from ``number``, in
+    batches of some ``BATCH`` rows or ``BATCH_CHARS`` characters."""
+    place, inside, open_, whole_file = None, False, None, False
+    rows: list[tuple] = []
+    chars = 0
+
+    def batch_of():
+        nonlocal chars
+        types = [pa.int64(), pa.string(), pa.bool_(), pa.string(), pa.int64(), pa.int32()]
+        columns = zip(*rows, strict=True)
+        names = ["row_id", "record", "first", "file", "start", "piece"]
+        out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+        rows.clear()
+        chars = 0
+        return out
+
+    def put(text: str, first: bool, piece: int):
+        # piece: 0 a whole record, 1 the end or the middle of one, 2 its start.
+        nonlocal number, chars
+        if piece == 0:
+            text = text.removesuffix("\r")
+            if not text:
+                return
+        rows.append((number, text, first, *place, piece))
+        number += 1
+        chars += len(text)
+
+    def close():
+        if open_:
+            put("\n".join(open_), whole_file, 1 if headless else 2)
+
+    headless = False
+    for file, start, values in _runs(batches):
+        if (file, start) != place:
+            if place is not None:
+                close()
+            place, open_ = (file, start), None
+            inside = headless = (file, start) in begun
+            whole_file = start == 0
+            if inside:
+                open_ = []
+        for line in values.to_pylist():
+            inside = inside_after(line, inside) if '"' in line else inside
+            if open_ is None and not inside:
+                before = number
+                put(line, whole_file, 0)
+                whole_file = whole_file and number == before
+                if len(rows) >= BATCH or chars >= BATCH_CHARS:
+                    yield batch_of()
+                continue
+            open_ = open_ or []
+            open_.append(line)
+            if not inside:
+                put("\n".join(open_), whole_file, 1 if headless else 0)
+                open_, headless, whole_file = None, False, False
+                if len(rows) >= BATCH or chars >= BATCH_CHARS:
+                    yield batch_of()
+    if place is not None:
+        close()
+    if rows:
+        yield batch_of()
+
+
 def csv_records(spark: SparkSession, path) -> DataFrame:
     """(row_id, record, first): the text of every record, ``first`` on the
     first one of each file. ``row_id`` rises with the place in the split and
@@ -107,60 +172,7 @@ def csv_records(spark: SparkSession, path) -> DataFrame:
     begun = ranges_inside(lines)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 33
-        place, inside, open_, whole_file = None, False, None, False
-        rows: list[tuple] = []
-
-        def batch_of():
-            types = [pa.int64(), pa.string(), pa.bool_(), pa.string(), pa.int64(), pa.int32()]
-            columns = zip(*rows, strict=True)
-            names = ["row_id", "record", "first", "file", "start", "piece"]
-            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
-            rows.clear()
-            return out
-
-        def put(text: str, first: bool, piece: int):
-            # piece: 0 a whole record, 1 the end or the middle of one, 2 its start.
-            nonlocal number
-            if piece == 0:
-                text = text.removesuffix("\r")
-                if not text:
-                    return
-            rows.append((number, text, first, *place, piece))
-            number += 1
-
-        def close():
-            if open_:
-                put("\n".join(open_), whole_file, 1 if headless else 2)
-
-        headless = False
-        for file, start, values in _runs(batches):
-            if (file, start) != place:
-                if place is not None:
-                    close()
-                place, open_ = (file, start), None
-                inside = headless = (file, start) in begun
-                whole_file = start == 0
-                if inside:
-                    open_ = []
-            for line in values.to_pylist():
-                inside = inside_after(line, inside) if '"' in line else inside
-                if open_ is None and not inside:
-                    before = number
-                    put(line, whole_file, 0)
-                    whole_file = whole_file and number == before
-                    if len(rows) > 5000:
-                        yield batch_of()
-                    continue
-                open_ = open_ or []
-                open_.append(line)
-                if not inside:
-                    put("\n".join(open_), whole_file, 1 if headless else 0)
-                    open_, headless, whole_file = None, False, False
-        if place is not None:
-            close()
-        if rows:
-            yield batch_of()
+        return _records(batches, begun, TaskContext.get().partitionId() << 33)
 
     found = stage(lines.mapInArrow(join, "row_id long, record string, first boolean, file string, start long, piece int"), "csv-records")
     pieces = found.where("piece > 0")

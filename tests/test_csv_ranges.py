@@ -5,10 +5,11 @@ import gzip
 import io as text_io
 import random
 
+import pyarrow as pa
 import pytest
 
 from lendspark.sources import io
-from lendspark.sources.csv_ranges import csv_records, inside_after, read_csv_text
+from lendspark.sources.csv_ranges import BATCH, BATCH_CHARS, _records, csv_records, inside_after, read_csv_text
 
 
 def made(seed, n=300):
@@ -99,3 +100,24 @@ def test_quote_rules():
     assert inside_after('a,"open', False) and inside_after("still", True)
     assert not inside_after('closed",b', True) and inside_after('c"" d', True)
     assert inside_after('closed","again', True)
+
+
+def test_a_task_holds_few_records_with_line_breaks():
+    """Every record has a line break or is long; batches leave as they fill."""
+    read = 0
+
+    def lines(record, n):
+        nonlocal read
+        for _ in range(n):
+            read += 1
+            values = record * 500
+            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(["f"] * len(values)), pa.array([0] * len(values))], ["value", "file", "start"])
+
+    batches = _records(lines(['1,"two', 'lines"'], 100), {}, 7)
+    first = next(batches)
+    assert read <= BATCH // 500 + 1 and len(first) < BATCH + 500
+    assert first.column(0).to_pylist() == list(range(7, 7 + len(first)))
+    assert len(first) + sum(map(len, batches)) == 50_000
+    read = 0
+    first = next(_records(lines(["x" * 10_000, '"y' * 5000 + '\n"'], 100), {}, 0))
+    assert read == 1 and len(first) * 10_000 < 2 * BATCH_CHARS
