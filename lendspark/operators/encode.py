@@ -21,7 +21,7 @@ from ..sources.stages import stage
 from . import stats
 from .curves import running_sums
 from .joins import lookup_join
-from .quantiles import interpolate, long_form, needed_ranks, order_statistics
+from .quantiles import interpolate, needed_ranks, wide_order_statistics
 
 MISSING_TOKEN = "missing"
 FREQ_SUFFIX = "_freq_enc"
@@ -330,7 +330,7 @@ def fit_missing_and_outliers(
         return {c: needed_ranks(n, [0.5]) | {r for p in needed_ranks(total, clip_pct) if (r := unfilled_rank(p, n, total)) is not None}
                 for c, n in sizes.items()}
 
-    found = order_statistics(long_form(df, num), ranks)
+    found = wide_order_statistics(df, num, ranks)
     meds, bounds = {}, {}
     for c in num:
         n, at = found.get(c, (0, {}))

@@ -25,7 +25,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.nulls import nan_to_null
 from ..sources.stages import stage
 from . import encode, split
 from .curves import auc_ks_of_counts, score_counts
@@ -109,15 +108,33 @@ def training_set(df: DataFrame, feature_cols: Sequence[str], label: str = "defau
     fold = (F.lit(0) if fold is None else fold).cast("int").alias("_fold")
     rows = df.select(*cols, F.col(label).cast("int").alias("_label"), fold).where(F.col("_label").isNotNull())
     data = stage(rows, "training-rows")
-    y = F.col("_label")
-    aggs = [F.count(F.when(y == 0, 1)).alias("n0"), F.count(F.when(y == 1, 1)).alias("n1")]
-    for i in range(len(feature_cols)):
-        v = nan_to_null(F.col(f"f{i}"))
-        aggs += [F.count(v).alias(f"c{i}"), F.avg(v).alias(f"a{i}"), F.var_pop(v).alias(f"v{i}")]
-    moments = {}
-    for r in data.groupBy("_fold").agg(*aggs).collect():
-        take = lambda s, r=r: np.array([r[f"{s}{i}"] or 0.0 for i in range(len(feature_cols))], float)
-        moments[r["_fold"]] = Moments(np.array([r["n0"], r["n1"]], float), take("c"), take("a"), take("v") * take("c"))
+    d = len(feature_cols)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            label, folds = (batch.column(d + i).to_numpy(zero_copy_only=False) for i in range(2))
+            rows = {k: np.flatnonzero(folds == k) for k in np.unique(folds)}
+            for k, at in rows.items():
+                held.setdefault(int(k), np.zeros((2 + 3 * d)))[:2] += np.bincount(label[at].clip(0, 2), minlength=3)[:2] * 1.0
+            for i in range(d):
+                x = batch.column(i).to_numpy(zero_copy_only=False).astype(float)
+                for k, at in rows.items():
+                    v = x[at]
+                    v = v[~np.isnan(v)]
+                    if len(v):
+                        n, mean, squares = held[k][2 + i :: d]
+                        m, all_ = v.mean(), n + len(v)
+                        gap = m - mean
+                        held[k][2 + i :: d] = all_, mean + gap * len(v) / all_, squares + ((v - m) ** 2).sum() + gap * gap * n * len(v) / all_
+        folds = pa.array(list(held), pa.int32())
+        yield pa.RecordBatch.from_arrays([folds, pa.array([x.tobytes() for x in held.values()], pa.binary())], ["fold", "sums"])
+
+    moments: dict = {}
+    for r in data.mapInArrow(sums, "fold int, sums binary").toLocalIterator():
+        x = np.frombuffer(r["sums"])
+        one = Moments(x[:2].copy(), *x[2:].reshape(3, d).copy())
+        moments[r["fold"]] = moments[r["fold"]] + one if r["fold"] in moments else one
     if not moments:
         raise ValueError("no labelled rows to train on")
     return TrainingSet(data, list(feature_cols), moments)

@@ -15,8 +15,10 @@ from __future__ import annotations
 import datetime as dt
 import math
 import os
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -240,10 +242,115 @@ def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.explode(pairs).alias("_s")).select("_s._k", "_s._v")
 
 
+def _cells_of(df: DataFrame, columns: Sequence[str], cells: dict[int, list[tuple[int, int, int]]] | None, few: bool) -> list:
+    """Counts (k, cell, code, n, lo, hi) of the double columns at the places
+    ``k``: by leading digits, or of the values inside ``cells`` (number, least
+    and largest key; ascending) by part, or by value if they are ``few``.
+
+    A task counts Arrow batches of the wide rows. Keys are the bits of a double
+    as an integer of the same order; the first 16 are the leading digits."""
+    at = list(range(len(columns))) if cells is None else sorted(cells)
+    bounds = None if cells is None else {k: tuple(np.array(x, np.int64) for x in zip(*cells[k], strict=True)) for k in at}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def key_of(v: np.ndarray) -> np.ndarray:
+            bits = v.view(np.int64)
+            return bits ^ ((bits >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))
+
+        def merged(parts: list[tuple]) -> list[tuple]:
+            cell, code, n, lo, hi = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.lexsort((code, cell))
+            cell, code, n, lo, hi = cell[order], code[order], n[order], lo[order], hi[order]
+            first = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (code[1:] != code[:-1])]))
+            return [(cell[first], code[first], np.add.reduceat(n, first), np.minimum.reduceat(lo, first), np.maximum.reduceat(hi, first))]
+
+        held: dict = {k: [] for k in at}
+        for batch in batches:
+            for i, k in enumerate(at):
+                v = batch.column(i).drop_null().to_numpy(zero_copy_only=False)
+                v = np.sort(v[~np.isnan(v)] + 0.0)  # -0.0 is 0.0
+                key = key_of(v)
+                if bounds is None:
+                    cell, code = np.zeros(len(v), np.int64), key >> 48
+                else:
+                    number, low, high = bounds[k]
+                    place = np.searchsorted(low, key, side="right") - 1
+                    inside = (place >= 0) & (key <= high[place])
+                    v, key, place = v[inside], key[inside], place[inside]
+                    cell = number[place]
+                    code = key if few else (key - low[place]) * SPLIT // (high[place] - low[place] + 1)
+                if len(v):
+                    first = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (code[1:] != code[:-1])]))
+                    ends = np.append(first[1:], len(v))
+                    held[k].append((cell[first], code[first], ends - first, v[first], v[ends - 1]))
+                    if len(held[k]) >= 32:
+                        held[k] = merged(held[k])
+        for k, parts in held.items():
+            if parts:
+                ((cell, *rest),) = merged(parts)
+                columns = [np.full(len(cell), k, np.int32), cell, *rest]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k", "cell", "code", "n", "lo", "hi"])
+
+    wide = df.select(*[F.col(f"`{columns[k]}`").cast("double").alias(f"v{k}") for k in at])
+    found = wide.mapInArrow(count, "k int, cell long, code long, n long, lo double, hi double")
+    return found.groupBy("k", "cell", "code").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()
+
+
+def _key(value: float) -> int:
+    bits = int(np.array(value + 0.0).view(np.int64))
+    return bits ^ ((bits >> 63) & 0x7FFFFFFFFFFFFFFF)
+
+
+def wide_order_statistics(df: DataFrame, columns: Sequence[str], ranks: Callable[[dict], dict[str, Iterable[int]]]) -> dict:
+    """:func:`order_statistics` of numeric columns as series: no row is taken
+    apart, and a scan reads only the columns that still have cells to split."""
+    kinds = {type(df.schema[c].dataType) for c in columns}
+    if not kinds & {T.DoubleType, T.FloatType}:
+        return order_statistics(long_form(df, columns), ranks)
+    sizes: dict = {}
+    found: dict = {}
+    wide: list[tuple] = []  # k, lo, hi, before, rows, ranks
+
+    def place(k: int, parts: list, before: int, wanted: list[int]) -> None:
+        at = 0
+        for r in sorted(parts, key=lambda r: r["code"]):
+            first = at
+            while at < len(wanted) and wanted[at] < before + r["n"]:
+                at += 1
+            if at > first:
+                if r["lo"] == r["hi"]:
+                    found[columns[k]].update(dict.fromkeys(wanted[first:at], r["lo"]))
+                else:
+                    wide.append((k, r["lo"], r["hi"], before, r["n"], wanted[first:at]))
+            before += r["n"]
+
+    parts: dict = {}
+    for r in _cells_of(df, columns, None, False):
+        parts.setdefault(r["k"], []).append(r)
+    for k in sorted(parts):
+        sizes[columns[k]], found[columns[k]] = sum(r["n"] for r in parts[k]), {}
+    asked = ranks(sizes)
+    for k, v in parts.items():
+        n = sizes[columns[k]]
+        place(k, v, 0, sorted({g for g in asked.get(columns[k], ()) if 0 <= g < n}))
+    while wide:
+        todo, few = wide, sum(c[4] for c in wide) <= PICK
+        wide = []
+        cells: dict = {}
+        for i, c in enumerate(todo):
+            cells.setdefault(c[0], []).append((i, _key(c[1]), _key(c[2])))
+        parts = {}
+        for r in _cells_of(df, columns, {k: sorted(v, key=lambda c: c[1]) for k, v in cells.items()}, few):
+            parts.setdefault(r["cell"], []).append(r)
+        for i, c in enumerate(todo):
+            place(c[0], parts[i], c[3], c[5])
+    return {c: (n, found[c]) for c, n in sizes.items()}
+
+
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns in one pass over ``df``."""
     if not columns:
         return {}
-    found = order_statistics(long_form(df, columns), lambda sizes: {k: needed_ranks(n, probs) for k, n in sizes.items()})
+    found = wide_order_statistics(df, columns, lambda sizes: {k: needed_ranks(n, probs) for k, n in sizes.items()})
     none = (0, {})
     return {c: [interpolate(found.get(c, none)[1], found.get(c, none)[0], p) for p in probs] for c in columns}

@@ -7,8 +7,11 @@ where it becomes literals in the next plan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,8 +55,10 @@ def missing_rates(df: DataFrame, columns: Sequence[str] | None = None) -> dict[s
     cols = list(df.columns) if columns is None else list(columns)
     if not cols:
         return {}
-    row = df.agg(*missing_rate_exprs(df, cols)).first()
-    return {c: (row[c] if row[c] is not None else 0.0) for c in cols}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    known = [F.count(F.when(~is_missing(c, types[c]), 1)).alias(f"n{i}") for i, c in enumerate(cols)]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *known).first()
+    return {c: ((row["rows"] - row[f"n{i}"]) / row["rows"] if row["rows"] else 0.0) for i, c in enumerate(cols)}
 
 
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -80,9 +85,31 @@ def mean_std_pop(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float
     """Mean and population standard deviation per column, missing values skipped."""
     if not columns:
         return {}
-    aggs = []
-    for i, c in enumerate(columns):
-        v = nan_to_null(q(c))
-        aggs += [F.avg(v).alias(f"a{i}"), F.stddev_pop(v).alias(f"s{i}")]
-    row = df.agg(*aggs).first()
-    return {c: (row[f"a{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, mean, squares = (np.zeros(len(columns)) for _ in range(3))
+        for batch in batches:
+            for i in range(len(columns)):
+                v = batch.column(i).drop_null().to_numpy(zero_copy_only=False)
+                v = v[~np.isnan(v)]
+                if len(v):
+                    m = v.mean()
+                    all_, gap = n[i] + len(v), m - mean[i]
+                    squares[i] += ((v - m) ** 2).sum() + gap * gap * n[i] * len(v) / all_
+                    mean[i] += gap * len(v) / all_
+                    n[i] = all_
+        places = pa.array(range(len(columns)), pa.int32())
+        yield pa.RecordBatch.from_arrays([places, pa.array(n), pa.array(mean), pa.array(squares)], ["i", "n", "mean", "squares"])
+
+    wide = df.select(*[q(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    parts = wide.mapInArrow(sums, "i int, n double, mean double, squares double").where("n > 0")
+    # The parts' means about one of them, so that nothing cancels.
+    about = parts.groupBy("i").agg(
+        F.sum("n").alias("n"), F.sum("squares").alias("inside"), F.collect_list(F.struct("n", "mean")).alias("parts")
+    )
+    out = dict.fromkeys(columns, (None, None))
+    for r in about.collect():
+        mean = math.fsum(x["n"] * x["mean"] for x in r["parts"]) / r["n"]
+        between = math.fsum(x["n"] * (x["mean"] - mean) ** 2 for x in r["parts"])
+        out[columns[r["i"]]] = (mean, math.sqrt((r["inside"] + between) / r["n"]))
+    return out

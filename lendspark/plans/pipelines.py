@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.bins import histogram_bin
 from ..functions.nulls import nan_to_null
 from ..operators import banding, clean, encode, features, joins, metrics, model, split, target
+from ..session import compile_wide_rows
 from ..sources.stages import stage
 
 LABEL = "default"
@@ -51,6 +52,7 @@ def _built(df: DataFrame, fold, seed: int, fit_scope: str, train_rows) -> tuple:
     to the others."""
     if fit_scope not in ("all", "train"):
         raise ValueError(f"fit_scope is 'all' or 'train', not {fit_scope!r}")
+    compile_wide_rows(df.sparkSession)
     if fit_scope == "all":
         feats, fp = features.build_features(df, target=LABEL, fold=fold, seed=seed)
         feats = stage(feats, "features")
@@ -177,10 +179,11 @@ def train(
     """PL3: target and time (:func:`train_inputs`) -> time split -> baseline (L2, C = 1, balanced) -> optional tuning
     on a stratified sample -> validation metrics -> selection rule; the
     selected model is returned and used."""
+    compile_wide_rows(feats.sparkSession)
     feats = train_inputs(feats, labels, cleaned)
     require_columns(feats, [LABEL, TIME_COL], "feature table")
-    # The cutoff is found on the way into the stage table, once.
-    data = stage(split.time_split_label(feats, TIME_COL, train_end, out="_part"), "training")
+    # The cutoff is found on the stage table, of which its scans read one column.
+    data = split.time_split_label(stage(feats, "training"), TIME_COL, train_end, out="_part")
     tr, va = (data.where(F.col("_part") == part).drop("_part") for part in ("train", "validation"))
     cols = feature_columns(tr)
     baseline = model.train_logistic(tr, cols, LABEL, C=1.0)

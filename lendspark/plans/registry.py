@@ -37,9 +37,17 @@ def queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+def rounded(x: Column) -> Column:
+    """``F.round(x, DIGITS)``, which goes through decimal text, only for values
+    next to a tie or too large for the whole number to be exact enough."""
+    scale = float(10**DIGITS)
+    whole = F.floor(x * scale + 0.5).cast("double")
+    clear = (F.abs(x) < 3e7) & (F.abs(x * scale - whole) < 0.49)
+    return F.when(clear, whole / scale).otherwise(F.round(x, DIGITS))
+
+
 def r(c: str | Column, name: str | None = None) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    out = F.round(col.cast("double"), DIGITS)
+    out = rounded((F.col(c) if isinstance(c, str) else c).cast("double"))
     return out.alias(name or (c if isinstance(c, str) else "value"))
 
 

@@ -1,6 +1,7 @@
 """End-to-end: raw CSV -> cleaned -> features -> train / tune -> score ->
 bands -> validation -> calibration -> monitor, on the smallest fixture."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lendspark.operators import clean, model
@@ -97,3 +98,46 @@ def test_features_split_route(spark):
     # scaled on train: mean ~0, population std ~1 for a varying column
     st = train.agg(F.avg("loan_amnt").alias("a"), F.stddev_pop("loan_amnt").alias("s")).first()
     assert abs(st["a"]) < 1e-9 and abs(st["s"] - 1) < 1e-9
+
+
+def test_wide_projections_run_compiled(spark):
+    """The feature table's projections are cut into methods that the JVM compiles."""
+    from lendspark.session import METHOD_LIMIT, compile_wide_rows
+
+    spark.conf.unset(METHOD_LIMIT)
+    pipelines.features_split(clean.clean(fx.loans_raw(spark, SF_SMALL)))
+    assert int(spark.conf.get(METHOD_LIMIT)) == 8000
+    spark.conf.set(METHOD_LIMIT, "6000")
+    compile_wide_rows(spark)
+    assert int(spark.conf.get(METHOD_LIMIT)) == 6000
+    spark.conf.unset(METHOD_LIMIT)
+
+
+def test_rounding_is_that_of_spark(spark):
+    from pyspark.sql import functions as F
+
+    from lendspark.plans.registry import rounded
+
+    values = [0.0, -0.0, 0.0000005, -0.0000005, 1.0000015, 2.5e-7, -1e-9, 123456.7890125, 1e15, 1e300, float("inf"), float("-inf"), float("nan"), None]
+    values += [k * 0.37123457 - 40 for k in range(500)] + [(2 * k + 1) / 2e6 for k in range(500)]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", rounded(F.col("x")).alias("a"), F.round("x", 6).alias("b")).collect()
+    assert all(str(r["a"]) == str(r["b"]) for r in rows), [r for r in rows if str(r["a"]) != str(r["b"])]
+
+
+def test_mean_and_deviation_of_shifted_parts(spark):
+    import numpy as np
+
+    from lendspark.operators import model, stats
+
+    rng = np.random.default_rng(3)
+    x = 1e6 + rng.random(4000)
+    rows = [(float(v) if k % 5 else None, float(k % 3), None, int(k % 2), k % 4) for k, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "x double, y double, z double, default int, fold int").repartition(5)
+    got = stats.mean_std_pop(df, ["x", "y", "z"])
+    known = x[np.arange(4000) % 5 > 0]
+    assert got["x"] == (pytest.approx(known.mean(), rel=1e-12), pytest.approx(known.std(), rel=1e-9)) and got["z"] == (None, None)
+    ts = model.training_set(df.drop("z"), ["x", "y"], fold=df["fold"])
+    out = ts.moments_without(2)
+    keep = np.arange(4000) % 4 != 2
+    assert out.classes.tolist() == [(keep & (np.arange(4000) % 2 == 0)).sum(), (keep & (np.arange(4000) % 2 == 1)).sum()]
+    assert out.scaler(["x", "y"]).scales["x"] == pytest.approx(x[keep & (np.arange(4000) % 5 > 0)].std(), rel=1e-9)

@@ -80,3 +80,30 @@ def test_no_row_is_shuffled(spark):
     found = order_statistics(df, ranks)
     assert found[0] == (200_000, {1: 1 / 200_000, 100_000: 0.5, 199_998: 199_998 / 200_000})
     assert seen == [{0: 200_000}]
+
+
+def test_wide_columns_are_selected_without_taking_rows_apart(spark, monkeypatch):
+    """Doubles with ties, missing values, both zeros, infinities and one narrow range; ranks by numpy."""
+    import numpy as np
+
+    from lendspark.operators import quantiles as module
+
+    rng = np.random.default_rng(5)
+    n = 30_000
+    inf, nan = float("inf"), float("nan")
+    table = {
+        "a": rng.normal(0, 1e3, n), "b": rng.choice([0.0, 1.0], n), "c": 1 + rng.random(n) * 1e-9,
+        "d": rng.choice([-0.0, 0.0, -inf, inf, nan, 1e300, -1e300, 5e-324], n), "e": np.full(n, nan),
+    }
+    rows = [tuple(None if k % 7 == 0 else float(v[k]) for v in table.values()) + (k - 9,) for k in range(n)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f long").repartition(3)
+    monkeypatch.setattr(module, "long_form", None)
+    monkeypatch.setattr(module, "PICK", 50)
+    wanted = {0, 1, 17, n // 3, n // 2, n - 1}
+    found = module.wide_order_statistics(df, list("abcdef"), lambda sizes: {k: wanted | {m - 1} for k, m in sizes.items()})
+    for c, v in {**table, "f": np.arange(n) - 9.0}.items():
+        known = np.sort([x for k, x in enumerate(v) if (c == "f" or k % 7) and not np.isnan(x)])
+        if c == "e":
+            assert c not in found
+            continue
+        assert found[c] == (len(known), {g: known[g] for g in wanted | {len(known) - 1} if g < len(known)})
