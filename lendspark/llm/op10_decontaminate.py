@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filesystem, scratch_dir, ship, stage, table
+from .common import filesystem, scratch_dir, ship, stage, table, tidy
 from .op6_langid import text_bytes
 from .shingles import mix
 
@@ -383,7 +383,7 @@ def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text")
                 codes = pa.array([c.astype("<u8").tobytes() for c in embed(texts)], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.binary()), codes], ["i", "t", "codes"]).filter(stays)
 
-    found = stage(rows.mapInArrow(run, f"i {kind}, t binary, codes binary"), "benchmark-items")
+    found = stage(rows.mapInArrow(tidy(run), f"i {kind}, t binary, codes binary"), "benchmark-items")
     size = found.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("t")).alias("bytes")).first()
     blocks = max(math.ceil(size["n"] / ITEM_BLOCK), math.ceil((size["bytes"] or 0) / ITEM_BYTES))
     for b in range(blocks):
@@ -439,7 +439,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
                     ["doc_id", "item_id", "edits"],
                 )
 
-    return rows.mapInArrow(run, f"doc_id {kinds[0]}, item_id {kinds[1]}, edits int")
+    return rows.mapInArrow(tidy(run), f"doc_id {kinds[0]}, item_id {kinds[1]}, edits int")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id") -> DataFrame:
@@ -460,7 +460,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
                 batch = batch.filter(pa.array(stays))
             yield batch
 
-    return rows.mapInArrow(run, schema).toDF(*names)
+    return rows.mapInArrow(tidy(run), schema).toDF(*names)
 
 
 @ship

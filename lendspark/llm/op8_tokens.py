@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import filesystem, scratch_dir, ship, table
+from .common import KEPT, filesystem, scratch_dir, ship, table, tidy
 
 END_ID = 2
 FRAME_IDS = 65_536
@@ -66,14 +66,14 @@ class Encoder:
     and looked up. Other vocabularies are encoded text by text.
     """
 
-    _made: dict[str, Encoder] = {}
-
     @classmethod
     def of(cls, path: str) -> Encoder:
-        """One encoder a worker process: its cache serves all its tasks."""
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+        """One encoder a worker process: its cache serves all its tasks, until
+        another operator's task comes."""
+        made = KEPT.setdefault("op8_tokens", {})
+        if path not in made:
+            made[path] = cls(path)
+        return made[path]
 
     def __init__(self, path: str):
         import json
@@ -341,7 +341,7 @@ def write_tokens(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     parts = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
     done = f"{folder}/files"
-    parts.mapInArrow(write, "part int, file string, n_docs long, n_ids long").write.parquet(done)
+    parts.mapInArrow(tidy(write, keeps="op8_tokens"), "part int, file string, n_docs long, n_ids long").write.parquet(done)
     return docs.sparkSession.read.schema("part int, file string, n_docs long, n_ids long").parquet(done)
 
 
@@ -369,7 +369,7 @@ def read_tokens(files: DataFrame, folder: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.withColumn("first", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
     dealt = placed.repartitionByRange(max(1, files.count()), "part")
-    return dealt.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return dealt.mapInArrow(tidy(read, keeps="op8_tokens"), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:

@@ -79,3 +79,15 @@ def test_file_reads_only_asked_frames_and_checks_them(tmpdir_path):
     open(path, "wb").write(raw)
     with pytest.raises(Exception):
         list(TokenReader(fs, p).documents())
+
+
+def test_other_operators_tasks_free_the_encoder(spark):
+    """A worker's encoder serves the operator's own tasks and is gone in another's."""
+    from lendspark.llm import common
+
+    common.KEPT.clear()
+    common.KEPT["op8_tokens"] = {"path": "an encoder"}
+    assert list(common.tidy(iter, keeps="op8_tokens")(range(3))) == [0, 1, 2]
+    assert common.KEPT == {"op8_tokens": {"path": "an encoder"}}
+    assert list(common.tidy(iter)(range(2))) == [0, 1]
+    assert common.KEPT == {}
