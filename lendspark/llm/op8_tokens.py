@@ -45,7 +45,14 @@ SLICE_BYTES = 1_000_000
 # Ids kept per worker: bytes of one generation, with what an entry costs besides
 # its text; longer chunks are not kept.
 CACHE_BYTES, ENTRY_BYTES, LONG_CHUNK = 40_000_000, 160, 100
-TRAILING = re.compile(rb"(?<=[a-z])([.,;:!?)\"]+)(?=[\x20\x09-\x0D])")
+# One piece that normalisation leaves as it is: lower-case letters (ASCII and
+# Latin-1), ASCII punctuation, a digit.
+PIECE = re.compile(rb"(?:[a-z]+|\xc3[\x9f-\xb6\xb8-\xbf])+|(?!.*<\|)[!-/:-@\[-`{-~]+|[0-9]")
+_BYTES = np.arange(256)
+SPACE = (_BYTES == 32) | (_BYTES >= 9) & (_BYTES <= 13)
+ALNUM = np.isin(_BYTES, np.frombuffer(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", np.uint8))
+MARK = (_BYTES > 32) & (_BYTES < 127) & ~ALNUM
+LATIN = (_BYTES >= 0x80) & (_BYTES < 0xC0) & (_BYTES != 0x97) & (_BYTES != 0xB7)  # after 0xC3
 LEVEL = 3
 
 DOC_MAGIC = 0x184D2A5D
@@ -109,27 +116,64 @@ class Encoder:
         if not self.by_word:
             found = self.full.encode_batch([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(x.ids, "<u4").tobytes() for x in found]
-        # ASCII case never matters, but special tokens are looked for as they
-        # stand. Punctuation between an ASCII letter and white space is a piece
-        # of its own; it is moved off, so that fewer chunks differ.
-        words = [(t if b"<|" in t else TRAILING.sub(rb" \1", t.lower())).split() for t in texts]
-        new: set[bytes] = set()
-        for w in words:
-            new.update(w)
+        chunks, codes, per_text = self._words(texts)
+        _, offsets, data = chunks.buffers()
+        cuts = np.frombuffer(offsets, np.int32)[chunks.offset : chunks.offset + len(chunks) + 1].tolist()
+        raw = data.to_pybytes() if data else b""
+        distinct = [raw[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
         # No reference cycles are made here, and the collector's rounds over
         # the cache are a tenth of the time.
         gc.disable()
         try:
-            long = self._learn(self.chunks.missing(new))
+            long = self._learn(self.chunks.missing(set(distinct)))
         finally:
             gc.enable()
         known = self.chunks.young
         known.update(long)
-        out = [b"".join(map(known.__getitem__, w)) for w in words]
+        found = list(map(known.__getitem__, distinct))
         for chunk in long:
             del known[chunk]
         self.chunks.age()
-        return out
+        # Ids of the distinct chunks, laid out by the text's codes.
+        ids, size = np.frombuffer(b"".join(found), "<u4"), np.array(list(map(len, found)), np.int64) // 4
+        first, size = (np.cumsum(size) - size).take(codes), size.take(codes)
+        ends = np.cumsum(size)
+        first -= ends - size
+        out = ids.take(np.repeat(first, size) + np.arange(ends[-1] if len(ends) else 0)).tobytes()
+        cuts = (4 * np.append(0, ends).take(np.append(0, np.cumsum(per_text)))).tolist()
+        return [out[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    @staticmethod
+    def _words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """(distinct chunks, number of each chunk in order, chunks of each text).
+
+        ASCII case never matters, but special tokens are looked for as they
+        stand. ASCII punctuation between a letter or digit and white space is
+        a piece of its own; it is moved off, so that fewer chunks differ.
+        """
+        as_is = np.array([b"<|" in t for t in texts], bool)
+        data = np.frombuffer(b"\n" + b"".join([(t if k else t.lower()) + b"\n" for t, k in zip(texts, as_is, strict=True)]), np.uint8)
+        ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+        mark, space = MARK.take(data), SPACE.take(data)
+        first = np.flatnonzero(mark[1:] & ~mark[:-1]) + 1
+        last = np.flatnonzero(mark[:-1] & ~mark[1:])
+        before = data.take(first - 1)
+        letter = ALNUM.take(before)
+        latin = np.flatnonzero(LATIN.take(before))
+        letter[latin] = data.take(first[latin] - 2) == 0xC3
+        off = np.flatnonzero(letter & space.take(last + 1))
+        if as_is.any():
+            off = off[~as_is.take(np.searchsorted(ends, first[off]))]
+        # A chunk starts after white space and where punctuation was moved off.
+        start = ~space
+        start[1:] &= space[:-1]
+        start[first[off]] = True
+        at = np.flatnonzero(start)
+        body = data[~space]
+        place = np.append((np.cumsum(~space, dtype=np.int32) - 1).take(at), len(body)).astype(np.int32)
+        chunks = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(place), pa.py_buffer(body)])
+        coded = chunks.dictionary_encode()
+        return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.diff(np.searchsorted(at, ends, "right"), prepend=0)
 
     def _learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         """Ids of new chunks into the cache; those of long chunks are returned."""
@@ -138,7 +182,7 @@ class Encoder:
         odd: list[bytes] = []
         for c in chunks:
             s = c.decode()
-            if c.isalpha() and c.islower():
+            if PIECE.fullmatch(c):
                 single.append(s)
             elif self.plain.fullmatch(s):
                 low = s.lower()

@@ -28,6 +28,22 @@ def test_encoder_equals_the_library(path):
     assert Encoder.of(path).encode([t.encode() for t in texts]) == want  # from the cache
 
 
+def test_punctuation_is_moved_off_only_at_borders():
+    """What the library cuts there anyway is one chunk, so that fewer are encoded."""
+    marks = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    full = tokenizers.Tokenizer.from_file(WORDS)
+    heads = ["a", "Z", "7", "é", "É", "ß", "×", "÷", "x\u0301", "İ", "ı", "я", "日", "²", "ª", "'", "a'", "-"]
+    texts = [f"{h}{m}{t}" for h in heads for m in [*marks, "$$$", "'s", "),.", "<|", "|>"] for t in (" b", "\n", "", "s it", "\u0338 c", "\x85")]
+    texts += [f"{h}<|endoftext|>. $$$ {h}$$$ " for h in heads] + ["", " ", "\n\n", "$"]
+    want = [np.array(full.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert Encoder(WORDS).encode([t.encode() for t in texts]) == want
+    assert [Encoder(WORDS).encode([t.encode()]) for t in texts[::97]] == [[w] for w in want[::97]]
+    assert Encoder(WORDS).encode([]) == []
+    chunks, codes, per_text = Encoder._words([t.encode() for t in ("Ah... ah!!! 4$", "é&&& <| ah.", "", "é&&& ah!!!")])
+    assert sorted(chunks.to_pylist()) == sorted([b"ah", b"...", b"!!!", b"4", b"$", "é&&&".encode(), b"<|", b"ah.", "é".encode(), b"&&&"])
+    assert per_text.tolist() == [6, 3, 0, 4] and len(codes) == 13
+
+
 def brute(rows):
     full = tokenizers.Tokenizer.from_file(WORDS)
     out, start = [], 0
